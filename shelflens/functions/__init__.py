@@ -1 +1 @@
-"""Column expressions; everything here stays inside the JVM."""
+"""Column expressions, which stay inside the JVM, and small helpers."""

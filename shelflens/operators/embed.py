@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelflens.config import EMBED_BATCH
 from shelflens.functions.text import trigram_counts
+from shelflens.functions.retry import retrying
 from shelflens.operators.vectors import FAILED, OK, cache_misses
 from shelflens.sources.tables import CACHE_SCHEMA
 
@@ -35,20 +36,31 @@ def valid_trigrams(texts: DataFrame, text: str = "product_name") -> DataFrame:
 
 
 def embed_texts(
-    misses: DataFrame, embed: EmbedFunction, batch_size: int = EMBED_BATCH, pause: float = 0.0
+    misses: DataFrame,
+    embed: EmbedFunction,
+    batch_size: int = EMBED_BATCH,
+    *,
+    pause: float = 0.0,
+    attempts: int = 1,
+    retry_pause: float = 5.0,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Run a user function over ``(text, model)`` rows in batches.
 
-    A batch that raises becomes ``failed`` rows with empty vectors, so that the next
-    run does not try it again unless asked to.
+    A batch that raises in all ``attempts`` becomes ``failed`` rows with empty vectors,
+    so that the next run does not try it again unless asked to. The texts are spread
+    over ``partitions`` tasks (one per core by default): the function, not the amount
+    of text, sets the time.
     """
+    ask = retrying(embed, attempts, retry_pause)
+    partitions = partitions or misses.sparkSession.sparkContext.defaultParallelism
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for start in range(0, len(frame), batch_size):
                 part = frame.iloc[start : start + batch_size]
                 try:
-                    vectors = [[float(x) for x in v] for v in embed(part["text"].tolist())]
+                    vectors = [[float(x) for x in v] for v in ask(part["text"].tolist())]
                     if len(vectors) != len(part):
                         raise ValueError("one vector per text expected")
                     status = [OK if v else FAILED for v in vectors]
@@ -65,7 +77,7 @@ def embed_texts(
                 if pause:
                     time.sleep(pause)
 
-    return misses.select("text", "model").mapInPandas(run, CACHE_SCHEMA)
+    return misses.select("text", "model").repartition(partitions).mapInPandas(run, CACHE_SCHEMA)
 
 
 def refresh_cache(
@@ -76,6 +88,7 @@ def refresh_cache(
     *,
     batch_size: int = EMBED_BATCH,
     retry_failed: bool = False,
+    attempts: int = 1,
 ) -> DataFrame:
     """Embed what the cache lacks, append it once, return the cache.
 
@@ -90,7 +103,7 @@ def refresh_cache(
     else:
         cache = spark.createDataFrame([], CACHE_SCHEMA)
     misses = cache_misses(texts, cache, model, retry_failed)
-    embed_texts(misses, embed, batch_size).write.mode("append").parquet(cache_path)
+    embed_texts(misses, embed, batch_size, attempts=attempts).write.mode("append").parquet(cache_path)
     return read_cache(texts, cache_path)
 
 

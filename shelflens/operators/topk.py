@@ -83,14 +83,25 @@ def best_per_query(scored: DataFrame, k: int) -> DataFrame:
 # ---------------------------------------------------------------- kernels
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """Equal-length lists as a float64 matrix."""
-    flat = column.combine_chunks()
-    if isinstance(flat, pa.ChunkedArray):
-        flat = flat.chunk(0)
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
 
 
+def _chunks(batches, width: int):
+    """Pieces of the batches whose product with ``width`` columns stays near 32 MB."""
+    step = max(1, (32 << 20) // (8 * max(width, 1)))
+    for batch in batches:
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)
+
+
+def _unit(batch) -> np.ndarray:
+    """The batch's vectors at length one."""
+    return _matrix(batch["vector"]) / batch["norm"].to_numpy(zero_copy_only=False)[:, None]
+
+
 def _round(scores: np.ndarray) -> np.ndarray:
     scale = 10.0**SCORE_DIGITS
     return np.floor(scores * scale + 0.5) / scale
@@ -133,14 +144,16 @@ def _dense_kernel(k: int, cut: float | None):
         if not left.num_rows or not right.num_rows:
             return _no_rows(left, right)
         right = _by_id(right)
-        q = _matrix(left["vector"]) / left["norm"].to_numpy()[:, None]
-        c = _matrix(right["vector"]) / right["norm"].to_numpy()[:, None]
-        scores = _round(q @ c.T)
+        scores = _round(_table_unit(left) @ _table_unit(right).T)
         return _emit(left["query_id"], right["catalog_id"], scores, *_pick(scores, k, cut))
 
     return run
 
 
+def _table_unit(table: pa.Table) -> np.ndarray:
+    return _matrix(table["vector"]) / table["norm"].to_numpy()[:, None]
+
+
 def _no_rows(left: pa.Table, right: pa.Table) -> pa.Table:
     return pa.table(
         {
@@ -259,20 +272,14 @@ def _broadcast_topk(
         catalog_ids = shared.value["catalog_id"].combine_chunks()
         if not len(catalog_ids):
             return
-        c = _matrix(shared.value["vector"]) / shared.value["norm"].to_numpy()[:, None]
-        # Query rows per product, so that a score block stays near 32 MB.
-        step = max(1, (32 << 20) // (8 * len(c)))
-        for batch in batches:
-            block = pa.Table.from_batches([batch])
-            for start in range(0, block.num_rows, step):
-                part = block.slice(start, step)
-                q = _matrix(part["vector"]) / part["norm"].to_numpy()[:, None]
-                scores = _round(q @ c.T)
-                rows, cols = _pick(scores, k, cut)
-                rank = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") + 1
-                out = _emit(part["query_id"], catalog_ids, scores, rows, cols)
-                out = out.add_column(1, "rank", pa.array(rank, pa.int32()))
-                yield from out.combine_chunks().to_batches()
+        c = _table_unit(shared.value)
+        for part in _chunks(batches, len(c)):
+            scores = _round(_unit(part) @ c.T)
+            rows, cols = _pick(scores, k, cut)
+            rank = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left") + 1
+            out = _emit(part["query_id"], catalog_ids, scores, rows, cols)
+            out = out.add_column(1, "rank", pa.array(rank, pa.int32()))
+            yield from out.combine_chunks().to_batches()
 
     q, c = _id_types(queries, catalog)
     return queries.mapInArrow(run, f"query_id {q}, rank int, catalog_id {c}, score double")
@@ -307,16 +314,12 @@ def pivot_topk(
     schema = _score_schema(queries, catalog)
     if not sample.num_rows:
         return best_per_query(spark.createDataFrame([], schema), k)
-    centres = spark.sparkContext.broadcast(
-        _matrix(sample["vector"]) / sample["norm"].to_numpy()[:, None]
-    )
+    centres = spark.sparkContext.broadcast(_table_unit(sample))
     width = math.pi / rings
 
     def ring_of(batches):
-        for batch in batches:
-            v = _matrix(pa.chunked_array([batch["vector"]])) / batch["norm"].to_numpy()[:, None]
-            if not len(v):
-                continue
+        for batch in _chunks(batches, len(centres.value)):
+            v = _unit(batch)
             cosine = v @ centres.value.T
             cell = cosine.argmax(axis=1)
             angle = np.arccos(np.clip(cosine[np.arange(len(v)), cell], -1.0, 1.0))
@@ -348,11 +351,8 @@ def pivot_topk(
 
     def visits(batches, choose):
         t = table.value
-        for batch in batches:
-            v = _matrix(pa.chunked_array([batch["vector"]])) / batch["norm"].to_numpy()[:, None]
-            if not len(v):
-                continue
-            angle = np.arccos(np.clip(v @ centres.value.T, -1.0, 1.0))[:, t["cell"]]
+        for batch in _chunks(batches, 4 * max(len(t["cell"]), len(centres.value))):
+            angle = np.arccos(np.clip(_unit(batch) @ centres.value.T, -1.0, 1.0))[:, t["cell"]]
             nearest = np.maximum(0.0, np.maximum(angle - t["hi"], t["lo"] - angle))
             rows, cols = np.nonzero(choose(nearest, batch, t))
             base = batch.select(["query_id", "vector", "norm"]).take(pa.array(rows))
@@ -424,10 +424,8 @@ def lsh_topk(
     weights = 1 << np.arange(bits, dtype=np.int64)
 
     def buckets(batches):
-        for batch in batches:
-            v = _matrix(pa.chunked_array([batch["vector"]]))
-            if not len(v):
-                continue
+        for batch in _chunks(batches, tables * bits):
+            v = _matrix(batch["vector"])
             signs = (v @ planes >= 0).reshape(len(v), tables, bits)
             marks = (signs * weights).sum(axis=2)
             rows = np.repeat(np.arange(len(v)), tables)

@@ -5,13 +5,13 @@ Both give a *reply* per query: the exact name of a candidate, or ``None``/``Fals
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelflens.functions.retry import retrying
 from shelflens.functions.text import bullet_list, number_tokens, tokens, unicode_trim
 
 MIN_JACCARD = 0.8
@@ -51,21 +51,6 @@ def verify_payload(
     )
 
 
-def retrying(call: Callable, attempts: int = 3, pause: float = 5.0) -> Callable:
-    """``call`` tried up to ``attempts`` times with a pause between; the last error is raised."""
-
-    def run(*args):
-        for attempt in range(attempts):
-            try:
-                return call(*args)
-            except Exception:
-                if attempt == attempts - 1:
-                    raise
-                time.sleep(pause)
-
-    return run
-
-
 def judge_reply(
     rows: DataFrame, judge: Judge, attempts: int = 3, pause: float = 5.0
 ) -> DataFrame:
@@ -87,7 +72,8 @@ def judge_reply(
                                failed=failed)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInPandas(run, f"{fields}, reply string, failed boolean")
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores).mapInPandas(run, f"{fields}, reply string, failed boolean")
 
 
 def resolve_reply(

@@ -20,6 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Use all cores for work that is heavy per row when the input came in few pieces.
+
+    A table read in enough splits is passed on as it is, without a shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def _part_name() -> Column:
     return F.concat_ws(" ", "p_brand", "p_name", "p_type", "p_size")
 
@@ -95,7 +104,7 @@ def _file(rows_shop: str) -> Column:
 
 def landing_l(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shop-L documents ``(file, value)``: one per listing, with all price spellings."""
-    rows = listings(spark, sf_dir).filter(F.col("ecommerce_name") == SHOP_L)
+    rows = spread(listings(spark, sf_dir).filter(F.col("ecommerce_name") == SHOP_L))
     name, price = F.col("product_name"), F.col("sale_price")
     kind = F.col("l_orderkey") % 3
     first = (
@@ -140,7 +149,7 @@ def landing_l(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landing_w(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shop-W documents ``(file, value)``: one per listing."""
-    rows = listings(spark, sf_dir).filter(F.col("ecommerce_name") == SHOP_W)
+    rows = spread(listings(spark, sf_dir).filter(F.col("ecommerce_name") == SHOP_W))
     name = F.col("product_name")
 
     def item(suffix: str, value: Column) -> Column:

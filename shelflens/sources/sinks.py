@@ -14,7 +14,7 @@ MANIFEST_SCHEMA = "path string, row_count bigint, written_at timestamp_ntz"
 
 def append_history(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Plain append by year and month; a re-run adds the rows again."""
-    rows.select(*HISTORY_COLUMNS).write.format(fmt).mode("append").partitionBy(
+    rows.select(*HISTORY_COLUMNS).hint("rebalance").write.format(fmt).mode("append").partitionBy(
         "year", "month"
     ).save(path)
 
@@ -27,6 +27,7 @@ def load_history(rows: DataFrame, path: str, load_id: str) -> None:
     """
     (
         rows.select(*HISTORY_COLUMNS, F.lit(load_id).alias("load_id"))
+        .hint("rebalance")  # files of even size, however many tasks read the landing area
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month", "load_id")
@@ -61,15 +62,20 @@ def write_report(
     An empty report writes nothing. Files are range-partitioned, so that reading
     them by name gives the total order without one task holding everything.
     """
-    if report.isEmpty():
-        return 0
-    seen = Observation()
-    ordered = report.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
-    writer = ordered.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    writer.format(fmt).save(path)
-    return seen.get["rows"]
+    # Kept, so that the test for rows and the range bounds do not compute it anew.
+    report = report.persist()
+    try:
+        if report.isEmpty():
+            return 0
+        seen = Observation()
+        ordered = report.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
+        writer = ordered.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        if fmt == "csv":
+            writer = writer.option("header", True)
+        writer.format(fmt).save(path)
+        return seen.get["rows"]
+    finally:
+        report.unpersist()
 
 
 def write_manifest(

@@ -57,12 +57,12 @@ def test_failed_batches_are_remembered(spark, tmp_path):
 
 
 def test_batches_hold_at_most_batch_size(spark):
-    rows = spark.range(250).selectExpr("concat('t', id) text", "'m' model").coalesce(1)
+    rows = spark.range(250).selectExpr("concat('t', id) text", "'m' model")
 
     def count(texts):
         return [[float(len(texts))] for _ in texts]
 
-    sizes = {r.embedding[0] for r in embed.embed_texts(rows, count).collect()}
+    sizes = {r.embedding[0] for r in embed.embed_texts(rows, count, partitions=1).collect()}
     assert sizes == {100.0, 50.0}
 
 
