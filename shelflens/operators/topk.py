@@ -23,21 +23,47 @@ from shelflens.functions.numbers import SCORE_DIGITS
 
 BLOCK_ROWS = 1024
 BROADCAST_BYTES = 64 << 20
+BROADCAST_GROUPS = 100_000
 ROUNDING = 10.0**-SCORE_DIGITS
 
 
 # ---------------------------------------------------------------- block pairs
 
 
-def _salted(
-    side: DataFrame, sizes: DataFrame, keys: list[str], own: str, other: str, row_id: str
-) -> DataFrame:
-    """Cut ``side`` into its own blocks and copy each row to the other side's blocks."""
+def _copy_plan(queries: DataFrame, catalog: DataFrame, keys: list[str], block_rows: int):
+    """How many blocks each side of each group has, joined to a side by the result.
+
+    The counts come from the keys alone. A short list of groups is broadcast: no row
+    moves for it, and groups with one side only drop out at once. Of a longer list
+    just the groups over one block matter; only if even those are too many to
+    broadcast, the rows are shuffled to the counts.
+    """
+
+    def sizes(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy(*keys).agg(
+            F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name)
+        )
+
+    spark = queries.sparkSession
+    both = sizes(queries, "_nqb").join(sizes(catalog, "_ncb"), keys)
+    every = both.limit(BROADCAST_GROUPS + 1).toArrow()
+    if every.num_rows <= BROADCAST_GROUPS:
+        known = F.broadcast(spark.createDataFrame(every))
+        return lambda side: side.join(known, keys)
+    hot = both.filter((F.col("_nqb") > 1) | (F.col("_ncb") > 1))
+    some = hot.limit(BROADCAST_GROUPS + 1).toArrow()
+    if some.num_rows <= BROADCAST_GROUPS:
+        known = F.broadcast(spark.createDataFrame(some))
+        return lambda side: side.join(known, keys, "left").fillna(1, ["_nqb", "_ncb"])
+    return lambda side: side.join(both, keys)
+
+
+def _cut(side: DataFrame, own: str, other: str, row_id: str) -> DataFrame:
+    """Put each row into one of its side's blocks, and copy it to all of the other's."""
     return (
-        side.join(sizes, keys)
-        .withColumn(own, F.pmod(F.xxhash64(row_id), F.col(f"_n{own}")).cast("int"))
-        .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"_n{other}") - 1)))
-        .drop("_n_qb", "_n_cb")
+        side.withColumn(own, F.pmod(F.xxhash64(row_id), F.col(f"_n{own[1:]}")).cast("int"))
+        .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"_n{other[1:]}") - 1)))
+        .drop("_nqb", "_ncb")
     )
 
 
@@ -51,19 +77,14 @@ def block_pairs(
 ) -> DataFrame:
     """Apply ``kernel(query block, catalogue block)`` to all block pairs of equal keys.
 
-    ``kernel`` takes and returns Arrow tables. Keys on one side only are dropped
-    before any vector moves: the sizes are counted from the keys alone.
+    ``kernel`` takes and returns Arrow tables; a block may be empty. Rows with a NULL
+    key meet nothing.
     """
-
-    def sizes(side: DataFrame, name: str) -> DataFrame:
-        return side.groupBy(*keys).agg(
-            F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(f"_n{name}")
-        )
-
-    both = sizes(queries, "_qb").join(sizes(catalog, "_cb"), keys)
+    queries, catalog = queries.dropna(subset=keys), catalog.dropna(subset=keys)
+    planned = _copy_plan(queries, catalog, keys, block_rows)
     group = [*keys, "_qb", "_cb"]
-    left = _salted(queries, both, keys, "_qb", "_cb", "query_id")
-    right = _salted(catalog, both, keys, "_cb", "_qb", "catalog_id")
+    left = _cut(planned(queries), "_qb", "_cb", "query_id")
+    right = _cut(planned(catalog), "_cb", "_qb", "catalog_id")
     return left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(kernel, schema)
 
 

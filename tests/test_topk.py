@@ -200,3 +200,21 @@ def test_hot_group_is_cut_into_bounded_blocks(spark):
     rows = T.block_pairs(q, c, ["key"], kernel, "q bigint, c bigint", 32).collect()
     assert sum(r.q * r.c for r in rows) == 300 * 500
     assert max(r.q for r in rows) < 64 and max(r.c for r in rows) < 64
+
+
+@pytest.mark.parametrize("limit", [0, 3, 100])
+def test_every_copy_plan_gives_the_same_pairs(spark, monkeypatch, limit):
+    monkeypatch.setattr(T, "BROADCAST_GROUPS", limit)
+    q = spark.range(300).selectExpr("id query_id", "if(id % 3 = 0, 0, if(id % 50 = 7, null, id % 40)) key")
+    c = spark.range(400).selectExpr("id catalog_id", "if(id % 3 = 0, 0, if(id % 50 = 9, null, id % 60)) key")
+
+    def kernel(left, right):
+        import pyarrow as pa
+
+        n = left.num_rows * right.num_rows
+        return pa.table({"n": [n], "biggest": [max(left.num_rows, right.num_rows)]})
+
+    rows = T.block_pairs(q, c, ["key"], kernel, "n bigint, biggest bigint", 24).collect()
+    want = q.join(c, "key").count()
+    assert sum(r.n for r in rows) == want
+    assert max(r.biggest for r in rows if r.n) < 60
