@@ -96,8 +96,8 @@ def best_per_query(scored: DataFrame, k: int) -> DataFrame:
     return (
         scored.withColumn("rank", place)
         .filter(F.col("rank") <= k)
-        .groupBy("query_id", "rank")
-        .agg(F.first("catalog_id").alias("catalog_id"), F.first("score").alias("score"))
+        .select("query_id", "rank", "catalog_id", "score")
+        .distinct()
     )
 
 

@@ -11,6 +11,7 @@ from shelflens.config import EMBED_BATCH, MIN_SIMILARITY, TOP_N, JobConfig
 from shelflens.operators.decide import decide_match, keep_verified, pack_candidates, top1_match
 from shelflens.operators.embed import EmbedFunction, refresh_cache, valid_trigrams
 from shelflens.operators.history import split_catalogs
+from shelflens.operators.keep import keep
 from shelflens.operators.latest import latest_per_product
 from shelflens.operators.namemap import build_name_map
 from shelflens.operators.topk import dense_topk, sparse_topk
@@ -74,39 +75,39 @@ def embedding_search(
 def _sides(
     query_df: DataFrame, base_df: DataFrame, dedup: bool, block_on: list[str]
 ) -> tuple[DataFrame, DataFrame]:
-    """Both catalogues with ids; the product name is the id once names are unique."""
+    """Both catalogues with ids; the product name is the id once names are unique.
 
-    def prepare(rows: DataFrame) -> DataFrame:
-        named = rows.filter(F.col("product_name").isNotNull() & (F.col("product_name") != ""))
-        return latest_per_product(named, ("product_name", *block_on)) if dedup else named
+    The sides are read for the search and again for names and prices, so they are kept:
+    one short row per product, however long its history is. Both are one job.
+    """
 
-    def row_id(rows: DataFrame):
-        if dedup and not block_on:
-            return F.col("product_name")
-        keys = ["product_name", *block_on]
-        if not dedup:
+    def prepare(rows: DataFrame, is_query: bool) -> DataFrame:
+        rows = rows.filter(F.col("product_name").isNotNull() & (F.col("product_name") != ""))
+        if dedup:
+            rows = latest_per_product(rows, ("product_name", *block_on))
+            keys = ["product_name", *block_on]
+        else:
             # Rows that agree in everything are one row for every purpose here.
-            keys = [c for c in rows.columns]
-        return F.concat_ws(
-            "\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0002")) for c in keys]
+            keys = rows.columns
+        texts = [F.coalesce(F.col(c).cast("string"), F.lit("\u0002")) for c in keys]
+        sides = rows.select(
+            F.lit(is_query).alias("is_query"),
+            F.concat_ws("\u0001", *texts).alias("id"),
+            F.col("product_name").alias("name"),
+            F.col("sale_price").alias("price"),
+            *block_on,
         )
-
-    q, b = prepare(query_df), prepare(base_df)
-    queries = q.select(
-        row_id(q).alias("query_id"),
-        F.col("product_name").alias("query_name"),
-        F.col("sale_price").alias("query_price"),
-        *block_on,
-    )
-    base = b.select(
-        row_id(b).alias("catalog_id"),
-        F.col("product_name").alias("name"),
-        F.col("sale_price").alias("price"),
-        *block_on,
+        return sides if dedup else sides.distinct()
+
+    both = keep(prepare(query_df, True).unionByName(prepare(base_df, False)))
+    queries = both.filter(F.col("is_query")).drop("is_query")
+    base = both.filter(~F.col("is_query")).drop("is_query")
+    return (
+        queries.withColumnsRenamed(
+            {"id": "query_id", "name": "query_name", "price": "query_price"}
+        ),
+        base.withColumnRenamed("id", "catalog_id"),
     )
-    if not dedup:
-        queries, base = queries.distinct(), base.distinct()
-    return queries, base
 
 
 def ranked_candidates(
