@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelflens.functions.numbers import SCORE_DIGITS
+from shelflens.operators.keep import keep
 
 BLOCK_ROWS = 1024
 BROADCAST_BYTES = 64 << 20
@@ -202,24 +203,27 @@ def _sparse_kernel(k: int, cut: float, columns: int = 2048):
         qr, qg, qt = _sparse_parts(left)
         cr, cg, ct = _sparse_parts(right)
         shared = np.intersect1d(qg, cg)
-        dots = np.zeros((left.num_rows, right.num_rows))
+        q_norm, c_norm = left["norm"].to_numpy(), right["norm"].to_numpy()
+        # Products of counts are whole numbers, none above the largest product of norms:
+        # below 2**24 single precision holds them exactly, at half the cost.
+        exact = np.float32 if q_norm.max() * c_norm.max() < 1 << 24 else np.float64
+        dots = np.zeros((left.num_rows, right.num_rows), dtype=exact)
         # Dense slices of the shared vocabulary: memory stays bounded for long texts.
         for start in range(0, len(shared), columns):
             part = shared[start : start + columns]
-            dots += _slice(qr, qg, qt, part, left.num_rows) @ _slice(
-                cr, cg, ct, part, right.num_rows
+            dots += _slice(qr, qg, qt, part, left.num_rows, exact) @ _slice(
+                cr, cg, ct, part, right.num_rows, exact
             ).T
-        norms = left["norm"].to_numpy()[:, None] * right["norm"].to_numpy()[None, :]
-        scores = _round(dots / norms)
+        scores = _round(dots.astype(np.float64) / (q_norm[:, None] * c_norm[None, :]))
         return _emit(left["query_id"], right["catalog_id"], scores, *_pick(scores, k, cut))
 
     return run
 
 
-def _slice(rows, grams, counts, vocabulary, n) -> np.ndarray:
+def _slice(rows, grams, counts, vocabulary, n, dtype) -> np.ndarray:
     at = np.minimum(np.searchsorted(vocabulary, grams), len(vocabulary) - 1)
     hit = vocabulary[at] == grams
-    out = np.zeros((n, len(vocabulary)))
+    out = np.zeros((n, len(vocabulary)), dtype=dtype)
     out[rows[hit], at[hit]] = counts[hit]
     return out
 
@@ -306,6 +310,23 @@ def _broadcast_topk(
     return queries.mapInArrow(run, f"query_id {q}, rank int, catalog_id {c}, score double")
 
 
+def _spread_out(vectors: np.ndarray, n: int) -> np.ndarray:
+    """Up to ``n`` of the unit vectors, each the farthest from those before it."""
+    chosen = [0]
+    closest = vectors @ vectors[0]
+    while len(chosen) < min(n, len(vectors)):
+        farthest = int(closest.argmin())
+        if closest[farthest] >= 1.0 - 1e-12:  # only copies are left
+            break
+        chosen.append(farthest)
+        closest = np.maximum(closest, vectors @ vectors[farthest])
+    return vectors[chosen]
+
+
+def _angles(cosines: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(cosines, -1.0, 1.0))
+
+
 def pivot_topk(
     queries: DataFrame,
     catalog: DataFrame,
@@ -314,68 +335,109 @@ def pivot_topk(
     min_similarity: float | None = None,
     pivots: int = 256,
     rings: int = 32,
+    near_pivots: int = 8,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Exact top ``k`` without a size limit on the catalogue.
 
-    Every catalogue vector belongs to its nearest pivot, and to a ring around it by
-    angle. Angles obey the triangle inequality, so a ring can only hold a hit for a
-    query if it comes within the angle of the query's k-th best hit so far. That
-    first bound comes from the rings nearest to the query; then each query visits
-    just the rings within its bound. Pivots and ring limits are at most ``pivots`` and
-    ``pivots * rings`` rows, whatever the catalogue's size.
+    Every catalogue vector belongs to its nearest pivot and to a ring around it by
+    angle. Angles obey the triangle inequality: from the smallest angle between a
+    ring's vectors and any pivot follows how near the ring can come to a query. A
+    first look at the ring nearest to each query gives its k-th best angle so far; then
+    each query visits only the rings that can come nearer than that.
+
+    The driver sees a bounded sample to choose pivots from and one summary per ring, at
+    most ``pivots * rings`` rows, whatever the catalogue's size.
     """
     spark = queries.sparkSession
+    queries = queries.select("query_id", "vector", "norm")
+    catalog = catalog.select("catalog_id", "vector", "norm")
+    schema = _score_schema(queries, catalog)
+    head = catalog.select(F.size("vector").alias("d")).first()
+    if head is None:
+        return best_per_query(spark.createDataFrame([], schema), k)
     sample = (
-        catalog.select("catalog_id", "vector", "norm")
-        .orderBy(F.xxhash64("catalog_id"), "catalog_id")
-        .limit(pivots)
+        catalog.orderBy(F.xxhash64("catalog_id"), "catalog_id")
+        .limit(max(pivots, min(16 * pivots, BROADCAST_BYTES // (8 * head["d"]))))
         .toArrow()
     )
-    schema = _score_schema(queries, catalog)
-    if not sample.num_rows:
-        return best_per_query(spark.createDataFrame([], schema), k)
-    centres = spark.sparkContext.broadcast(_table_unit(sample))
+    centres = spark.sparkContext.broadcast(_spread_out(_table_unit(sample), pivots))
     width = math.pi / rings
 
-    def ring_of(batches):
+    def placed(batches):
+        """Cell, ring and the angles to all pivots of each batch's vectors."""
         for batch in _chunks(batches, len(centres.value)):
-            v = _unit(batch)
-            cosine = v @ centres.value.T
-            cell = cosine.argmax(axis=1)
-            angle = np.arccos(np.clip(cosine[np.arange(len(v)), cell], -1.0, 1.0))
+            angle = _angles(_unit(batch) @ centres.value.T)
+            cell = angle.argmin(axis=1)
+            own = angle[np.arange(len(cell)), cell]
+            yield batch, cell, np.minimum(own // width, rings - 1).astype(int), own, angle
+
+    def ring_of(batches):
+        for batch, cell, ring, _, _ in placed(batches):
             yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns,
-                    pa.array(cell, pa.int32()),
-                    pa.array(np.minimum(angle // width, rings - 1), pa.int32()),
-                    pa.array(angle, pa.float64()),
-                ],
-                names=[*batch.schema.names, "cell", "ring", "angle"],
+                [*batch.columns, pa.array(cell, pa.int32()), pa.array(ring, pa.int32())],
+                names=[*batch.schema.names, "cell", "ring"],
             )
 
-    c_type = _id_types(queries, catalog)[1]
-    vector_type = catalog.schema["vector"].dataType.simpleString()
-    placed = catalog.mapInArrow(
-        ring_of,
-        f"catalog_id {c_type}, vector {vector_type}, norm double, cell int, ring int, angle double",
-    )
+    def summarise(batches):
+        """Per ring of this partition: size, range of angles, least angle to each pivot."""
+        known: dict[tuple[int, int], list] = {}
+        for _, cell, ring, own, angle in placed(batches):
+            label = cell * rings + ring
+            order = np.argsort(label, kind="stable")
+            starts = np.flatnonzero(np.diff(label[order], prepend=-1))
+            least = np.minimum.reduceat(angle[order], starts)
+            lo, hi = (f.reduceat(own[order], starts) for f in (np.minimum, np.maximum))
+            sizes = np.diff(starts, append=len(order))
+            for i, at in enumerate(label[order][starts]):
+                key = divmod(int(at), rings)
+                if key in known:
+                    n, was_lo, was_hi, was = known[key]
+                    known[key] = [
+                        n + sizes[i], min(was_lo, lo[i]), max(was_hi, hi[i]),
+                        np.minimum(was, least[i]),
+                    ]
+                else:
+                    known[key] = [sizes[i], lo[i], hi[i], least[i]]
+        if known:
+            yield _summary_batch(known)
+
+    def merge(table: pa.Table) -> pa.Table:
+        least = _matrix(table["least"]).min(axis=0)
+        key = (table["cell"][0].as_py(), table["ring"][0].as_py())
+        row = [
+            table["n"].to_numpy().sum(), table["lo"].to_numpy().min(),
+            table["hi"].to_numpy().max(), least,
+        ]
+        return pa.Table.from_batches([_summary_batch({key: row})])
+
+    summary = "cell int, ring int, n bigint, lo double, hi double, least array<double>"
+    # One small row per ring and partition reaches the merge, not the vectors.
     limits = (
-        placed.groupBy("cell", "ring")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("angle").alias("lo"), F.max("angle").alias("hi"))
+        catalog.mapInArrow(summarise, summary)
+        .groupBy("cell", "ring")
+        .applyInArrow(merge, summary)
         .orderBy("cell", "ring")
         .toArrow()
     )
-    table = spark.sparkContext.broadcast({c: limits[c].to_numpy() for c in limits.column_names})
-    keyed = placed.drop("angle")
-    kernel = _dense_kernel(k, min_similarity)
+    facts = {c: limits[c].to_numpy() for c in ("cell", "ring", "n", "lo", "hi")}
+    facts["least"] = _matrix(limits["least"]).T.copy()  # pivot by ring
+    table = spark.sparkContext.broadcast(facts)
 
     def visits(batches, choose):
         t = table.value
-        for batch in _chunks(batches, 4 * max(len(t["cell"]), len(centres.value))):
-            angle = np.arccos(np.clip(_unit(batch) @ centres.value.T, -1.0, 1.0))[:, t["cell"]]
-            nearest = np.maximum(0.0, np.maximum(angle - t["hi"], t["lo"] - angle))
-            rows, cols = np.nonzero(choose(nearest, batch, t))
+        p = len(centres.value)
+        for batch in _chunks(batches, 4 * max(len(t["cell"]), p)):
+            angle = _angles(_unit(batch) @ centres.value.T)
+            own = angle[:, t["cell"]]
+            bound = np.maximum(0.0, np.maximum(own - t["hi"], t["lo"] - own))
+            # Pivots near the query say most about how far a ring is.
+            m = min(near_pivots, p)
+            near = np.argpartition(angle, m - 1, axis=1)[:, :m]
+            for j in range(m):
+                reach = np.take_along_axis(angle, near[:, j : j + 1], axis=1)
+                bound = np.maximum(bound, t["least"][near[:, j]] - reach)
+            rows, cols = np.nonzero(choose(bound, own, batch, t))
             base = batch.select(["query_id", "vector", "norm"]).take(pa.array(rows))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -386,26 +448,27 @@ def pivot_topk(
                 names=["query_id", "vector", "norm", "cell", "ring"],
             )
 
-    def seed(nearest, _batch, t):
-        """The nearest rings that together hold k vectors."""
-        order = np.argsort(nearest, axis=1, kind="stable")
+    def seed(bound, own, _batch, t):
+        """The rings nearest by their pivot that together hold k vectors."""
+        order = np.argsort(bound + own, axis=1, kind="stable")
         before = np.cumsum(t["n"][order], axis=1) - t["n"][order]
-        chosen = np.zeros(nearest.shape, dtype=bool)
+        chosen = np.zeros(bound.shape, dtype=bool)
         np.put_along_axis(chosen, order, before < k, axis=1)
         return chosen
 
-    def within(nearest, batch, _t):
-        # A little wider than the bound: scores are rounded, angles are not exact.
-        bound = batch["bound"].to_numpy(zero_copy_only=False)
-        widest = np.arccos(np.clip(bound - 2 * ROUNDING, -1.0, 1.0)) + 1e-9
-        return nearest <= np.where(np.isnan(bound), math.pi, widest)[:, None]
+    def within(bound, _own, batch, _t):
+        # A little wider than the k-th best: scores are rounded, angles are not exact.
+        score = batch["bound"].to_numpy(zero_copy_only=False)
+        widest = _angles(score - 2 * ROUNDING) + 1e-7
+        return bound <= np.where(np.isnan(score), math.pi, widest)[:, None]
 
-    q_type = _id_types(queries, catalog)[0]
-    vector_q = queries.schema["vector"].dataType.simpleString()
-    visit_schema = f"query_id {q_type}, vector {vector_q}, norm double, cell int, ring int"
-    queries = queries.select("query_id", "vector", "norm")
+    def fields(rows: DataFrame) -> str:
+        return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
 
     keys = ["cell", "ring"]
+    keyed = catalog.mapInArrow(ring_of, f"{fields(catalog)}, cell int, ring int")
+    visit_schema = f"{fields(queries)}, cell int, ring int"
+
     first = queries.mapInArrow(lambda b: visits(b, seed), visit_schema)
     found = block_pairs(first, keyed, keys, _dense_kernel(k, None), schema, block_rows)
     kth = best_per_query(found, k).groupBy("query_id").agg(
@@ -413,14 +476,30 @@ def pivot_topk(
     )
     if min_similarity is not None:
         kth = kth.withColumn("bound", F.greatest("bound", F.lit(float(min_similarity))))
-    bounded = queries.join(kth, "query_id", "left").withColumn(
-        "bound",
-        F.coalesce("bound", F.lit(float("nan") if min_similarity is None else min_similarity)),
+    bounded = keep(
+        queries.join(kth, "query_id", "left").withColumn(
+            "bound",
+            F.coalesce("bound", F.lit(float("nan") if min_similarity is None else min_similarity)),
+        )
     )
     second = bounded.mapInArrow(lambda b: visits(b, within), visit_schema)
+    kernel = _dense_kernel(k, min_similarity)
     return best_per_query(block_pairs(second, keyed, keys, kernel, schema, block_rows), k)
 
 
+def _summary_batch(known: dict[tuple[int, int], list]) -> pa.RecordBatch:
+    cells, rings = zip(*known)
+    n, lo, hi, least = zip(*known.values())
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(cells, pa.int32()), pa.array(rings, pa.int32()), pa.array(n, pa.int64()),
+            pa.array(lo, pa.float64()), pa.array(hi, pa.float64()),
+            pa.array([list(x) for x in least], pa.list_(pa.float64())),
+        ],
+        names=["cell", "ring", "n", "lo", "hi", "least"],
+    )
+
+
 # ---------------------------------------------------------------- approximate search
 
 
