@@ -103,16 +103,23 @@ def refresh_cache(
     else:
         cache = spark.createDataFrame([], CACHE_SCHEMA)
     misses = cache_misses(texts, cache, model, retry_failed)
-    embed_texts(misses, embed, batch_size, attempts=attempts).write.mode("append").parquet(cache_path)
+    embed_texts(misses, embed, batch_size, attempts=attempts).write.mode("append").partitionBy(
+        "model", "status"
+    ).parquet(cache_path)
     return read_cache(texts, cache_path)
 
 
 def read_cache(like: DataFrame, cache_path: str) -> DataFrame:
-    """The cache with one row per ``(text, model)``, good rows before failed ones."""
+    """The cache; a failed row is left out once its text has an ``ok`` row.
+
+    Models and states are folders, so only keys and the few failed rows are compared.
+    """
     stored = like.sparkSession.read.schema(CACHE_SCHEMA).parquet(cache_path)
-    rank = F.when(F.col("status") == OK, 0).otherwise(1)
-    return (
-        stored.groupBy("text", "model")
-        .agg(F.min_by(F.struct("embedding", "status"), rank).alias("e"))
-        .select("text", "model", "e.embedding", "e.status")
+    good = stored.filter(F.col("status") == OK)
+    failed = stored.filter(F.col("status") == FAILED)
+    columns = ["text", "model", "embedding", "status"]
+    return good.select(*columns).unionByName(
+        failed.join(good.select("text", "model"), ["text", "model"], "left_anti")
+        .select(*columns)
+        .dropDuplicates(["text", "model"])
     )

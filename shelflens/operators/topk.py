@@ -102,6 +102,16 @@ def best_per_query(scored: DataFrame, k: int) -> DataFrame:
     )
 
 
+def few_copies(catalog: DataFrame, k: int, same: list[str]) -> DataFrame:
+    """At most ``k`` rows of each set of equal ``same`` columns, those of lowest id.
+
+    Copies score alike and ties go to the lower id, so the others cannot be among the
+    k best; a catalogue that is largely copies shrinks before any search.
+    """
+    place = F.row_number().over(Window.partitionBy(*same).orderBy("catalog_id"))
+    return catalog.withColumn("_copy", place).filter(F.col("_copy") <= k).drop("_copy")
+
+
 # ---------------------------------------------------------------- kernels
 
 
@@ -351,7 +361,8 @@ def pivot_topk(
     """
     spark = queries.sparkSession
     queries = queries.select("query_id", "vector", "norm")
-    catalog = catalog.select("catalog_id", "vector", "norm")
+    # Summarised, counted and searched: kept without the needless copies.
+    catalog = keep(few_copies(catalog.select("catalog_id", "vector", "norm"), k, ["vector"]))
     schema = _score_schema(queries, catalog)
     head = catalog.select(F.size("vector").alias("d")).first()
     if head is None:
@@ -546,7 +557,7 @@ def lsh_topk(
 
     found = block_pairs(
         keyed(queries, "query_id"),
-        keyed(catalog, "catalog_id"),
+        keyed(few_copies(catalog, k, ["vector"]), "catalog_id"),
         ["table", "bucket"],
         _dense_kernel(k, min_similarity),
         schema,

@@ -14,7 +14,7 @@ from shelflens.operators.history import split_catalogs
 from shelflens.operators.keep import keep
 from shelflens.operators.latest import latest_per_product
 from shelflens.operators.namemap import build_name_map
-from shelflens.operators.topk import dense_topk, sparse_topk
+from shelflens.operators.topk import dense_topk, few_copies, sparse_topk
 from shelflens.operators.vectors import cache_lookup, require_vectors, valid_vectors
 from shelflens.operators.verify import (
     Judge,
@@ -73,7 +73,7 @@ def embedding_search(
 
 
 def _sides(
-    query_df: DataFrame, base_df: DataFrame, dedup: bool, block_on: list[str]
+    query_df: DataFrame, base_df: DataFrame, dedup: bool, block_on: list[str], k: int
 ) -> tuple[DataFrame, DataFrame]:
     """Both catalogues with ids; the product name is the id once names are unique.
 
@@ -99,7 +99,11 @@ def _sides(
         )
         return sides if dedup else sides.distinct()
 
-    both = keep(prepare(query_df, True).unionByName(prepare(base_df, False)))
+    base = prepare(base_df, False)
+    if not dedup:
+        named = base.withColumnRenamed("id", "catalog_id")
+        base = few_copies(named, k, ["name", *block_on]).withColumnRenamed("catalog_id", "id")
+    both = keep(prepare(query_df, True).unionByName(base))
     queries = both.filter(F.col("is_query")).drop("is_query")
     base = both.filter(~F.col("is_query")).drop("is_query")
     return (
@@ -121,7 +125,7 @@ def ranked_candidates(
 ) -> DataFrame:
     """Each query product with its ranked candidates from the base catalogue."""
     blocks = list(block_on or [])
-    queries, base = _sides(query_df, base_df, dedup, blocks)
+    queries, base = _sides(query_df, base_df, dedup, blocks, top_n)
     topk = (search or trigram_search())(queries, base, top_n, blocks)
     return pack_candidates(topk, queries.drop(*blocks), base)
 
@@ -159,7 +163,7 @@ def match_top1(
 ) -> DataFrame:
     """The best base product of each query product, without verification."""
     blocks = list(block_on or [])
-    queries, base = _sides(query_df, base_df, dedup, blocks)
+    queries, base = _sides(query_df, base_df, dedup, blocks, 1)
     topk = (search or trigram_search())(queries, base, 1, blocks)
     return top1_match(topk, queries.drop(*blocks), base)
 

@@ -168,6 +168,8 @@ def test_full_match_with_trigrams(spark):
     # Without dedup every listing is matched, and copies may fill the candidate list.
     many = matching.match_catalogs(line, watson, dedup=False)
     assert many.filter(F.col(f"`{MATCH_QUERY_NAME}`") == "CREAM A 50ml").count() == 2
+    names = [r.names for r in matching.ranked_candidates(line, watson, dedup=False).collect() if r.query_name == "CREAM A 50ml"]
+    assert all(n[:2] == ["Cream A 50ml"] * 2 for n in names)
 
 
 def test_full_match_with_embeddings_and_a_judge(spark, tmp_path):

@@ -218,3 +218,11 @@ def test_every_copy_plan_gives_the_same_pairs(spark, monkeypatch, limit):
     want = q.join(c, "key").count()
     assert sum(r.n for r in rows) == want
     assert max(r.biggest for r in rows if r.n) < 60
+
+
+def test_copies_beyond_k_are_dropped_before_the_search(spark):
+    rows = spark.createDataFrame([(i, [1.0, float(i % 3 == 0)]) for i in range(90)], "catalog_id bigint, vector array<double>")
+    kept = T.few_copies(rows, 2, ["vector"])
+    assert sorted(r.catalog_id for r in kept.collect()) == [0, 1, 2, 3]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan[plan.index("Exchange hashpartitioning") :]
