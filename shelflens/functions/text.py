@@ -55,7 +55,7 @@ def object_name(shop: Column, query: Column, ts: Column, page: Column) -> Column
 def tokens(text: Column) -> Column:
     """Distinct lower-case words."""
     return F.array_distinct(
-        F.filter(F.split(F.lower(text), r"\s+"), lambda t: F.length(t) > 0)
+        F.filter(F.split(F.lower(text), r"(?U)\s+"), lambda t: F.length(t) > 0)
     )
 
 

@@ -33,10 +33,14 @@ def decode_products(documents: DataFrame, spec: SourceSpec) -> DataFrame:
     parsed = documents.select("file", F.try_parse_json("value").alias("doc")).select(
         "file", "doc", V.as_list(F.col("doc"), path).alias("products")
     )
-    elements = parsed.select(
+    # The document ends here: carried on, it would be copied to each of its elements.
+    judged = parsed.select(
         "file",
+        "products",
         _list_reason(F.col("doc"), F.col("products"), spec.list_path).alias("doc_reason"),
-        F.posexplode_outer("products").alias("pos", "product"),
+    )
+    elements = judged.select(
+        "file", "doc_reason", F.posexplode_outer("products").alias("pos", "product")
     ).filter(F.col("pos").isNotNull() | F.col("doc_reason").isNotNull())
 
     product = F.col("product")
