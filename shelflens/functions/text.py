@@ -74,9 +74,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def code_points(text: Column) -> Column:
-    return F.transform(
-        F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), lambda c: F.ascii(c).cast("bigint")
-    )
+    # Splitting at the empty text gives characters, but one empty text for no text.
+    characters = F.filter(F.split(text, ""), lambda c: F.length(c) > 0)
+    return F.transform(characters, lambda c: F.ascii(c).cast("bigint"))
 
 
 def trigram_ids(points: Column) -> Column:
@@ -131,7 +131,7 @@ def trigram_counts(text: Column) -> Column:
     return let(
         code_points(text),
         lambda points: let(
-            F.array_sort(trigram_ids(points)),
+            F.sort_array(trigram_ids(points)),
             lambda ids: let(_runs(ids), lambda starts: counted(ids, starts)),
         ),
     )

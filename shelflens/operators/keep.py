@@ -1,4 +1,4 @@
-"""Keep an intermediate result that later steps read several times."""
+"""Keep results that are read several times; spread work that is heavy per row."""
 
 from __future__ import annotations
 
@@ -20,3 +20,12 @@ def keep(rows: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         return rows.persist()
     return rows.checkpoint()
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Use all cores for work that is heavy per row when the input came in few pieces.
+
+    A table read in enough splits is passed on as it is, without a shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)

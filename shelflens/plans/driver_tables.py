@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from shelflens.config import MAP_BASE_NAME, MAP_QUERY_NAME, SHOP_L, SHOP_W
 from shelflens.functions.text import day_text
+from shelflens.operators.keep import spread
 
 LAST_DAY = "2025-02-04"
 
@@ -20,15 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Use all cores for work that is heavy per row when the input came in few pieces.
-
-    A table read in enough splits is passed on as it is, without a shuffle.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
-
-
 def _part_name() -> Column:
     return F.concat_ws(" ", "p_brand", "p_name", "p_type", "p_size")
 

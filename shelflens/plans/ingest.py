@@ -58,8 +58,11 @@ def run_ingest(
 ) -> bool:
     """Load the landing folder of one day, both shops, in one append.
 
-    A second run of the same day replaces the first. No document, no write.
+    A second run of the same day replaces the first; for that, ``run_ts`` must lie in
+    ``day``, as it chooses the folder. No document, no write.
     """
+    if run_ts.date() != day:
+        raise ValueError(f"load time {run_ts} is not in landing day {day}")
     documents = {
         spec: scan_landing(spark, config, day, spec).unionByName(
             scan_landed(spark, config, day, spec)

@@ -11,7 +11,7 @@ from shelflens.config import EMBED_BATCH, MIN_SIMILARITY, TOP_N, JobConfig
 from shelflens.operators.decide import decide_match, keep_verified, pack_candidates, top1_match
 from shelflens.operators.embed import EmbedFunction, refresh_cache, valid_trigrams
 from shelflens.operators.history import split_catalogs
-from shelflens.operators.keep import keep
+from shelflens.operators.keep import keep, spread
 from shelflens.operators.latest import latest_per_product
 from shelflens.operators.namemap import build_name_map
 from shelflens.operators.topk import dense_topk, few_copies, sparse_topk
@@ -33,9 +33,9 @@ def trigram_search(min_similarity: float = MIN_SIMILARITY) -> Search:
     """Search on native character trigrams; finds candidates at or above the cut."""
 
     def search(queries: DataFrame, base: DataFrame, k: int, block_on: list[str]) -> DataFrame:
-        # Read several times (gram frequencies, block sizes, blocks): keep the vectors.
-        q = valid_trigrams(queries, "query_name").persist()
-        c = valid_trigrams(base, "name").persist()
+        # The names are kept; their vectors are cheaper to make again than to store.
+        q = valid_trigrams(spread(queries), "query_name")
+        c = valid_trigrams(spread(base), "name")
         return sparse_topk(q, c, k, min_similarity=min_similarity, block_on=block_on)
 
     return search

@@ -93,6 +93,10 @@ def test_rows_after_a_bad_element_stay(spark):
     ]
 
 
+def test_the_last_of_equal_keys_counts(spark):
+    assert flat(spark, SPEC_W, '{"products":[],"products":[{"name":"A","name":"B"}]}') == [("B", None)]
+
+
 def test_flatten_stays_in_the_jvm(spark):
     plan = FL.flatten(docs(spark, doc_l()), SPEC_L)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
@@ -266,3 +270,26 @@ def test_replayed_batch_adds_nothing(spark, config):
     step(batch, 7)
     step(batch, 7)
     assert tables.read_history(spark, config.history).count() == 1
+
+
+def test_stream_before_anything_has_landed(spark, config):
+    query = start_ingest(spark, config, stream="empty")
+    query.awaitTermination()
+    assert query.exception() is None
+    assert not files.path_exists(spark, config.history)
+    fill(config)
+    start_ingest(spark, config, stream="empty").awaitTermination()
+    assert tables.read_history(spark, config.history).count() == 2
+
+
+def test_stream_in_small_batches(spark, config):
+    for day in ("2025-01-30", "2025-01-31", "2025-02-01"):
+        fill(config, day)
+    start_ingest(spark, config, stream="b", files_per_batch=2, report=False).awaitTermination()
+    rows = spark.read.parquet(config.history)
+    assert rows.count() == 6 and rows.select("load_id").distinct().count() >= 3
+
+
+def test_load_time_must_lie_in_the_day(spark, config):
+    with pytest.raises(ValueError):
+        run_ingest(spark, config, DAY, dt.datetime(2025, 2, 1))
