@@ -153,3 +153,73 @@ def test_product_csv_round_trip(spark, tmp_path):
     assert sinks.preview(back, 1).count() == 1
     empty = tables.read_products_csv(spark, path).limit(0)
     assert empty.columns == ["product_name", "sale_price", "ecommerce"]
+
+
+def brute_report(rows, mapping):
+    """The report in plain Python: latest row per shop and name, then every map pair."""
+
+    def first(shop):
+        best = {}
+        for n, p, t, s in rows:
+            if s != shop or t.date() != DAY:
+                continue
+            if shop == SHOP_L:  # a missing price counts as the lowest
+                key = (-t.timestamp(), p is not None, p or 0.0)
+            else:
+                key = (-t.timestamp(), p is None, p or 0.0)
+            if n not in best or key < best[n][0]:
+                best[n] = (key, p, t)
+        return best
+
+    line, watson = first(SHOP_L), first(SHOP_W)
+    out = []
+    for no_w, _, name_w in mapping:
+        for no_l, name_l, _ in mapping:
+            if no_w == no_l and name_w in watson and name_l in line:
+                pl, pw = line[name_l][1], watson[name_w][1]
+                diff = None if pl is None or pw is None else pl - pw
+                out.append((no_w, name_w, pl, pw, diff))
+    return sorted(out, key=str)
+
+
+def test_report_agrees_with_brute_force(spark):
+    import random
+
+    for seed in range(3):
+        rng = random.Random(seed)
+        times = [T1, T2, dt.datetime(2025, 1, 31, 23, 59, 59, 999999), dt.datetime(2025, 2, 1)]
+        rows = [
+            (
+                rng.choice(["hot"] * 5 + [f"p{i}" for i in range(12)]),
+                rng.choice([None, 0.0, 1.5, 2.0, 9.0, 10.0]),
+                rng.choice(times),
+                rng.choice([SHOP_L, SHOP_W]),
+            )
+            for _ in range(300)
+        ]
+        names = ["hot"] + [f"p{i}" for i in range(14)]
+        mapping = [(rng.randrange(9), rng.choice(names), rng.choice(names)) for _ in range(15)]
+        got = report.price_report(history(spark, *rows), name_map(spark, *mapping), DAY)
+        assert sorted((tuple(r)[:5] for r in got.collect()), key=str) == brute_report(rows, mapping)
+
+
+def test_landing_to_matching_to_report(spark, tmp_path):
+    from shelflens.plans.matching import run_matching, write_name_map
+
+    config = JobConfig(str(tmp_path / "root"))
+    folder = f"{config.landing_root}/{DAY}"
+    os.makedirs(folder)
+    goods = [f"Brand {b} {kind} {size}ml" for b in "ABC" for kind in ("Night Cream", "Soap") for size in (50, 120)]
+    line = [{"name": g.upper(), "price": 100 + i} for i, g in enumerate(goods)]
+    watson = [{"name": g, "price": {"value": f"฿{100}"}} for g in reversed(goods)]
+    with open(f"{folder}/line_shopping_q_1.json", "w", encoding="utf-8") as f:
+        json.dump({"data": {"products": {"products": line}}}, f, ensure_ascii=False)
+    with open(f"{folder}/watson_q_0.json", "w", encoding="utf-8") as f:
+        json.dump({"products": watson}, f, ensure_ascii=False)
+    run_ingest(spark, config, DAY, T1)
+    assert run_matching(spark, config).count() == len(goods)
+    write_name_map(spark, config)
+    assert report.run_report(spark, config, DAY, T2) == len(goods)
+    rows = spark.read.option("header", True).csv(config.report(DAY)).collect()
+    assert {(r.product_name, float(r["diff"])) for r in rows} == {(g, float(i)) for i, g in enumerate(goods)}
+    assert sorted(int(r.product_no) for r in rows) == list(range(1, len(goods) + 1))
