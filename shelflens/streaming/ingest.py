@@ -25,18 +25,23 @@ def load_batch(config: JobConfig, stream: str, report: bool) -> Callable[[DataFr
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        newest = batch.agg(
-            F.max("modified").cast("timestamp_ntz").alias("ts")
-        ).first()["ts"]
-        if newest is None:
-            return
-        documents = {
-            spec: batch.filter(F.col("file_name").startswith(spec.prefix)).select("file", "value")
-            for spec in SPECS
-        }
-        loaded = store_load(
-            decode_sources(documents), config, newest, f"{stream}-{batch_id}"
-        )
+        # A micro-batch is read anew by each use, whole files each time: keep the text.
+        batch = batch.persist()
+        try:
+            newest = batch.agg(F.max("modified").cast("timestamp_ntz").alias("ts")).first()["ts"]
+            if newest is None:
+                return
+            documents = {
+                spec: batch.filter(F.col("file_name").startswith(spec.prefix)).select(
+                    "file", "value"
+                )
+                for spec in SPECS
+            }
+            loaded = store_load(
+                decode_sources(documents), config, newest, f"{stream}-{batch_id}"
+            )
+        finally:
+            batch.unpersist()
         if loaded and report and path_exists(spark, config.name_map):
             run_report(spark, config, newest.date(), newest)
 
