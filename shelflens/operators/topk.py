@@ -34,10 +34,10 @@ ROUNDING = 10.0**-SCORE_DIGITS
 def _copy_plan(queries: DataFrame, catalog: DataFrame, keys: list[str], block_rows: int):
     """How many blocks each side of each group has, joined to a side by the result.
 
-    The counts come from the keys alone and are kept, to be counted once. A short list of groups is broadcast: no row
-    moves for it, and groups with one side only drop out at once. Of a longer list
-    just the groups over one block matter; only if even those are too many to
-    broadcast, the rows are shuffled to the counts.
+    The counts come from the keys alone and are kept, to be counted once. A short list
+    of groups is broadcast: no row moves for it, and groups with one side only drop out
+    at once. Of a longer list just the groups over one block matter; only if even those
+    are too many to broadcast, the rows are shuffled to the counts.
     """
 
     def sizes(side: DataFrame, name: str) -> DataFrame:
