@@ -6,6 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def parse(text: Column) -> Column:
+    """JSON text as a VARIANT, NULL when it is not JSON.
+
+    Bare ``NaN`` and ``Infinity``, which many writers emit, are read as texts; a price
+    cleaned from such a text is the same number.
+    """
+    bare = r":(\s*)(NaN|-?Infinity)(?=\s*[,}\]])"
+    return F.coalesce(
+        F.try_parse_json(text), F.try_parse_json(F.regexp_replace(text, bare, ':$1"$2"'))
+    )
+
+
 def at(value: Column, path: str) -> Column:
     """The value at ``path``, or NULL when the path does not exist."""
     return F.try_variant_get(value, path, "variant")

@@ -30,7 +30,7 @@ def decode_products(documents: DataFrame, spec: SourceSpec) -> DataFrame:
     name are dropped, a price that is no number becomes NULL.
     """
     path = "$." + ".".join(spec.list_path)
-    parsed = documents.select("file", F.try_parse_json("value").alias("doc")).select(
+    parsed = documents.select("file", V.parse(F.col("value")).alias("doc")).select(
         "file", "doc", V.as_list(F.col("doc"), path).alias("products")
     )
     # The document ends here: carried on, it would be copied to each of its elements.

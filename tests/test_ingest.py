@@ -93,6 +93,14 @@ def test_rows_after_a_bad_element_stay(spark):
     ]
 
 
+def test_bare_nan_is_read(spark):
+    text = '{"products":[{"name":"A: NaN, b","price":{"value":NaN}},{"name":"B","price":{"value": -Infinity}}]}'
+    # A name that looks like a bare NaN makes the document unreadable, not wrong.
+    assert flat(spark, SPEC_W, text) == []
+    got = flat(spark, SPEC_W, text.replace("A: NaN, b", "A"))
+    assert [r[0] for r in got] == ["A", "B"] and got[0][1] != got[0][1] and got[1][1] == float("-inf")
+
+
 def test_the_last_of_equal_keys_counts(spark):
     assert flat(spark, SPEC_W, '{"products":[],"products":[{"name":"A","name":"B"}]}') == [("B", None)]
 
