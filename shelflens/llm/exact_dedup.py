@@ -50,12 +50,9 @@ def sorted_runs(docs: DataFrame, doc_id: str, text: str, runs: int) -> DataFrame
 
 
 def merge_tree(rows: DataFrame, runs: int, fan_in: int) -> DataFrame:
-    """For every run and digest: the winning id of all runs, its copies, and the group's size."""
-    entries = rows.groupBy("_run", *DIGEST, "_id").agg(F.count(F.lit(1)).alias("_copies"))
+    """For every run and digest: the winning id of all runs and the group's size."""
     levels = [
-        entries.groupBy("_run", *DIGEST).agg(
-            F.max(F.struct("_id", "_copies")).alias("_best"), F.sum("_copies").alias("_size")
-        )
+        rows.groupBy("_run", *DIGEST).agg(F.max("_id").alias("_best"), F.count(F.lit(1)).alias("_size"))
     ]
     while runs > 1:
         runs = -(-runs // fan_in)
@@ -91,9 +88,9 @@ def mark_copies(
     first = F.row_number().over(W.partitionBy("_run", *DIGEST, "_id").orderBy("_id")) == 1
     return rows.join(found, ["_run", *DIGEST]).select(
         F.col("_id").alias("doc_id"),
-        F.col("_best._id").alias("keep_id"),
+        F.col("_best").alias("keep_id"),
         F.col("_size").alias("group_size"),
-        (F.col("_id").eqNullSafe(F.col("_best._id")) & first).alias("kept"),
+        (F.col("_id").eqNullSafe(F.col("_best")) & first).alias("kept"),
         F.lower(F.hex("_sha")).alias("text_sha256"),
     )
 
@@ -108,8 +105,8 @@ def drop_copies(
     rows = sorted_runs(docs, doc_id, text, runs)
     winners = (
         merge_tree(rows, runs, fan_in)
-        .filter(F.col("_run") == run_of(F.col("_best._id"), runs))
-        .select("_run", *DIGEST, F.col("_best._id").alias("_id"))
+        .filter(F.col("_run") == run_of(F.col("_best"), runs))
+        .select("_run", *DIGEST, F.col("_best").alias("_id"))
     )
     marked = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
