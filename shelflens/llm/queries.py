@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelflens.llm import exact_dedup, mixing, url_filter
+from shelflens.llm import bpe_stream, exact_dedup, mixing, token_count, url_filter
 from shelflens.llm.common import table
 
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_stream.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -23,6 +35,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_token_counts": op2_token_counts,
+    "op3_bpe_round_trip": op3_bpe_round_trip,
     "op5_mixing": op5_mixing,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_url_filter": op10_url_filter,
