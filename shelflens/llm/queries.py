@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelflens.llm import bpe_stream, exact_dedup, mixing, token_count, url_filter
+from shelflens.llm import bpe_stream, exact_dedup, mixing, simhash, threshold_topk, token_count, url_filter
 from shelflens.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -29,6 +33,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(table(spark, sf_dir, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -37,7 +45,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_bpe_round_trip": op3_bpe_round_trip,
+    "op4_exact_topk": op4_exact_topk,
     "op5_mixing": op5_mixing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_url_filter": op10_url_filter,
 }
