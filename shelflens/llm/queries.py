@@ -5,13 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shelflens.llm import bpe_stream, exact_dedup, mixing, simhash, threshold_topk, token_count, url_filter
+from shelflens.llm import (
+    bpe_stream, exact_dedup, langid, mixing, simhash, threshold_topk, token_count, toxicity, url_filter,
+)
 from shelflens.llm.common import table
 
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -29,6 +35,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
@@ -43,10 +54,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_exact_topk": op4_exact_topk,
     "op5_mixing": op5_mixing,
+    "op6_toxicity": op6_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_url_filter": op10_url_filter,
