@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from shelflens.llm import (
-    bpe_stream, exact_dedup, langid, mixing, simhash, threshold_topk, token_count, toxicity, url_filter,
+    bpe_stream, exact_dedup, langid, mixing, repeats, simhash, threshold_topk, token_count, toxicity, url_filter,
 )
 from shelflens.llm.common import table
 
@@ -40,6 +40,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "held_out", "score", "predicted")
 
 
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,7 @@ QUERIES = {
     "op4_exact_topk": op4_exact_topk,
     "op5_mixing": op5_mixing,
     "op6_toxicity": op6_toxicity,
+    "op7_repeated_passages": op7_repeated_passages,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_url_filter": op10_url_filter,
