@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
-import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,27 +28,14 @@ def hash_order(doc_id: str = "doc_id", seed: str = "sample") -> Column:
     return F.md5(F.concat(F.lit(seed), F.col(doc_id).cast("string")))
 
 
-def batches_of(rows: Iterable[dict[str, list]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Column dictionaries as record batches; empty ones are left out."""
-    for columns in rows:
-        batch = pa.RecordBatch.from_pydict(columns, schema=schema)
-        if batch.num_rows:
-            yield batch
-
-
-def small_batches(batches: Iterable[pa.RecordBatch], text: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that column ``text`` holds at most ``most`` bytes, or one row, in each.
+def smallest_hashes(rows: DataFrame, label: str, order: str, n: int) -> DataFrame:
+    """Of each label the ``n`` rows with the smallest random keys ``order`` (see ``hash_order``).
 
-    Bounds the memory of what is computed per batch when texts are long.
+    Keys are spread evenly, so a share of them worked out from the label's count leaves about
+    ``3 * n`` rows of a label to be sorted, however many it has.
     """
-    for batch in batches:
-        column = batch.column(text)
-        lengths = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
-        start, size = 0, 0
-        for i, n in enumerate(lengths):
-            if i > start and size + n > most:
-                yield batch.slice(start, i - start)
-                start, size = i, 0
-            size += int(n)
-        if start < batch.num_rows:
-            yield batch.slice(start)
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_all"))
+    share = F.conv(F.substring(order, 1, 8), 16, 10).cast("double") / float(1 << 32)
+    near = rows.join(counts, label).filter(share * F.col("_all") < 3 * n + 50)
+    place = F.row_number().over(W.partitionBy(label).orderBy(order))
+    return near.withColumn("_n", place).filter(F.col("_n") <= n).drop("_n", "_all")

@@ -17,10 +17,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from shelflens.llm.common import hash_order, held_out, learnable
+from shelflens.llm.common import hash_order, held_out, learnable, smallest_hashes
 
 BUCKET_BITS = 15
 LENGTHS = (1, 2, 3, 4)
@@ -158,8 +157,7 @@ def fit(
     rows = docs.filter(F.col(doc_id).isNotNull() & F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(text).alias("text"), F.col(lang).alias("lang"), hash_order(doc_id, "langid").alias("_order")
     )
-    place = F.row_number().over(W.partitionBy("lang").orderBy("_order"))
-    chosen = rows.select("lang", "_order").withColumn("_n", place).filter(F.col("_n") <= per_language)
+    chosen = smallest_hashes(rows.select("lang", "_order"), "lang", "_order", per_language)
     ends = chosen.groupBy("lang").agg(F.max("_order").alias("_end")).orderBy("lang").limit(most).collect()
     labels = [r["lang"] for r in ends]
     if not labels:

@@ -24,12 +24,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 from pyspark.sql.types import (
     ArrayType, DoubleType, IntegerType, StructField, StructType,
 )
 
-from shelflens.llm.common import hash_order, held_out, learnable
+from shelflens.llm.common import hash_order, held_out, learnable, smallest_hashes
 
 #: Rows of each label that the field is fitted on at most, and bytes of a text among them.
 ROWS_PER_LABEL = 1500
@@ -263,10 +262,8 @@ def fit(
         F.col(doc_id).alias("_id"), F.octet_length(text).alias("_bytes"), hash_order(doc_id, "toxicity").alias("_order")
     )
     known = known.join(marks, "_id")
-    place = F.row_number().over(W.partitionBy("_label").orderBy("_order"))
-    chosen = (
-        known.filter(F.col("_bytes") <= most_bytes).withColumn("_n", place).filter(F.col("_n") <= per_label)
-    ).select("_id", "_label")
+    short = known.filter(F.col("_bytes") <= most_bytes)
+    chosen = smallest_hashes(short, "_label", "_order", per_label).select("_id", "_label")
     rows = (
         docs.filter(F.octet_length(text) <= most_bytes)
         .select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
