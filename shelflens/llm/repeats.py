@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,8 @@ OUTSIDE = 0xFE
 BLOCK_BYTES = 2 << 20
 #: Documents with one anchor from which on it is dealt out by its whole strings.
 MANY = 4096
+#: Bits that a hash loses where anchors are only counted; an accidental equal does no harm there.
+SHORT = np.uint64(16)
 #: Bytes of a long document that are looked at in one step.
 STEP = 1 << 20
 
@@ -59,9 +62,13 @@ def extreme(values: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(now[:n], now[width - span : width - span + n])
 
 
-def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the least piece of every string of LENGTH bytes; ties all count."""
-    places, hashes = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+def anchors(text: bytes, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and hashes of the least piece of every string of LENGTH bytes; ties all count.
+
+    With ``known``, sorted short hashes, only anchors among these, and for each the strings
+    that it is the anchor of: bit w stands for the string that starts ``SIDE - w`` bytes before.
+    """
+    places, hashes, strings = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.uint32)]
     for at in range(0, len(text) - LENGTH + 1, STEP):
         part = text[at : at + STEP + LENGTH - 1]
         raw = np.frombuffer(part + bytes(8), np.uint8)
@@ -75,10 +82,27 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
         edge = np.zeros(width - 1, np.uint64)
         # A piece is least somewhere if it equals the greatest of the minima around it.
         found = np.flatnonzero(extreme(np.concatenate([edge, least, edge]), width, np.maximum) == h)
+        if known is not None:
+            short = h[found] >> SHORT
+            found = found[known[np.minimum(np.searchsorted(known, short), len(known) - 1)] == short]
+            bits = np.zeros(len(found), np.uint32)
+            for w in range(width):
+                start = found - SIDE + w
+                own = (start >= 0) & (start < len(least))
+                own[own] = least[start[own]] == h[found[own]]
+                bits |= own.astype(np.uint32) << np.uint32(w)
+            strings.append(bits)
         places.append(found + at)
         hashes.append(h[found])
-    place, first = np.unique(np.concatenate(places), return_index=True)
-    return place, np.concatenate(hashes)[first]
+    place, first, row = np.unique(np.concatenate(places), return_index=True, return_inverse=True)
+    bits = np.zeros(len(place), np.uint32)
+    if known is not None:
+        np.bitwise_or.at(bits, row, np.concatenate(strings))
+    return place, np.concatenate(hashes)[first], bits
+
+
+def packed(*arrays: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(a.tobytes() for a in arrays))
 
 
 def documents_of(table: pa.Table) -> list[tuple[int | None, bytes]]:
@@ -92,15 +116,14 @@ def order_of(doc_id: int | None) -> int:
     return (1 << 63) - 1 if doc_id is None else doc_id
 
 
-def block_anchors(docs: list[tuple[int | None, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document numbers, places and hashes of all anchors of a block."""
-    number, place, hashed = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+def block_anchors(docs: list[tuple[int | None, bytes]], known: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Document numbers, places, hashes and strings of the anchors of a block."""
+    parts = [[np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.empty(0, np.uint32)]]
     for i, (_, text) in enumerate(docs):
-        p, h = anchors(text)
-        number.append(np.full(len(p), i))
-        place.append(p)
-        hashed.append(h)
-    return np.concatenate(number), np.concatenate(place), np.concatenate(hashed)
+        found = anchors(text, known)
+        for part, values in zip(parts, (np.full(len(found[0]), i), *found), strict=True):
+            part.append(values)
+    return tuple(np.concatenate(p) for p in parts)
 
 
 def parts_by(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -112,19 +135,32 @@ def parts_by(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(sorted_[start]), order[start:end]
 
 
+def six_bytes(short: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(short.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+
+
+def from_six(raw: bytes) -> np.ndarray:
+    whole = np.zeros((len(raw) // 6, 8), np.uint8)
+    whole[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return whole.view("<u8").ravel()
+
+
 def count_in_block(shards: int):
     """Step 1 in a block: each distinct anchor hash and in how many documents it is, up to 255."""
 
     def run(table: pa.Table) -> pa.Table:
         block = table["block"][0].as_py()
-        number, _, hashed = block_anchors(documents_of(table))
-        pairs = np.unique(np.stack([hashed, number.astype(np.uint64)], 1), axis=0) if len(hashed) else np.empty((0, 2), np.uint64)
-        once, often = np.unique(pairs[:, 0], return_counts=True)
+        number, _, hashed, _ = block_anchors(documents_of(table))
+        short = hashed >> SHORT
+        order = np.lexsort((number, short))
+        short, number = short[order], number[order]
+        fresh = np.concatenate([[True], (short[1:] != short[:-1]) | (number[1:] != number[:-1])])
+        once, often = np.unique(short[fresh[: len(short)]], return_counts=True)
         rows = [
-            (shard, block, once[at].tobytes(), np.minimum(often[at], 255).astype(np.uint8).tobytes())
+            (shard, block, len(at), packed(six_bytes(once[at]), np.minimum(often[at], 255).astype(np.uint8)))
             for shard, at in parts_by((once % np.uint64(shards)).astype(np.int64))
         ]
-        return columns(rows, ["shard", "block", "hashes", "often"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()])
+        return columns(rows, ["shard", "block", "n", "counts"], [pa.int64(), pa.int64(), pa.int64(), pa.binary()])
 
     return run
 
@@ -137,31 +173,33 @@ def columns(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa
 def repeated_in_shard(table: pa.Table) -> pa.Table:
     """Step 1 over all blocks: to each block its anchors that others have too, and which are in many."""
     blocks = table["block"].to_pylist()
-    hashes = [np.frombuffer(h, np.uint64) for h in table["hashes"].to_pylist()]
-    often = np.concatenate([np.frombuffer(o, np.uint8) for o in table["often"].to_pylist()])
+    raw = [zstandard.decompress(c) for c in table["counts"].to_pylist()]
+    sizes = table["n"].to_pylist()
+    hashes = [from_six(r[: 6 * n]) for r, n in zip(raw, sizes, strict=True)]
+    often = np.concatenate([np.frombuffer(r[6 * n :], np.uint8) for r, n in zip(raw, sizes, strict=True)])
     every, place = np.unique(np.concatenate(hashes), return_inverse=True)
     total = np.bincount(place, weights=often, minlength=len(every))
     rows = []
-    for block, own in zip(blocks, np.split(place, np.cumsum([len(h) for h in hashes])[:-1]), strict=True):
+    for block, own in zip(blocks, np.split(place, np.cumsum(sizes)[:-1]), strict=True):
         known = own[total[own] >= 2]
         if len(known):
-            rows.append((block, every[known].tobytes(), (total[known] >= MANY).astype(np.uint8).tobytes()))
+            many = (total[known] >= MANY).astype(np.uint8)
+            rows.append((block, six_bytes(every[known]).tobytes(), many.tobytes()))
     return columns(rows, ["block", "hashes", "many"], [pa.int64(), pa.binary(), pa.binary()])
 
 
-def surroundings(docs: list[tuple[int | None, bytes]], number: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """WIDE bytes around each anchor, and a bit for each string in them that lies in the document."""
+def surroundings(docs: list[tuple[int | None, bytes]], number: np.ndarray, place: np.ndarray, strings: np.ndarray) -> np.ndarray:
+    """The bytes of each anchor's strings, aligned at the anchor; all others are left out."""
     edge = bytes([OUTSIDE]) * SIDE
     wide = np.empty((len(number), WIDE), np.uint8)
-    valid = np.zeros(len(number), np.uint32)
     for i, at in parts_by(number):
-        text = docs[i][1]
-        padded = np.frombuffer(edge + text + edge, np.uint8)
+        padded = np.frombuffer(edge + docs[i][1] + edge, np.uint8)
         wide[at] = np.lib.stride_tricks.sliding_window_view(padded, WIDE)[place[at]]
-        for w in range(SIDE + 1):
-            start = place[at] - SIDE + w
-            valid[at] |= ((start >= 0) & (start + LENGTH <= len(text))).astype(np.uint32) << np.uint32(w)
-    return wide, valid
+    column = np.arange(WIDE)
+    lowest = np.log2((strings & (~strings + np.uint32(1))).astype(float)).astype(np.int64)
+    highest = np.log2(strings.astype(float)).astype(np.int64)
+    wide[(column < lowest[:, None]) | (column >= highest[:, None] + LENGTH)] = OUTSIDE
+    return wide
 
 
 def hash_of_rows(wide: np.ndarray) -> np.ndarray:
@@ -178,20 +216,17 @@ def send_surroundings(shards: int):
     """Step 2 in a block: distinct surroundings by shard, with where they occur."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["shard", "block", "wide", "key", "valid", "least", "occurs", "where"]
-        types = [pa.int64(), pa.int64(), *[pa.binary()] * 6]
+        names, types = ["shard", "block", "n", "rows", "where"], [pa.int64()] * 3 + [pa.binary()] * 2
         if not left.num_rows or not right.num_rows:
             return columns([], names, types)
         block, docs = left["block"][0].as_py(), documents_of(left)
-        number, place, hashed = block_anchors(docs)
-        known = np.frombuffer(b"".join(right["hashes"].to_pylist()), np.uint64)
+        known = from_six(b"".join(right["hashes"].to_pylist()))
         many = np.frombuffer(b"".join(right["many"].to_pylist()), np.uint8)
         order = np.argsort(known)
         known, many = known[order], many[order]
-        at = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
-        keep = known[at] == hashed
-        number, place, hashed, many = number[keep], place[keep], hashed[keep], many[at[keep]].astype(bool)
-        wide, valid = surroundings(docs, number, place)
+        number, place, hashed, valid = block_anchors(docs, known)
+        many = many[np.searchsorted(known, hashed >> SHORT)].astype(bool)
+        wide = surroundings(docs, number, place, valid)
         if many.any():
             # One row for each string around the anchor, all else left out; its own hash is its key.
             some, rest = np.flatnonzero(many), np.flatnonzero(~many)
@@ -215,14 +250,11 @@ def send_surroundings(shards: int):
         rows = []
         for shard, some in parts_by((hashed[first] % np.uint64(shards)).astype(np.int64)):
             own = np.concatenate([order[starts[r] : starts[r + 1]] for r in some])
-            spots = np.stack([number[own] * 2 + later[own], place[own]], 1).astype("<i8")
-            rows.append(
-                (
-                    shard, block, wide[first[some]].tobytes(), hashed[first[some]].tobytes(),
-                    valid[first[some]].tobytes(), least[some].tobytes(),
-                    (starts[some + 1] - starts[some]).astype("<i8").tobytes(), spots.tobytes(),
-                )
-            )
+            times = (starts[some + 1] - starts[some]).astype("<u4")
+            spots = np.stack([number[own] * 2 + later[own], place[own]], 1).astype("<u4")
+            one = first[some]
+            body = packed(wide[one], hashed[one], valid[one], least[some], times)
+            rows.append((shard, block, len(some), body, packed(spots)))
         return columns(rows, names, types)
 
     return run
@@ -272,20 +304,23 @@ def marked(wide: np.ndarray, key: np.ndarray, owner: np.ndarray) -> np.ndarray:
 def mark_in_shard(table: pa.Table) -> pa.Table:
     """Steps 3 and back: to each block the places where something is marked."""
 
-    def joined(name: str, kind) -> np.ndarray:
-        return np.frombuffer(b"".join(table[name].to_pylist()), kind)
-
-    wide, key = joined("wide", np.uint8).reshape(-1, WIDE), joined("key", np.uint64)
-    valid, least = joined("valid", np.uint32), joined("least", np.int64)
-    marks = marked(wide, key, least) & valid
+    parts = [[], [], [], [], []]
+    kinds = [(np.uint8, WIDE), (np.uint64, 1), (np.uint32, 1), (np.int64, 1), ("<u4", 1)]
+    for n, body in zip(table["n"].to_pylist(), table["rows"].to_pylist(), strict=True):
+        raw, at = zstandard.decompress(body), 0
+        for part, (kind, many) in zip(parts, kinds, strict=True):
+            part.append(np.frombuffer(raw, kind, n * many, at))
+            at += part[-1].nbytes
+    times = parts.pop()
+    wide, key, valid, least = (np.concatenate(p) for p in parts)
+    marks = marked(wide.reshape(-1, WIDE), key, least) & valid
     rows, at = [], 0
-    for block, occurs, where in zip(*(table[c].to_pylist() for c in ("block", "occurs", "where")), strict=True):
-        times = np.frombuffer(occurs, "<i8")
-        spots = np.frombuffer(where, "<i8").reshape(-1, 2)
-        own = slice(at, at + len(times))
-        at += len(times)
+    for block, occurs, where in zip(table["block"].to_pylist(), times, table["where"].to_pylist(), strict=True):
+        spots = np.frombuffer(zstandard.decompress(where), "<u4").reshape(-1, 2).astype(np.int64)
+        own = slice(at, at + len(occurs))
+        at += len(occurs)
         later = spots[:, 0] % 2 == 1
-        bits = np.where(later, np.repeat(valid[own], times), np.repeat(marks[own], times))
+        bits = np.where(later, np.repeat(valid[own], occurs), np.repeat(marks[own], occurs))
         hit = bits > 0
         if hit.any():
             rows.append((block, np.stack([spots[hit, 0] // 2, spots[hit, 1], bits[hit].astype(np.int64)], 1).tobytes()))
@@ -346,7 +381,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     block = F.pmod(F.xxhash64(F.col(doc_id)), F.lit(shards))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), block.alias("block"))
     counted = rows.groupBy("block").applyInArrow(
-        count_in_block(shards), "shard long, block long, hashes binary, often binary"
+        count_in_block(shards), "shard long, block long, n long, counts binary"
     )
     known = counted.groupBy("shard").applyInArrow(repeated_in_shard, "block long, hashes binary, many binary")
     sent = (
@@ -354,7 +389,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .cogroup(known.groupBy("block"))
         .applyInArrow(
             send_surroundings(shards),
-            "shard long, block long, wide binary, key binary, valid binary, least binary, occurs binary, where binary",
+            "shard long, block long, n long, rows binary, where binary",
         )
     )
     marks = sent.groupBy("shard").applyInArrow(mark_in_shard, "block long, marks binary")
