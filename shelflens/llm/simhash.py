@@ -33,7 +33,7 @@ PARTS = ((0, 21), (21, 21), (42, 22))
 CELL = 16_384
 STEP = 1 << 20
 #: Pairs of fingerprints after which a bucket of cells is full.
-BUCKET = 1 << 25
+BUCKET = 1 << 22
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
