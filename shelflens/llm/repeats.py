@@ -128,9 +128,11 @@ def block_anchors(docs: list[tuple[int | None, bytes]], known: np.ndarray | None
 
 def parts_by(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """The rows of each shard number that occurs."""
+    if not len(shard):
+        return
     order = np.argsort(shard, kind="stable")
     sorted_ = shard[order]
-    starts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]])) if len(shard) else []
+    starts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
     for start, end in zip(starts, [*starts[1:], len(shard)], strict=True):
         yield int(sorted_[start]), order[start:end]
 

@@ -58,15 +58,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
-    """One row per document: ``doc_id, fp`` (the 64 bits as a signed number)."""
+    """One row per document: ``doc_id, mark`` (a hash of the text), ``fp`` (64 bits as a signed number)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], np.uint64)
+            kept = [batch.column(0), batch.column(1), pa.array(found.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(kept, ["doc_id", "mark", "fp"])
 
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, StructType([rows.schema["doc_id"], StructField("fp", LongType())]))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+    schema = StructType([rows.schema["doc_id"], StructField("mark", LongType()), StructField("fp", LongType())])
+    return rows.mapInArrow(run, schema)
 
 
 def tile_of(fp: Column) -> Column:
@@ -221,6 +223,16 @@ def near_links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     return sent.groupBy("bucket").applyInArrow(compare, "a long, b long")
 
 
+def classes(docs: DataFrame, doc_id: str, text: str, shingle: int, radius: int) -> DataFrame:
+    """One row per document: ``doc_id, mark, fp, root, component_id``; ``root`` names its component."""
+    rows = keep(fingerprints(docs, doc_id, text, shingle))
+    nodes = keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    roots = stars(near_links(nodes, radius)).withColumnRenamed("node", "fp")
+    named = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rows.join(named.join(least, "root").select("fp", "root", "component_id"), "fp")
+
+
 def near_groups(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS
 ) -> DataFrame:
@@ -232,14 +244,9 @@ def near_groups(
     any other; fewer words than a shingle make one shingle. Rows that repeat stay rows; other
     columns are ignored; an empty table gives no rows.
     """
-    rows = keep(fingerprints(docs, doc_id, text, shingle))
-    nodes = keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = stars(near_links(nodes, radius)).withColumnRenamed("node", "fp")
-    named = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = named.join(least, "root").select("fp", "component_id")
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    return rows.join(classes, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
+    found = classes(docs, doc_id, text, shingle, radius)
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
 def keep_one(
@@ -247,23 +254,20 @@ def keep_one(
 ) -> DataFrame:
     """One document of each group, that of the smallest id, with all its columns.
 
-    Of rows that repeat this id the one with the smallest text stays.
+    Of rows that repeat this id in the group, the one whose text has the smallest hash stays.
     """
     kept = (
-        near_groups(docs, doc_id, text, shingle, radius)
+        classes(docs, doc_id, text, shingle, radius)
         .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("_kept"))
-        .distinct()
+        .groupBy("root")
+        .agg(F.min(F.struct(F.col("mark"), F.col("doc_id"))).alias("best"))
+        .select(F.col("best.doc_id").alias("_kept"), F.col("best.mark").alias("_kept_mark"))
     )
     held = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-        F.col(doc_id).alias("_id"),
-        F.xxhash64(F.col(text)).alias("_text"),
-    )
-    first = F.row_number().over(W.partitionBy("_id").orderBy("_text"))
-    return (
-        held.join(kept, F.col("_id").eqNullSafe(F.col("_kept")))
-        .withColumn("_n", first)
-        .filter("_n = 1")
-        .select("_row.*")
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_held"),
+        F.col(doc_id).alias("_own"),
+        F.xxhash64(text).alias("_own_mark"),
     )
+    first = F.row_number().over(W.partitionBy("_own", "_own_mark").orderBy("_own"))
+    same = F.col("_own").eqNullSafe(F.col("_kept")) & (F.col("_own_mark") == F.col("_kept_mark"))
+    return held.join(kept, same).withColumn("_n", first).filter("_n = 1").select("_held.*")
