@@ -42,14 +42,15 @@ def pack_candidates(topk: DataFrame, queries: DataFrame, base: DataFrame) -> Dat
 def decide_match(rows: DataFrame) -> DataFrame:
     """The verified candidate with its own price and score, else the best one unverified.
 
-    A query without candidates, or whose judge failed, gets the placeholder row.
+    A failed judge means no match, so the best candidate stays as an unverified row; only a
+    query without candidates gets the placeholder row.
     """
-    verified = F.col("verified_at").isNotNull()
+    failed = F.col("failed") if "failed" in rows.columns else F.lit(False)
+    verified = F.col("verified_at").isNotNull() & ~F.coalesce(failed, F.lit(False))
     picked = F.when(
         verified, F.get("candidates", F.col("verified_at") - 1)
     ).otherwise(F.get("candidates", F.lit(0)))
-    failed = F.col("failed") if "failed" in rows.columns else F.lit(False)
-    lost = failed | (F.size("candidates") == 0)
+    lost = F.size("candidates") == 0
     return rows.withColumn("_c", picked).select(
         F.col("query_name").alias(MATCH_QUERY_NAME),
         F.when(lost, MATCH_FAILED).otherwise(F.col("_c.name")).alias(MATCH_BASE_NAME),

@@ -42,12 +42,12 @@ def page_coverage(declared: DataFrame, landed: DataFrame, keys: list[str]) -> Da
     arrived = per_page.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("landed_pages"), F.sum("rows").alias("landed_rows")
     )
-    wanted = declared.select(
-        *keys,
-        F.explode(
-            F.sequence(F.col("first_page"), F.col("first_page") + F.col("total_pages") - 1)
-        ).alias("page"),
+    # An empty search declares no pages; a sequence would count down.
+    pages = F.when(
+        F.col("total_pages") > 0,
+        F.sequence(F.col("first_page"), F.col("first_page") + F.col("total_pages") - 1),
     )
+    wanted = declared.select(*keys, F.explode(pages).alias("page"))
     missing = (
         wanted.join(per_page, [*keys, "page"], "left_anti")
         .groupBy(*keys)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from shelflens.sources.tables import HISTORY_COLUMNS
+from shelflens.sources.tables import CSV_OPTIONS, HISTORY_COLUMNS
 
 MANIFEST_SCHEMA = "path string, row_count bigint, written_at timestamp_ntz"
 
@@ -36,7 +36,7 @@ def load_history(rows: DataFrame, path: str, load_id: str) -> None:
 
 
 def write_csv(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    rows.write.mode(mode).option("header", True).csv(path)
+    rows.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_clustered(rows: DataFrame, path: str, files: int | None = None) -> None:

@@ -12,6 +12,16 @@ from shelflens.config import MAP_BASE_NAME, MAP_QUERY_NAME
 HISTORY_COLUMNS = [
     "product_name", "sale_price", "ingest_timestamp_utc", "ecommerce_name", "year", "month",
 ]
+#: Options that the CSV reader and writer share.
+CSV_OPTIONS = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+#: Stands for null inside the reader only, so that quoted empty texts stay texts.
+NO_TEXT = "\u0000null\u0000"
 HISTORY_SCHEMA = (
     "product_name string, sale_price double, ingest_timestamp_utc timestamp_ntz, "
     "ecommerce_name string, year int, month int"
@@ -22,7 +32,11 @@ CACHE_SCHEMA = "text string, model string, embedding array<float>, status string
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Ordinary CSV: quotes are doubled, line breaks may stand in quotes, nothing is trimmed.
+
+    An empty field is null, a quoted empty one an empty text.
+    """
+    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=True, nullValue=NO_TEXT).csv(path)
 
 
 def read_products_csv(spark: SparkSession, path: str) -> DataFrame:

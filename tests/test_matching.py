@@ -113,7 +113,7 @@ def test_decision(spark):
     )
     assert [tuple(r) for r in decide.decide_match(rows).orderBy(F.col(f"`{MATCH_QUERY_NAME}`")).collect()] == [
         ("q1", "B", 1.0, 3.0, 0.8, True), ("q2", "A", 1.0, 2.0, 0.9, False),
-        ("q3", "Matching Failed", 1.0, 0.0, 0.0, False), ("q4", "Matching Failed", 1.0, 0.0, 0.0, False),
+        ("q3", "Matching Failed", 1.0, 0.0, 0.0, False), ("q4", "A", 1.0, 2.0, 0.9, False),
     ]
 
 
