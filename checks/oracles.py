@@ -97,7 +97,7 @@ grams AS MATERIALIZED (
 norms AS MATERIALIZED (SELECT product_name, sqrt(sum(tf * tf)) AS norm FROM grams GROUP BY ALL)"""
 
 
-def _ranked(k: int, cut: float, blocked: bool = True) -> str:
+def _ranked(k: int, cut: float = 0.0, blocked: bool = True) -> str:
     """Ranked candidates of each shop-L name among shop W's, best first."""
     block = "AND q.brand = b.brand" if blocked else ""
     return f"""
@@ -276,17 +276,26 @@ ORACLES: dict[str, str] = {
         THEN range(first_page + 1, first_page + total_pages) ELSE [] END)::INTEGER AS page
       FROM declared""",
     "page_coverage": f"""WITH {_LISTINGS},{_PAGES},
+      wanted AS (
+        SELECT ecommerce_name AS shop, query, first_page,
+               CASE WHEN query LIKE '%5' THEN 0 ELSE total_pages END AS total_pages,
+               CASE WHEN query LIKE '%5' THEN 0 ELSE total_results END AS total_results
+        FROM declared),
       landed AS (
-        SELECT d.ecommerce_name, d.query, page, count(*) AS n
-        FROM (SELECT ecommerce_name, brand AS query, l_quantity::INTEGER * l_quantity::INTEGER
-                + CASE WHEN ecommerce_name = 'line_shopping' THEN 1 ELSE 0 END AS page
-              FROM listings) JOIN declared d USING (ecommerce_name, query)
-        WHERE page < first_page + total_pages GROUP BY ALL),
-      sums AS (SELECT ecommerce_name, query, count(*) AS p, sum(n)::BIGINT AS r FROM landed
-               GROUP BY ALL)
+        SELECT ecommerce_name, query, page < total_pages AS known, page, count(*) AS n
+        FROM (SELECT ecommerce_name, query, total_pages,
+                     CASE l_orderkey % (total_pages + 1) WHEN 1 THEN 0
+                          ELSE l_orderkey % (total_pages + 1) END AS page
+              FROM listings JOIN wanted ON wanted.query = brand
+                AND wanted.shop = ecommerce_name) GROUP BY ALL),
+      sums AS (SELECT ecommerce_name, query, count(*) FILTER (known) AS p,
+                      (sum(n) FILTER (known))::BIGINT AS r, count(*) FILTER (NOT known) AS u
+               FROM landed GROUP BY ALL)
       SELECT ecommerce_name, query, total_pages, total_results, coalesce(p, 0) AS landed_pages,
-             coalesce(r, 0) AS landed_rows, total_pages - coalesce(p, 0) AS missing_pages
-      FROM declared LEFT JOIN sums USING (ecommerce_name, query)""",
+             coalesce(r, 0) AS landed_rows, total_pages - coalesce(p, 0) AS missing_pages,
+             coalesce(u, 0) AS undeclared_pages
+      FROM (SELECT * RENAME (shop AS ecommerce_name) FROM wanted)
+      LEFT JOIN sums USING (ecommerce_name, query)""",
     "vector_norm": """SELECT vec_id, round(sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]),
       lambda x: x * x))), 6) AS norm FROM embeddings""",
     "vector_validity": f"WITH {_SPOILED} SELECT vec_id, state FROM spoiled",
@@ -307,27 +316,33 @@ ORACLES: dict[str, str] = {
              CASE WHEN c.text IS NULL THEN -1 ELSE coalesce(len(c.embedding), 0) END::INTEGER
              AS dimension
       FROM (SELECT DISTINCT text FROM texts) t LEFT JOIN cache c ON c.text = t.text""",
-    "verify_payload": f"""WITH {_ranked(3, 0.8)}
+    "verify_payload": f"""WITH {_ranked(3)}
       SELECT query_name, 'Base product: ' || query_name || chr(10) || 'Candidates:' || chr(10) ||
              coalesce(array_to_string(list_transform(names, lambda p: '- ' || p), chr(10)), '') ||
              chr(10) || 'Reply with the exact candidate name, or None.' AS payload
       FROM packed""",
-    "verify_rule": f"""WITH {_ranked(3, 0.8)},{_RULE}
+    "verify_rule": f"""WITH {_ranked(3)},{_RULE}
       SELECT query_name, CASE WHEN verified_match THEN base_name ELSE 'None' END AS reply
       FROM decided""",
-    "verify_resolve": f"""WITH {_ranked(3, 0.8)}
+    "verify_resolve": f"""WITH {_ranked(3)}
       SELECT query_name,
              CASE WHEN length(query_name) % 4 = 0 AND len(names) > 1 THEN names[2] ELSE '-' END
                AS verified_name,
              CASE WHEN length(query_name) % 4 = 0 AND len(names) > 1 THEN 2 ELSE 0 END AS verified_at
       FROM packed""",
-    "match_decide": f"WITH {_ranked(3, 0.8)},{_RULE} SELECT * FROM decided",
-    "match_verified": f"""WITH {_ranked(3, 0.8)},{_RULE}
+    "match_decide": f"WITH {_ranked(3)},{_RULE} SELECT * FROM decided",
+    "match_all_rows": f"""WITH {_ranked(1)}
+      SELECT d.product_name AS query_name, d.sale_price AS price_from_line,
+             coalesce(names[1], 'N/A (Query Embedding Error)') AS base_name,
+             coalesce(scores[1], 0.0) AS similarity
+      FROM disturbed d JOIN packed ON query_name = d.product_name
+      WHERE d.ecommerce_name = 'line_shopping'""",
+    "match_verified": f"""WITH {_ranked(3)},{_RULE}
       SELECT *, {_RATIO} AS diff FROM decided WHERE similarity >= 0.8 AND verified_match""",
-    "match_ratio_min": f"""WITH {_ranked(1, 0.82)},{_TOP1},
+    "match_ratio_min": f"""WITH {_ranked(1)},{_TOP1},
       rated AS (SELECT *, {_RATIO} AS diff FROM top1 WHERE similarity >= 0.82)
       SELECT * FROM rated WHERE diff >= 1.5""",
-    "match_ratio_band": f"""WITH {_ranked(1, 0.8)},{_TOP1},
+    "match_ratio_band": f"""WITH {_ranked(1)},{_TOP1},
       rated AS (SELECT *, {_RATIO} AS diff FROM top1 WHERE similarity >= 0.8)
       SELECT * FROM rated WHERE diff < 1.5 AND diff > 0.5""",
     "match_missing_vector": f"""WITH {_SPOILED}, good AS (SELECT * FROM spoiled WHERE state = 'ok'),
@@ -340,7 +355,7 @@ ORACLES: dict[str, str] = {
                AS price_from_watson,
              coalesce(score, 0.0) AS similarity
       FROM spoiled s LEFT JOIN best ON query_id = s.vec_id WHERE s.vec_id % 2 = 0""",
-    "name_map_build": f"""WITH {_ranked(3, 0.8)},{_RULE},
+    "name_map_build": f"""WITH {_ranked(3)},{_RULE},
       pairs AS (SELECT DISTINCT query_name, base_name FROM decided
                 WHERE similarity >= 0.8 AND verified_match)
       SELECT row_number() OVER (ORDER BY {_PAIR_BUCKET}, query_name, base_name) AS product_no,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shelflens.config import (
     MATCH_BASE_NAME,
     MATCH_QUERY_NAME,
+    MIN_SIMILARITY,
     PAGE_SIZE,
     SHOP_L,
     SHOP_W,
@@ -240,20 +241,24 @@ def page_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
             for spec, rows in _declared(spark, sf_dir).items()
         ]
     )
-    # A landed product sits on a page given by its quantity; some pages stay empty.
-    quantity = F.col("l_quantity").cast("int")
+    # Brands that end in 5 declare no results at all, though their listings landed.
+    empty = F.col("query").endswith("5")
+    declared = declared.withColumn(
+        "total_pages", F.when(empty, 0).otherwise(F.col("total_pages"))
+    ).withColumn("total_results", F.when(empty, 0).otherwise(F.col("total_results")))
+    # A product lands on a page given by its order; one page more than declared is used, the
+    # second is never.
     landed = (
         D.listings(spark, sf_dir)
         .withColumnRenamed("brand", "query")
+        .join(declared.select(*keys, "total_pages", "first_page"), keys)
+        .withColumn("turn", F.col("l_orderkey") % (F.col("total_pages") + 1))
         .select(
             *keys,
-            (quantity * quantity + F.when(F.col("ecommerce_name") == SHOP_L, 1).otherwise(0)).alias(
+            (F.when(F.col("turn") == 1, 0).otherwise(F.col("turn")) + F.col("first_page")).alias(
                 "page"
             ),
         )
-        .join(declared.select(*keys, "total_pages", "first_page"), keys)
-        .filter(F.col("page") < F.col("first_page") + F.col("total_pages"))
-        .select(*keys, "page")
     )
     return paging.page_coverage(declared, landed, keys)
 
@@ -387,10 +392,8 @@ def _match_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return history.split_catalogs(D.disturbed(D.listings(spark, sf_dir)))
 
 
-def _candidates(spark: SparkSession, sf_dir: str, cut: float = 0.8) -> DataFrame:
-    return matching.ranked_candidates(
-        *_match_sides(spark, sf_dir), matching.trigram_search(cut), block_on=["brand"]
-    )
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.ranked_candidates(*_match_sides(spark, sf_dir), block_on=["brand"])
 
 
 def _brief(matches: DataFrame) -> DataFrame:
@@ -426,16 +429,24 @@ def verify_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_decide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _brief(
-        matching.match_catalogs(
-            *_match_sides(spark, sf_dir), matching.trigram_search(0.8), block_on=["brand"]
-        )
-    )
+    return _brief(matching.match_catalogs(*_match_sides(spark, sf_dir), block_on=["brand"]))
+
+
+def match_all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every listing of shop L, not one per product, with the best name of shop W."""
+    rows = matching.match_top1(*_match_sides(spark, sf_dir), block_on=["brand"], dedup=False)
+    return _brief(rows).select("query_name", "price_from_line", "base_name", "similarity")
+
+
+def _verified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``run_matching`` does: the filter's cut may go into the search under the native rule."""
+    search = matching.trigram_search(MIN_SIMILARITY)
+    matches = matching.match_catalogs(*_match_sides(spark, sf_dir), search, block_on=["brand"])
+    return decide.keep_verified(matches)
 
 
 def match_verified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matches = matching.match_catalogs(*_match_sides(spark, sf_dir), block_on=["brand"])
-    return _brief(decide.keep_verified(matches))
+    return _brief(_verified(spark, sf_dir))
 
 
 def _top1(spark: SparkSession, sf_dir: str, cut: float) -> DataFrame:
@@ -467,8 +478,7 @@ def match_missing_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def name_map_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    matches = matching.match_catalogs(*_match_sides(spark, sf_dir), block_on=["brand"])
-    return namemap.build_name_map(decide.keep_verified(matches))
+    return namemap.build_name_map(_verified(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
@@ -480,7 +490,7 @@ QUERIES: dict[str, Query] = {
         envelope_stamp, page_plan, page_coverage, vector_norm, vector_validity, cosine_topk,
         cosine_top1, cosine_topk_pivots, lsh_topk, ngram_vectors, ngram_topk,
         embedding_cache_misses, embedding_lookup, verify_payload, verify_rule, verify_resolve,
-        match_decide, match_verified, match_ratio_min, match_ratio_band, match_missing_vector,
+        match_decide, match_all_rows, match_verified, match_ratio_min, match_ratio_band, match_missing_vector,
         name_map_build,
     )
 }

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shelflens.config import EMBED_BATCH
 from shelflens.functions.text import trigram_counts
 from shelflens.functions.retry import retrying
+from shelflens.operators.keep import spread
 from shelflens.operators.vectors import FAILED, OK, cache_misses
 from shelflens.sources.tables import CACHE_SCHEMA
 
@@ -49,11 +50,10 @@ def embed_texts(
 
     A batch that raises in all ``attempts`` becomes ``failed`` rows with empty vectors,
     so that the next run does not try it again unless asked to. The texts are spread
-    over ``partitions`` tasks (one per core by default): the function, not the amount
-    of text, sets the time.
+    over ``partitions`` tasks (see ``spread`` for the default): the function, not the
+    amount of text, sets the time.
     """
     ask = retrying(embed, attempts, retry_pause)
-    partitions = partitions or misses.sparkSession.sparkContext.defaultParallelism
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -77,7 +77,7 @@ def embed_texts(
                 if pause:
                     time.sleep(pause)
 
-    return misses.select("text", "model").repartition(partitions).mapInPandas(run, CACHE_SCHEMA)
+    return spread(misses.select("text", "model"), partitions).mapInPandas(run, CACHE_SCHEMA)
 
 
 def refresh_cache(
@@ -110,12 +110,17 @@ def refresh_cache(
 
 
 def read_cache(like: DataFrame, cache_path: str) -> DataFrame:
-    """The cache; a failed row is left out once its text has an ``ok`` row.
+    """The cache, one row per text and model; a failed row is left out once there is an ``ok`` row.
 
-    Models and states are folders, so only keys and the few failed rows are compared.
+    Two runs at once may have stored a text twice; the smaller vector counts, so that every
+    reader sees the same one. Models and states are folders.
     """
     stored = like.sparkSession.read.schema(CACHE_SCHEMA).parquet(cache_path)
-    good = stored.filter(F.col("status") == OK)
+    good = (
+        stored.filter(F.col("status") == OK)
+        .groupBy("text", "model", "status")
+        .agg(F.min("embedding").alias("embedding"))
+    )
     failed = stored.filter(F.col("status") == FAILED)
     columns = ["text", "model", "embedding", "status"]
     return good.select(*columns).unionByName(

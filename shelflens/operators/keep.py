@@ -22,10 +22,15 @@ def keep(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Use all cores for work that is heavy per row when the input came in few pieces.
+def spread(rows: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal rows out evenly before work that is heavy per row.
 
-    A table read in enough splits is passed on as it is, without a shuffle.
+    The default number is the larger of the session's cores and its shuffle partitions, which
+    are set by the size of the data, so that a cluster that has just started does not
+    shrink the work. Nothing is run to find out.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+    spark = rows.sparkSession
+    if partitions is None:
+        shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(spark.sparkContext.defaultParallelism, shuffled)
+    return rows.repartition(partitions)

@@ -34,13 +34,26 @@ def page_plan(declared: DataFrame, spec: SourceSpec) -> DataFrame:
 def page_coverage(declared: DataFrame, landed: DataFrame, keys: list[str]) -> DataFrame:
     """Declared pages and results against landed ones.
 
+    ``landed_pages`` and ``landed_rows`` count what lies on declared pages; pages that landed
+    without being declared, of declared searches, are ``undeclared_pages``.
+
     ``declared`` holds the keys with ``total_pages, total_results, first_page``;
     ``landed`` one row per landed product with the keys and ``page``.
     """
     # Rows per page first: a page is bounded, so what is left is small and even.
     per_page = landed.groupBy(*keys, "page").agg(F.count(F.lit(1)).alias("rows"))
-    arrived = per_page.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("landed_pages"), F.sum("rows").alias("landed_rows")
+    known = (F.col("page") >= F.col("first_page")) & (
+        F.col("page") < F.col("first_page") + F.col("total_pages")
+    )
+    arrived = (
+        per_page.join(declared.select(*keys, "first_page", "total_pages"), keys)
+        .withColumn("known", F.coalesce(known, F.lit(False)))
+        .groupBy(*keys)
+        .agg(
+            F.count_if("known").alias("landed_pages"),
+            F.sum(F.when(F.col("known"), F.col("rows"))).alias("landed_rows"),
+            F.count_if(~F.col("known")).alias("undeclared_pages"),
+        )
     )
     # An empty search declares no pages; a sequence would count down.
     pages = F.when(
@@ -62,7 +75,7 @@ def page_coverage(declared: DataFrame, landed: DataFrame, keys: list[str]) -> Da
             "total_results",
             *[
                 F.coalesce(c, F.lit(0)).alias(c)
-                for c in ("landed_pages", "landed_rows", "missing_pages")
+                for c in ("landed_pages", "landed_rows", "missing_pages", "undeclared_pages")
             ],
         )
     )

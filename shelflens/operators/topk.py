@@ -13,6 +13,8 @@ Scores are rounded to ``SCORE_DIGITS`` and ties go to the smaller catalogue id.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -81,7 +83,9 @@ def block_pairs(
     ``kernel`` takes and returns Arrow tables; a block may be empty. Rows with a NULL
     key meet nothing.
     """
-    queries, catalog = queries.dropna(subset=keys), catalog.dropna(subset=keys)
+    # By names alone: one side may come from an earlier search over the other.
+    known = reduce(and_, (F.col(c).isNotNull() for c in keys))
+    queries, catalog = queries.filter(known), catalog.filter(known)
     planned = _copy_plan(queries, catalog, keys, block_rows)
     group = [*keys, "_qb", "_cb"]
     left = _cut(planned(queries), "_qb", "_cb", "query_id")
@@ -103,13 +107,18 @@ def best_per_query(scored: DataFrame, k: int) -> DataFrame:
 
 
 def few_copies(catalog: DataFrame, k: int, same: list[str]) -> DataFrame:
-    """At most ``k`` rows of each set of equal ``same`` columns, those of lowest id.
+    """Of each set of equal ``same`` columns the rows of the ``k`` lowest ids, each id once.
 
     Copies score alike and ties go to the lower id, so the others cannot be among the
     k best; a catalogue that is largely copies shrinks before any search.
     """
-    place = F.row_number().over(Window.partitionBy(*same).orderBy("catalog_id"))
-    return catalog.withColumn("_copy", place).filter(F.col("_copy") <= k).drop("_copy")
+    place = F.dense_rank().over(Window.partitionBy(*same).orderBy("catalog_id"))
+    return (
+        catalog.withColumn("_copy", place)
+        .filter(F.col("_copy") <= k)
+        .drop("_copy")
+        .dropDuplicates([*same, "catalog_id"])
+    )
 
 
 # ---------------------------------------------------------------- kernels
@@ -205,7 +214,7 @@ def _sparse_parts(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rows, grams.flatten().to_numpy(zero_copy_only=False), counts.astype(np.float64)
 
 
-def _sparse_kernel(k: int, cut: float, columns: int = 2048):
+def _sparse_kernel(k: int, cut: float | None, columns: int = 2048):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return _no_rows(left, right)
@@ -225,7 +234,11 @@ def _sparse_kernel(k: int, cut: float, columns: int = 2048):
                 cr, cg, ct, part, right.num_rows, exact
             ).T
         scores = _round(dots.astype(np.float64) / (q_norm[:, None] * c_norm[None, :]))
-        return _emit(left["query_id"], right["catalog_id"], scores, *_pick(scores, k, cut))
+        least = cut
+        if cut is None:
+            # Without a cut any shared gram counts, however little it scores.
+            scores[dots == 0], least = -1.0, 0.0
+        return _emit(left["query_id"], right["catalog_id"], scores, *_pick(scores, k, least))
 
     return run
 
@@ -267,7 +280,8 @@ def dense_topk(
 
     ``queries`` holds ``query_id, vector, norm``, ``catalog`` holds
     ``catalog_id, vector, norm``; all vectors are valid and of one length. Returns
-    ``query_id, rank, catalog_id, score``.
+    ``query_id, rank, catalog_id, score``. Query ids are unique; catalogue rows that repeat
+    an id and its vector count once, at any size.
 
     A catalogue whose measured size is within ``broadcast_bytes`` is broadcast and the
     queries are scored where they are, without a shuffle. A larger one is searched
@@ -301,7 +315,7 @@ def _within(catalog: DataFrame, max_bytes: int) -> pa.Table | None:
 def _broadcast_topk(
     queries: DataFrame, catalog: DataFrame, table: pa.Table, k: int, cut: float | None
 ) -> DataFrame:
-    shared = queries.sparkSession.sparkContext.broadcast(_by_id(table))
+    shared = queries.sparkSession.sparkContext.broadcast(_by_id(_unique(table)))
 
     def run(batches):
         catalog_ids = shared.value["catalog_id"].combine_chunks()
@@ -320,6 +334,16 @@ def _broadcast_topk(
     return queries.mapInArrow(run, f"query_id {q}, rank int, catalog_id {c}, score double")
 
 
+def _unique(table: pa.Table) -> pa.Table:
+    """Each id with each of its vectors once."""
+    if not table.num_rows:
+        return table
+    ids = table["catalog_id"].combine_chunks().dictionary_encode().indices
+    both = np.column_stack([ids.to_numpy(zero_copy_only=False), _matrix(table["vector"])])
+    _, first = np.unique(both, axis=0, return_index=True)
+    return table.take(pa.array(np.sort(first)))
+
+
 def _spread_out(vectors: np.ndarray, n: int) -> np.ndarray:
     """Up to ``n`` of the unit vectors, each the farthest from those before it."""
     chosen = [0]
@@ -589,25 +613,63 @@ def sparse_topk(
     catalog: DataFrame,
     k: int = 3,
     *,
-    min_similarity: float,
+    min_similarity: float | None = None,
     block_on: list[str] | None = None,
     block_rows: int = BLOCK_ROWS,
+    cuts: tuple[float, ...] = (0.8, 0.5),
 ) -> DataFrame:
-    """Exact top ``k`` among pairs with cosine >= ``min_similarity``.
+    """Exact top ``k`` by cosine, of all pairs that share a gram or reach ``min_similarity``.
 
     Sides hold an id, ``grams``, ``tf``, ``norm`` and the ``block_on`` columns, within
     whose equal values pairs are sought.
 
+    Without ``min_similarity`` the search goes down the ``cuts``: a query with ``k`` hits
+    at a cut has its result, the others are searched again at the next. The few that no
+    cut fills are scored against the whole blocks of the catalogue, each pair once.
+    """
+    if min_similarity is not None and not 0 < min_similarity <= 1:
+        raise ValueError("min_similarity must be in (0, 1]")
+    blocks = list(block_on or [])
+    order = common_grams(queries, catalog)
+    if min_similarity is not None:
+        return _at_cut(queries, catalog, k, min_similarity, order, blocks, block_rows)
+    found, pending = [], queries
+    for cut in cuts:
+        hits = keep(_at_cut(pending, catalog, k, cut, order, blocks, block_rows))
+        full = hits.filter(F.col("rank") == k).select("query_id")
+        found.append(hits.join(full, "query_id", "left_semi"))
+        pending = pending.join(full, "query_id", "left_anti")
+    # Both sides may come from one frame; under fresh columns their join is no self-join.
+    fresh = [F.col(c).alias(c) for c in blocks]
+    sides = [
+        side.select(row_id, *fresh, "grams", "tf", "norm", F.lit(0).alias("_whole"))
+        for side, row_id in ((pending, "query_id"), (catalog, "catalog_id"))
+    ]
+    schema = _score_schema(queries, catalog)
+    kernel = _sparse_kernel(k, None)
+    rest = best_per_query(block_pairs(*sides, [*blocks, "_whole"], kernel, schema, block_rows), k)
+    for part in found:
+        rest = rest.unionByName(part)
+    return rest
+
+
+def _at_cut(
+    queries: DataFrame,
+    catalog: DataFrame,
+    k: int,
+    min_similarity: float,
+    order: np.ndarray,
+    blocks: list[str],
+    block_rows: int,
+) -> DataFrame:
+    """Exact top ``k`` among pairs with cosine >= ``min_similarity``.
+
     All grams are put in one order, rarest first. If two vectors reach the cut, they
     share a gram in both their *prefixes*: the fewest first grams whose remainder has
     a norm below the cut times the full norm, since a remainder that short cannot
     make up the missing product. So rows meet on rare grams only. Any order is
     correct; frequencies of grams beyond the bounded list just count as zero.
     """
-    if not 0 < min_similarity <= 1:
-        raise ValueError("min_similarity must be in (0, 1]")
-    blocks = list(block_on or [])
-    order = common_grams(queries, catalog)
     by_gram = np.argsort(order, kind="stable")
     shared = queries.sparkSession.sparkContext.broadcast((order[by_gram], by_gram))
     cut = min_similarity - 2 * ROUNDING

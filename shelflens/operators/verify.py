@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shelflens.functions.retry import retrying
 from shelflens.functions.text import bullet_list, number_tokens, tokens, unicode_trim
+from shelflens.operators.keep import spread
 
 MIN_JACCARD = 0.8
 NO_MATCH = "None"
@@ -72,8 +73,7 @@ def judge_reply(
                                failed=failed)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores).mapInPandas(run, f"{fields}, reply string, failed boolean")
+    return spread(rows).mapInPandas(run, f"{fields}, reply string, failed boolean")
 
 
 def resolve_reply(

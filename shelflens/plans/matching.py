@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelflens.config import EMBED_BATCH, MIN_SIMILARITY, TOP_N, JobConfig
@@ -14,7 +14,7 @@ from shelflens.operators.history import split_catalogs
 from shelflens.operators.keep import keep, spread
 from shelflens.operators.latest import latest_per_product
 from shelflens.operators.namemap import build_name_map
-from shelflens.operators.topk import dense_topk, few_copies, sparse_topk
+from shelflens.operators.topk import dense_topk, sparse_topk
 from shelflens.operators.vectors import cache_lookup, require_vectors, valid_vectors
 from shelflens.operators.verify import (
     Judge,
@@ -29,8 +29,12 @@ from shelflens.sources.tables import read_history
 Search = Callable[[DataFrame, DataFrame, int, list[str]], DataFrame]
 
 
-def trigram_search(min_similarity: float = MIN_SIMILARITY) -> Search:
-    """Search on native character trigrams; finds candidates at or above the cut."""
+def trigram_search(min_similarity: float | None = None) -> Search:
+    """Search on native character trigrams: the best names that share any.
+
+    With ``min_similarity`` it finds only candidates at or above it and is cheaper; for
+    use where a later filter drops the others anyway.
+    """
 
     def search(queries: DataFrame, base: DataFrame, k: int, block_on: list[str]) -> DataFrame:
         # The names are kept; their vectors are cheaper to make again than to store.
@@ -75,44 +79,48 @@ def embedding_search(
 
 def _sides(
     query_df: DataFrame, base_df: DataFrame, dedup: bool, block_on: list[str], k: int
-) -> tuple[DataFrame, DataFrame]:
-    """Both catalogues with ids; the product name is the id once names are unique.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What is searched for, all query rows, and the catalogue.
+
+    A query's id is its product name and block: equal names have equal candidates, so
+    each is searched for once, and every row of that id gets the result. Without
+    ``dedup`` the ``k`` cheapest listings of a catalogue name are its candidates.
 
-    The sides are read for the search and again for names and prices, so they are kept:
-    one short row per product, however long its history is. Both are one job.
+    The searched sides are read several times, so they are kept: one short row per
+    product, however long its history is. Both are one job.
     """
+    keys = ["product_name", *block_on]
 
-    def prepare(rows: DataFrame, is_query: bool) -> DataFrame:
+    def prepare(rows: DataFrame) -> DataFrame:
         rows = rows.filter(F.col("product_name").isNotNull() & (F.col("product_name") != ""))
         if dedup:
-            rows = latest_per_product(rows, ("product_name", *block_on))
-            keys = ["product_name", *block_on]
-        else:
-            # Rows that agree in everything are one row for every purpose here.
-            keys = rows.columns
+            rows = latest_per_product(rows, tuple(keys))
         texts = [F.coalesce(F.col(c).cast("string"), F.lit("\u0002")) for c in keys]
-        sides = rows.select(
-            F.lit(is_query).alias("is_query"),
+        return rows.select(
             F.concat_ws("\u0001", *texts).alias("id"),
             F.col("product_name").alias("name"),
             F.col("sale_price").alias("price"),
             *block_on,
         )
-        return sides if dedup else sides.distinct()
 
-    base = prepare(base_df, False)
+    queries, base = prepare(query_df), prepare(base_df)
+    asked = queries
     if not dedup:
-        named = base.withColumnRenamed("id", "catalog_id")
-        base = few_copies(named, k, ["name", *block_on]).withColumnRenamed("catalog_id", "id")
-    both = keep(prepare(query_df, True).unionByName(base))
-    queries = both.filter(F.col("is_query")).drop("is_query")
-    base = both.filter(~F.col("is_query")).drop("is_query")
-    return (
-        queries.withColumnsRenamed(
-            {"id": "query_id", "name": "query_name", "price": "query_price"}
-        ),
-        base.withColumnRenamed("id", "catalog_id"),
+        asked = queries.dropDuplicates(["id"])
+        cheapest = Window.partitionBy("id").orderBy(F.col("price").asc_nulls_last())
+        base = base.withColumn("_copy", F.row_number().over(cheapest))
+        base = base.filter(F.col("_copy") <= k).withColumn(
+            "id", F.concat_ws("\u0001", "id", F.lpad(F.col("_copy").cast("string"), 10, "0"))
+        ).drop("_copy")
+    both = keep(
+        asked.withColumn("is_query", F.lit(True)).unionByName(
+            base.withColumn("is_query", F.lit(False))
+        )
     )
+    names = {"id": "query_id", "name": "query_name", "price": "query_price"}
+    asked = both.filter(F.col("is_query")).drop("is_query").withColumnsRenamed(names)
+    base = both.filter(~F.col("is_query")).drop("is_query").withColumnRenamed("id", "catalog_id")
+    return asked, asked if dedup else queries.withColumnsRenamed(names), base
 
 
 def ranked_candidates(
@@ -124,10 +132,13 @@ def ranked_candidates(
     block_on: list[str] | None = None,
     dedup: bool = True,
 ) -> DataFrame:
-    """Each query product with its ranked candidates from the base catalogue."""
+    """Each query product with its ranked candidates from the base catalogue.
+
+    Without ``dedup`` it is one row per query listing instead, equal ones included.
+    """
     blocks = list(block_on or [])
-    queries, base = _sides(query_df, base_df, dedup, blocks, top_n)
-    topk = (search or trigram_search())(queries, base, top_n, blocks)
+    asked, queries, base = _sides(query_df, base_df, dedup, blocks, top_n)
+    topk = (search or trigram_search())(asked, base, top_n, blocks)
     return pack_candidates(topk, queries.drop(*blocks), base)
 
 
@@ -143,7 +154,8 @@ def match_catalogs(
     attempts: int = 3,
     pause: float = 5.0,
 ) -> DataFrame:
-    """One match row per query product, verified or not; see ``keep_verified``."""
+    """One match row per query product (per listing without ``dedup``), verified or not;
+    see ``keep_verified``."""
     rows = ranked_candidates(
         query_df, base_df, search, top_n=top_n, block_on=block_on, dedup=dedup
     )
@@ -164,8 +176,8 @@ def match_top1(
 ) -> DataFrame:
     """The best base product of each query product, without verification."""
     blocks = list(block_on or [])
-    queries, base = _sides(query_df, base_df, dedup, blocks, 1)
-    topk = (search or trigram_search())(queries, base, 1, blocks)
+    asked, queries, base = _sides(query_df, base_df, dedup, blocks, 1)
+    topk = (search or trigram_search())(asked, base, 1, blocks)
     return top1_match(topk, queries.drop(*blocks), base)
 
 
@@ -178,8 +190,12 @@ def run_matching(
 ) -> DataFrame:
     """Match the two shops of the whole history and write the result to the cache area.
 
-    Returns the stored result; ``write_name_map`` turns it into the report's map.
+    Returns the stored result; ``write_name_map`` turns it into the report's map. The
+    native rule accepts the best name it can, so names below the filter need no search;
+    a judge is shown all.
     """
+    if search is None and judge is None:
+        search = trigram_search(min_similarity)
     queries, base = split_catalogs(read_history(spark, config.history, config.table_format))
     result = keep_verified(match_catalogs(queries, base, search, judge), min_similarity)
     result.write.mode("overwrite").parquet(config.match_result)

@@ -17,6 +17,6 @@ def test_csv_reads_doubled_quotes(spark, tmp_path):
 
 def test_empty_search_misses_no_pages(spark):
     declared = spark.createDataFrame([("a", 0, 0, 1), ("b", 2, 5, 1)], "k string, total_pages int, total_results int, first_page int")
-    landed = spark.createDataFrame([("b", 1)], "k string, page int")
-    got = {r.k: r.missing_pages for r in page_coverage(declared, landed, ["k"]).collect()}
-    assert got == {"a": 0, "b": 1}
+    landed = spark.createDataFrame([("b", 1), ("b", 9), ("b", 9), ("a", 1)], "k string, page int")
+    got = {r.k: (r.missing_pages, r.landed_pages, r.landed_rows, r.undeclared_pages) for r in page_coverage(declared, landed, ["k"]).collect()}
+    assert got == {"a": (0, 0, 0, 1), "b": (1, 1, 1, 1)}

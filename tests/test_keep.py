@@ -25,7 +25,19 @@ def test_without_a_shared_folder_rows_are_cached(spark, monkeypatch):
     kept.unpersist()
 
 
-def test_spread_shuffles_only_few_pieces(spark):
-    few, many = spark.range(100, numPartitions=1), spark.range(100, numPartitions=64)
+def test_spread_runs_nothing_and_never_shrinks_below_the_session(spark):
+    few = spark.range(100, numPartitions=1)
     assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(many) is many
+    assert spread(few, 3).rdd.getNumPartitions() == 3
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        assert spread(few).rdd.getNumPartitions() == 64
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("spread", "spread")
+    try:
+        spread(few.join(spark.range(50), "id").groupBy("id").count())
+        assert not tracker.getJobIdsForGroup("spread")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

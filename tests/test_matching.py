@@ -170,6 +170,9 @@ def test_full_match_with_trigrams(spark):
     assert many.filter(F.col(f"`{MATCH_QUERY_NAME}`") == "CREAM A 50ml").count() == 2
     names = [r.names for r in matching.ranked_candidates(line, watson, dedup=False).collect() if r.query_name == "CREAM A 50ml"]
     assert all(n[:2] == ["Cream A 50ml"] * 2 for n in names)
+    # Listings equal in everything are still one row each.
+    twice = matching.match_top1(line.unionByName(line), watson, dedup=False)
+    assert twice.filter(F.col(f"`{MATCH_QUERY_NAME}`") == "CREAM A 50ml").count() == 4
 
 
 def test_full_match_with_embeddings_and_a_judge(spark, tmp_path):

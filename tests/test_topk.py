@@ -1,3 +1,6 @@
+import math
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -167,11 +170,49 @@ def test_sparse_search_agrees_with_brute_force(spark, cut, blocked, block_rows):
     assert got(df) == want
 
 
-def test_sparse_search_needs_a_cut(spark):
+def test_sparse_search_refuses_an_empty_cut(spark):
     with pytest.raises(ValueError):
         T.sparse_topk(None, None, 3, min_similarity=0.0)
 
 
+def test_sparse_search_without_a_cut_finds_all_that_share_a_gram(spark):
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcd"), 12)) for _ in range(60)]
+    asked, known = [*words[:25], "abcdxyz", "zzzz"], [*words[20:], "xyz", "abcd"]
+
+    def side(names, row_id):
+        rows = spark.createDataFrame([(n,) for n in names], "product_name string")
+        return trigram_vectors(rows).withColumnRenamed("product_name", row_id)
+
+    got = T.sparse_topk(side(asked, "query_id"), side(known, "catalog_id"), 3, block_rows=16)
+
+    def grams(text):
+        return Counter(text[i : i + 3] for i in range(len(text) - 2))
+
+    want = set()
+    for q in asked:
+        scored = []
+        for c in known:
+            a, b = grams(q), grams(c)
+            dot = sum(a[g] * b[g] for g in a)
+            if dot:
+                norm = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+                scored.append((-round(dot / norm, 6), c))
+        want |= {(q, i, c) for i, (_, c) in enumerate(sorted(scored)[:3], 1)}
+    assert {(r.query_id, r["rank"], r.catalog_id) for r in got.collect()} == want
+
+
+def test_repeated_catalogue_rows_count_once_at_any_size(spark):
+    v = [[1.0, 0.0], [1.0, 0.0], [0.9, 0.1], [0.5, 0.5]]
+    catalog = spark.createDataFrame(
+        [(i, x, math.hypot(*x)) for i, x in zip([1, 1, 2, 3], v)] * 2, "catalog_id long, vector array<double>, norm double"
+    )
+    queries = spark.createDataFrame([(7, [1.0, 0.0], 1.0)], "query_id long, vector array<double>, norm double")
+    for limit in (T.BROADCAST_BYTES, 0):
+        rows = T.dense_topk(queries, catalog, 3, broadcast_bytes=limit).orderBy("rank").collect()
+        assert [(r["rank"], r.catalog_id) for r in rows] == [(1, 1), (2, 2), (3, 3)]
+
+
 def test_no_search_plans_a_cross_join(spark, clustered):
     q, c = clustered
     qs, cs = frame(spark, q, "query_id"), frame(spark, c, "catalog_id")
