@@ -268,8 +268,11 @@ ORACLES: dict[str, str] = {
              || strftime(ts, '%Y%m%d_%H%M%S') || '_' || event_id || '.json' AS object_name,
              strftime(ts, '%Y-%m-%d') AS ingest_date, 'line_shopping' AS ecommerce_name,
              stamp AS ingest_timestamp_utc,
-             substr(props, 1, length(props) - 1) || ',"ingest_timestamp_utc":"' || stamp ||
-             '","ecommerce_name":"line_shopping"}' AS value
+             CASE event_id % 21 WHEN 0 THEN '-' WHEN 7 THEN '[' || props || ']'
+               WHEN 14 THEN '<html>' || props || '</html>'
+               ELSE substr(props, 1, length(props) - 1) || ',"ingest_timestamp_utc":"' || stamp ||
+                    '","ecommerce_name":"line_shopping"}' END AS value,
+             CASE WHEN event_id % 7 = 0 THEN 'body is no object' ELSE '-' END AS reason
       FROM s""",
     "page_plan": f"""WITH {_LISTINGS},{_PAGES}
       SELECT ecommerce_name, query, unnest(CASE WHEN total_pages > 1

@@ -174,8 +174,15 @@ def falsy_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def envelope_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh response is no object: a list, an error page, or nothing."""
+    i, props = F.col("event_id"), F.col("props")
+    body = (
+        F.when(i % 21 == 7, F.concat(F.lit("["), props, F.lit("]")))
+        .when(i % 21 == 14, F.concat(F.lit("<html>"), props, F.lit("</html>")))
+        .when(i % 21 != 0, props)
+    )
     responses = D.table(spark, sf_dir, "events").select(
-        "event_id", "ts", "event_type", "user_id", F.col("props").alias("body")
+        "event_id", "ts", "event_type", "user_id", body.alias("body")
     )
     stamped = stamp_envelopes(
         responses,
@@ -185,7 +192,8 @@ def envelope_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
         fetched_at=F.col("ts"),
     )
     return stamped.select(
-        "event_id", "object_name", "ingest_date", "ecommerce_name", "ingest_timestamp_utc", "value"
+        "event_id", "object_name", "ingest_date", "ecommerce_name", "ingest_timestamp_utc",
+        F.coalesce("value", F.lit("-")).alias("value"), F.coalesce("reason", F.lit("-")).alias("reason"),
     )
 
 

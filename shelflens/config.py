@@ -75,7 +75,7 @@ SPECS = (SPEC_L, SPEC_W)
 
 @dataclass(frozen=True)
 class JobConfig:
-    """Locations below one storage root."""
+    """Locations below one storage root; the history is kept in a file format of Spark's."""
 
     root: str
     table_format: str = "parquet"
@@ -99,6 +99,10 @@ class JobConfig:
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
 
+    @property
+    def set_aside(self) -> str:
+        return f"{self.root}/set_aside"
+
     @property
     def name_map(self) -> str:
         return f"{self.root}/base_product_name"

@@ -22,30 +22,35 @@ def _list_reason(doc: Column, products: Column, path: tuple[str, ...]) -> Column
     return reason.when(V.at(doc, "$." + ".".join(path)).isNotNull(), F.lit("not a list"))
 
 
-def decode_products(documents: DataFrame, spec: SourceSpec) -> DataFrame:
+def decode_products(
+    documents: DataFrame, spec: SourceSpec, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """One row per list element and per rejected document.
 
     Columns ``file, pos, reason, product_name, sale_price``: ``reason`` is NULL for
     product rows; ``pos`` is NULL for whole-document rejects. Elements without a
-    name are dropped, a price that is no number becomes NULL.
+    name are dropped, a price that is no number becomes NULL. The document's columns
+    named in ``carry`` go along.
     """
     path = "$." + ".".join(spec.list_path)
-    parsed = documents.select("file", V.parse(F.col("value")).alias("doc")).select(
-        "file", "doc", V.as_list(F.col("doc"), path).alias("products")
+    parsed = documents.select("file", *carry, V.parse(F.col("value")).alias("doc")).select(
+        "file", *carry, "doc", V.as_list(F.col("doc"), path).alias("products")
     )
     # The document ends here: carried on, it would be copied to each of its elements.
     judged = parsed.select(
         "file",
+        *carry,
         "products",
         _list_reason(F.col("doc"), F.col("products"), spec.list_path).alias("doc_reason"),
     )
     elements = judged.select(
-        "file", "doc_reason", F.posexplode_outer("products").alias("pos", "product")
+        "file", *carry, "doc_reason", F.posexplode_outer("products").alias("pos", "product")
     ).filter(F.col("pos").isNotNull() | F.col("doc_reason").isNotNull())
 
     product = F.col("product")
     picked = elements.select(
         "file",
+        *carry,
         "pos",
         F.when(F.col("pos").isNull(), F.col("doc_reason"))
         .when(~V.is_object(product), F.lit("product is no object"))
@@ -56,13 +61,14 @@ def decode_products(documents: DataFrame, spec: SourceSpec) -> DataFrame:
     named = picked.filter(F.col("reason").isNotNull() | V.is_truthy(F.col("name")))
     texts = named.select(
         "file",
+        *carry,
         "pos",
         "reason",
         V.as_text(F.col("name")).alias("product_name"),
         clean_price_text(V.as_text(F.col("price"))).alias("price_text"),
     )
     return texts.select(
-        "file", "pos", "reason", "product_name",
+        "file", *carry, "pos", "reason", "product_name",
         python_float(F.col("price_text")).alias("sale_price"),
     )
 

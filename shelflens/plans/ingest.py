@@ -4,39 +4,42 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelflens.config import SPECS, JobConfig
 from shelflens.operators.flatten import decode_products
 from shelflens.operators.history import history_rows, union_sources
+from shelflens.sources.files import remove_matches
 from shelflens.sources.landing import scan_landed, scan_landing
-from shelflens.sources.sinks import load_history
+from shelflens.sources.sinks import load_folders, load_history
 
 
-def decode_sources(by_spec: dict) -> DataFrame:
+def decode_sources(by_spec: dict, carry: tuple[str, ...] = ()) -> DataFrame:
     """All shops' documents decoded, with ``ecommerce_name``; ``by_spec`` maps a source
-    spec to its documents."""
+    spec to its documents, whose columns ``carry`` go along."""
     return union_sources(
         [
-            decode_products(docs, spec).withColumn("ecommerce_name", F.lit(spec.name))
+            decode_products(docs, spec, carry).withColumn("ecommerce_name", F.lit(spec.name))
             for spec, docs in by_spec.items()
         ]
     )
 
 
-def history_build(decoded: DataFrame, load_ts: dt.datetime) -> DataFrame:
+def history_build(decoded: DataFrame, load_ts: dt.datetime | Column) -> DataFrame:
     """Decoded product rows of all shops as history rows of one load."""
     return history_rows(
         decoded.filter(F.col("reason").isNull()), F.col("ecommerce_name"), load_ts
     )
 
 
-def store_load(decoded: DataFrame, config: JobConfig, load_ts: dt.datetime, load_id: str) -> bool:
-    """Write one load's history rows and rejects; False when there was no product.
+def store_load(
+    decoded: DataFrame, config: JobConfig, load_ts: dt.datetime | Column, load_id: str
+) -> list[dt.datetime]:
+    """Write one load's history rows and rejects; the newest load time of each day stored.
 
     The documents are decoded once for both outputs. Writing the same load again
-    replaces it.
+    replaces it, also with nothing: a load without products leaves no rows.
     """
     decoded = decoded.persist()
     try:
@@ -45,10 +48,17 @@ def store_load(decoded: DataFrame, config: JobConfig, load_ts: dt.datetime, load
             f"{config.quarantine}/load_id={load_id}"
         )
         rows = history_build(decoded, load_ts)
-        if rows.isEmpty():
-            return False
-        load_history(rows, config.history, load_id)
-        return True
+        loads = (
+            rows.groupBy(F.to_date("ingest_timestamp_utc").alias("day"))
+            .agg(F.max("ingest_timestamp_utc").alias("ts"))
+            .orderBy("day")
+            .collect()
+        )
+        if loads:
+            load_history(rows, config.history, load_id, config.table_format)
+        else:
+            remove_matches(decoded.sparkSession, load_folders(config.history, load_id))
+        return [r["ts"] for r in loads]
     finally:
         decoded.unpersist()
 
@@ -59,7 +69,8 @@ def run_ingest(
     """Load the landing folder of one day, both shops, in one append.
 
     A second run of the same day replaces the first; for that, ``run_ts`` must lie in
-    ``day``, as it chooses the folder. No document, no write.
+    ``day``, as it chooses the folder. Without products nothing is written, and what an
+    earlier run of the day wrote goes.
     """
     if run_ts.date() != day:
         raise ValueError(f"load time {run_ts} is not in landing day {day}")
@@ -69,4 +80,4 @@ def run_ingest(
         )
         for spec in SPECS
     }
-    return store_load(decode_sources(documents), config, run_ts, f"day-{day:%Y-%m-%d}")
+    return bool(store_load(decode_sources(documents), config, run_ts, f"day-{day:%Y-%m-%d}"))

@@ -23,6 +23,13 @@ def glob_matches(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def remove_matches(spark: SparkSession, pattern: str) -> None:
+    """Delete the folders that match, if any."""
+    fs, p = _path(spark, pattern)
+    for found in fs.globStatus(p) or []:
+        fs.delete(found.getPath(), True)
+
+
 def table_exists(spark: SparkSession, table: str) -> bool:
     """A catalogue table by name, or a dataset by path."""
     if "/" in table:

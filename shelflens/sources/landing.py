@@ -7,12 +7,13 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelflens.config import JobConfig, SourceSpec
+from shelflens.config import SPECS, JobConfig, SourceSpec
 from shelflens.functions import text as TX
 from shelflens.sources.files import glob_matches
 
 LANDING_SCHEMA = "file string, value string"
 LANDED_SCHEMA = "object_name string, value string"
+NOT_AN_OBJECT = "body is no object"
 
 
 def scan_landing(
@@ -38,9 +39,13 @@ def stamp_envelopes(
     """Stamp raw response bodies with their load time, shop label and object name.
 
     ``shop``, ``query``, ``page`` and ``fetched_at`` are columns; ``body`` is a JSON
-    object text. The two stamps are added as the last top-level keys.
+    object text. The two stamps are added as the last top-level keys. A body that is no
+    object (a list, an error page, NULL) is kept as it is, with a ``reason``, which is
+    NULL otherwise.
     """
-    inner = F.regexp_extract(F.col(body), r"(?s)^\s*\{(.*)\}\s*$", 1)
+    shape = r"(?s)^\s*\{(.*)\}\s*$"
+    inner = F.regexp_extract(F.col(body), shape, 1)
+    whole = F.coalesce(F.col(body).rlike(shape), F.lit(False))
     stamps = F.concat(
         F.lit('"ingest_timestamp_utc":"'),
         TX.iso_utc(fetched_at),
@@ -53,9 +58,15 @@ def stamp_envelopes(
         shop.alias("ecommerce_name"),
         TX.iso_utc(fetched_at).alias("ingest_timestamp_utc"),
         TX.object_name(shop, query, fetched_at, page).alias("object_name"),
-        F.concat(
-            F.lit("{"), inner, F.when(F.trim(inner) == "", "").otherwise(","), stamps, F.lit("}")
-        ).alias("value"),
+        F.when(
+            whole,
+            F.concat(
+                F.lit("{"), inner, F.when(F.trim(inner) == "", "").otherwise(","), stamps, F.lit("}")
+            ),
+        )
+        .otherwise(F.col(body))
+        .alias("value"),
+        F.when(~whole, F.lit(NOT_AN_OBJECT)).alias("reason"),
     )
 
 
@@ -63,14 +74,16 @@ def land_envelopes(envelopes: DataFrame, config: JobConfig) -> None:
     """Append stamped envelopes as JSON lines, partitioned by day and shop.
 
     Many documents per file: a day of single-document objects is a listing problem
-    long before it is a volume problem.
+    long before it is a volume problem. What has a ``reason`` is set aside under it.
     """
-    (
-        envelopes.select("object_name", "value", "ingest_date", "ecommerce_name")
-        .write.mode("append")
-        .partitionBy("ingest_date", "ecommerce_name")
-        .json(config.landed_root)
-    )
+    folders = ["ingest_date", "ecommerce_name"]
+    good = F.col("reason").isNull()
+    envelopes.filter(good).select("object_name", "value", *folders).write.mode(
+        "append"
+    ).partitionBy(*folders).json(config.landed_root)
+    envelopes.filter(~good).select("object_name", "value", "reason", *folders).write.mode(
+        "append"
+    ).partitionBy(*folders).json(config.set_aside)
 
 
 def scan_landed(
@@ -88,16 +101,38 @@ def scan_landed(
 def stream_landing(
     spark: SparkSession, config: JobConfig, files_per_batch: int | None = None
 ) -> DataFrame:
-    """The landing folders of all days as a file stream, each file once."""
-    reader = spark.readStream
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(f"{config.landing_root}/*/", wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_modification_time").alias("modified"),
+    """Both landing areas, all days, as a file stream, each file once.
+
+    Columns ``file, shop, day, modified, value``: shop and day are read off the folder
+    and the file's name; a folder that names no day leaves ``day`` NULL.
+    """
+
+    def reader():
+        stream = spark.readStream
+        return stream.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else stream
+
+    path, leaf = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+    modified = F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("modified")
+
+    def day(folder: str):
+        return F.try_to_date(F.regexp_extract(path, folder + r"(\d{4}-\d{2}-\d{2})/", 1)).alias("day")
+
+    single = reader().text(f"{config.landing_root}/*/", wholetext=True).select(
+        path.alias("file"),
+        F.coalesce(*[F.when(leaf.startswith(s.prefix), s.name) for s in SPECS]).alias("shop"),
+        day("/pre_landing/"),
+        modified,
+        "value",
+    )
+    folder = F.regexp_extract(path, r"/ecommerce_name=([^/]*)/", 1)
+    many = reader().schema(LANDED_SCHEMA).json(f"{config.landed_root}/ingest_date=*/*/").select(
+        F.col("object_name").alias("file"),
+        F.coalesce(*[F.when(folder == s.envelope_name, s.name) for s in SPECS]).alias("shop"),
+        day("/ingest_date="),
+        modified,
         "value",
     )
+    return single.unionByName(many)
 
 
 def landing_inventory(documents: DataFrame, specs: list[SourceSpec]) -> DataFrame:

@@ -19,19 +19,24 @@ def append_history(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
     ).save(path)
 
 
-def load_history(rows: DataFrame, path: str, load_id: str) -> None:
-    """Write one load; writing the same ``load_id`` again replaces it.
+def load_folders(path: str, load_id: str) -> str:
+    """Where ``load_history`` keeps one load."""
+    return f"{path}/year=*/month=*/load_id={load_id}"
+
+
+def load_history(rows: DataFrame, path: str, load_id: str, fmt: str = "parquet") -> None:
+    """Write one load, clustered by load time; the same ``load_id`` again replaces it.
 
     A retried or repeated load overwrites only its own folders. Do not mix with
     ``append_history`` in one table: the folder depths differ.
     """
     (
-        rows.select(*HISTORY_COLUMNS, F.lit(load_id).alias("load_id"))
-        .hint("rebalance")  # files of even size, however many tasks read the landing area
-        .write.mode("overwrite")
+        clustered(rows.select(*HISTORY_COLUMNS, F.lit(load_id).alias("load_id")))
+        .write.format(fmt)
+        .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month", "load_id")
-        .parquet(path)
+        .save(path)
     )
 
 
@@ -39,19 +44,23 @@ def write_csv(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
     rows.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
-def write_clustered(rows: DataFrame, path: str, files: int | None = None) -> None:
-    """Copy history rows clustered by load time, so that file min/max ranges prune.
+def clustered(rows: DataFrame, files: int | None = None) -> DataFrame:
+    """History rows in ranges of load time, so that file min/max ranges prune.
 
-    The further sort columns only split one load time over several files: all rows
-    of a load carry the same time.
+    The further sort columns only split one load time over several files: many rows
+    of a load carry the same time. Small ranges are merged when the job runs, so files
+    have an even size, however many tasks read the landing area.
     """
     keys = ["ingest_timestamp_utc", "ecommerce_name", "product_name", "sale_price"]
     ranged = (
         rows.repartitionByRange(files, *keys) if files else rows.repartitionByRange(*keys)
     )
-    ranged.sortWithinPartitions(*keys).write.mode("errorifexists").partitionBy(
-        "year", "month"
-    ).parquet(path)
+    return ranged.sortWithinPartitions(*keys)
+
+
+def write_clustered(rows: DataFrame, path: str, files: int | None = None) -> None:
+    """Copy history rows clustered by load time."""
+    clustered(rows, files).write.mode("errorifexists").partitionBy("year", "month").parquet(path)
 
 
 def write_report(

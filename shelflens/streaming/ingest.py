@@ -1,10 +1,10 @@
-"""File stream: every landed file is loaded once, then the touched day is reported."""
+"""File stream: every landed file is loaded once, then the touched days are reported."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,12 +15,20 @@ from shelflens.sources.files import path_exists
 from shelflens.sources.landing import stream_landing
 
 
+def load_time(modified: Column, day: Column) -> Column:
+    """``modified``, or the end of ``day`` that is nearest to it; ``day`` may be NULL."""
+    start = day.cast("timestamp_ntz")
+    end = start + F.expr("interval '0 23:59:59.999999' day to second")
+    return F.when(day.isNull(), modified).otherwise(F.least(F.greatest(modified, start), end))
+
+
 def load_batch(config: JobConfig, stream: str, report: bool) -> Callable[[DataFrame, int], None]:
     """The work on one micro-batch.
 
-    The load time is the newest file time of the batch and the load is named by the
-    batch number: a batch that is retried after a failure writes the same rows to the
-    same place.
+    A document's load time is its file's time, moved into the day of its landing folder
+    if it lies outside, so that a late file counts for the day it was landed for, as in
+    batch. The load is named by the batch number: a batch that is retried after a failure
+    writes the same rows to the same place. Every day with new rows is reported.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -28,22 +36,20 @@ def load_batch(config: JobConfig, stream: str, report: bool) -> Callable[[DataFr
         # A micro-batch is read anew by each use, whole files each time: keep the text.
         batch = batch.persist()
         try:
-            newest = batch.agg(F.max("modified").cast("timestamp_ntz").alias("ts")).first()["ts"]
-            if newest is None:
+            if batch.isEmpty():
                 return
+            dated = batch.withColumn("load_ts", load_time(F.col("modified"), F.col("day")))
             documents = {
-                spec: batch.filter(F.col("file_name").startswith(spec.prefix)).select(
-                    "file", "value"
-                )
+                spec: dated.filter(F.col("shop") == spec.name).select("file", "load_ts", "value")
                 for spec in SPECS
             }
-            loaded = store_load(
-                decode_sources(documents), config, newest, f"{stream}-{batch_id}"
-            )
+            decoded = decode_sources(documents, carry=("load_ts",))
+            loads = store_load(decoded, config, F.col("load_ts"), f"{stream}-{batch_id}")
         finally:
             batch.unpersist()
-        if loaded and report and path_exists(spark, config.name_map):
-            run_report(spark, config, newest.date(), newest)
+        if loads and report and path_exists(spark, config.name_map):
+            for newest in loads:
+                run_report(spark, config, newest.date(), newest)
 
     return run
 

@@ -221,7 +221,7 @@ def test_page_coverage(spark):
     )
     landed = spark.createDataFrame([("a", 0), ("a", 0), ("a", 2)], "query string, page int")
     got = {tuple(r) for r in paging.page_coverage(declared, landed, ["query"]).collect()}
-    assert got == {("a", 3, 520, 2, 3, 1), ("b", 1, 5, 0, 0, 1)}
+    assert got == {("a", 3, 520, 2, 3, 1, 0), ("b", 1, 5, 0, 0, 1, 0)}
 
 
 def test_clustered_copy_has_disjoint_files(spark, tmp_path):
@@ -271,8 +271,8 @@ def test_replayed_batch_adds_nothing(spark, config):
     from shelflens.streaming.ingest import load_batch
 
     batch = spark.createDataFrame(
-        [("x/watson_1.json", "watson_1.json", RUN, doc_w({"name": "A", "price": {"value": 1}}))],
-        "file string, file_name string, modified timestamp_ntz, value string",
+        [("x/watson_1.json", SHOP_W, DAY, RUN, doc_w({"name": "A", "price": {"value": 1}}))],
+        "file string, shop string, day date, modified timestamp_ntz, value string",
     )
     step = load_batch(config, "s", report=False)
     step(batch, 7)
@@ -301,3 +301,66 @@ def test_stream_in_small_batches(spark, config):
 def test_load_time_must_lie_in_the_day(spark, config):
     with pytest.raises(ValueError):
         run_ingest(spark, config, DAY, dt.datetime(2025, 2, 1))
+
+
+def land(spark, config, spec, day, *bodies):
+    ts = dt.datetime.fromisoformat(f"{day}T02:00:00")
+    rows = spark.createDataFrame(
+        [(n, ts, b) for n, b in enumerate(bodies)], "page int, ts timestamp_ntz, body string"
+    )
+    stamped = landing.stamp_envelopes(
+        rows, shop=F.lit(spec.envelope_name), query=F.lit("q"), page=F.col("page"), fetched_at=F.col("ts")
+    )
+    landing.land_envelopes(stamped, config)
+
+
+def test_batch_and_stream_agree(spark, tmp_path):
+    """Two days in both landing layouts, loaded long after."""
+    days = [dt.date(2025, 1, 31), dt.date(2025, 2, 1)]
+    batch, stream = JobConfig(str(tmp_path / "batch"), "orc"), JobConfig(str(tmp_path / "stream"), "orc")
+    for config in (batch, stream):
+        for day in days:
+            fill(config, day.isoformat())
+            land(spark, config, SPEC_L, day, doc_l({"name": f"L {day}", "price": 3}), "[1, 2]")
+            land(spark, config, SPEC_W, day, doc_w({"name": "ครีม A", "price": {"value": 4}}))
+        names = [(1, "ครีม A", "ครีม A")]
+        sinks.write_csv(spark.createDataFrame(names, tables.NAME_MAP_SCHEMA), config.name_map)
+    for day in days:
+        end = dt.datetime.combine(day, dt.time(23, 59, 59, 999999))
+        assert run_ingest(spark, batch, day, end)
+    start_ingest(spark, stream, stream="s").awaitTermination()
+    got = [sorted(map(tuple, tables.read_history(spark, c.history, "orc").collect())) for c in (batch, stream)]
+    assert len(got[0]) == 8 and got[0] == got[1]
+    for day in days:
+        assert spark.read.option("header", True).csv(stream.report(day)).count() == 1
+
+
+def test_bodies_that_are_no_objects_are_set_aside(spark, config):
+    land(spark, config, SPEC_W, DAY, doc_w({"name": "A", "price": {"value": 1}}), "[1,2]", "<html>", None, "")
+    assert landing.scan_landed(spark, config, DAY, SPEC_W).count() == 1
+    aside = spark.read.json(config.set_aside)
+    assert {r.reason for r in aside.collect()} == {landing.NOT_AN_OBJECT}
+    assert sorted(map(str, (r.value for r in aside.collect()))) == ["", "<html>", "None", "[1,2]"]
+
+
+def test_an_emptied_load_leaves_no_rows(spark, config):
+    fill(config, "2025-02-01")
+    run_ingest(spark, config, dt.date(2025, 2, 1), dt.datetime(2025, 2, 1, 1, 0))
+    put(config, DAY, "watson_a_0.json", doc_w({"name": "A", "price": {"value": 9}}))
+    assert run_ingest(spark, config, DAY, RUN)
+    assert tables.read_history(spark, config.history).count() == 3
+    put(config, DAY, "watson_a_0.json", doc_w())
+    assert not run_ingest(spark, config, DAY, RUN)
+    assert tables.read_history(spark, config.history).count() == 2
+
+
+def test_days_outside_the_file_time(spark):
+    from shelflens.streaming.ingest import load_time
+
+    rows = spark.createDataFrame(
+        [(RUN, None), (RUN, DAY), (RUN, dt.date(2025, 1, 30)), (RUN, dt.date(2025, 2, 1))],
+        "modified timestamp_ntz, day date",
+    )
+    got = [r[0] for r in rows.select(load_time(F.col("modified"), F.col("day"))).collect()]
+    last = dt.datetime(2025, 1, 30, 23, 59, 59, 999999)
+    assert got == [RUN, RUN, last, dt.datetime(2025, 2, 1)]
