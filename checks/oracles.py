@@ -31,6 +31,12 @@ name_map AS (
   SELECT min(p_partkey) AS product_no, product_name FROM parts GROUP BY product_name)"""
 
 
+def _awkward(name: str, turn: str) -> str:
+    return f"""CASE {turn} % 8 WHEN 0 THEN '  ' || {name} WHEN 1 THEN {name} || ' '
+      WHEN 2 THEN '5" pack, ' || {name} WHEN 3 THEN '"' || {name} || '"'
+      WHEN 4 THEN {name} || chr(10) || 'refill \\' WHEN 5 THEN '' WHEN 6 THEN '(none)' ELSE {name} END"""
+
+
 def _latest_l(source: str) -> str:
     return f"""SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY product_name
@@ -259,6 +265,14 @@ ORACLES: dict[str, str] = {
     "price_clean": f"SELECT event_id, {_PRICE_TEXTS} AS price FROM events",
     "falsy_coalesce": """SELECT event_id, CASE event_id % 11 WHEN 7 THEN 0.0 WHEN 8 THEN 3.5
       WHEN 9 THEN 4.5 ELSE value END AS price FROM events""",
+    "products_csv": f"""WITH {_LISTINGS}
+      SELECT {_awkward("product_name", "l_orderkey")} AS product_name, sale_price,
+             CASE WHEN ecommerce_name = 'watson' THEN 'watson' ELSE 'line' END AS ecommerce
+      FROM listings""",
+    "name_map_csv": f"""WITH {_LISTINGS},{_MAP}
+      SELECT product_no, {_awkward("product_name", "product_no")} AS query_name,
+             product_name AS base_name
+      FROM name_map""",
     "envelope_stamp": """WITH s AS (
         SELECT *, strftime(ts, '%Y-%m-%dT%H:%M:%S') ||
           CASE WHEN strftime(ts, '%f') = '000000' THEN '' ELSE '.' || strftime(ts, '%f') END

@@ -5,10 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelflens.config import (
+    MAP_BASE_NAME,
+    MAP_QUERY_NAME,
     MATCH_BASE_NAME,
     MATCH_QUERY_NAME,
     MIN_SIMILARITY,
@@ -31,7 +33,8 @@ from shelflens.plans import driver_tables as D
 from shelflens.plans import matching, report
 from shelflens.plans.ingest import decode_sources, history_build
 from shelflens.sources.landing import landing_inventory, stamp_envelopes
-from shelflens.sources.tables import HISTORY_COLUMNS, history_for_day
+from shelflens.sources.tables import HISTORY_COLUMNS, NAME_MAP_SCHEMA, PRODUCTS_SCHEMA
+from shelflens.sources.tables import csv_records, history_for_day, parse_records
 
 DAY = dt.date.fromisoformat(D.LAST_DAY)
 LOAD_TS = dt.datetime(2025, 1, 31, 1, 0, 5, 123456)
@@ -132,6 +135,37 @@ def product_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.union_sources(parts)
 
 
+def _awkward(name: str, turn: str) -> Column:
+    """Names with what a careless CSV loses: outer blanks, quotes, commas, line breaks, nothing."""
+    n, kind = F.col(name), F.col(turn) % 8
+    return (
+        F.when(kind == 0, F.concat(F.lit("  "), n))
+        .when(kind == 1, F.concat(n, F.lit(" ")))
+        .when(kind == 2, F.concat(F.lit('5" pack, '), n))
+        .when(kind == 3, F.concat(F.lit('"'), n, F.lit('"')))
+        .when(kind == 4, F.concat(n, F.lit("\nrefill \\")))
+        .when(kind == 5, F.lit(""))
+        .when(kind != 6, n)
+    )
+
+
+def products_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = D.listings(spark, sf_dir).withColumn("product_name", _awkward("product_name", "l_orderkey"))
+    labelled = [history.product_rows(history.of_shop(rows, s.name), s.name) for s in SPECS]
+    back = parse_records(csv_records(history.union_sources(labelled)), PRODUCTS_SCHEMA)
+    return back.withColumn("product_name", F.coalesce("product_name", F.lit("(none)")))
+
+
+def name_map_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = D.name_map(spark, sf_dir).withColumn(MAP_QUERY_NAME, _awkward(MAP_QUERY_NAME, "product_no"))
+    back = parse_records(csv_records(rows), NAME_MAP_SCHEMA)
+    return back.select(
+        "product_no",
+        F.coalesce(MAP_QUERY_NAME, F.lit("(none)")).alias("query_name"),
+        F.col(MAP_BASE_NAME).alias("base_name"),
+    )
+
+
 def price_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     text, kind = F.col("value").cast("string"), F.col("event_id") % 12
     thai = F.translate(text, "0123456789", "๐๑๒๓๔๕๖๗๘๙")
@@ -494,7 +528,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         price_report, history_scan, report_day_filter, catalog_split, latest_cheapest,
         latest_per_product, map_join, step_counts, distinct_names, landing_scan, flatten_shop_l,
-        flatten_shop_w, json_quarantine, product_rows, price_clean, falsy_coalesce,
+        flatten_shop_w, json_quarantine, product_rows, products_csv, name_map_csv, price_clean, falsy_coalesce,
         envelope_stamp, page_plan, page_coverage, vector_norm, vector_validity, cosine_topk,
         cosine_top1, cosine_topk_pivots, lsh_topk, ngram_vectors, ngram_topk,
         embedding_cache_misses, embedding_lookup, verify_payload, verify_rule, verify_resolve,

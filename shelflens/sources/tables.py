@@ -22,6 +22,7 @@ CSV_OPTIONS = {
 }
 #: Stands for null inside the reader only, so that quoted empty texts stay texts.
 NO_TEXT = "\u0000null\u0000"
+READ_OPTIONS = {**CSV_OPTIONS, "multiLine": True, "nullValue": NO_TEXT}
 HISTORY_SCHEMA = (
     "product_name string, sale_price double, ingest_timestamp_utc timestamp_ntz, "
     "ecommerce_name string, year int, month int"
@@ -36,7 +37,18 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
     An empty field is null, a quoted empty one an empty text.
     """
-    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=True, nullValue=NO_TEXT).csv(path)
+    return spark.read.schema(schema).options(**READ_OPTIONS).csv(path)
+
+
+def csv_records(rows: DataFrame) -> DataFrame:
+    """The CSV text of each row ``(record)``, as the writer would put it into a file."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    return rows.select(F.to_csv(whole, CSV_OPTIONS).alias("record"))
+
+
+def parse_records(records: DataFrame, schema: str) -> DataFrame:
+    """Rows of CSV texts ``record``, as the reader would take them from a file."""
+    return records.select(F.from_csv("record", schema, READ_OPTIONS).alias("row")).select("row.*")
 
 
 def read_products_csv(spark: SparkSession, path: str) -> DataFrame:
