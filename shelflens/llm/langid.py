@@ -157,7 +157,7 @@ def fit(
     rows = docs.filter(F.col(doc_id).isNotNull() & F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(text).alias("text"), F.col(lang).alias("lang"), hash_order(doc_id, "langid").alias("_order")
     )
-    chosen = smallest_hashes(rows.select("lang", "_order"), "lang", "_order", per_language)
+    chosen = smallest_hashes(rows.select("lang", "_order"), "lang", "_order", per_language, most)
     ends = chosen.groupBy("lang").agg(F.max("_order").alias("_end")).orderBy("lang").limit(most).collect()
     labels = [r["lang"] for r in ends]
     if not labels:

@@ -245,3 +245,15 @@ def test_learned_operators_hold_out(spark):
     judged = toxicity.judge(docs, labels).join(labels, "doc_id").filter("held_out")
     clean, toxic = (judged.filter(F.col("toxic") == t).agg(F.avg("predicted")).first()[0] for t in (0, 1))
     assert clean < 0.05 and toxic > 0.5
+
+
+def test_sample_shuffles_few_rows_of_a_label(spark):
+    from shelflens.llm.common import hash_order, smallest_hashes
+
+    lang = F.when(F.col("id") % 10 == 0, "de").otherwise("en")
+    rows = spark.range(20_000).select(lang.alias("lang"), hash_order("id").alias("_order"))
+    chosen = smallest_hashes(rows, "lang", "_order", 100)
+    want = sorted(x for name in ("de", "en") for x in sorted(r._order for r in rows.collect() if r.lang == name)[:100])
+    assert sorted(r._order for r in chosen.collect()) == want
+    plan = chosen._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
