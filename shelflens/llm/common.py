@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -11,6 +14,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path below ``spark.checkpoint.dir``, which a cluster's executors share.
+
+    Where that is unset, as in tests, it lies in this machine's temporary folder.
+    """
+    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Whether a document is kept away from training: crc32 of its id as text, modulo 4, is 2.
 

@@ -57,4 +57,42 @@ FROM placed""",
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op12_filter_audit": """
+WITH RECURSIVE texts AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+masks AS (
+    SELECT doc_id, part,
+           CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+           + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+           + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) THEN 4 ELSE 0 END
+           + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+           + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS mask
+    FROM texts),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+counts AS (
+    SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+    FROM masks LEFT JOIN marks USING (doc_id) GROUP BY part, mask),
+letters AS (SELECT substr('ABCDE', i, 1) AS letter, 1 << (i - 1) AS bit FROM range(1, 6) r(i)),
+orders AS (
+    SELECT '' AS filter_order, 0 AS before
+    UNION ALL
+    SELECT filter_order || letter, before | bit FROM orders JOIN letters ON before & bit = 0),
+steps AS (
+    SELECT filter_order, k AS step, bit,
+           (SELECT coalesce(sum(b.bit), 0) FROM letters b WHERE contains(substr(filter_order, 1, k - 1), b.letter))::INT AS before
+    FROM orders, range(1, 6) s(k), letters WHERE length(filter_order) = 5 AND letter = substr(filter_order, k, 1)),
+summed AS (
+    SELECT part, filter_order, step, bit,
+           coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0) AS kept,
+           coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS removed,
+           coalesce(sum(n) FILTER (mask & before > 0 AND mask & bit > 0), 0) AS redundant,
+           coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+           coalesce(sum(n_good) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS good_lost,
+           coalesce(sum(n_toxic) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS toxic_lost
+    FROM counts, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM summed""",
 }

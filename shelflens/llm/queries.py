@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelflens.llm import (
-    bpe_stream, exact_dedup, langid, mixing, repeats, simhash, threshold_topk, token_count, toxicity, url_filter,
+    bpe_stream, exact_dedup, filter_audit, langid, mixing, periodic_runs, repeats, simhash, threshold_topk,
+    token_count, token_shards, toxicity, url_filter,
 )
-from shelflens.llm.common import table
+from shelflens.llm.common import shared_folder, table
 
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -57,6 +59,58 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    folder = shared_folder(spark, "token_shards")
+    token_shards.write_shards(docs, VOCABULARY, folder)
+    stored = token_shards.read_ids(docs, folder).join(token_shards.shard_starts(spark, folder), "shard")
+    return stored.select(
+        "doc_id",
+        (F.col("start") + F.col("offset")).alias("start"),
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` with the repeats that op13's contract puts into every tenth document."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0))
+    chosen = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("w"), F.floor(h / 10).alias("g"))
+    n = F.size("w")
+    a = (F.col("g") % n).cast("int")
+    p = F.floor((n - F.col("a")) / (3 + F.col("g") % 8)).cast("int") + 1
+    times = F.ceil((n - F.col("a")) / F.col("p")).cast("int")
+    repeated = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), times))
+    whole = F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(repeated, F.lit(1), n - F.col("a")))
+    numbered = chosen.withColumn("a", F.when(n > 0, a)).withColumn("p", F.when(n > 0, p))
+    return numbered.select("doc_id", F.when(n > 0, F.array_join(whole, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(planted(table(spark, sf_dir, "documents")))
+    # The greatest length, of equals the smallest start, then period.
+    best = F.array_max(
+        F.transform("runs", lambda r: F.struct(r.length, (-r.start).alias("start"), (-r.period).alias("period")))
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    text = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select("doc_id", "collapsed", best.alias("best"), F.size("runs").alias("n"), text.alias("lines")).select(
+        "doc_id",
+        F.col("n").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.floor(F.col("best.length") * 1000 / -F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_token_counts": op2_token_counts,
@@ -68,4 +122,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_token_shards": op11_token_shards,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_periodic_runs": op13_periodic_runs,
 }
