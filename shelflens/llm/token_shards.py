@@ -4,9 +4,10 @@ File format, two Parquet tables below one folder (Parquet because every store th
 to takes it, with Spark's commit protocol; the ids in it are raw bytes):
 
 ``shards``  a row per shard: its number, numbers of rows and ids, ``ids`` (all its documents' ids
-            one after the other, unsigned 32-bit little-endian), ``offsets`` (64-bit, one more
-            than rows: where each document's ids begin) and ``entries`` (for each key its hashes,
-            first row and number of rows in the shard, from which the index is made)
+            one after the other, unsigned little-endian, ``width`` bytes each: 2 where the
+            vocabulary allows, else 4), ``offsets`` (64-bit, one more than rows: where each
+            document's ids begin) and ``entries`` (for each key its hashes, first row and number
+            of rows in the shard, from which the index is made)
 ``index``   a row per bucket of keys: a minimal perfect hash function of the bucket's keys, and
             for each of its slots a 32-bit fingerprint and the places (shard, row, rows)
 
@@ -34,8 +35,10 @@ from pyspark.sql.types import StructField
 from shelflens.llm import bpe, bpe_stream
 
 #: Ids that close a shard (its last document may go beyond), and documents that do.
-SHARD_IDS = 1 << 23
+SHARD_IDS = 1 << 20
 SHARD_ROWS = 1 << 20
+#: A shard's number is its part's (a range of the documents' ids) and these bits for its place there.
+PART_BITS = 24
 #: Keys of an index bucket, about.
 BUCKET_KEYS = 4096
 #: Bits of a level of the hash function for each key that it is offered.
@@ -132,6 +135,7 @@ class Encoder:
     def __init__(self, content: bytes):
         self.coder = bpe_stream.coder_for(content)
         vocab = self.coder.vocab
+        self.dtype = "<u2" if vocab.size <= 1 << 16 else "<u4"
         made = dict(zip(vocab.byte_ids, range(256), strict=True))
         ranks = {vocab.text_of[i]: i for i in [*made, *vocab.made]}
         if vocab.made != sorted(vocab.made) or min(vocab.made, default=256) <= max(vocab.byte_ids):
@@ -142,11 +146,11 @@ class Encoder:
 
     def __call__(self, text: str) -> np.ndarray:
         if not self.LONG.search(text):
-            return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4")
+            return self.fast.encode_to_numpy(text, allowed_special="all").astype(self.dtype)
         parts = [w for s in bpe_stream.stretches(self.coder, text) for w, _ in s]
         if len(self.coder) > bpe_stream.REMEMBERED:
             self.coder.clear()
-        return np.array([int(i) for w in parts for i in w.split(",")], "<u4")
+        return np.array([int(i) for w in parts for i in w.split(",")], self.dtype)
 
 
 _encoders: dict[bytes, Encoder] = {}
@@ -163,7 +167,7 @@ def encoder_for(content: bytes) -> Encoder:
 
 ENTRY = pa.struct([("h1", pa.int64()), ("h2", pa.int64()), ("row", pa.int32()), ("rows", pa.int32())])
 SHARDS = (
-    "shard long, n_rows int, n_ids long, ids binary, offsets binary, "
+    "shard long, n_rows int, n_ids long, width int, ids binary, offsets binary, "
     "entries array<struct<h1:long,h2:long,row:int,rows:int>>"
 )
 
@@ -193,11 +197,12 @@ class _Open:
                 pa.array([number], pa.int64()),
                 pa.array([len(h1)], pa.int32()),
                 pa.array([self.size], pa.int64()),
+                pa.array([self.ids[0].itemsize], pa.int32()),
                 pa.array([np.concatenate(self.ids).tobytes()], pa.binary()),
                 pa.array([np.array(self.ends, "<i8").tobytes()], pa.binary()),
                 pa.ListArray.from_arrays(pa.array([0, len(first)], pa.int32()), entries),
             ],
-            ["shard", "n_rows", "n_ids", "ids", "offsets", "entries"],
+            ["shard", "n_rows", "n_ids", "width", "ids", "offsets", "entries"],
         )
 
 
@@ -222,8 +227,8 @@ def write_shards(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder_for(file.value)
-        number, shard = TaskContext.get().partitionId() << 24, _Open()
-        end = np.array([end_id], "<u4")
+        number, shard = TaskContext.get().partitionId() << PART_BITS, _Open()
+        end = np.array([end_id], encode.dtype)
         for batch in batches:
             h1, h2 = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             for i, value in enumerate(batch.column(0)):
@@ -358,7 +363,7 @@ def read_ids(keys: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
     """
     spark = keys.sparkSession
     places = locate(keys, folder, key)
-    shards = spark.read.schema(SHARDS).parquet(f"{folder}/shards").select("shard", "ids", "offsets")
+    shards = spark.read.schema(SHARDS).parquet(f"{folder}/shards").select("shard", "width", "ids", "offsets")
     id_type = pa_type(places.schema["doc_id"])
 
     def run(wanted: pa.Table, shard: pa.Table) -> pa.Table:
@@ -370,7 +375,8 @@ def read_ids(keys: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
         ends = np.frombuffer(shard["offsets"][0].as_py(), "<i8")
         row, rows = wanted["row"].to_numpy(), wanted["rows"].to_numpy().astype(np.int64)
         each = np.repeat(row - (np.cumsum(rows) - rows), rows) + np.arange(rows.sum())
-        ids = [data[4 * ends[i] : 4 * ends[i + 1]].tobytes() for i in each.tolist()]
+        stored = np.frombuffer(data, f"<u{shard['width'][0].as_py()}")
+        ids = [stored[ends[i] : ends[i + 1]].astype("<u4").tobytes() for i in each.tolist()]
         return pa.table(
             {
                 "doc_id": wanted["doc_id"].take(pa.array(np.repeat(np.arange(len(row)), rows))),
@@ -389,7 +395,18 @@ def read_ids(keys: DataFrame, folder: str, key: str = "doc_id") -> DataFrame:
 
 
 def shard_starts(spark: SparkSession, folder: str) -> DataFrame:
-    """``shard, start``: ids before each shard. One row per shard of 32 MB of ids, in one task."""
+    """``shard, start``: ids before each shard.
+
+    Sums run inside each part of the shards; what meets in one task is a row per part.
+    """
     shards = spark.read.schema(SHARDS).parquet(f"{folder}/shards").select("shard", "n_ids")
-    before = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
-    return shards.select("shard", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("start"))
+    shards = shards.withColumn("_part", F.shiftright("shard", PART_BITS))
+    before = W.rowsBetween(W.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("n_ids").over(before.partitionBy("_part").orderBy("shard")), F.lit(0))
+    parts = shards.groupBy("_part").agg(F.sum("n_ids").alias("_all"))
+    earlier = F.coalesce(F.sum("_all").over(before.orderBy("_part")), F.lit(0))
+    return (
+        shards.withColumn("_inside", inside)
+        .join(parts.select("_part", earlier.alias("_earlier")), "_part")
+        .select("shard", (F.col("_earlier") + F.col("_inside")).alias("start"))
+    )
