@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from shelflens.operators.keep import keep
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -44,11 +46,13 @@ def smallest_hashes(rows: DataFrame, label: str, order: str, n: int, labels: int
     """Of each label the ``n`` rows with the smallest random keys ``order`` (see ``hash_order``).
 
     Keys are spread evenly, so a share of them worked out from the label's count leaves about
-    ``3 * n`` rows of a label to be shuffled and sorted, however many it has. The first
-    ``labels`` labels by name take part; their counts, so bounded, are broadcast, because a
-    join that shuffled would bring all rows of a label into one task.
+    ``3 * n`` rows of a label to be shuffled and sorted, however many it has. The counts are
+    broadcast, because a join that shuffled would bring all rows of a label into one task.
+    More than ``labels`` labels raise an error: no label is left out.
     """
-    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_all")).orderBy(label).limit(labels)
+    counts = keep(rows.groupBy(label).agg(F.count(F.lit(1)).alias("_all")))
+    if (found := counts.count()) > labels:
+        raise ValueError(f"{found} different labels, {labels} are the most that a classifier is fitted on")
     share = F.conv(F.substring(order, 1, 8), 16, 10).cast("double") / float(1 << 32)
     near = rows.join(F.broadcast(counts), label).filter(share * F.col("_all") < 3 * n + 50)
     place = F.row_number().over(W.partitionBy(label).orderBy(order))

@@ -63,6 +63,55 @@ def bucket_bits(rows: int) -> int:
     return min(20, max(8, (rows // BUCKET_ROWS).bit_length()))
 
 
+def _sized(docs: DataFrame, doc_id: str, text: str, source: str, *more: Column) -> DataFrame:
+    """What the mix needs of each row. Rows without an id get their keys from their texts."""
+    id_text, no_id = F.col(doc_id).cast("string"), F.concat(F.lit("text:"), F.col(text))
+    return docs.select(
+        F.col(doc_id).alias("doc_id"),
+        F.col(source).isNull().alias("_none"),
+        F.coalesce(F.col(source), F.lit("")).alias("_source"),
+        word_count(F.col(text)).alias("size"),
+        F.md5(F.coalesce(id_text, no_id, F.lit(""))).alias("_key"),
+        F.xxhash64(F.col(text)).alias("_tie"),
+        *more,
+    )
+
+
+def _bucketed(rows: DataFrame, bits: int) -> DataFrame:
+    top = F.conv(F.substring("_key", 1, 8), 16, 10).cast("long")
+    return rows.withColumn("_bucket", F.shiftright(top, 32 - bits).cast("int"))
+
+
+def _cuts(rows: DataFrame, weights: tuple[int, ...], share: float, most: int) -> tuple[int, DataFrame]:
+    """Bits of a bucket's number, and per bucket what its source's target leaves for it."""
+    bits = bucket_bits(rows.count())
+    buckets = _bucketed(rows, bits).groupBy("_none", "_source", "_bucket").agg(F.sum("size").alias("_words"))
+    sums = buckets.groupBy("_none", "_source").agg(F.sum("_words").alias("source_size"))
+    targets = source_targets(sums, weights, share, most)
+    budget = F.floor("target")
+    earlier = W.partitionBy("_none", "_source").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    return bits, (
+        buckets.withColumn("_before", F.coalesce(F.sum("_words").over(earlier), F.lit(0)))
+        .join(targets, ["_none", "_source"])
+        .withColumn("passes", F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0))
+        .withColumn("_rest", budget - F.col("passes") * F.col("source_size"))
+        .drop("_words")
+    )
+
+
+def _taken(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+    """``rows`` with ``passes`` and ``part``: whole times that each is taken, and words beyond."""
+    keys = ["_none", "_source", "_bucket"]
+    order = W.partitionBy(*keys).orderBy("_key", "doc_id", "size", "_tie")
+    running = F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0))
+    room = F.col("_rest") - F.col("_before") - (F.col("_running") - F.col("size"))
+    return (
+        rows.withColumn("_running", running)
+        .join(cuts, keys)
+        .withColumn("part", F.greatest(F.lit(0), F.least("size", room)).cast("long"))
+    )
+
+
 def mix(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -78,54 +127,20 @@ def mix(
     ``passes`` whole times; what then is left of the source's target is taken from documents
     in random order, whole ones until the cut and ``part`` words of the one that the cut runs
     through. ``taken = passes * size + part`` adds up to the whole part of the target. A null
-    source is a source of its own; rows that repeat an id are taken one by one; rows without
-    an id share one key and come in order of size. A source without words has target 0. Other
+    source is a source of its own; rows that repeat an id are taken one by one; the order of
+    rows without an id comes from their texts. A source without words has target 0. Other
     columns are ignored, an empty table gives no rows.
     """
-    key = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
-    rows = keep(
-        docs.select(
-            F.col(doc_id).alias("doc_id"),
-            F.col(source).isNull().alias("_none"),
-            F.coalesce(F.col(source), F.lit("")).alias("_source"),
-            word_count(F.col(text)).alias("size"),
-            key.alias("_key"),
-        )
-    )
-    bits = bucket_bits(rows.count())
-    top = F.conv(F.substring("_key", 1, 8), 16, 10).cast("long")
-    rows = rows.withColumn("_bucket", F.shiftright(top, 32 - bits).cast("int"))
-    buckets = rows.groupBy("_none", "_source", "_bucket").agg(F.sum("size").alias("_words"))
-    sums = buckets.groupBy("_none", "_source").agg(F.sum("_words").alias("source_size"))
-    targets = source_targets(sums, weights, share, most)
-    budget = F.floor("target")
-    earlier = W.partitionBy("_none", "_source").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    cuts = (
-        buckets.withColumn("_before", F.coalesce(F.sum("_words").over(earlier), F.lit(0)))
-        .join(targets, ["_none", "_source"])
-        .withColumn("passes", F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0))
-        .withColumn("_rest", budget - F.col("passes") * F.col("source_size"))
-        .drop("_words")
-    )
-    running = F.sum("size").over(
-        W.partitionBy("_none", "_source", "_bucket")
-        .orderBy("_key", "doc_id", "size")
-        .rowsBetween(W.unboundedPreceding, 0)
-    )
-    room = F.col("_rest") - F.col("_before") - (F.col("_running") - F.col("size"))
-    return (
-        rows.withColumn("_running", running)
-        .join(cuts, ["_none", "_source", "_bucket"])
-        .withColumn("part", F.greatest(F.lit(0), F.least("size", room)).cast("long"))
-        .select(
-            "doc_id",
-            "size",
-            "source_size",
-            "target",
-            (F.col("passes") * F.col("size") + F.col("part")).cast("long").alias("taken"),
-            F.col("passes").cast("long").alias("passes"),
-            "part",
-        )
+    rows = keep(_sized(docs, doc_id, text, source))
+    cuts = _cuts(rows, weights, share, most)
+    return _taken(_bucketed(rows, cuts[0]), cuts[1]).select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        (F.col("passes") * F.col("size") + F.col("part")).cast("long").alias("taken"),
+        F.col("passes").cast("long").alias("passes"),
+        "part",
     )
 
 
@@ -133,19 +148,18 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """The mix itself: every document as often as ``mix`` takes it, with all its columns.
 
     Documents are handed on whole: the one that the cut runs through comes once more if at
-    least half of it is taken. Documents without words are no part of a mix. An id must name
-    one row; rows that repeat an id are each taken as often as the first of them.
+    least half of it is taken. Documents without words are no part of a mix. Rows that repeat
+    an id, or have none, are taken one by one, as by ``mix``: whole rows go through the order
+    and the cut, and meet nothing again by their ids.
     """
-    times = mix(docs, doc_id, text, source).select(
-        F.col("doc_id").alias("_mixed_id"),
-        (F.col("passes") + (F.col("part") * 2 >= F.col("size")).cast("long")).alias("_times"),
-        "size",
-    )
-    times = times.filter("size > 0 and _times > 0").groupBy("_mixed_id").agg(F.max("_times").alias("_times"))
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(doc_id).alias("_id"))
-    copies = F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy")
+    bits, cuts = _cuts(keep(_sized(docs, doc_id, text, source)), WEIGHTS, SHARE, MOST)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    taken = _taken(_bucketed(_sized(docs, doc_id, text, source, whole), bits), cuts)
+    times = (F.col("passes") + (F.col("part") * 2 >= F.col("size")).cast("long")).cast("int")
     return (
-        held.join(times, F.col("_id").eqNullSafe(F.col("_mixed_id")))
-        .select("_row", copies)
+        taken.filter("size > 0")
+        .withColumn("_times", times)
+        .filter("_times > 0")
+        .select("_row", F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy"))
         .select("_row.*")
     )

@@ -15,7 +15,7 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
     "op5_mixing": """
 WITH RECURSIVE sized AS (
-    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size
+    SELECT doc_id, text, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size
     FROM documents),
 sources AS (
     SELECT source, sum(size)::BIGINT AS source_size,
@@ -46,7 +46,7 @@ targets AS (
     FROM sources, last),
 placed AS (
     SELECT s.doc_id, s.size, t.source_size, t.target,
-           sum(s.size) OVER (PARTITION BY s.source ORDER BY md5(coalesce(s.doc_id::VARCHAR, '')), s.doc_id, s.size
+           sum(s.size) OVER (PARTITION BY s.source ORDER BY md5(coalesce(s.doc_id::VARCHAR, 'text:' || s.text, '')), s.doc_id, s.size
                              ROWS UNBOUNDED PRECEDING) - s.size AS before,
            CASE WHEN t.source_size > 0 THEN floor(floor(t.target) / t.source_size)::BIGINT ELSE 0 END AS passes
     FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)

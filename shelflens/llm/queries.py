@@ -39,7 +39,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return judged.select("doc_id", "held_out", "score", "predicted")
+    return judged.select("doc_id", "held_out", "score", "predicted", "spans")
 
 
 def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType, DoubleType, IntegerType, StructField, StructType,
@@ -30,9 +30,11 @@ from pyspark.sql.types import (
 
 from shelflens.llm.common import hash_order, held_out, learnable, smallest_hashes
 
-#: Rows of each label that the field is fitted on at most, and bytes of a text among them.
+#: Rows of each label that the field is fitted on at most, and bytes of a text among them: of a
+#: longer one so many evenly spread stretches are learned from.
 ROWS_PER_LABEL = 1500
 TEXT_BYTES = 50_000
+STRETCHES = 8
 CUT = 0.3
 #: Words of a training chain; long documents make several.
 CHAIN = 64
@@ -220,8 +222,7 @@ def train_chains(rows: list[tuple[list[str], int]], steps: int = 80) -> Field:
         weights = weights + change[: len(weights)]
         bias += change[len(weights)]
         moves = moves + change[len(weights) + 1 :].reshape(2, 2)
-    kept = {w: float(weights[i]) for w, i in number.items() if weights[i] > 0}
-    return Field(kept, float(bias), moves)
+    return Field({w: float(weights[i]) for w, i in number.items()}, float(bias), moves)
 
 
 def calibrated(found: Field, rows: list[tuple[list[str], int]]) -> Field:
@@ -243,15 +244,25 @@ def calibrated(found: Field, rows: list[tuple[list[str], int]]) -> Field:
     return Field(found.words, found.bias, found.moves, float(theta[0]), float(theta[1]))
 
 
+def learned_text(text: str, most_bytes: int) -> Column:
+    """The text, or of one longer than ``most_bytes`` evenly spread stretches that are no longer together."""
+    # A character has at most four bytes.
+    long = most_bytes // 4 // STRETCHES
+    starts = [F.floor(F.length(text) * i / STRETCHES).cast("int") + 1 for i in range(STRETCHES)]
+    pieces = F.concat_ws("\n", *[F.substring(text, start, F.lit(long)) for start in starts])
+    return F.when(F.octet_length(text) <= most_bytes, F.col(text)).otherwise(pieces)
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
     label_id: str = "doc_id", toxic: str = "toxic", per_label: int = ROWS_PER_LABEL, most_bytes: int = TEXT_BYTES,
 ) -> Field:
     """Learn from the rows of ``docs`` that have a label 0 or 1.
 
-    The sample: of each label the ``per_label`` rows with the smallest hashes of their ids
-    among texts of at most ``most_bytes``. Ids with contradicting labels count as toxic. The
-    share of toxic rows among all labelled ones corrects the scores for the sample's balance.
+    The sample: of each label the ``per_label`` rows with the smallest hashes of their ids; of
+    texts over ``most_bytes`` evenly spread stretches. Ids with contradicting labels count as
+    toxic. The share of toxic rows among all labelled ones corrects the scores for the sample's
+    balance.
     """
     marks = (
         labels.filter(F.col(toxic).isin(0, 1))
@@ -259,14 +270,13 @@ def fit(
         .agg(F.max(toxic).cast("int").alias("_label"))
     )
     known = docs.filter(F.col(text).isNotNull()).select(
-        F.col(doc_id).alias("_id"), F.octet_length(text).alias("_bytes"), hash_order(doc_id, "toxicity").alias("_order")
+        F.col(doc_id).alias("_id"), hash_order(doc_id, "toxicity").alias("_order")
     )
     known = known.join(marks, "_id")
-    short = known.filter(F.col("_bytes") <= most_bytes)
-    chosen = smallest_hashes(short, "_label", "_order", per_label).select("_id", "_label")
+    chosen = smallest_hashes(known, "_label", "_order", per_label).select("_id", "_label")
     rows = (
-        docs.filter(F.octet_length(text) <= most_bytes)
-        .select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
+        docs.filter(F.col(text).isNotNull())
+        .select(F.col(doc_id).alias("_id"), learned_text(text, most_bytes).alias("_text"))
         .join(F.broadcast(chosen.distinct()), "_id")
         .select("_label", "_text", hash_order("_id", "toxicity").alias("_order"))
         .orderBy("_order", "_text")

@@ -257,3 +257,109 @@ def test_sample_shuffles_few_rows_of_a_label(spark):
     assert sorted(r._order for r in chosen.collect()) == want
     plan = chosen._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_too_many_labels_raise(spark):
+    from shelflens.llm.common import hash_order, smallest_hashes
+
+    rows = spark.range(40).select(F.col("id").cast("string").alias("lang"), hash_order("id").alias("_order"))
+    assert smallest_hashes(rows, "lang", "_order", 5, labels=40).count() == 40
+    with pytest.raises(ValueError, match="40 different labels"):
+        smallest_hashes(rows, "lang", "_order", 5, labels=39)
+
+
+def test_mixed_documents_take_each_row_as_the_mix_does(spark):
+    """Every row of a source repeats one id, or has none: the mix still adds up to the targets."""
+    text = F.concat(F.repeat(F.lit("word "), (F.col("id") % 7).cast("int") + 1), F.col("id").cast("string"))
+    twins = spark.range(600).select(
+        F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 3 == 1, F.col("id")).alias("doc_id"),
+        text.alias("text"),
+        F.concat(F.lit("s"), (F.col("id") % 4).cast("string")).alias("source"),
+        F.lit("clash").alias("_key"), F.lit("clash").alias("_row"), F.lit("clash").alias("_source"), F.lit("clash").alias("_tie"),
+    )
+    sizes = mixing.mix(twins)
+    goals = {(r.source_size, r.target) for r in sizes.collect()}
+    assert sizes.agg(F.sum("taken")).first()[0] >= sum(int(t) for _, t in goals) - 4
+    mixed = mixing.mixed_documents(twins)
+    assert mixed.columns == twins.columns
+    got = mixed.groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()
+    want = twins.withColumn("size", mixing.word_count(F.col("text"))).groupBy("source").agg(F.sum("size").alias("n")).collect()
+    by_size = {size: target for size, target in goals}
+    assert len(got) == 4
+    for r in got:
+        size = next(x.n for x in want if x.source == r.source)
+        # The document that the cut runs through comes whole or not at all.
+        assert abs(r.n - by_size[size]) <= 8
+    copies = mixed.groupBy("text").count().agg(F.max("count")).first()[0]
+    assert copies <= 2
+    assert rows(mixed) == rows(mixing.mixed_documents(twins.repartition(7)))
+
+
+def plain_field(model, words):
+    """Marginals of the field by forward-backward over every word."""
+    emit = np.array([[1.0, np.exp(model.bias + model.words.get(w, 0.0))] for w in words])
+    go, ahead, back = np.exp(model.moves), [emit[0] / emit[0].sum()], [np.ones(2)]
+    for e in emit[1:]:
+        step = (ahead[-1] @ go) * e
+        ahead.append(step / step.sum())
+    for e in emit[:0:-1]:
+        step = go @ (back[-1] * e)
+        back.append(step / step.sum())
+    both = np.array(ahead) * np.array(back[::-1])
+    return both[:, 1] / both.sum(1)
+
+
+def test_marginals_with_negative_weights():
+    rng = np.random.default_rng(8)
+    model = toxicity.Field({"bad": 4.0, "kind": -3.0, "fair": -0.5}, -1.0, np.array([[0.2, -0.4], [-0.3, 0.6]]))
+    for n in (1, 2, 40, 400):
+        words = rng.choice(["a", "bad", "kind", "fair"], n).tolist()
+        places = [i for i, w in enumerate(words) if w in model.words]
+        got = model.marginals(places, [model.words[words[i]] for i in places], n)
+        assert np.allclose(got, plain_field(model, words)[places])
+
+
+def test_training_keeps_every_weight():
+    """A word that leans to toxic documents for other reasons gets a weight below nought and keeps it."""
+    rng = np.random.default_rng(1)
+    usual = [f"w{i}" for i in range(200)]
+    sample = []
+    for i in range(600):
+        words = rng.choice(usual, 40).tolist()
+        if i % 3 == 0:
+            words += ["insult", "insult"] + ["beside"] * int(rng.integers(1, 4))
+        elif i % 7 == 0:
+            words += ["beside"]
+        sample.append((words, int(i % 3 == 0)))
+    leaning, toxic = toxicity.telling_words(sample)
+    model = toxicity.train_chains(sample)
+    assert set(model.words) == leaning and "insult" in toxic
+    assert model.words["insult"] > 0
+
+
+def test_spans_on_whole_texts(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs.filter(toxicity.learnable()), labels)
+    judged = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    spans = 0
+    for doc in docs.collect():
+        text, found = doc.text or "", judged[doc.doc_id]
+        words = toxicity.words_of(text)
+        chances = plain_field(model, words) if words else []
+        known = [i for i, w in enumerate(words) if w in model.words]
+        places = [m.span() for m in toxicity.WORD.finditer(text)]
+        covered = {(s.start, s.end) for s in found.spans}
+        flat = [i for i in known if chances[i] >= 0.5]
+        assert {i for i, (a, b) in enumerate(places) if any(s <= a and b <= e for s, e in covered)} == set(flat)
+        assert abs(found.score - model.score(sum(chances[i] for i in known))) < 1e-6
+        spans += len(covered)
+    assert spans > 10
+
+
+def test_long_labelled_texts_are_learned_from(spark):
+    text = "".join(chr(ord("a") + i % 26) for i in range(9000))
+    frame = spark.createDataFrame([(1, text), (2, "short"), (3, "é" * 500)], "id long, text string")
+    got = {r.id: r.t for r in frame.select("id", toxicity.learned_text("text", 800).alias("t")).collect()}
+    assert got[2] == "short" and len(got[3]) <= 207 and len(got[1].split("\n")) == 8
+    assert all(p in text and len(p) == 25 for p in got[1].split("\n"))
