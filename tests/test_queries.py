@@ -1,6 +1,8 @@
 """Every registered query against its SQL, on the smallest driver tables."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -30,3 +32,11 @@ def test_entry(spark):
 
     assert contract.entry(spark).count() == 170
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+def test_core_queries_stay_when_a_library_of_the_optional_part_is_missing():
+    code = "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    said = subprocess.run([sys.executable, "-c", code], cwd=top, capture_output=True, text=True)
+    assert said.returncode == 0, said.stderr
+    assert said.stdout.split() == [str(len(QUERIES)), str(len(ORACLES))]
