@@ -25,6 +25,7 @@ from shelflens.config import (
 from shelflens.functions import variants as V
 from shelflens.functions.numbers import SCORE_DIGITS, clean_price
 from shelflens.operators import decide, flatten, history, latest, namemap, paging, topk, verify
+from shelflens.operators import sparse_topk as sparse
 from shelflens.operators.keep import keep, spread
 from shelflens.operators.embed import trigram_vectors, valid_trigrams
 from shelflens.operators.vectors import cache_lookup, cache_misses, check_vectors, valid_vectors
@@ -388,7 +389,7 @@ def ngram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
         names = spread(keep(rows.select("product_name").distinct()))
         return valid_trigrams(names).withColumnRenamed("product_name", row_id)
 
-    return topk.sparse_topk(side(queries, "query_id"), side(base, "catalog_id"), min_similarity=0.8)
+    return sparse.sparse_topk(side(queries, "query_id"), side(base, "catalog_id"), min_similarity=0.8)
 
 
 def _cache(spark: SparkSession, sf_dir: str) -> DataFrame:

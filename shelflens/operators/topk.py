@@ -47,16 +47,13 @@ def _copy_plan(queries: DataFrame, catalog: DataFrame, keys: list[str], block_ro
             F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name)
         )
 
-    spark = queries.sparkSession
     both = keep(sizes(queries, "_nqb").join(sizes(catalog, "_ncb"), keys))
-    every = both.limit(BROADCAST_GROUPS + 1).toArrow()
-    if every.num_rows <= BROADCAST_GROUPS:
-        known = F.broadcast(spark.createDataFrame(every))
-        return lambda side: side.join(known, keys)
-    hot = both.filter((F.col("_nqb") > 1) | (F.col("_ncb") > 1))
-    some = hot.limit(BROADCAST_GROUPS + 1).toArrow()
-    if some.num_rows <= BROADCAST_GROUPS:
-        known = F.broadcast(spark.createDataFrame(some))
+    over_one = (F.col("_nqb") > 1) | (F.col("_ncb") > 1)
+    every, hot = both.agg(F.count(F.lit(1)), F.count_if(over_one)).first()
+    if every <= BROADCAST_GROUPS:
+        return lambda side: side.join(F.broadcast(both), keys)
+    if hot <= BROADCAST_GROUPS:
+        known = F.broadcast(both.filter(over_one))
         return lambda side: side.join(known, keys, "left").fillna(1, ["_nqb", "_ncb"])
     return lambda side: side.join(both, keys)
 
@@ -205,52 +202,6 @@ def _no_rows(left: pa.Table, right: pa.Table) -> pa.Table:
     )
 
 
-def _sparse_parts(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row number, gram and count of all entries of a block."""
-    grams = table["grams"].combine_chunks()
-    lengths = grams.value_lengths().to_numpy(zero_copy_only=False)
-    rows = np.repeat(np.arange(len(lengths)), lengths)
-    counts = table["tf"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return rows, grams.flatten().to_numpy(zero_copy_only=False), counts.astype(np.float64)
-
-
-def _sparse_kernel(k: int, cut: float | None, columns: int = 2048):
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return _no_rows(left, right)
-        right = _by_id(right)
-        qr, qg, qt = _sparse_parts(left)
-        cr, cg, ct = _sparse_parts(right)
-        shared = np.intersect1d(qg, cg)
-        q_norm, c_norm = left["norm"].to_numpy(), right["norm"].to_numpy()
-        # Products of counts are whole numbers, none above the largest product of norms:
-        # below 2**24 single precision holds them exactly, at half the cost.
-        exact = np.float32 if q_norm.max() * c_norm.max() < 1 << 24 else np.float64
-        dots = np.zeros((left.num_rows, right.num_rows), dtype=exact)
-        # Dense slices of the shared vocabulary: memory stays bounded for long texts.
-        for start in range(0, len(shared), columns):
-            part = shared[start : start + columns]
-            dots += _slice(qr, qg, qt, part, left.num_rows, exact) @ _slice(
-                cr, cg, ct, part, right.num_rows, exact
-            ).T
-        scores = _round(dots.astype(np.float64) / (q_norm[:, None] * c_norm[None, :]))
-        least = cut
-        if cut is None:
-            # Without a cut any shared gram counts, however little it scores.
-            scores[dots == 0], least = -1.0, 0.0
-        return _emit(left["query_id"], right["catalog_id"], scores, *_pick(scores, k, least))
-
-    return run
-
-
-def _slice(rows, grams, counts, vocabulary, n, dtype) -> np.ndarray:
-    at = np.minimum(np.searchsorted(vocabulary, grams), len(vocabulary) - 1)
-    hit = vocabulary[at] == grams
-    out = np.zeros((n, len(vocabulary)), dtype=dtype)
-    out[rows[hit], at[hit]] = counts[hit]
-    return out
-
-
 # ---------------------------------------------------------------- dense vectors
 
 
@@ -298,18 +249,9 @@ def dense_topk(
 
 
 def _within(catalog: DataFrame, max_bytes: int) -> pa.Table | None:
-    """The whole catalogue when it is at most ``max_bytes``, else None.
-
-    Never fetches more than ``max_bytes``: the row limit follows from the vector length.
-    """
-    head = catalog.select(F.size("vector").alias("d")).first()
-    if head is None:
-        return catalog.limit(0).toArrow()
-    rows = max_bytes // (8 * head["d"] + 64)
-    if rows < 1:
-        return None
-    fetched = catalog.limit(rows + 1).toArrow()
-    return fetched if fetched.num_rows <= rows else None
+    """The whole catalogue when one aggregate measures at most ``max_bytes``, else None."""
+    size = catalog.agg(F.sum(F.size("vector") * 8 + 64)).first()[0] or 0
+    return catalog.toArrow() if size <= max_bytes else None
 
 
 def _broadcast_topk(
@@ -588,125 +530,3 @@ def lsh_topk(
         block_rows,
     )
     return best_per_query(found, k)
-
-
-# ---------------------------------------------------------------- sparse vectors
-
-
-def common_grams(queries: DataFrame, catalog: DataFrame, limit: int = 65536) -> np.ndarray:
-    """The most frequent grams, rarest of them first; at most ``limit``."""
-    both = queries.select(F.explode("grams").alias("g")).unionAll(
-        catalog.select(F.explode("grams").alias("g"))
-    )
-    top = (
-        both.groupBy("g")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.col("n").desc(), "g")
-        .limit(limit)
-        .toArrow()
-    )
-    return top["g"].to_numpy()[::-1]
-
-
-def sparse_topk(
-    queries: DataFrame,
-    catalog: DataFrame,
-    k: int = 3,
-    *,
-    min_similarity: float | None = None,
-    block_on: list[str] | None = None,
-    block_rows: int = BLOCK_ROWS,
-    cuts: tuple[float, ...] = (0.8, 0.5),
-) -> DataFrame:
-    """Exact top ``k`` by cosine, of all pairs that share a gram or reach ``min_similarity``.
-
-    Sides hold an id, ``grams``, ``tf``, ``norm`` and the ``block_on`` columns, within
-    whose equal values pairs are sought.
-
-    Without ``min_similarity`` the search goes down the ``cuts``: a query with ``k`` hits
-    at a cut has its result, the others are searched again at the next. The few that no
-    cut fills are scored against the whole blocks of the catalogue, each pair once.
-    """
-    if min_similarity is not None and not 0 < min_similarity <= 1:
-        raise ValueError("min_similarity must be in (0, 1]")
-    blocks = list(block_on or [])
-    order = common_grams(queries, catalog)
-    if min_similarity is not None:
-        return _at_cut(queries, catalog, k, min_similarity, order, blocks, block_rows)
-    found, pending = [], queries
-    for cut in cuts:
-        hits = keep(_at_cut(pending, catalog, k, cut, order, blocks, block_rows))
-        full = hits.filter(F.col("rank") == k).select("query_id")
-        found.append(hits.join(full, "query_id", "left_semi"))
-        pending = pending.join(full, "query_id", "left_anti")
-    # Both sides may come from one frame; under fresh columns their join is no self-join.
-    fresh = [F.col(c).alias(c) for c in blocks]
-    sides = [
-        side.select(row_id, *fresh, "grams", "tf", "norm", F.lit(0).alias("_whole"))
-        for side, row_id in ((pending, "query_id"), (catalog, "catalog_id"))
-    ]
-    schema = _score_schema(queries, catalog)
-    kernel = _sparse_kernel(k, None)
-    rest = best_per_query(block_pairs(*sides, [*blocks, "_whole"], kernel, schema, block_rows), k)
-    for part in found:
-        rest = rest.unionByName(part)
-    return rest
-
-
-def _at_cut(
-    queries: DataFrame,
-    catalog: DataFrame,
-    k: int,
-    min_similarity: float,
-    order: np.ndarray,
-    blocks: list[str],
-    block_rows: int,
-) -> DataFrame:
-    """Exact top ``k`` among pairs with cosine >= ``min_similarity``.
-
-    All grams are put in one order, rarest first. If two vectors reach the cut, they
-    share a gram in both their *prefixes*: the fewest first grams whose remainder has
-    a norm below the cut times the full norm, since a remainder that short cannot
-    make up the missing product. So rows meet on rare grams only. Any order is
-    correct; frequencies of grams beyond the bounded list just count as zero.
-    """
-    by_gram = np.argsort(order, kind="stable")
-    shared = queries.sparkSession.sparkContext.broadcast((order[by_gram], by_gram))
-    cut = min_similarity - 2 * ROUNDING
-
-    def prefixes(batches):
-        known, place = shared.value
-        for batch in batches:
-            rows, grams, counts = _sparse_parts(pa.Table.from_batches([batch]))
-            if not len(rows):
-                continue
-            at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-            frequent = np.where(known[at] == grams, place[at], -1)
-            turn = np.lexsort((grams, frequent, rows))
-            rows, grams, squares = rows[turn], grams[turn], counts[turn] ** 2
-            # Squared norm from each entry to the end of its row.
-            total = np.cumsum(squares)
-            last = np.searchsorted(rows, rows, side="right") - 1
-            rest = total[last] - total + squares
-            norm = batch["norm"].to_numpy(zero_copy_only=False)[rows]
-            keep = rest >= (max(cut, 0.0) * norm) ** 2 * (1 - 1e-9)
-            base = batch.take(pa.array(rows[keep]))
-            yield pa.RecordBatch.from_arrays(
-                [*base.columns, pa.array(grams[keep], pa.int64())],
-                names=[*base.schema.names, "gram"],
-            )
-
-    def keyed(side: DataFrame, row_id: str) -> DataFrame:
-        side = side.select(row_id, *blocks, "grams", "tf", "norm")
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in side.schema)
-        return side.mapInArrow(prefixes, f"{fields}, gram bigint")
-
-    found = block_pairs(
-        keyed(queries, "query_id"),
-        keyed(catalog, "catalog_id"),
-        [*blocks, "gram"],
-        _sparse_kernel(k, min_similarity),
-        _score_schema(queries, catalog),
-        block_rows,
-    )
-    return best_per_query(found, k)

@@ -14,7 +14,8 @@ from shelflens.operators.history import split_catalogs
 from shelflens.operators.keep import keep, spread
 from shelflens.operators.latest import latest_per_product
 from shelflens.operators.namemap import build_name_map
-from shelflens.operators.topk import dense_topk, sparse_topk
+from shelflens.operators.sparse_topk import sparse_topk
+from shelflens.operators.topk import dense_topk
 from shelflens.operators.vectors import cache_lookup, require_vectors, valid_vectors
 from shelflens.operators.verify import (
     Judge,

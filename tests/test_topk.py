@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from shelflens.operators import sparse_topk as S
 from shelflens.operators import topk as T
 from shelflens.operators.embed import trigram_vectors, valid_trigrams
 from shelflens.operators.vectors import check_vectors, rejected_vectors, require_vectors, valid_vectors
@@ -152,27 +153,88 @@ def names(rng, n, hot=""):
     return sorted({hot + " ".join(rng.choice(words, rng.integers(1, 5))) + str(rng.integers(0, 60)) for _ in range(n)})
 
 
-@pytest.mark.parametrize("cut,blocked,block_rows", [(0.8, False, 1024), (0.5, False, 16), (0.8, True, 8), (0.2, False, 64), (1.0, False, 64)])
-def test_sparse_search_agrees_with_brute_force(spark, cut, blocked, block_rows):
+def gram_side(spark, values, row_id, parts=3):
+    rows = [(v, None if len(v) == 9 else len(v) % 3) for v in values]
+    df = spark.createDataFrame(rows, f"{row_id} string, block int").repartition(parts)
+    return valid_trigrams(df, row_id)
+
+
+SIZES = pytest.mark.parametrize("limit", [0, S.BROADCAST_BYTES], ids=["narrow", "broadcast"])
+
+
+@SIZES
+@pytest.mark.parametrize("cut,blocked", [(0.8, False), (0.5, False), (0.8, True), (0.2, False), (1.0, False), (0.4, True)])
+def test_sparse_search_agrees_with_brute_force(spark, cut, blocked, limit):
     rng = np.random.default_rng(11)
     # The hot prefix puts the same grams into every name.
-    nq, nc = names(rng, 120, "brand one ") + ["a", "ab"], names(rng, 150, "BRAND ONE ") + ["ab", "A"]
+    nq = names(rng, 120, "brand one ") + ["a", "ab", "repeat " * 30, "nine char"]
+    nc = names(rng, 150, "BRAND ONE ") + ["ab", "A", "Repeat " * 29, "repeat", "nine chaR"]
+    df = S.sparse_topk(
+        gram_side(spark, nq, "query_id"), gram_side(spark, nc + nc[:40], "catalog_id"), 3, min_similarity=cut,
+        block_on=["block"] if blocked else None, broadcast_bytes=limit,
+    )
+    # A null block meets nothing.
+    asked, known = ([n for n in side if not blocked or len(n) != 9] for side in (nq, nc))
+    want = brute_grams(asked, known, 3, cut, (lambda n: len(n) % 3) if blocked else (lambda n: 0))
+    assert got(df) == want
 
-    def side(values, row_id):
-        df = spark.createDataFrame([(v, len(v) % 3) for v in values], f"{row_id} string, block int")
-        return valid_trigrams(df, row_id)
 
-    df = T.sparse_topk(
-        side(nq, "query_id"), side(nc, "catalog_id"), 3, min_similarity=cut,
-        block_on=["block"] if blocked else None, block_rows=block_rows,
-    )
-    want = brute_grams(nq, nc, 3, cut, (lambda n: len(n) % 3) if blocked else (lambda n: 0))
+@SIZES
+@pytest.mark.parametrize("blocked", [False, True])
+def test_sparse_search_without_a_cut_agrees_with_brute_force(spark, limit, blocked):
+    rng = np.random.default_rng(12)
+    nq, nc = names(rng, 60) + ["brand one gel", "qqq www"], names(rng, 90) + ["BRAND one gel", "qqq", "zzz"]
+    nq, nc = ([n for n in side if len(n) != 9] for side in (nq, nc))
+    df = S.sparse_topk(
+        gram_side(spark, nq, "query_id"), gram_side(spark, nc, "catalog_id"), 3,
+        block_on=["block"] if blocked else None, broadcast_bytes=limit,
+    )
+    want = brute_grams(nq, nc, 3, 1e-9, (lambda n: len(n) % 3) if blocked else (lambda n: 0))
     assert got(df) == want
 
 
+def test_prefix_rows_are_narrow_and_bounds_prune(spark):
+    """What is shuffled to find pairs holds no gram arrays, and few pairs meet their arrays."""
+    rng = np.random.default_rng(13)
+    nq, nc = names(rng, 400, "brand "), names(rng, 400, "BRAND ")
+    q, c = gram_side(spark, nq, "query_id"), gram_side(spark, nc, "catalog_id")
+    pairs = S.candidate_pairs(q, c, 0.8, [], S.common_grams(q, c))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    for line in plan.splitlines():
+        if "Exchange hashpartitioning" in line or "SortMergeJoin" in line:
+            assert "grams" not in line and "tf#" not in line
+    assert "SortMergeJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    near = len(brute_grams(nq, nc, 400, 0.8))
+    assert near <= pairs.count() < len(nq) * len(nc) / 10
+
+
+def test_a_hot_gram_is_no_single_task(spark):
+    """Every name shares its rarest grams: the pairs come from a join, which is split by size."""
+    q = gram_side(spark, [f"same start {i:04d}" for i in range(300)], "query_id")
+    c = gram_side(spark, [f"SAME start {i:04d}" for i in range(300)], "catalog_id")
+    df = S.sparse_topk(q, c, 1, min_similarity=0.9, broadcast_bytes=0)
+    best = {r.query_id: r.catalog_id for r in df.collect()}
+    assert best == {f"same start {i:04d}": f"SAME start {i:04d}" for i in range(300)}
+    assert "CoGroups" not in df._jdf.queryExecution().toString()
+
+
+def test_the_broadcast_search_moves_no_query(spark):
+    q, c = gram_side(spark, ["abcd", "bcde"], "query_id", 1), gram_side(spark, ["abcde"], "catalog_id", 1)
+    plan = S.sparse_topk(q, c, 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == q._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def test_empty_sides_of_the_sparse_search(spark):
+    q, c = gram_side(spark, ["abcd"], "query_id"), gram_side(spark, ["abcd"], "catalog_id")
+    for limit in (0, S.BROADCAST_BYTES):
+        for cut in (None, 0.8):
+            assert S.sparse_topk(q.limit(0), c, 3, min_similarity=cut, broadcast_bytes=limit).count() == 0
+            assert S.sparse_topk(q, c.limit(0), 3, min_similarity=cut, broadcast_bytes=limit).count() == 0
+
+
 def test_sparse_search_refuses_an_empty_cut(spark):
     with pytest.raises(ValueError):
-        T.sparse_topk(None, None, 3, min_similarity=0.0)
+        S.sparse_topk(None, None, 3, min_similarity=0.0)
 
 
 def test_sparse_search_without_a_cut_finds_all_that_share_a_gram(spark):
@@ -184,7 +246,7 @@ def test_sparse_search_without_a_cut_finds_all_that_share_a_gram(spark):
         rows = spark.createDataFrame([(n,) for n in names], "product_name string")
         return trigram_vectors(rows).withColumnRenamed("product_name", row_id)
 
-    got = T.sparse_topk(side(asked, "query_id"), side(known, "catalog_id"), 3, block_rows=16)
+    got = S.sparse_topk(side(asked, "query_id"), side(known, "catalog_id"), 3, broadcast_bytes=0)
 
     def grams(text):
         return Counter(text[i : i + 3] for i in range(len(text) - 2))
@@ -220,9 +282,9 @@ def test_no_search_plans_a_cross_join(spark, clustered):
     for df in (
         T.pivot_topk(qs, cs, 3),
         T.lsh_topk(qs, cs, 3),
-        T.sparse_topk(
+        S.sparse_topk(
             texts.withColumnRenamed("product_name", "query_id"),
-            texts.withColumnRenamed("product_name", "catalog_id"), min_similarity=0.8,
+            texts.withColumnRenamed("product_name", "catalog_id"), min_similarity=0.8, broadcast_bytes=0,
         ),
     ):
         plan = df._jdf.queryExecution().executedPlan().toString()
