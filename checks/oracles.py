@@ -186,17 +186,25 @@ spoiled AS (
   FROM embeddings)"""
 
 
-def _cosine(k: int, source: str = "(SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"):
+def _cosine(
+    k: int,
+    source: str = "(SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)",
+    block: str = "true",
+):
     return f"""
   SELECT * FROM (
     SELECT q.vec_id AS query_id, c.vec_id AS catalog_id,
            round(list_cosine_similarity(q.v, c.v), 6) AS score,
            CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY
              round(list_cosine_similarity(q.v, c.v), 6) DESC, c.vec_id) AS INTEGER) AS rank
-    FROM {source} q JOIN {source} c ON q.vec_id % 2 = 0 AND c.vec_id % 2 = 1)
+    FROM {source} q JOIN {source} c ON q.vec_id % 2 = 0 AND c.vec_id % 2 = 1 AND {block})
   WHERE rank <= {k}"""
 
 
+def _shelf(side: str) -> str:
+    return f"CASE WHEN {side}.vec_id % 3 = 0 THEN 'hot' ELSE 'shelf ' || (({side}.vec_id // 2) % 40) END"
+
+
 _CACHE = """
 texts AS (
   SELECT CASE WHEN l_quantity = 1 THEN '  ' ELSE product_name END AS text FROM listings),
@@ -318,6 +326,7 @@ ORACLES: dict[str, str] = {
     "vector_validity": f"WITH {_SPOILED} SELECT vec_id, state FROM spoiled",
     "cosine_topk": _cosine(3),
     "cosine_topk_pivots": _cosine(3),
+    "cosine_topk_blocked": _cosine(3, block=f"{_shelf('q')} = {_shelf('c')}"),
     "cosine_top1": f"SELECT query_id, catalog_id, score FROM ({_cosine(1)})",
     "ngram_vectors": f"""WITH {_DISTURBED},
       names AS (SELECT DISTINCT product_name FROM disturbed),{_GRAMS}

@@ -363,6 +363,19 @@ def cosine_topk_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.pivot_topk(*_vector_sides(_embeddings(spark, sf_dir)), pivots=64)
 
 
+def cosine_topk_blocked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Within groups of vectors: a third of all rows is one group, the others are small."""
+    rows = _embeddings(spark, sf_dir)
+    shelf = F.when(F.col("vec_id") % 3 == 0, F.lit("hot")).otherwise(
+        F.concat(F.lit("shelf "), (F.floor(F.col("vec_id") / 2) % 40).cast("string"))
+    )
+    sides = []
+    for side, row_id in zip(_vector_sides(rows), ("query_id", "catalog_id"), strict=True):
+        labelled = rows.select(F.col("vec_id").alias(row_id), shelf.alias("shelf"))
+        sides.append(side.join(labelled, row_id))
+    return topk.dense_topk(*sides, block_on=["shelf"])
+
+
 def lsh_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.lsh_topk(*_vector_sides(_embeddings(spark, sf_dir)), tables=24, bits=4)
 
@@ -531,7 +544,7 @@ QUERIES: dict[str, Query] = {
         latest_per_product, map_join, step_counts, distinct_names, landing_scan, flatten_shop_l,
         flatten_shop_w, json_quarantine, product_rows, products_csv, name_map_csv, price_clean, falsy_coalesce,
         envelope_stamp, page_plan, page_coverage, vector_norm, vector_validity, cosine_topk,
-        cosine_top1, cosine_topk_pivots, lsh_topk, ngram_vectors, ngram_topk,
+        cosine_top1, cosine_topk_pivots, cosine_topk_blocked, lsh_topk, ngram_vectors, ngram_topk,
         embedding_cache_misses, embedding_lookup, verify_payload, verify_rule, verify_resolve,
         match_decide, match_all_rows, match_verified, match_ratio_min, match_ratio_band, match_missing_vector,
         name_map_build,

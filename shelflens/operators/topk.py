@@ -223,11 +223,12 @@ def dense_topk(
     k: int = 3,
     *,
     min_similarity: float | None = None,
+    block_on: list[str] | None = None,
     pivots: int = 256,
     block_rows: int = BLOCK_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Exact top ``k`` by cosine.
+    """Exact top ``k`` by cosine, with ``block_on`` among pairs of equal values there.
 
     ``queries`` holds ``query_id, vector, norm``, ``catalog`` holds
     ``catalog_id, vector, norm``; all vectors are valid and of one length. Returns
@@ -238,6 +239,11 @@ def dense_topk(
     queries are scored where they are, without a shuffle. A larger one is searched
     through pivots, see ``pivot_topk``.
     """
+    if block_on:
+        return blocked_topk(
+            queries, catalog, list(block_on), k, min_similarity=min_similarity, block_rows=block_rows,
+            broadcast_bytes=broadcast_bytes,
+        )
     queries = queries.select("query_id", "vector", "norm")
     catalog = catalog.select("catalog_id", "vector", "norm")
     small = _within(catalog, broadcast_bytes)
@@ -276,6 +282,102 @@ def _broadcast_topk(
     return queries.mapInArrow(run, f"query_id {q}, rank int, catalog_id {c}, score double")
 
 
+# ---------------------------------------------------------------- dense vectors in blocks
+
+
+def _by_block(table: pa.Table | pa.RecordBatch, blocks: list[str]) -> dict[tuple, np.ndarray]:
+    """Row numbers of each combination of block values, ascending."""
+    names = list(zip(*(table[c].to_pylist() for c in blocks), strict=True))
+    number: dict[tuple, int] = {}
+    code = np.array([number.setdefault(n, len(number)) for n in names], np.int64)
+    order = np.argsort(code, kind="stable")
+    edges = np.searchsorted(code[order], np.arange(len(number) + 1))
+    return {n: order[edges[i] : edges[i + 1]] for n, i in number.items()}
+
+
+def _best_in_blocks(left: pa.Table, ids, vectors: np.ndarray, directory: dict, blocks: list[str], k: int, cut: float | None):
+    """Hits of the rows of ``left`` among the rows that ``directory`` has for their block, in pieces."""
+    unit = _table_unit(left)
+    for name, rows in _by_block(left, blocks).items():
+        others = directory.get(name)
+        if others is None:
+            continue
+        step = max(1, (32 << 20) // (8 * len(others)))
+        for at in range(0, len(rows), step):
+            own = rows[at : at + step]
+            scores = _round(unit[own] @ vectors[others].T)
+            r, c = _pick(scores, k, cut)
+            rank = np.arange(len(r)) - np.searchsorted(r, r, side="left") + 1
+            yield pa.table(
+                {
+                    "query_id": left["query_id"].take(pa.array(own[r])),
+                    "rank": pa.array(rank, pa.int32()),
+                    "catalog_id": ids.take(pa.array(others[c])),
+                    "score": pa.array(scores[r, c], pa.float64()),
+                }
+            )
+
+
+def blocked_topk(
+    queries: DataFrame,
+    catalog: DataFrame,
+    blocks: list[str],
+    k: int = 3,
+    *,
+    min_similarity: float | None = None,
+    block_rows: int = BLOCK_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Exact top ``k`` among the rows with equal values of the ``blocks`` columns; a null meets nothing.
+
+    Values are dealt to as many buckets as the catalogue has blocks of ``block_rows``, so small
+    values share a group, and a bucket with a hot value is cut into block pairs like any other
+    group. A catalogue within ``broadcast_bytes`` is broadcast with a directory of its values.
+    """
+    known = reduce(and_, (F.col(c).isNotNull() for c in blocks))
+    queries = queries.filter(known).select(*blocks, "query_id", "vector", "norm")
+    catalog = keep(
+        few_copies(catalog.filter(known).select(*blocks, "catalog_id", "vector", "norm"), k, [*blocks, "vector"])
+    )
+    q, c = _id_types(queries, catalog)
+    small = _within(catalog, broadcast_bytes)
+    if small is not None:
+        return _broadcast_blocked(queries, _by_id(small), blocks, k, min_similarity, f"query_id {q}, rank int, catalog_id {c}, score double")
+    buckets = max(1, catalog.count() // block_rows)
+    bucket = F.pmod(F.xxhash64(*blocks), F.lit(buckets)).alias("_bucket")
+
+    def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return _no_rows(left, right)
+        right = _by_id(right)
+        parts = _best_in_blocks(
+            left, right["catalog_id"], _table_unit(right), _by_block(right, blocks), blocks, k, min_similarity
+        )
+        return pa.concat_tables([_no_rows(left, right), *(p.drop_columns("rank") for p in parts)])
+
+    found = block_pairs(
+        queries.select("*", bucket), catalog.select("*", bucket), ["_bucket"], kernel, _score_schema(queries, catalog), block_rows
+    )
+    return best_per_query(found, k)
+
+
+def _broadcast_blocked(queries: DataFrame, table: pa.Table, blocks: list[str], k: int, cut: float | None, schema: str) -> DataFrame:
+    directory = _by_block(table, blocks) if table.num_rows else {}
+    shared = queries.sparkSession.sparkContext.broadcast(
+        (table["catalog_id"].combine_chunks(), _table_unit(table) if table.num_rows else None, directory)
+    )
+
+    def run(batches):
+        ids, vectors, directory = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            for part in _best_in_blocks(pa.Table.from_batches([batch]), ids, vectors, directory, blocks, k, cut):
+                yield from part.combine_chunks().to_batches()
+
+    return queries.mapInArrow(run, schema)
+
+
 def _unique(table: pa.Table) -> pa.Table:
     """Each id with each of its vectors once."""
     if not table.num_rows:

@@ -57,8 +57,6 @@ def embedding_search(
     """Search on a user's embeddings through the embedding cache."""
 
     def search(queries: DataFrame, base: DataFrame, k: int, block_on: list[str]) -> DataFrame:
-        if block_on:
-            raise ValueError("embedding search compares whole catalogues")
         names = queries.select(F.col("query_name").alias("text")).unionByName(
             base.select(F.col("name").alias("text"))
         )
@@ -67,13 +65,13 @@ def embedding_search(
         )
 
         def vectors(side: DataFrame, row_id: str, name: str) -> DataFrame:
-            texts = side.select(row_id, F.col(name).alias("text"))
+            texts = side.select(row_id, *block_on, F.col(name).alias("text"))
             found = cache_lookup(texts, cache, model).withColumnRenamed("embedding", "vector")
-            return valid_vectors(found, "vector").select(row_id, "vector", "norm")
+            return valid_vectors(found, "vector").select(row_id, *block_on, "vector", "norm")
 
         # Tested for rows, measured, then searched: looked up once.
         catalog = require_vectors(keep(vectors(base, "catalog_id", "name")))
-        return dense_topk(vectors(queries, "query_id", "query_name"), catalog, k)
+        return dense_topk(vectors(queries, "query_id", "query_name"), catalog, k, block_on=block_on)
 
     return search
 

@@ -188,6 +188,20 @@ def test_full_match_with_embeddings_and_a_judge(spark, tmp_path):
     assert (rows["xyz"][MATCH_BASE_NAME], rows["xyz"].verified_match) == ("zyxw", False)
 
 
+def test_embeddings_are_matched_within_blocks(spark, tmp_path):
+    line = catalog(spark, SHOP_L, ("abc", 2.0, T1), ("xyz", 3.0, T1), ("lone", 1.0, T1))
+    watson = catalog(spark, SHOP_W, ("cab", 1.0, T1), ("abcd", 5.0, T1), ("zyxw", 4.0, T1))
+    brand = F.when(F.col("product_name").isin("abc", "abcd"), "b1").when(F.col("product_name") == "lone", "b3").otherwise("b2")
+    line, watson = line.withColumn("brand", brand), watson.withColumn("brand", brand)
+    search = matching.embedding_search(str(tmp_path / "cache"), "letters", letters)
+    rows = {r[MATCH_QUERY_NAME]: r for r in matching.match_top1(line, watson, search, block_on=["brand"]).collect()}
+    assert rows["abc"][MATCH_BASE_NAME] == "abcd" and rows["xyz"][MATCH_BASE_NAME] == "zyxw"
+    assert rows["lone"][MATCH_BASE_NAME] == "N/A (Query Embedding Error)"
+    # Over the whole catalogue the nearer name of another brand wins.
+    rows = {r[MATCH_QUERY_NAME]: r for r in matching.match_top1(line, watson, search).collect()}
+    assert rows["abc"][MATCH_BASE_NAME] == "cab"
+
+
 def test_query_without_a_vector_gets_the_placeholder(spark, tmp_path):
     line = catalog(spark, SHOP_L, ("abc", 2.0, T1), ("---", 3.0, T1))
     watson = catalog(spark, SHOP_W, ("cab", 1.0, T1))

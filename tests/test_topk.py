@@ -329,3 +329,33 @@ def test_copies_beyond_k_are_dropped_before_the_search(spark):
     assert sorted(r.catalog_id for r in kept.collect()) == [0, 1, 2, 3]
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan[plan.index("Exchange hashpartitioning") :]
+
+
+@pytest.mark.parametrize("limit", [0, T.BROADCAST_BYTES], ids=["block pairs", "broadcast"])
+@pytest.mark.parametrize("k,cut", [(3, None), (2, 0.7)])
+def test_search_in_blocks_agrees_with_brute_force(spark, clustered, limit, k, cut):
+    """One value holds half of all rows, many have a few, one has none on the other side, some are null."""
+    q, c = clustered
+
+    def label(i):
+        return "hot" if i % 2 else None if i % 14 == 4 else f"s{i % 30}" if i % 30 != 8 else f"own {i}"
+
+    def side(vectors, row_id):
+        rows = [(label(i), i % 3 == 0, i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+        df = spark.createDataFrame(rows, f"shelf string, odd boolean, {row_id} bigint, vector array<double>")
+        return valid_vectors(df, "vector")
+
+    want = []
+    for name in {(label(i), i % 3 == 0) for i in range(len(q)) if label(i)}:
+        own, other = ([i for i in range(len(v)) if (label(i), i % 3 == 0) == name] for v in (q, c))
+        if other:
+            want += [(own[a], r, other[b], s) for a, r, b, s in brute(q[own], c[other], k, cut)]
+    catalog = side(c, "catalog_id")
+    df = T.dense_topk(
+        side(q, "query_id"), catalog.unionByName(catalog.limit(50)), k, min_similarity=cut,
+        block_on=["shelf", "odd"], block_rows=20, broadcast_bytes=limit,
+    )
+    assert got(df) == sorted(want)
+    assert ("CoGroups" in df._jdf.queryExecution().toString()) == (limit == 0)
+    nothing = T.dense_topk(side(q, "query_id"), catalog.limit(0), k, block_on=["shelf", "odd"], broadcast_bytes=limit)
+    assert nothing.count() == 0
