@@ -25,6 +25,9 @@ from shelflens.functions.numbers import SCORE_DIGITS
 from shelflens.operators.keep import keep
 
 BLOCK_ROWS = 1024
+#: Vectors of a block of the search through pivots, and blocks of its second round.
+BLOCK_BYTES = 4 << 20
+NEXT = 4
 BROADCAST_BYTES = 64 << 20
 BROADCAST_GROUPS = 100_000
 ROUNDING = 10.0**-SCORE_DIGITS
@@ -249,9 +252,7 @@ def dense_topk(
     small = _within(catalog, broadcast_bytes)
     if small is not None:
         return _broadcast_topk(queries, catalog, small, k, min_similarity)
-    return pivot_topk(
-        queries, catalog, k, min_similarity=min_similarity, pivots=pivots, block_rows=block_rows
-    )
+    return pivot_topk(queries, catalog, k, min_similarity=min_similarity, pivots=pivots)
 
 
 def _within(catalog: DataFrame, max_bytes: int) -> pa.Table | None:
@@ -414,15 +415,20 @@ def pivot_topk(
     pivots: int = 256,
     rings: int = 32,
     near_pivots: int = 8,
-    block_rows: int = BLOCK_ROWS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Exact top ``k`` without a size limit on the catalogue.
 
-    Every catalogue vector belongs to its nearest pivot and to a ring around it by
-    angle. Angles obey the triangle inequality: from the smallest angle between a
-    ring's vectors and any pivot follows how near the ring can come to a query. A
-    first look at the ring nearest to each query gives its k-th best angle so far; then
-    each query visits only the rings that can come nearer than that.
+    Every catalogue vector belongs to its nearest pivot's cell and, by angle, to a ring of it.
+    Angles obey the triangle inequality: from the smallest angle between a ring's vectors and
+    any pivot follows how near the ring can come to a query. Whole cells are packed into blocks
+    of about ``block_bytes``; a larger cell is dealt out to several.
+
+    A query goes to a block at most once, with the list of its rings that can still hold a
+    better hit. It goes in rounds: to the blocks of the rings nearest to it, to the ``NEXT``
+    blocks that can come nearest, then to all others; after each round its k-th best angle is
+    tighter, and what cannot come nearer is not visited. On vectors without any clusters nothing
+    is pruned, and each query visits each block once.
 
     The driver sees a bounded sample to choose pivots from and one summary per ring, at
     most ``pivots * rings`` rows, whatever the catalogue's size.
@@ -451,13 +457,6 @@ def pivot_topk(
             own = angle[np.arange(len(cell)), cell]
             yield batch, cell, np.minimum(own // width, rings - 1).astype(int), own, angle
 
-    def ring_of(batches):
-        for batch, cell, ring, _, _ in placed(batches):
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cell, pa.int32()), pa.array(ring, pa.int32())],
-                names=[*batch.schema.names, "cell", "ring"],
-            )
-
     def summarise(batches):
         """Per ring of this partition: size, range of angles, least angle to each pivot."""
         known: dict[tuple[int, int], list] = {}
@@ -499,71 +498,154 @@ def pivot_topk(
         .orderBy("cell", "ring")
         .toArrow()
     )
-    facts = {c: limits[c].to_numpy() for c in ("cell", "ring", "n", "lo", "hi")}
-    facts["least"] = _matrix(limits["least"]).T.copy()  # pivot by ring
-    table = spark.sparkContext.broadcast(facts)
+    dimension = head["d"]
+    layout = Layout(limits, rings, max(1, block_bytes // (8 * dimension + 64)))
+    table = spark.sparkContext.broadcast(layout)
 
-    def visits(batches, choose):
+    def areas_of(batches):
         t = table.value
-        p = len(centres.value)
-        for batch in _chunks(batches, 4 * max(len(t["cell"]), p)):
-            angle = _angles(_unit(batch) @ centres.value.T)
-            own = angle[:, t["cell"]]
-            bound = np.maximum(0.0, np.maximum(own - t["hi"], t["lo"] - own))
-            # Pivots near the query say most about how far a ring is.
-            m = min(near_pivots, p)
-            near = np.argpartition(angle, m - 1, axis=1)[:, :m]
-            for j in range(m):
-                reach = np.take_along_axis(angle, near[:, j : j + 1], axis=1)
-                bound = np.maximum(bound, t["least"][near[:, j]] - reach)
-            rows, cols = np.nonzero(choose(bound, own, batch, t))
-            base = batch.select(["query_id", "vector", "norm"]).take(pa.array(rows))
+        for batch, cell, ring, _, _ in placed(batches):
+            area = t.area[cell * rings + ring]
+            turn = batch["_turn"].to_numpy(zero_copy_only=False).astype(np.int64)
+            block = t.first[cell] + turn % t.parts[cell]
             yield pa.RecordBatch.from_arrays(
-                [
-                    *base.columns,
-                    pa.array(t["cell"][cols], pa.int32()),
-                    pa.array(t["ring"][cols], pa.int32()),
-                ],
-                names=["query_id", "vector", "norm", "cell", "ring"],
+                [*batch.select(["catalog_id", "vector", "norm"]).columns, pa.array(area, pa.int32()), pa.array(block, pa.int64())],
+                names=["catalog_id", "vector", "norm", "area", "block"],
             )
 
-    def seed(bound, own, _batch, t):
-        """The rings nearest by their pivot that together hold k vectors."""
-        order = np.argsort(bound + own, axis=1, kind="stable")
-        before = np.cumsum(t["n"][order], axis=1) - t["n"][order]
-        chosen = np.zeros(bound.shape, dtype=bool)
-        np.put_along_axis(chosen, order, before < k, axis=1)
-        return chosen
+    def fields(rows: DataFrame) -> str:
+        return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
 
-    def within(bound, _own, batch, _t):
+    turned = catalog.withColumn("_turn", F.pmod(F.xxhash64("catalog_id"), F.lit(1 << 30)))
+    keyed = keep(turned.mapInArrow(areas_of, f"{fields(catalog)}, area int, block bigint"))
+
+    def visits(batches, nth: int):
+        """Each query with the blocks of its ``nth`` round, and the areas that it looks for there."""
+        t = table.value
+        # Copies of a batch's queries stay near 32 MB, however many blocks there are.
+        step = max(1, (32 << 20) // (len(t.block) * (8 * dimension + 64) + 32 * len(t.cell)))
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                yield t.visit(batch.slice(at, step), centres.value, near_pivots, nth, k)
+
+    kernel = _area_kernel(k, min_similarity)
+    visited = f"{fields(queries)}, block bigint, areas array<int>"
+    best = None
+    for nth in range(3):
+        bounded = queries.withColumn("bound", F.lit(None).cast("double"))
+        if best is not None:
+            kth = best.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("bound"))
+            bounded = queries.join(kth, "query_id", "left")
+        if min_similarity is not None:
+            bounded = bounded.withColumn("bound", F.greatest("bound", F.lit(float(min_similarity))))
+        bounded = bounded.withColumn("bound", F.coalesce("bound", F.lit(float("nan"))))
+        # Counted per block, then sent: kept, so that the angles are worked out once.
+        asked = keep(bounded.mapInArrow(lambda b, nth=nth: visits(b, nth), visited))
+        found = block_pairs(asked, keyed, ["block"], kernel, schema, layout.rows)
+        both = found if best is None else best.drop("rank").unionByName(found)
+        best = best_per_query(both, k)
+        if nth < 2:
+            best = keep(best)
+    return best
+
+
+class Layout:
+    """Areas (rings of cells) of a catalogue, and the blocks of whole cells that they lie in."""
+
+    def __init__(self, limits: pa.Table, rings: int, rows: int):
+        self.rows = rows
+        self.cell, ring = limits["cell"].to_numpy(), limits["ring"].to_numpy()
+        self.n, self.lo, self.hi = (limits[c].to_numpy() for c in ("n", "lo", "hi"))
+        self.least = _matrix(limits["least"]).T.copy()  # pivot by area
+        self.area = np.zeros((int(self.cell.max()) + 1) * rings, np.int32)
+        self.area[self.cell * rings + ring] = np.arange(len(self.cell))
+        sizes = np.bincount(self.cell, weights=self.n).astype(np.int64)
+        self.first, self.parts = np.zeros(len(sizes), np.int64), np.maximum(1, -(-sizes // rows))
+        block, held = -1, rows
+        for cell, size in enumerate(sizes.tolist()):
+            if not size:
+                continue
+            if held + size > rows:
+                block, held = block + 1, 0
+            self.first[cell], held = block, held + size
+            if self.parts[cell] > 1:
+                block, held = block + int(self.parts[cell]) - 1, rows
+        # Group of blocks with the same areas: a part of a large cell looks like all its parts.
+        self.group = self.first[self.cell]
+        self.block = np.unique(self.group)
+
+    def bounds(self, angle: np.ndarray, near_pivots: int) -> tuple[np.ndarray, np.ndarray]:
+        """How near each area can come to each query, and the query's angle to the area's pivot."""
+        own = angle[:, self.cell]
+        bound = np.maximum(0.0, np.maximum(own - self.hi, self.lo - own))
+        # Pivots near the query say most about how far a ring is.
+        m = min(near_pivots, angle.shape[1])
+        near = np.argpartition(angle, m - 1, axis=1)[:, :m]
+        for j in range(m):
+            reach = np.take_along_axis(angle, near[:, j : j + 1], axis=1)
+            bound = np.maximum(bound, self.least[near[:, j]] - reach)
+        return bound, own
+
+    def visit(self, batch: pa.RecordBatch, centres: np.ndarray, near_pivots: int, nth: int, k: int) -> pa.RecordBatch:
+        """Rows of the batch, copied to the blocks that they visit in round ``nth``."""
+        bound, own = self.bounds(_angles(_unit(batch) @ centres.T), near_pivots)
         # A little wider than the k-th best: scores are rounded, angles are not exact.
         score = batch["bound"].to_numpy(zero_copy_only=False)
-        widest = _angles(score - 2 * ROUNDING) + 1e-7
-        return bound <= np.where(np.isnan(score), math.pi, widest)[:, None]
+        widest = np.where(np.isnan(score), math.pi, _angles(score - 2 * ROUNDING) + 1e-7)
+        wanted = bound <= widest[:, None]
+        # The areas nearest by their pivot that together hold k vectors.
+        order = np.argsort(bound + own, axis=1, kind="stable")
+        before = np.cumsum(self.n[order], axis=1) - self.n[order]
+        seed = np.zeros(bound.shape, bool)
+        np.put_along_axis(seed, order, before < k, axis=1)
+        number = np.searchsorted(self.block, self.group)
+        turn = np.argsort(number, kind="stable")
+        starts = np.searchsorted(number[turn], np.arange(len(self.block)))
+        nearest = np.minimum.reduceat(bound[:, turn], starts, axis=1)
+        seeded = np.logical_or.reduceat(seed[:, turn], starts, axis=1)
+        # Blocks without a seed in the order in which they can come near; the same in each round.
+        place = np.argsort(np.argsort(np.where(seeded, -1.0, nearest), axis=1, kind="stable"), axis=1) - seeded.sum(1)[:, None]
+        of_round = seeded if nth == 0 else ~seeded & ((place < NEXT) if nth == 1 else (place >= NEXT))
+        looked = wanted & of_round[:, number]
+        goes = np.logical_or.reduceat(looked[:, turn], starts, axis=1)
+        rows, groups = np.nonzero(goes)
+        # The areas of a visit: those of its row that lie in its group.
+        r, areas = np.nonzero(looked[:, turn])
+        lists = np.searchsorted(r * len(self.block) + number[turn][areas], rows * len(self.block) + groups)
+        offsets = np.append(lists, len(areas)).astype(np.int32)
+        parts = np.zeros(len(self.block), np.int64)
+        np.maximum.at(parts, number, self.parts[self.cell])
+        copies = parts[groups]
+        chosen = np.repeat(np.arange(len(rows)), copies)
+        block = np.repeat(self.block[groups] - (np.cumsum(copies) - copies), copies) + np.arange(copies.sum())
+        listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(turn[areas], pa.int32()))
+        base = batch.select(["query_id", "vector", "norm"]).take(pa.array(rows[chosen]))
+        return pa.RecordBatch.from_arrays(
+            [*base.columns, pa.array(block, pa.int64()), listed.take(pa.array(chosen))],
+            names=["query_id", "vector", "norm", "block", "areas"],
+        )
 
-    def fields(rows: DataFrame) -> str:
-        return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
 
-    keys = ["cell", "ring"]
-    keyed = catalog.mapInArrow(ring_of, f"{fields(catalog)}, cell int, ring int")
-    visit_schema = f"{fields(queries)}, cell int, ring int"
+def _area_kernel(k: int, cut: float | None):
+    """Scores of a block pair; rows in areas that no query of the block looks for are left out."""
 
-    first = queries.mapInArrow(lambda b: visits(b, seed), visit_schema)
-    found = block_pairs(first, keyed, keys, _dense_kernel(k, None), schema, block_rows)
-    kth = best_per_query(found, k).groupBy("query_id").agg(
-        F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("bound")
-    )
-    if min_similarity is not None:
-        kth = kth.withColumn("bound", F.greatest("bound", F.lit(float(min_similarity))))
-    bounded = keep(
-        queries.join(kth, "query_id", "left").withColumn(
-            "bound",
-            F.coalesce("bound", F.lit(float("nan") if min_similarity is None else min_similarity)),
-        )
-    )
-    second = bounded.mapInArrow(lambda b: visits(b, within), visit_schema)
-    kernel = _dense_kernel(k, min_similarity)
-    return best_per_query(block_pairs(second, keyed, keys, kernel, schema, block_rows), k)
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return _no_rows(left, right)
+        asked = np.unique(left["areas"].combine_chunks().flatten().to_numpy())
+        right = right.filter(pa.array(np.isin(right["area"].to_numpy(), asked)))
+        if not right.num_rows:
+            return _no_rows(left, right)
+        right = _by_id(right)
+        unit, other, out = _table_unit(left), _table_unit(right), []
+        step = max(1, (32 << 20) // (8 * len(other)))
+        for at in range(0, len(unit), step):
+            scores = _round(unit[at : at + step] @ other.T)
+            rows, cols = _pick(scores, k, cut)
+            out.append(_emit(left["query_id"].slice(at, step), right["catalog_id"], scores, rows, cols))
+        return pa.concat_tables(out)
+
+    return run
 
 
 def _summary_batch(known: dict[tuple[int, int], list]) -> pa.RecordBatch:

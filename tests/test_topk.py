@@ -49,30 +49,60 @@ def test_all_exact_searches_agree_with_brute_force(spark, clustered, k, cut):
     want = brute(q, c, k, cut)
     qs, cs = frame(spark, q, "query_id"), frame(spark, c, "catalog_id")
     assert got(T.dense_topk(qs, cs, k, min_similarity=cut)) == want
-    assert got(T.pivot_topk(qs, cs, k, min_similarity=cut, pivots=9, block_rows=64)) == want
+    assert got(T.pivot_topk(qs, cs, k, min_similarity=cut, pivots=9, block_bytes=9000)) == want
 
 
 def test_a_catalogue_over_the_size_limit_takes_the_pivots(spark, clustered):
     q, c = clustered
     qs, cs = frame(spark, q, "query_id"), frame(spark, c, "catalog_id")
-    df = T.dense_topk(qs, cs, 3, broadcast_bytes=20000, block_rows=50)
+    df = T.dense_topk(qs, cs, 3, broadcast_bytes=20000)
     assert "FlatMapCoGroups" in df._jdf.queryExecution().toString()
     assert got(df) == brute(q, c, 3)
 
 
-def test_pivots_prune(spark, clustered, monkeypatch):
-    q, c = clustered
-    seen = []
-    real = T.block_pairs
+def visits_of(spark, monkeypatch, q, c, **settings):
+    """(query, block, areas) of all rounds of a search, and its result."""
+    seen, real = [], T.block_pairs
 
     def spy(queries, *rest):
         seen.append(queries)
         return real(queries, *rest)
 
     monkeypatch.setattr(T, "block_pairs", spy)
-    T.pivot_topk(frame(spark, q, "query_id"), frame(spark, c, "catalog_id"), 3, pivots=24).collect()
-    rings = frame(spark, q, "query_id").count() * 24 * 32
-    assert 0 < seen[1].count() < rings / 20
+    df = T.pivot_topk(frame(spark, q, "query_id"), frame(spark, c, "catalog_id"), 3, **settings)
+    result = got(df)
+    return [[(r.query_id, r.block, tuple(r.areas)) for r in s.collect()] for s in seen], result
+
+
+def test_pivots_prune(spark, clustered, monkeypatch):
+    q, c = clustered
+    rounds, result = visits_of(spark, monkeypatch, q, c, pivots=24, block_bytes=3000)
+    assert result == brute(q, c, 3) and len(rounds) == 3
+    areas = sum(len(v[2]) for r in rounds for v in r)
+    assert 0 < areas < len(q) * 24 * 32 / 20
+    # A later round visits fewer blocks than there are: the k-th best has been tightened.
+    blocks = {v[1] for r in rounds for v in r}
+    assert sum(map(len, rounds)) < len(q) * len(blocks) / 2
+
+
+def test_without_clusters_a_query_visits_a_block_once(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    q, c = rng.standard_normal((40, 24)), rng.standard_normal((900, 24))
+    rounds, result = visits_of(spark, monkeypatch, q, c, pivots=16, block_bytes=12_000)
+    assert result == brute(q, c, 3)
+    every = [v[:2] for r in rounds for v in r]
+    assert len(every) == len(set(every))
+    assert 15 < len({b for _, b in every}) < 40
+    assert len({v for v in rounds[1]}) <= 40 * T.NEXT * 2
+
+
+def test_a_cell_larger_than_a_block_is_dealt_out(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    c = np.concatenate([np.ones((1, 8)) + 0.01 * rng.standard_normal((600, 8)), rng.standard_normal((30, 8))])
+    q = np.ones((5, 8)) + 0.02 * rng.standard_normal((5, 8))
+    rounds, result = visits_of(spark, monkeypatch, q, c, pivots=4, block_bytes=4000)
+    assert result == brute(q, c, 3)
+    assert len({v[1] for r in rounds for v in r}) > 10
 
 
 def test_fewer_candidates_than_k(spark):
@@ -96,7 +126,7 @@ def test_equal_scores_take_the_lower_id(spark):
     q, c = np.eye(2)[:1], np.ones((50, 2))
     for df in (
         T.dense_topk(frame(spark, q, "query_id"), frame(spark, c, "catalog_id"), 3),
-        T.pivot_topk(frame(spark, q, "query_id"), frame(spark, c, "catalog_id"), 3, block_rows=4),
+        T.pivot_topk(frame(spark, q, "query_id"), frame(spark, c, "catalog_id"), 3, block_bytes=400),
     ):
         assert [r[2] for r in got(df)] == [0, 1, 2]
 
