@@ -20,6 +20,8 @@ HEADLINE = [
     "envelope_stamp", "page_coverage", "distinct_names", "vector_norm", "cosine_topk",
     "cosine_topk_pivots", "lsh_topk", "ngram_vectors", "ngram_topk", "embedding_cache_misses",
     "embedding_lookup", "match_verified", "match_ratio_band", "name_map_build",
+    "match_decide", "match_all_rows", "cosine_topk_blocked", "embedding_refresh", "judge_match",
+    "name_map_update", "snapshot_merge",
 ]
 
 

@@ -381,6 +381,43 @@ ORACLES: dict[str, str] = {
                AS price_from_watson,
              coalesce(score, 0.0) AS similarity
       FROM spoiled s LEFT JOIN best ON query_id = s.vec_id WHERE s.vec_id % 2 = 0""",
+    "embedding_refresh": f"""WITH {_LISTINGS},{_CACHE},
+      known AS (SELECT text, CASE WHEN embedding IS NULL THEN 'failed' ELSE 'ok' END AS status, 'cached' AS origin,
+                       coalesce(len(embedding), 0) AS dimension, round(embedding[1]::DOUBLE, 6) AS first FROM cache),
+      fresh AS (SELECT DISTINCT product_name AS text, CASE WHEN product_name LIKE '%PROMO%' THEN 'failed' ELSE 'ok' END AS status,
+                       'new' AS origin, CASE WHEN product_name LIKE '%PROMO%' THEN 0 ELSE 3 END AS dimension,
+                       CASE WHEN product_name NOT LIKE '%PROMO%' THEN length(product_name)::DOUBLE END AS first
+                FROM parts WHERE product_name NOT IN (SELECT text FROM cache))
+      SELECT text, 'char3' AS model, status, origin, dimension::INTEGER AS dimension, coalesce(first, -9.0) AS first
+      FROM (SELECT * FROM known UNION ALL SELECT * FROM fresh)""",
+    "judge_match": f"""WITH {_ranked(3)},
+      told AS (SELECT *, contains(upper(query_name), 'PROMO') AS failed,
+                      NOT contains(upper(query_name), 'PROMO') AND length(query_name) % 2 = 0 AND len(names) > 0 AS good
+               FROM packed),
+      picked AS (SELECT *, CASE WHEN good THEN len(names) ELSE 1 END AS place FROM told)
+      SELECT query_name, CASE WHEN len(names) = 0 THEN 'Matching Failed' ELSE names[place] END AS base_name,
+             query_price AS price_from_line, CASE WHEN len(names) = 0 THEN 0.0 ELSE prices[place] END AS price_from_watson,
+             CASE WHEN len(names) = 0 THEN 0.0 ELSE scores[place] END AS similarity, good AS verified_match,
+             CASE WHEN failed THEN 3 ELSE 1 END AS attempts, failed
+      FROM picked""",
+    "name_map_update": f"""WITH {_ranked(3)},{_RULE},
+      pairs AS (SELECT DISTINCT query_name, base_name, price_from_line AS price FROM decided
+                WHERE similarity >= 0.8 AND verified_match),
+      earlier AS (SELECT row_number() OVER (ORDER BY {_PAIR_BUCKET}, query_name, base_name) AS product_no, query_name, base_name
+                  FROM pairs WHERE price > 30000),
+      fresh AS (SELECT (SELECT coalesce(max(product_no), 0) FROM earlier)
+                       + row_number() OVER (ORDER BY {_PAIR_BUCKET}, query_name, base_name) AS product_no, query_name, base_name
+                FROM pairs ANTI JOIN earlier USING (query_name, base_name) WHERE price < 50000)
+      SELECT product_no, query_name AS query_product_name_from_line, base_name AS base_product_name_from_watson
+      FROM (SELECT * FROM fresh UNION ALL
+            SELECT * FROM earlier SEMI JOIN (SELECT * FROM pairs WHERE price < 50000) USING (query_name, base_name))""",
+    "snapshot_merge": f"""WITH {_LISTINGS},
+      placed AS (SELECT *, CAST(ingest_timestamp_utc AS DATE) AS day, row_number() OVER (
+          PARTITION BY CAST(ingest_timestamp_utc AS DATE), ecommerce_name, product_name
+          ORDER BY ingest_timestamp_utc DESC, sale_price IS NULL AND ecommerce_name = 'watson', sale_price ASC NULLS FIRST) AS place
+        FROM listings)
+      SELECT day, ecommerce_name, product_name, coalesce(sale_price, -1.0) AS sale_price, ingest_timestamp_utc
+      FROM placed WHERE place = 1""",
     "name_map_build": f"""WITH {_ranked(3)},{_RULE},
       pairs AS (SELECT DISTINCT query_name, base_name FROM decided
                 WHERE similarity >= 0.8 AND verified_match)

@@ -24,7 +24,7 @@ from shelflens.config import (
 )
 from shelflens.functions import variants as V
 from shelflens.functions.numbers import SCORE_DIGITS, clean_price
-from shelflens.operators import decide, flatten, history, latest, namemap, paging, topk, verify
+from shelflens.operators import decide, embed, flatten, history, latest, namemap, paging, snapshot, topk, verify
 from shelflens.operators import sparse_topk as sparse
 from shelflens.operators.keep import keep, spread
 from shelflens.operators.embed import trigram_vectors, valid_trigrams
@@ -422,6 +422,22 @@ def _cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def letter_vectors(texts: list[str]) -> list[list[float]]:
+    """A service that embeds by length and letters, and fails on any batch with a promotion in it."""
+    if any("PROMO" in t for t in texts):
+        raise RuntimeError("no vector for a promotion")
+    return [[float(len(t)), float(t.count("e")), 1.0] for t in texts]
+
+
+def embedding_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = D.parts(spark, sf_dir).select(F.col("product_name").alias("text"))
+    rows = embed.refreshed(names, _cache(spark, sf_dir), MODEL, letter_vectors)
+    return rows.select(
+        "text", "model", "status", "origin", F.size("embedding").alias("dimension"),
+        F.coalesce(F.round(F.get("embedding", F.lit(0)).cast("double"), SCORE_DIGITS), F.lit(-9.0)).alias("first"),
+    )
+
+
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All listing names, and a blank for every product sold by the piece."""
     return D.listings(spark, sf_dir).select(
@@ -484,6 +500,21 @@ def verify_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def choosy_judge(payload: str) -> str:
+    """A judge that takes the last candidate of names of even length and cannot stand promotions."""
+    name, rest = payload.removeprefix("Base product: ").split("\nCandidates:\n", 1)
+    if "PROMO" in name.upper():
+        raise RuntimeError("no answer")
+    listed = [line[2:] for line in rest.split("\n") if line.startswith("- ")]
+    return f" {listed[-1]}\n" if len(name) % 2 == 0 and listed else "None"
+
+
+def judge_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = verify.verify_payload(_candidates(spark, sf_dir))
+    replied = verify.judge_reply(asked, choosy_judge, attempts=3, pause=0.0)
+    return _brief(decide.decide_match(verify.resolve_reply(replied), also=("attempts", "failed")))
+
+
 def match_decide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _brief(matching.match_catalogs(*_match_sides(spark, sf_dir), block_on=["brand"]))
 
@@ -537,6 +568,23 @@ def name_map_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return namemap.build_name_map(_verified(spark, sf_dir))
 
 
+def name_map_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The map of all matches, after one of the dearer products' matches alone."""
+    matches = keep(_verified(spark, sf_dir))
+    earlier = namemap.build_name_map(matches.filter("price_from_line > 30000"))
+    return namemap.update_name_map(namemap.accepted_pairs(matches.filter("price_from_line < 50000")), earlier)
+
+
+def snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest rows of each day and shop, by way of those of 16 loads a day."""
+    load = F.concat(F.lit("load-"), (F.col("l_orderkey") % 16).cast("string"))
+    rows = D.listings(spark, sf_dir).select(*HISTORY_COLUMNS, load.alias("load_id"))
+    return snapshot.merge_partials(snapshot.load_partials(rows)).select(
+        "day", "ecommerce_name", "product_name", F.coalesce("sale_price", F.lit(-1.0)).alias("sale_price"),
+        "ingest_timestamp_utc",
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -547,7 +595,7 @@ QUERIES: dict[str, Query] = {
         cosine_top1, cosine_topk_pivots, cosine_topk_blocked, lsh_topk, ngram_vectors, ngram_topk,
         embedding_cache_misses, embedding_lookup, verify_payload, verify_rule, verify_resolve,
         match_decide, match_all_rows, match_verified, match_ratio_min, match_ratio_band, match_missing_vector,
-        name_map_build,
+        name_map_build, embedding_refresh, judge_match, name_map_update, snapshot_merge,
     )
 }
 QUERIES["history_build"] = history_build_query

@@ -107,6 +107,14 @@ class JobConfig:
     def name_map(self) -> str:
         return f"{self.root}/base_product_name"
 
+    @property
+    def name_numbers(self) -> str:
+        return f"{self.root}/cache/name_numbers"
+
+    @property
+    def snapshots(self) -> str:
+        return f"{self.root}/cache/snapshots"
+
     @property
     def embedding_cache(self) -> str:
         return f"{self.root}/cache/embeddings"

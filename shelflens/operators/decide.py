@@ -39,8 +39,9 @@ def pack_candidates(topk: DataFrame, queries: DataFrame, base: DataFrame) -> Dat
     ).withColumn("names", F.col("candidates.name"))
 
 
-def decide_match(rows: DataFrame) -> DataFrame:
+def decide_match(rows: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
     """The verified candidate with its own price and score, else the best one unverified.
+    The columns ``also`` go along.
 
     A failed judge means no match, so the best candidate stays as an unverified row; only a
     query without candidates gets the placeholder row.
@@ -58,6 +59,7 @@ def decide_match(rows: DataFrame) -> DataFrame:
         F.when(lost, F.lit(0.0)).otherwise(F.col("_c.price")).alias("price_from_watson"),
         F.when(lost, F.lit(0.0)).otherwise(F.col("_c.score")).alias("similarity"),
         (verified & ~lost).alias("verified_match"),
+        *also,
     )
 
 

@@ -36,6 +36,24 @@ def valid_trigrams(texts: DataFrame, text: str = "product_name") -> DataFrame:
     return trigram_vectors(texts.filter(F.length(text) > 0), text)
 
 
+def asked_in_halves(ask: EmbedFunction, texts: list[str]) -> list[list[float] | None]:
+    """The vector of each text; None for a text that fails alone.
+
+    A batch that fails is asked again in two halves, so one bad text costs some more calls and
+    none of its neighbours.
+    """
+    try:
+        vectors = [[float(x) for x in v] for v in ask(texts)]
+        if len(vectors) != len(texts):
+            raise ValueError("one vector per text expected")
+        return vectors
+    except Exception:
+        if len(texts) == 1:
+            return [None]
+    half = len(texts) // 2
+    return asked_in_halves(ask, texts[:half]) + asked_in_halves(ask, texts[half:])
+
+
 def embed_texts(
     misses: DataFrame,
     embed: EmbedFunction,
@@ -48,8 +66,9 @@ def embed_texts(
 ) -> DataFrame:
     """Run a user function over ``(text, model)`` rows in batches.
 
-    A batch that raises in all ``attempts`` becomes ``failed`` rows with empty vectors,
-    so that the next run does not try it again unless asked to. The texts are spread
+    A batch that raises in all ``attempts`` is halved until the texts that fail are alone;
+    these become ``failed`` rows with empty vectors, so that the next run does not try them
+    again unless asked to. The texts are spread
     over ``partitions`` tasks (see ``spread`` for the default): the function, not the
     amount of text, sets the time.
     """
@@ -59,19 +78,13 @@ def embed_texts(
         for frame in frames:
             for start in range(0, len(frame), batch_size):
                 part = frame.iloc[start : start + batch_size]
-                try:
-                    vectors = [[float(x) for x in v] for v in ask(part["text"].tolist())]
-                    if len(vectors) != len(part):
-                        raise ValueError("one vector per text expected")
-                    status = [OK if v else FAILED for v in vectors]
-                except Exception:
-                    vectors, status = [[] for _ in range(len(part))], FAILED
+                vectors = asked_in_halves(ask, part["text"].tolist())
                 yield pd.DataFrame(
                     {
                         "text": part["text"].values,
                         "model": part["model"].values,
-                        "embedding": vectors,
-                        "status": status,
+                        "embedding": [v or [] for v in vectors],
+                        "status": [OK if v else FAILED for v in vectors],
                     }
                 )
                 if pause:
@@ -80,6 +93,25 @@ def embed_texts(
     return spread(misses.select("text", "model"), partitions).mapInPandas(run, CACHE_SCHEMA)
 
 
+def embed_misses(
+    texts: DataFrame, cache: DataFrame, model: str, embed: EmbedFunction, *,
+    batch_size: int = EMBED_BATCH, retry_failed: bool = False, attempts: int = 1,
+) -> DataFrame:
+    """Cache rows, with their states, of the texts that the cache lacks; nothing is stored."""
+    misses = cache_misses(texts, cache, model, retry_failed)
+    return embed_texts(misses, embed, batch_size, attempts=attempts)
+
+
+def refreshed(
+    texts: DataFrame, cache: DataFrame, model: str, embed: EmbedFunction, *,
+    batch_size: int = EMBED_BATCH, attempts: int = 1,
+) -> DataFrame:
+    """The model's cache rows as they are after a refresh, with ``origin``: cached or new."""
+    new = embed_misses(texts, cache, model, embed, batch_size=batch_size, attempts=attempts)
+    known = cache.filter(F.col("model") == model).select("text", "model", "embedding", "status")
+    return known.withColumn("origin", F.lit("cached")).unionByName(new.withColumn("origin", F.lit("new")))
+
+
 def refresh_cache(
     texts: DataFrame,
     cache_path: str,
@@ -102,10 +134,10 @@ def refresh_cache(
         cache = read_cache(texts, cache_path)
     else:
         cache = spark.createDataFrame([], CACHE_SCHEMA)
-    misses = cache_misses(texts, cache, model, retry_failed)
-    embed_texts(misses, embed, batch_size, attempts=attempts).write.mode("append").partitionBy(
-        "model", "status"
-    ).parquet(cache_path)
+    new = embed_misses(
+        texts, cache, model, embed, batch_size=batch_size, retry_failed=retry_failed, attempts=attempts
+    )
+    new.write.mode("append").partitionBy("model", "status").parquet(cache_path)
     return read_cache(texts, cache_path)
 
 

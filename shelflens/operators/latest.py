@@ -44,14 +44,18 @@ def latest_per_product(
     )
 
 
-def latest_by_shop(rows: DataFrame, prefer_priced: bool = False) -> DataFrame:
+def latest_by_shop(
+    rows: DataFrame,
+    prefer_priced: bool = False,
+    keys: tuple[str, ...] = ("ecommerce_name", "product_name"),
+) -> DataFrame:
     """Both rules in one pass over both shops: ``latest_per_product`` for shop W,
     ``latest_cheapest`` for every other shop."""
     missing = F.col("sale_price").isNull()
     nulls_last = missing if prefer_priced else missing & (F.col("ecommerce_name") == SHOP_W)
     return _keep_first(
         rows,
-        ["ecommerce_name", "product_name"],
+        list(keys),
         [
             F.col("ingest_timestamp_utc").desc_nulls_first(),
             nulls_last.asc(),

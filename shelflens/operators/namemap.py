@@ -10,8 +10,10 @@ from shelflens.config import MAP_BASE_NAME, MAP_QUERY_NAME, MATCH_BASE_NAME, MAT
 BUCKET_DIGITS = 3
 
 
-def number_rows(rows: DataFrame, keys: list[str], name: str, digits: int = BUCKET_DIGITS):
-    """Number distinct rows 1, 2, 3, ... in a fixed order.
+def number_rows(
+    rows: DataFrame, keys: list[str], name: str, digits: int = BUCKET_DIGITS, after: int = 0
+) -> DataFrame:
+    """Number distinct rows ``after`` + 1, + 2, + 3, ... in a fixed order.
 
     The order is by bucket (first hex digits of a hash of the keys), then by the keys.
     Buckets are even whatever the keys are, each is numbered on its own, and only the
@@ -30,13 +32,16 @@ def number_rows(rows: DataFrame, keys: list[str], name: str, digits: int = BUCKE
     return (
         marked.withColumn("_i", inside)
         .join(F.broadcast(offsets), "_bucket")
-        .withColumn(name, F.col("_offset") + F.col("_i"))
+        .withColumn(name, F.col("_offset") + F.col("_i") + F.lit(after))
         .drop("_bucket", "_i", "_offset")
     )
 
 
-def build_name_map(matches: DataFrame, reviewed: DataFrame | None = None) -> DataFrame:
-    """Distinct matched pairs, numbered, in the report's column names.
+NAMES = [MAP_QUERY_NAME, MAP_BASE_NAME]
+
+
+def accepted_pairs(matches: DataFrame, reviewed: DataFrame | None = None) -> DataFrame:
+    """Distinct matched pairs in the report's column names.
 
     ``reviewed`` may hold a person's decisions: the two name columns and ``accepted``.
     A rejected pair is left out, an accepted one is added even if not matched.
@@ -45,10 +50,32 @@ def build_name_map(matches: DataFrame, reviewed: DataFrame | None = None) -> Dat
         F.col(MATCH_QUERY_NAME).alias(MAP_QUERY_NAME),
         F.col(MATCH_BASE_NAME).alias(MAP_BASE_NAME),
     )
-    names = [MAP_QUERY_NAME, MAP_BASE_NAME]
     if reviewed is not None:
-        refused = reviewed.filter(~F.col("accepted")).select(*names)
-        pairs = pairs.join(refused, names, "left_anti").unionByName(
-            reviewed.filter("accepted").select(*names)
+        refused = reviewed.filter(~F.col("accepted")).select(*NAMES)
+        pairs = pairs.join(refused, NAMES, "left_anti").unionByName(
+            reviewed.filter("accepted").select(*NAMES)
         )
-    return number_rows(pairs.distinct(), names, "product_no").select("product_no", *names)
+    return pairs.distinct()
+
+
+def build_name_map(matches: DataFrame, reviewed: DataFrame | None = None) -> DataFrame:
+    """The accepted pairs, numbered from 1."""
+    pairs = accepted_pairs(matches, reviewed)
+    return number_rows(pairs, NAMES, "product_no").select("product_no", *NAMES)
+
+
+def new_numbers(pairs: DataFrame, numbered: DataFrame) -> DataFrame:
+    """Numbers for the ``pairs`` that ``numbered`` lacks, from its greatest number on."""
+    top = numbered.agg(F.max("product_no")).first()[0] or 0
+    fresh = pairs.join(numbered.select(*NAMES), NAMES, "left_anti")
+    return number_rows(fresh, NAMES, "product_no", after=top).select("product_no", *NAMES)
+
+
+def update_name_map(pairs: DataFrame, numbered: DataFrame) -> DataFrame:
+    """The map of ``pairs``: each keeps the number it ever had, new ones get new numbers.
+
+    ``numbered`` holds every number that was ever given, also those of pairs that are matched
+    no more: a number never passes to another pair, and a pair that comes back has its own.
+    """
+    old = numbered.join(pairs, NAMES, "left_semi").select("product_no", *NAMES)
+    return old.unionByName(new_numbers(pairs, numbered))

@@ -11,8 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelflens.functions.retry import retrying
 from shelflens.functions.text import bullet_list, number_tokens, tokens, unicode_trim
+from shelflens.operators.attempts import in_rounds
 from shelflens.operators.keep import spread
 
 MIN_JACCARD = 0.8
@@ -55,16 +55,16 @@ def verify_payload(
 def judge_reply(
     rows: DataFrame, judge: Judge, attempts: int = 3, pause: float = 5.0
 ) -> DataFrame:
-    """Add ``reply`` by asking ``judge`` with each ``payload``; ``failed`` tells that all
-    attempts raised."""
+    """Add ``reply`` by asking ``judge`` with each ``payload``; ``attempts`` says in which round
+    it came, ``failed`` that all raised. Only rows that failed are asked again, see
+    ``in_rounds``."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ask = retrying(judge, attempts, pause)
         for frame in frames:
             replies, failed = [], []
             for payload in frame["payload"]:
                 try:
-                    replies.append(ask(payload))
+                    replies.append(judge(payload))
                     failed.append(False)
                 except Exception:
                     replies.append(None)
@@ -73,7 +73,8 @@ def judge_reply(
                                failed=failed)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return spread(rows).mapInPandas(run, f"{fields}, reply string, failed boolean")
+    schema = f"{fields}, reply string, failed boolean"
+    return in_rounds(rows, lambda some: spread(some).mapInPandas(run, schema), attempts, pause)
 
 
 def resolve_reply(

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from shelflens.config import SPECS, JobConfig
 from shelflens.operators.flatten import decode_products
 from shelflens.operators.history import history_rows, union_sources
+from shelflens.operators.snapshot import load_partials
 from shelflens.sources.files import remove_matches
 from shelflens.sources.landing import scan_landed, scan_landing
-from shelflens.sources.sinks import load_folders, load_history
+from shelflens.sources.sinks import load_folders, load_history, load_snapshot
 
 
 def decode_sources(by_spec: dict, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -56,8 +57,11 @@ def store_load(
         )
         if loads:
             load_history(rows, config.history, load_id, config.table_format)
+            partials = load_partials(rows.withColumn("load_id", F.lit(load_id)))
+            load_snapshot(partials, config.snapshots, load_id, config.table_format)
         else:
             remove_matches(decoded.sparkSession, load_folders(config.history, load_id))
+            remove_matches(decoded.sparkSession, f"{config.snapshots}/day=*/load_id={load_id}")
         return [r["ts"] for r in loads]
     finally:
         decoded.unpersist()

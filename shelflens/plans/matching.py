@@ -13,7 +13,7 @@ from shelflens.operators.embed import EmbedFunction, refresh_cache, valid_trigra
 from shelflens.operators.history import split_catalogs
 from shelflens.operators.keep import keep, spread
 from shelflens.operators.latest import latest_per_product
-from shelflens.operators.namemap import build_name_map
+from shelflens.operators.namemap import NAMES, accepted_pairs, new_numbers
 from shelflens.operators.sparse_topk import sparse_topk
 from shelflens.operators.topk import dense_topk
 from shelflens.operators.vectors import cache_lookup, require_vectors, valid_vectors
@@ -24,8 +24,9 @@ from shelflens.operators.verify import (
     rule_reply,
     verify_payload,
 )
+from shelflens.sources.files import path_exists
 from shelflens.sources.sinks import write_csv
-from shelflens.sources.tables import read_history
+from shelflens.sources.tables import NAME_MAP_SCHEMA, read_history
 
 Search = Callable[[DataFrame, DataFrame, int, list[str]], DataFrame]
 
@@ -204,6 +205,17 @@ def run_matching(
 def write_name_map(
     spark: SparkSession, config: JobConfig, reviewed: DataFrame | None = None
 ) -> None:
-    """Number the stored matches (and reviews) and save them as the map CSV."""
-    matches = spark.read.parquet(config.match_result)
-    write_csv(build_name_map(matches, reviewed), config.name_map, mode="overwrite")
+    """Number the stored matches (and reviews) and save them as the map CSV.
+
+    Numbers are given once: new pairs are added to the list of numbers, then the map is the
+    part of it that is matched or accepted now. A run that is repeated adds nothing.
+    """
+    pairs = keep(accepted_pairs(spark.read.parquet(config.match_result), reviewed))
+    if path_exists(spark, config.name_numbers):
+        numbered = spark.read.schema(NAME_MAP_SCHEMA).parquet(config.name_numbers)
+    else:
+        numbered = spark.createDataFrame([], NAME_MAP_SCHEMA)
+    new_numbers(pairs, numbered).write.mode("append").parquet(config.name_numbers)
+    numbered = spark.read.schema(NAME_MAP_SCHEMA).parquet(config.name_numbers)
+    current = numbered.join(pairs, NAMES, "left_semi").select("product_no", *NAMES)
+    write_csv(current, config.name_map, mode="overwrite")

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelflens.config import MAP_BASE_NAME, MAP_QUERY_NAME, SHOP_L, SHOP_W, JobConfig
 from shelflens.operators.latest import latest_by_shop
 from shelflens.sources.sinks import write_manifest, write_report
-from shelflens.sources.tables import history_for_day, read_history, read_name_map
+from shelflens.sources.tables import history_for_day, read_history, read_name_map, read_snapshots
 
 REPORT_COLUMNS = [
     "product_no", "product_name", "price_from_line", "price_from_watson", "diff",
@@ -82,33 +80,69 @@ def price_report(
 
 
 def step_counts(history: DataFrame, name_map: DataFrame, day: dt.date) -> DataFrame:
-    """Rows per shop after each step of the report ``(step, ecommerce_name, n)``."""
-    loaded = history_for_day(history, day).filter(F.col("ecommerce_name").isin(SHOP_L, SHOP_W))
-    latest = latest_by_shop(
-        loaded.select("product_name", "sale_price", "ingest_timestamp_utc", "ecommerce_name")
+    """Rows per shop after each step of the report ``(step, ecommerce_name, n)``.
+
+    One pass: a product is one row with its number of listings, so it stands for its one latest
+    row; each of its catalogue numbers is a mapped row, and a number's rows in both shops pair
+    up. Listings are read once and shuffled once, as counts per product.
+    """
+    shop = F.col("ecommerce_name")
+    loaded = history_for_day(history, day).filter(shop.isin(SHOP_L, SHOP_W))
+    products = loaded.groupBy("ecommerce_name", "product_name").agg(F.count(F.lit(1)).alias("listings"))
+    # A name's numbers are the names it is matched with: a few.
+    numbers = map_entries(name_map).groupBy("ecommerce_name", "product_name").agg(
+        F.collect_list("product_no").alias("numbers")
+    )
+
+    def fact(step: str, of: Column, number: Column, line: Column, watson: Column) -> Column:
+        return F.struct(
+            F.lit(step).alias("step"), of.alias("of"), number.alias("number"),
+            line.cast("long").alias("line"), watson.cast("long").alias("watson"),
+        )
+
+    none, zero = F.lit(None).cast(name_map.schema["product_no"].dataType), F.lit(0)
+    listed = F.coalesce("numbers", F.array().cast(numbers.schema["numbers"].dataType))
+    facts = F.concat(
+        F.array(
+            fact("loaded", shop, none, F.col("listings"), zero),
+            fact("latest", shop, none, F.lit(1), zero),
+            fact("mapped", shop, none, F.size(listed), zero),
+        ),
+        F.transform(
+            listed,
+            lambda no: fact("compared", F.lit("both"), no, (shop == SHOP_L).cast("int"), (shop == SHOP_W).cast("int")),
+        ),
+    )
+    summed = (
+        products.join(numbers, ["ecommerce_name", "product_name"], "left")
+        .select(F.explode(facts).alias("f"))
+        .groupBy("f.step", "f.of", "f.number")
+        .agg(F.sum("f.line").alias("line"), F.sum("f.watson").alias("watson"))
     )
-    mapped = map_join(latest, name_map)
-    both = compare(mapped).withColumn("ecommerce_name", F.lit("both"))
-    steps = [("loaded", loaded), ("latest", latest), ("mapped", mapped), ("compared", both)]
-    return reduce(
-        DataFrame.union,
-        [
-            df.groupBy("ecommerce_name")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select(F.lit(step).alias("step"), "ecommerce_name", "n")
-            for step, df in steps
-        ],
+    n = F.when(F.col("step") == "compared", F.col("line") * F.col("watson")).otherwise(F.col("line"))
+    return (
+        summed.groupBy("step", F.col("of").alias("ecommerce_name"))
+        .agg(F.sum(n).alias("n"))
+        .filter("n > 0")
+        .select("step", "ecommerce_name", "n")
     )
 
 
 def run_report(
-    spark: SparkSession, config: JobConfig, day: dt.date, run_ts: dt.datetime
-) -> int:
+    spark: SparkSession, config: JobConfig, day: dt.date, run_ts: dt.datetime,
+    from_snapshots: bool = False,
+) -> int:
     """Read history and map, write the day's report and its manifest.
 
-    Returns the number of report rows; nothing is written when there are none.
+    With ``from_snapshots`` the day's loads' latest rows are read instead of its listings: the
+    same report where all loads came through ``store_load``. Returns the number of report rows;
+    nothing is written when there are none.
     """
-    history = read_history(spark, config.history, config.table_format)
+    if from_snapshots:
+        snapshots = read_snapshots(spark, config.snapshots, config.table_format)
+        history = snapshots.filter(F.col("day") == F.lit(day))
+    else:
+        history = read_history(spark, config.history, config.table_format)
     report = price_report(history, read_name_map(spark, config.name_map), day)
     path = config.report(day)
     rows = write_report(report, path, ["product_no", "product_name"])

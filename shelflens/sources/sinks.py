@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from shelflens.sources.files import remove_matches
 from shelflens.sources.tables import CSV_OPTIONS, HISTORY_COLUMNS
 
 MANIFEST_SCHEMA = "path string, row_count bigint, written_at timestamp_ntz"
@@ -40,6 +41,18 @@ def load_history(rows: DataFrame, path: str, load_id: str, fmt: str = "parquet")
     )
 
 
+def load_snapshot(partials: DataFrame, path: str, load_id: str, fmt: str = "parquet") -> None:
+    """Write one load's latest rows below their days, in place of what the load left before."""
+    remove_matches(partials.sparkSession, f"{path}/day=*/load_id={load_id}")
+    (
+        partials.select(*HISTORY_COLUMNS, "day", F.lit(load_id).alias("load_id"))
+        .write.format(fmt)
+        .mode("append")
+        .partitionBy("day", "load_id")
+        .save(path)
+    )
+
+
 def write_csv(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
     rows.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 

@@ -67,6 +67,11 @@ def read_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return reader.load(path).select(*HISTORY_COLUMNS)
 
 
+def read_snapshots(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The loads' latest rows, with ``day`` and ``load_id``."""
+    return spark.read.format(fmt).schema(HISTORY_SCHEMA + ", day date, load_id string").load(path)
+
+
 def history_for_day(history: DataFrame, day: dt.date) -> DataFrame:
     """Rows loaded on one UTC day.
 

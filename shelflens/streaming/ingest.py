@@ -22,13 +22,16 @@ def load_time(modified: Column, day: Column) -> Column:
     return F.when(day.isNull(), modified).otherwise(F.least(F.greatest(modified, start), end))
 
 
-def load_batch(config: JobConfig, stream: str, report: bool) -> Callable[[DataFrame, int], None]:
+def load_batch(
+    config: JobConfig, stream: str, report: bool, from_snapshots: bool = True
+) -> Callable[[DataFrame, int], None]:
     """The work on one micro-batch.
 
     A document's load time is its file's time, moved into the day of its landing folder
     if it lies outside, so that a late file counts for the day it was landed for, as in
     batch. The load is named by the batch number: a batch that is retried after a failure
-    writes the same rows to the same place. Every day with new rows is reported.
+    writes the same rows to the same place. Every day with new rows is reported, from its
+    loads' latest rows unless ``from_snapshots`` is off.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -49,7 +52,7 @@ def load_batch(config: JobConfig, stream: str, report: bool) -> Callable[[DataFr
             batch.unpersist()
         if loads and report and path_exists(spark, config.name_map):
             for newest in loads:
-                run_report(spark, config, newest.date(), newest)
+                run_report(spark, config, newest.date(), newest, from_snapshots)
 
     return run
 
@@ -60,16 +63,18 @@ def start_ingest(
     *,
     stream: str = "landing",
     report: bool = True,
+    from_snapshots: bool = True,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Load what has landed since the last run, then stop (``availableNow``).
 
-    Progress is kept below the storage root, so each file counts once across runs.
+    ``from_snapshots`` reports from the loads' latest rows; it must be off where other writers
+    than loads add to the history. Progress is kept below the storage root, so each file counts once across runs.
     """
     source = stream_landing(spark, config, files_per_batch)
     return (
         source.writeStream.queryName(stream)
-        .foreachBatch(load_batch(config, stream, report))
+        .foreachBatch(load_batch(config, stream, report, from_snapshots))
         .option("checkpointLocation", f"{config.root}/checkpoints/{stream}")
         .trigger(availableNow=True)
         .start()
