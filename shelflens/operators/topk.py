@@ -28,6 +28,8 @@ BLOCK_ROWS = 1024
 #: Vectors of a block of the search through pivots, and blocks of its second round.
 BLOCK_BYTES = 4 << 20
 NEXT = 4
+#: Catalogue rows of a bucket of the approximate search, about.
+BUCKET_ROWS = 64
 BROADCAST_BYTES = 64 << 20
 BROADCAST_GROUPS = 100_000
 ROUNDING = 10.0**-SCORE_DIGITS
@@ -670,47 +672,65 @@ def lsh_topk(
     k: int = 3,
     *,
     tables: int = 16,
-    bits: int = 6,
+    bits: int | None = None,
+    probes: int = 0,
     seed: int = 7,
     min_similarity: float | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Approximate top ``k``: only pairs that share a random-hyperplane bucket in one
-    of ``tables`` tables are scored. More tables find more, more bits score less."""
+    of ``tables`` tables are scored. More tables find more, more bits score less.
+
+    Without ``bits`` they follow from the number of catalogue rows, so that a bucket holds
+    about ``BUCKET_ROWS`` however large the catalogue is. A query also looks into ``probes``
+    more buckets of each table: those beyond the hyperplanes that it lies nearest to.
+    """
+    catalog = few_copies(catalog.select("catalog_id", "vector", "norm"), k, ["vector"])
     d = catalog.select(F.size("vector").alias("d")).first()
     schema = _score_schema(queries, catalog)
     if d is None:
         return best_per_query(queries.sparkSession.createDataFrame([], schema), k)
+    if bits is None:
+        catalog = keep(catalog)
+        bits = lsh_bits(catalog.count())
     planes = np.random.default_rng(seed).standard_normal((d["d"], tables * bits))
     weights = 1 << np.arange(bits, dtype=np.int64)
 
-    def buckets(batches):
-        for batch in _chunks(batches, tables * bits):
-            v = _matrix(batch["vector"])
-            signs = (v @ planes >= 0).reshape(len(v), tables, bits)
-            marks = (signs * weights).sum(axis=2)
-            rows = np.repeat(np.arange(len(v)), tables)
+    def buckets(batches, probes: int):
+        ways = 1 + min(probes, bits)
+        for batch in _chunks(batches, tables * max(bits, ways)):
+            sides = (_unit(batch) @ planes).reshape(batch.num_rows, tables, bits)
+            own = ((sides >= 0) * weights).sum(axis=2)
+            # The nearest hyperplanes first; beyond each lies one more bucket.
+            near = np.argsort(np.abs(sides), axis=2, kind="stable")[:, :, : ways - 1]
+            marks = np.concatenate([own[:, :, None], own[:, :, None] ^ weights[near]], axis=2)
+            rows = np.repeat(np.arange(batch.num_rows), tables * ways)
             base = batch.take(pa.array(rows))
             yield pa.RecordBatch.from_arrays(
                 [
                     *base.columns,
-                    pa.array(np.tile(np.arange(tables), len(v)), pa.int32()),
+                    pa.array(np.tile(np.repeat(np.arange(tables), ways), batch.num_rows), pa.int32()),
                     pa.array(marks.ravel(), pa.int64()),
                 ],
                 names=[*base.schema.names, "table", "bucket"],
             )
 
-    def keyed(side: DataFrame, row_id: str) -> DataFrame:
+    def keyed(side: DataFrame, row_id: str, probes: int) -> DataFrame:
         side = side.select(row_id, "vector", "norm")
         fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in side.schema)
-        return side.mapInArrow(buckets, f"{fields}, table int, bucket bigint")
+        return side.mapInArrow(lambda b: buckets(b, probes), f"{fields}, table int, bucket bigint")
 
     found = block_pairs(
-        keyed(queries, "query_id"),
-        keyed(few_copies(catalog, k, ["vector"]), "catalog_id"),
+        keyed(queries, "query_id", probes),
+        keyed(catalog, "catalog_id", 0),
         ["table", "bucket"],
         _dense_kernel(k, min_similarity),
         schema,
         block_rows,
     )
     return best_per_query(found, k)
+
+
+def lsh_bits(rows: int) -> int:
+    """Bits of a bucket's number for buckets of about ``BUCKET_ROWS``."""
+    return max(1, math.ceil(math.log2(max(rows, 1) / BUCKET_ROWS)))

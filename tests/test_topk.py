@@ -140,6 +140,31 @@ def test_lsh_recall(spark, clustered):
     assert len(exact & found) / len(exact) >= 0.9
 
 
+def test_lsh_scores_a_falling_share_of_all_pairs(spark, monkeypatch):
+    """Buckets stay as they are while the catalogue grows; probes make up for the bits."""
+    rng = np.random.default_rng(9)
+    scored, real = [], T.block_pairs
+
+    def spy(queries, catalog, keys, *rest):
+        pairs = queries.groupBy(*keys).count().join(catalog.groupBy(*keys).agg(F.count("*").alias("n")), keys)
+        scored.append(pairs.agg(F.sum(F.col("count") * F.col("n"))).first()[0])
+        return real(queries, catalog, keys, *rest)
+
+    monkeypatch.setattr(T, "block_pairs", spy)
+    shares = []
+    for n in (1000, 8000):
+        centres = rng.standard_normal((n // 20, 24))
+        c = np.repeat(centres, 20, axis=0) + 0.15 * rng.standard_normal((n, 24))
+        q = centres[:50] + 0.15 * rng.standard_normal((50, 24))
+        df = T.lsh_topk(frame(spark, q, "query_id"), frame(spark, c, "catalog_id"), 3, tables=4, probes=2)
+        exact = {(a, b) for a, _, b, _ in brute(q, c, 3)}
+        found = {(r.query_id, r.catalog_id) for r in df.collect()}
+        assert len(exact & found) / len(exact) >= 0.9
+        shares.append(scored[-1] / (50 * n))
+    assert T.lsh_bits(1000) == 4 and T.lsh_bits(8000) == 7 and T.lsh_bits(0) == 1
+    assert shares[0] < 1 and shares[1] < shares[0] / 3
+
+
 def test_vector_validity(spark):
     nan = float("nan")
     rows = spark.createDataFrame(
