@@ -6,16 +6,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _quoted_bare_numbers(text: Column) -> Column:
+    """``text`` with quotes around bare ``NaN`` and ``Infinity``, in lists as well; strings stay.
+
+    Between quotes that are not escaped every second stretch lies outside of strings. Escaped
+    quotes and backslashes are put aside as control characters, which JSON has nowhere.
+    """
+    slash, quote = "\u0001", "\u0002"
+    plain = F.replace(F.replace(text, F.lit("\\\\"), F.lit(slash)), F.lit('\\"'), F.lit(quote))
+    bare = r"(?<![\w.+-])(NaN|-?Infinity)(?![\w.])"
+    parts = F.transform(
+        F.split(plain, '"'), lambda p, i: F.when(i % 2 == 0, F.regexp_replace(p, bare, '"$1"')).otherwise(p)
+    )
+    joined = F.array_join(parts, '"')
+    back = F.replace(F.replace(joined, F.lit(quote), F.lit('\\"')), F.lit(slash), F.lit("\\\\"))
+    return F.when(~F.contains(text, F.lit(slash)) & ~F.contains(text, F.lit(quote)), back)
+
+
 def parse(text: Column) -> Column:
     """JSON text as a VARIANT, NULL when it is not JSON.
 
     Bare ``NaN`` and ``Infinity``, which many writers emit, are read as texts; a price
     cleaned from such a text is the same number.
     """
-    bare = r":(\s*)(NaN|-?Infinity)(?=\s*[,}\]])"
-    return F.coalesce(
-        F.try_parse_json(text), F.try_parse_json(F.regexp_replace(text, bare, ':$1"$2"'))
-    )
+    return F.coalesce(F.try_parse_json(text), F.try_parse_json(_quoted_bare_numbers(text)))
 
 
 def at(value: Column, path: str) -> Column:

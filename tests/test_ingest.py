@@ -95,10 +95,24 @@ def test_rows_after_a_bad_element_stay(spark):
 
 def test_bare_nan_is_read(spark):
     text = '{"products":[{"name":"A: NaN, b","price":{"value":NaN}},{"name":"B","price":{"value": -Infinity}}]}'
-    # A name that looks like a bare NaN makes the document unreadable, not wrong.
-    assert flat(spark, SPEC_W, text) == []
-    got = flat(spark, SPEC_W, text.replace("A: NaN, b", "A"))
-    assert [r[0] for r in got] == ["A", "B"] and got[0][1] != got[0][1] and got[1][1] == float("-inf")
+    got = flat(spark, SPEC_W, text)
+    assert [r[0] for r in got] == ["A: NaN, b", "B"] and got[0][1] != got[0][1] and got[1][1] == float("-inf")
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ('{"a":NaN}', '{"a":"NaN"}'), ("[NaN, 1,-Infinity ,Infinity]", '["NaN",1,"-Infinity","Infinity"]'),
+        (r'{"q\"uo: NaN,te\\":[NaN],"NaN":"NaN]"}', r'{"NaN":"NaN]","q\"uo: NaN,te\\":["NaN"]}'),
+        ('{"a":NaNs}', None), ('{"a":NaN', None), ('{"a":"NaN}', None), ("NaN", '"NaN"'),
+        ('{"a":"x\u0001","b":NaN}', None), ('{"a":"plain"}', '{"a":"plain"}'), (None, None),
+    ],
+)
+def test_bare_numbers_are_quoted_outside_of_strings(spark, text, want):
+    from shelflens.functions import variants
+
+    rows = spark.createDataFrame([(text,)], "t string")
+    assert rows.select(F.to_json(variants.parse(F.col("t"))).alias("j")).first().j == want
 
 
 def test_the_last_of_equal_keys_counts(spark):
