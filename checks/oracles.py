@@ -103,25 +103,16 @@ grams AS MATERIALIZED (
 norms AS MATERIALIZED (SELECT product_name, sqrt(sum(tf * tf)) AS norm FROM grams GROUP BY ALL)"""
 
 
-def _ranked(k: int, cut: float = 0.0, blocked: bool = True) -> str:
-    """Ranked candidates of each shop-L name among shop W's, best first."""
-    block = "AND q.brand = b.brand" if blocked else ""
-    return f"""
+_SIDES = f"""
 {_DISTURBED},
 q AS MATERIALIZED ({_latest_l("disturbed").replace("sale_price ASC NULLS FIRST", "sale_price ASC NULLS LAST")}),
 b AS MATERIALIZED ({_latest_w("disturbed")}),
-names AS (SELECT product_name FROM q UNION SELECT product_name FROM b),
-{_GRAMS},
-qg AS MATERIALIZED (SELECT q.product_name, q.brand, gram, tf FROM q JOIN grams USING (product_name)),
-bg AS MATERIALIZED (SELECT b.product_name, b.brand, gram, tf FROM b JOIN grams USING (product_name)),
-dots AS MATERIALIZED (
-  SELECT q.product_name AS query_name, b.product_name AS name, sum(q.tf * b.tf) AS dot
-  FROM qg q JOIN bg b ON q.gram = b.gram {block}
-  GROUP BY ALL),
-scored AS MATERIALIZED (
-  SELECT query_name, name, round(dot / (nq.norm * nb.norm), 6) AS score
-  FROM dots JOIN norms nq ON nq.product_name = query_name
-  JOIN norms nb ON nb.product_name = name),
+names AS (SELECT product_name FROM q UNION SELECT product_name FROM b)"""
+
+
+def _packed(k: int, cut: float = 0.0) -> str:
+    """The best of ``scored``, and one row per query with what is ranked."""
+    return f"""
 ranked AS MATERIALIZED (
   SELECT * FROM (
     SELECT *, CAST(row_number() OVER (PARTITION BY query_name ORDER BY score DESC, name) AS INTEGER)
@@ -137,6 +128,42 @@ packed AS MATERIALIZED (
   ON c.query_name = q.product_name)"""
 
 
+def _ranked(k: int, cut: float = 0.0, blocked: bool = True) -> str:
+    """Ranked candidates of each shop-L name among shop W's, best first."""
+    block = "AND q.brand = b.brand" if blocked else ""
+    return f"""
+{_SIDES},
+{_GRAMS},
+qg AS MATERIALIZED (SELECT q.product_name, q.brand, gram, tf FROM q JOIN grams USING (product_name)),
+bg AS MATERIALIZED (SELECT b.product_name, b.brand, gram, tf FROM b JOIN grams USING (product_name)),
+dots AS MATERIALIZED (
+  SELECT q.product_name AS query_name, b.product_name AS name, sum(q.tf * b.tf) AS dot
+  FROM qg q JOIN bg b ON q.gram = b.gram {block}
+  GROUP BY ALL),
+scored AS MATERIALIZED (
+  SELECT query_name, name, round(dot / (nq.norm * nb.norm), 6) AS score
+  FROM dots JOIN norms nq ON nq.product_name = query_name
+  JOIN norms nb ON nb.product_name = name),
+{_packed(k, cut)}"""
+
+
+# Letters and digits of a name, counted; none for promotions and for texts known to fail.
+_LETTER_RANKED = f"""
+{_SIDES},
+vectors AS MATERIALIZED (
+  SELECT product_name, list_transform(regexp_extract_all('abcdefghijklmnopqrstuvwxyz0123456789', '.'),
+    lambda c: (length(product_name) - length(replace(lower(product_name), c, '')))::DOUBLE) AS v
+  FROM names WHERE NOT contains(product_name, 'PROMO')
+    AND product_name NOT IN (SELECT product_name FROM parts WHERE p_partkey % 7 = 0)),
+scored AS MATERIALIZED (
+  SELECT q.product_name AS query_name, b.product_name AS name,
+         round(list_cosine_similarity(qv.v, bv.v), 6) AS score
+  FROM q JOIN b ON q.brand = b.brand
+  JOIN vectors qv ON qv.product_name = q.product_name
+  JOIN vectors bv ON bv.product_name = b.product_name),
+{_packed(3)}"""
+
+
 def _words(col: str) -> str:
     return f"list_distinct(list_filter(regexp_split_to_array(lower({col}), '\\s+'), lambda t: t <> ''))"
 
@@ -400,6 +427,26 @@ ORACLES: dict[str, str] = {
              CASE WHEN len(names) = 0 THEN 0.0 ELSE scores[place] END AS similarity, good AS verified_match,
              CASE WHEN failed THEN 3 ELSE 1 END AS attempts, failed
       FROM picked""",
+    "match_embedded": f"""WITH {_LETTER_RANKED},
+      told AS (SELECT *, NOT contains(upper(query_name), 'PROMO') AND length(query_name) % 2 = 0 AND len(names) > 0 AS good
+               FROM packed),
+      picked AS (SELECT *, CASE WHEN good THEN len(names) ELSE 1 END AS place FROM told)
+      SELECT query_name, CASE WHEN len(names) = 0 THEN 'Matching Failed' ELSE names[place] END AS base_name,
+             query_price AS price_from_line, CASE WHEN len(names) = 0 THEN 0.0 ELSE prices[place] END AS price_from_watson,
+             CASE WHEN len(names) = 0 THEN 0.0 ELSE scores[place] END AS similarity, good AS verified_match
+      FROM picked""",
+    "landing_select": f"""WITH {_LISTINGS},{_LANDING}
+      SELECT file, ecommerce_name FROM docs WHERE file LIKE 'pre_landing/2025-02-04/%'""",
+    "ingest_stream_report": f"""WITH {_LISTINGS},{_MAP},
+      dated AS (SELECT *, CAST(ingest_timestamp_utc AS DATE) AS day FROM listings),
+      l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY day, product_name ORDER BY sale_price ASC NULLS FIRST) AS place
+                           FROM dated WHERE ecommerce_name = 'line_shopping') WHERE place = 1),
+      w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY day, product_name ORDER BY sale_price ASC NULLS LAST) AS place
+                           FROM dated WHERE ecommerce_name = 'watson') WHERE place = 1)
+      SELECT day, product_no, product_name, l.sale_price AS price_from_line, w.sale_price AS price_from_watson,
+             l.sale_price - w.sale_price AS diff, day + INTERVAL 1 DAY - INTERVAL 1 MICROSECOND AS ingest_timestamp_utc,
+             count(*) OVER (PARTITION BY day) AS row_count
+      FROM l JOIN w USING (day, product_name) JOIN name_map USING (product_name)""",
     "name_map_update": f"""WITH {_ranked(3)},{_RULE},
       pairs AS (SELECT DISTINCT query_name, base_name, price_from_line AS price FROM decided
                 WHERE similarity >= 0.8 AND verified_match),

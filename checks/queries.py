@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +23,7 @@ from shelflens.config import (
     SPEC_W,
     SPECS,
     STRICT_MIN_SIMILARITY,
+    JobConfig,
 )
 from shelflens.functions import variants as V
 from shelflens.functions.numbers import SCORE_DIGITS, clean_price
@@ -33,13 +36,18 @@ from shelflens.operators.vectors import with_norm
 from shelflens.plans import driver_tables as D
 from shelflens.plans import matching, report
 from shelflens.plans.ingest import decode_sources, history_build
-from shelflens.sources.landing import landing_inventory, stamp_envelopes
+from shelflens.sources.files import remove_matches
+from shelflens.sources.landing import land_envelopes, landing_inventory, select_landing, stamp_envelopes
+from shelflens.sources.sinks import MANIFEST_SCHEMA, write_csv
 from shelflens.sources.tables import HISTORY_COLUMNS, NAME_MAP_SCHEMA, PRODUCTS_SCHEMA
-from shelflens.sources.tables import csv_records, history_for_day, parse_records
+from shelflens.sources.tables import csv_records, history_columns, history_for_day, parse_records
+from shelflens.sources.tables import read_report
+from shelflens.streaming.ingest import start_ingest
 
 DAY = dt.date.fromisoformat(D.LAST_DAY)
 LOAD_TS = dt.datetime(2025, 1, 31, 1, 0, 5, 123456)
 MODEL = "char3"
+LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -51,7 +59,7 @@ def price_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.listings(spark, sf_dir).select(*HISTORY_COLUMNS)
+    return history_columns(D.listings(spark, sf_dir))
 
 
 def report_day_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,6 +114,44 @@ def landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing_inventory(every, list(SPECS))
 
 
+def landing_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load of the last day takes: the day's documents of both shops."""
+    chosen = [
+        select_landing(docs, DAY, spec).select("file", F.lit(spec.name).alias("ecommerce_name"))
+        for spec, docs in _documents(spark, sf_dir).items()
+    ]
+    return history.union_sources(chosen)
+
+
+def ingest_stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents landed, loaded by the file stream, and every touched day's report as written.
+
+    Works below the shared checkpoint folder and leaves nothing there but the kept result.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shelflens-")
+    config = JobConfig(f"{shared.rstrip('/')}/job-{uuid.uuid4().hex}")
+    for spec, docs in _documents(spark, sf_dir).items():
+        day = F.regexp_extract("file", r"pre_landing/(\d{4}-\d{2}-\d{2})/", 1)
+        landed = docs.select(
+            F.col("file").alias("object_name"), "value", day.alias("ingest_date"),
+            F.lit(spec.envelope_name).alias("ecommerce_name"), F.lit(None).cast("string").alias("reason"),
+        )
+        land_envelopes(landed, config)
+    write_csv(D.name_map(spark, sf_dir), config.name_map)
+    start_ingest(spark, config).awaitTermination()
+    rows = read_report(spark, f"{config.root}/reports/*")
+    said = spark.read.schema(MANIFEST_SCHEMA).json(f"{config.root}/metadata/*").select(
+        F.to_date(F.regexp_extract("path", r"([^/]*)$", 1)).alias("day"), "row_count"
+    )
+    day = F.to_date("ingest_timestamp_utc")
+    # Held by the session before the job's files go.
+    result = keep(rows.withColumn("day", day).join(F.broadcast(said), "day"))
+    result.count()
+    if spark.sparkContext.getCheckpointDir() is not None:
+        remove_matches(spark, config.root)
+    return result
+
+
 def flatten_shop_l(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten.flatten(D.landing_l(spark, sf_dir), SPEC_L)
 
@@ -515,6 +561,26 @@ def judge_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _brief(decide.decide_match(verify.resolve_reply(replied), also=("attempts", "failed")))
 
 
+def letter_counts(texts: list[str]) -> list[list[float]]:
+    """A service that embeds by letters and digits, and fails on any batch with a promotion in it."""
+    if any("PROMO" in t for t in texts):
+        raise RuntimeError("no vector for a promotion")
+    return [[float(t.lower().count(c)) for c in LETTERS] for t in texts]
+
+
+def match_embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The match with a user's embeddings, through a cache that knows some texts to fail, and a judge."""
+    lost = D.parts(spark, sf_dir).filter(F.col("p_partkey") % 7 == 0).select(
+        F.col("product_name").alias("text"), F.lit("letters").alias("model"),
+        F.array().cast("array<float>").alias("embedding"), F.lit("failed").alias("status"),
+    )
+    search = matching.embedding_search_over(lost.dropDuplicates(["text"]), "letters", letter_counts)
+    sides = _match_sides(spark, sf_dir)
+    return _brief(
+        matching.match_catalogs(*sides, search, choosy_judge, block_on=["brand"], attempts=2, pause=0.0)
+    )
+
+
 def match_decide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _brief(matching.match_catalogs(*_match_sides(spark, sf_dir), block_on=["brand"]))
 
@@ -596,6 +662,7 @@ QUERIES: dict[str, Query] = {
         embedding_cache_misses, embedding_lookup, verify_payload, verify_rule, verify_resolve,
         match_decide, match_all_rows, match_verified, match_ratio_min, match_ratio_band, match_missing_vector,
         name_map_build, embedding_refresh, judge_match, name_map_update, snapshot_merge,
+        landing_select, ingest_stream_report, match_embedded,
     )
 }
 QUERIES["history_build"] = history_build_query

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelflens.config import EMBED_BATCH, MIN_SIMILARITY, TOP_N, JobConfig
 from shelflens.operators.decide import decide_match, keep_verified, pack_candidates, top1_match
-from shelflens.operators.embed import EmbedFunction, refresh_cache, valid_trigrams
+from shelflens.operators.embed import EmbedFunction, refresh_cache, refreshed, valid_trigrams
 from shelflens.operators.history import split_catalogs
 from shelflens.operators.keep import keep, spread
 from shelflens.operators.latest import latest_per_product
@@ -47,23 +47,14 @@ def trigram_search(min_similarity: float | None = None) -> Search:
     return search
 
 
-def embedding_search(
-    cache_path: str,
-    model: str,
-    embed: EmbedFunction,
-    *,
-    batch_size: int = EMBED_BATCH,
-    retry_failed: bool = False,
-) -> Search:
-    """Search on a user's embeddings through the embedding cache."""
+def _vector_search(cache_of: Callable[[DataFrame], DataFrame], model: str) -> Search:
+    """Search on the vectors of a cache; ``cache_of`` gives it for the texts that are needed."""
 
     def search(queries: DataFrame, base: DataFrame, k: int, block_on: list[str]) -> DataFrame:
         names = queries.select(F.col("query_name").alias("text")).unionByName(
             base.select(F.col("name").alias("text"))
         )
-        cache = refresh_cache(
-            names, cache_path, model, embed, batch_size=batch_size, retry_failed=retry_failed
-        )
+        cache = cache_of(names)
 
         def vectors(side: DataFrame, row_id: str, name: str) -> DataFrame:
             texts = side.select(row_id, *block_on, F.col(name).alias("text"))
@@ -77,6 +68,36 @@ def embedding_search(
     return search
 
 
+def embedding_search(
+    cache_path: str,
+    model: str,
+    embed: EmbedFunction,
+    *,
+    batch_size: int = EMBED_BATCH,
+    retry_failed: bool = False,
+) -> Search:
+    """Search on a user's embeddings through the embedding cache."""
+
+    def cache_of(names: DataFrame) -> DataFrame:
+        return refresh_cache(
+            names, cache_path, model, embed, batch_size=batch_size, retry_failed=retry_failed
+        )
+
+    return _vector_search(cache_of, model)
+
+
+def embedding_search_over(
+    cache: DataFrame, model: str, embed: EmbedFunction, *, batch_size: int = EMBED_BATCH
+) -> Search:
+    """The same over a cache that is only read: what it lacks is embedded for this search alone."""
+
+    def cache_of(names: DataFrame) -> DataFrame:
+        # Both sides look texts up: each is embedded once.
+        return keep(refreshed(names, cache, model, embed, batch_size=batch_size))
+
+    return _vector_search(cache_of, model)
+
+
 def _sides(
     query_df: DataFrame, base_df: DataFrame, dedup: bool, block_on: list[str], k: int
 ) -> tuple[DataFrame, DataFrame, DataFrame]:

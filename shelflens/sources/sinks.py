@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelflens.sources.files import remove_matches
-from shelflens.sources.tables import CSV_OPTIONS, HISTORY_COLUMNS
+from shelflens.sources.tables import CSV_OPTIONS, HISTORY_COLUMNS, STAMP_OPTIONS
 
 MANIFEST_SCHEMA = "path string, row_count bigint, written_at timestamp_ntz"
 
@@ -93,7 +93,7 @@ def write_report(
         ordered = report.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
         writer = ordered.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         if fmt == "csv":
-            writer = writer.option("header", True)
+            writer = writer.option("header", True).options(**STAMP_OPTIONS)
         writer.format(fmt).save(path)
         return seen.get["rows"]
     finally:

@@ -20,6 +20,8 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+#: Load times keep their microseconds; CSV would cut them to milliseconds.
+STAMP_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 #: Stands for null inside the reader only, so that quoted empty texts stay texts.
 NO_TEXT = "\u0000null\u0000"
 READ_OPTIONS = {**CSV_OPTIONS, "multiLine": True, "nullValue": NO_TEXT}
@@ -29,6 +31,10 @@ HISTORY_SCHEMA = (
 )
 NAME_MAP_SCHEMA = f"product_no bigint, {MAP_QUERY_NAME} string, {MAP_BASE_NAME} string"
 PRODUCTS_SCHEMA = "product_name string, sale_price double, ecommerce string"
+REPORT_SCHEMA = (
+    "product_no bigint, product_name string, price_from_line double, price_from_watson double, "
+    "diff double, ingest_timestamp_utc timestamp_ntz"
+)
 CACHE_SCHEMA = "text string, model string, embedding array<float>, status string"
 
 
@@ -59,12 +65,24 @@ def read_name_map(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, NAME_MAP_SCHEMA)
 
 
+def history_columns(rows: DataFrame) -> DataFrame:
+    """The history's columns, in their order and types; whatever else a row has goes."""
+    types = [field.split(" ", 1) for field in HISTORY_SCHEMA.split(", ")]
+    return rows.select(*[F.col(name).cast(kind).alias(name) for name, kind in types])
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV report as ``write_report`` leaves it."""
+    reader = spark.read.schema(REPORT_SCHEMA).option("header", True)
+    return reader.options(**STAMP_OPTIONS).csv(path)
+
+
 def read_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The product history, all days, without the technical ``load_id``."""
     reader = spark.read.format(fmt)
     # load_id is a partition folder; naming it here stops type inference on it.
     reader = reader.schema(HISTORY_SCHEMA + ", load_id string")
-    return reader.load(path).select(*HISTORY_COLUMNS)
+    return history_columns(reader.load(path))
 
 
 def read_snapshots(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -248,3 +248,14 @@ def test_matching_job_feeds_the_report_map(spark, tmp_path):
     assert [tuple(r) for r in tables.read_name_map(spark, config.name_map).collect()] == [
         (1, "CREAM A 50ml", "Cream A 50ml")
     ]
+
+
+def test_a_cache_that_is_only_read_is_filled_up_for_the_search(spark):
+    line = catalog(spark, SHOP_L, ("abc", 2.0, T1), ("xyz", 3.0, T1), ("dead", 1.0, T1))
+    watson = catalog(spark, SHOP_W, ("cab", 1.0, T1), ("zyxw", 4.0, T1))
+    cache = spark.createDataFrame([("dead", "letters", [], "failed")], tables.CACHE_SCHEMA)
+    search = matching.embedding_search_over(cache, "letters", letters)
+    rows = {r[MATCH_QUERY_NAME]: r for r in matching.match_top1(line, watson, search).collect()}
+    assert rows["abc"][MATCH_BASE_NAME] == "cab" and rows["xyz"][MATCH_BASE_NAME] == "zyxw"
+    # Known to fail: not asked again, hence without a vector.
+    assert rows["dead"][MATCH_BASE_NAME] == "N/A (Query Embedding Error)"

@@ -223,3 +223,11 @@ def test_landing_to_matching_to_report(spark, tmp_path):
     rows = spark.read.option("header", True).csv(config.report(DAY)).collect()
     assert {(r.product_name, float(r["diff"])) for r in rows} == {(g, float(i)) for i, g in enumerate(goods)}
     assert sorted(int(r.product_no) for r in rows) == list(range(1, len(goods) + 1))
+
+
+def test_report_keeps_microseconds(spark, tmp_path):
+    stamp = dt.datetime(2025, 1, 31, 23, 59, 59, 999999)
+    rows = [(1, "a", 1.0, 2.0, -1.0, stamp), (2, "b", None, 2.0, None, stamp.replace(microsecond=0))]
+    sinks.write_report(spark.createDataFrame(rows, tables.REPORT_SCHEMA), str(tmp_path / "r"), ["product_no"])
+    back = tables.read_report(spark, str(tmp_path / "r")).orderBy("product_no").collect()
+    assert [tuple(r) for r in back] == rows
