@@ -8,8 +8,9 @@ candidate that reaches the cutoff must reach cutoff / lists in some list: the en
 are collected, and those whose known parts, with the threshold for the unknown ones, stay
 below the cutoff are struck out. (3) The scores of the rest are resolved exactly.
 
-Queries meet candidates block by block; blocks of both have bounded sizes, and at most k rows
-of a query leave a pair of blocks.
+Queries meet candidates block by block; blocks of both have sizes bounded in bytes, and at most
+k rows of a query leave a pair of blocks. Each candidate is sent once per block of queries and
+each query once per block of candidates (see ``blocks``), in 32 bits where the numbers allow.
 """
 
 from __future__ import annotations
@@ -26,10 +27,14 @@ from pyspark.sql import Window as W
 from shelflens.operators.keep import keep
 
 LISTS = 4
-QUERY_BLOCK = 2048
+#: Bytes of the vectors in a block of queries and of candidates, at most.
+QUERY_BYTES = 8 << 20
+CANDIDATE_BYTES = 16 << 20
+#: Candidates below which a block is not made smaller to have more tasks.
 CANDIDATE_BLOCK = 4096
 #: Scores that are worked on in one step.
-STEP = 1 << 19
+STEP = 1 << 20
+SMALL = (1 << 31) - 1
 LOWEST = -(1 << 63)
 EXACT = float(1 << 53)
 
@@ -64,6 +69,19 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return some[np.lexsort((ids[some], -scores[some]))[:k]]
 
 
+def blocks(asked: int, held: int, dimension: int, width: int, tasks: int) -> tuple[int, int]:
+    """How many blocks of queries and of candidates there are.
+
+    As few as the byte bounds allow, since rows are copied once per block of the other side;
+    more blocks of candidates only while that gives idle tasks work.
+    """
+    size = max(1, dimension * width)
+    q_blocks = max(1, -(-asked * size // QUERY_BYTES))
+    by_bytes = -(-held * size // CANDIDATE_BYTES)
+    wanted = min(-(-held // CANDIDATE_BLOCK), -(-tasks // q_blocks))
+    return q_blocks, max(1, by_bytes, wanted)
+
+
 def long_of(scores: np.ndarray) -> np.ndarray:
     if scores.dtype == object:
         return np.array([min(max(int(s), LOWEST), -LOWEST - 1) for s in scores], np.int64)
@@ -148,10 +166,21 @@ def top_k(
             F.transform(x, lambda e: F.floor(e.cast("double") * scale)).alias("v"),
         )
     )
-    asked = rows.filter(F.col("vec_id") % every == 0)
-    total, questions = rows.count(), asked.count()
+    question = F.col("vec_id") % every == 0
+    seen = rows.agg(
+        F.count(F.lit(1)).alias("held"),
+        F.count_if(question).alias("asked"),
+        F.max(F.size("v")).alias("dimension"),
+        F.max(F.array_max("v")).alias("high"),
+        F.min(F.array_min("v")).alias("low"),
+    ).first()
+    small = max(abs(seen["high"] or 0), abs(seen["low"] or 0)) <= SMALL
+    if small:
+        rows = rows.withColumn("v", F.col("v").cast("array<int>"))
+    asked = rows.filter(question)
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, 1) * 2
+    q_blocks, c_blocks = blocks(seen["asked"], seen["held"], seen["dimension"] or 0, 4 if small else 8, tasks)
     spread = F.xxhash64("rid")
-    q_blocks, c_blocks = -(-questions // QUERY_BLOCK) or 1, -(-total // CANDIDATE_BLOCK) or 1
     schema = "rid long, vec_id long, found long, score long"
 
     def numbers(n: int):
