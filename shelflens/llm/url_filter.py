@@ -22,6 +22,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 KINDS = LOWER + "0123456789" + "-._~/?=&%#:+@"
 #: Labelled urls that the trees are fitted on at most: those with the smallest hashes.
 TRAINING_ROWS = 20_000
+#: Suffixes with statistics up to which these are broadcast; beyond, rows are dealt out by salt.
+BROADCAST_SUFFIXES = 100_000
+SALTS = 64
 FEATURES = [
     "f_length", "f_host_length", "f_labels", "f_depth", "f_digits", "f_entropy", "f_parameters",
     "f_query_length", "f_hyphens", "f_suffix_length", "f_suffix_rate", "f_suffix_known",
@@ -102,6 +105,19 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
     }
 
 
+def with_statistics(rows: DataFrame, suffixes: DataFrame, most: int = BROADCAST_SUFFIXES) -> DataFrame:
+    """Each row with the counts of its suffix, if there are any.
+
+    A suffix may be that of a third of all rows. Few suffixes are broadcast, their number
+    checked; of more, each is copied once per salt, so that no key holds more than its share.
+    """
+    if suffixes.limit(most + 1).count() <= most:
+        return rows.join(F.broadcast(suffixes), "_suffix", "left")
+    salted = suffixes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64("page_id", "path", "f_entropy"), F.lit(SALTS)).cast("int"))
+    return dealt.join(salted, ["_suffix", "_salt"], "left").drop("_salt")
+
+
 def judge(
     pages: DataFrame,
     page_id: str = "page_id",
@@ -117,8 +133,9 @@ def judge(
     could be fitted. A null url, or one without ``://``, has an empty host and path, fits no
     rule, and is judged by its remaining features. Without labelled urls all is allowed; if
     all labels are one verdict, that is given. Repeated rows are judged alike; other columns
-    are ignored; an empty table gives no rows. Suffix statistics are taken over every
-    labelled url, the trees fitted on at most ``training_rows`` of them.
+    are ignored; an empty table gives no rows. Suffix statistics are taken over every other
+    labelled url, the row's own label left out; the trees are fitted on at most
+    ``training_rows`` of them.
     """
     host, path = host_and_path(F.col("_url"))
     rows = (
@@ -136,15 +153,17 @@ def judge(
     rows = keep(rows)
     label = (F.col("_ruled") == "block").cast("double")
     labelled = rows.filter("_ruled is not null").withColumn("label", label)
-    suffixes = labelled.groupBy("_suffix").agg(F.count("label").alias("_n"), F.sum("label").alias("_blocked"))
+    suffixes = keep(
+        labelled.groupBy("_suffix").agg(F.count("label").alias("_n"), F.sum("label").alias("_blocked"))
+    )
+    # A labelled row is one of those counted: its own label must not tell it.
+    others = F.coalesce("_n", F.lit(0)) - F.col("label").isNotNull().cast("int")
+    blocked = F.coalesce("_blocked", F.lit(0.0)) - F.coalesce("label", F.lit(0.0))
     rows = (
-        rows.join(suffixes, "_suffix", "left")
+        with_statistics(rows.withColumn("label", label), suffixes)
         .withColumn("f_suffix_length", F.length("_suffix").cast("double"))
-        .withColumn(
-            "f_suffix_rate", (F.coalesce("_blocked", F.lit(0.0)) + 1) / (F.coalesce("_n", F.lit(0)) + 2)
-        )
-        .withColumn("f_suffix_known", F.log1p(F.coalesce("_n", F.lit(0)).cast("double")))
-        .withColumn("label", label)
+        .withColumn("f_suffix_rate", (blocked + 1) / (others + 2))
+        .withColumn("f_suffix_known", F.log1p(others.cast("double")))
     )
     sample = keep(
         rows.filter("label is not null")

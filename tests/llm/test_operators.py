@@ -191,6 +191,55 @@ def test_repeats(docs, nothing):
     assert repeats.remove_repeats(nothing).count() == 0
 
 
+def test_topk_ties_and_numbers_beyond_32_bits(spark):
+    """Candidates that tie go by id, copies of the query's own vector too; large numbers stay exact."""
+    data = [(i, [float(i % 3), 1.0]) for i in range(1, 61)] + [(50, [2.0, 1.0]), (100, [0.0, 1.0])]
+    for scale in (1.0, 2.0**26):
+        frame = spark.createDataFrame([(i, [x * scale for x in v]) for i, v in data], "vec_id long, embedding array<double>")
+        factor = int(256 * scale)
+        want = []
+        for n, (i, v) in enumerate(data):
+            if i % 50 == 0:
+                found = sorted((-sum(int(a) * int(b) * factor**2 for a, b in zip(v, w)), j) for m, (j, w) in enumerate(data) if m != n)
+                want += [(i, r + 1, j, max(-(1 << 63), min(-s, (1 << 63) - 1))) for r, (s, j) in enumerate(found[:5])]
+        assert rows(threshold_topk.top_k(frame)) == sorted(want, key=repr)
+
+
+def test_topk_copies_of_a_row_stay_few():
+    """Rows sent per row at 10 M vectors of 64 components: a few, not one per thousand rows."""
+    asked, held = 200_000, 10_000_000
+    q_blocks, c_blocks = threshold_topk.blocks(asked, held, 64, 4, 6)
+    assert q_blocks <= 8 and c_blocks <= 160
+    assert held * q_blocks + asked * c_blocks < 12 * held
+    # Small tables still give every task something, empty ones one block.
+    assert threshold_topk.blocks(1_000, 50_000, 64, 4, 12) == (1, 12)
+    assert threshold_topk.blocks(0, 0, 0, 4, 12) == (1, 1)
+
+
+def test_url_trees_on_held_out_urls(spark):
+    """Labelled urls that the trees were not fitted on: at least nine in ten as the rules say."""
+    hosts = ["a.net", "shop.net", "example.net", "b.example.net", "example.com", "w.example.com", "x.org", "y.org"]
+    urls = [(i, f"http://{hosts[i % 8]}/{('en', 'de', 'fr')[i // 8 % 3]}/{i * 37 % 1009}") for i in range(1200)]
+    frame = spark.createDataFrame(urls, "page_id long, url string")
+    order = [r.page_id for r in frame.orderBy(F.xxhash64("page_id")).collect()]
+    got = {r.page_id: r for r in url_filter.judge(frame, training_rows=300).collect()}
+    labelled = [i for i in order if got[i].rule is not None]
+    held_out = labelled[300:]
+    right = sum((got[i].score > 0.5) == (got[i].verdict == "block") for i in held_out)
+    assert len(held_out) > 200 and right >= 0.9 * len(held_out)
+
+
+def test_url_suffix_statistics_leave_the_own_label_out(spark):
+    """A row with a suffix of its own learns nothing from itself; salted and broadcast agree."""
+    rows_ = spark.createDataFrame(
+        [(i, "/", 1.0, "com" if i % 3 else f"s{i}") for i in range(60)], "page_id long, path string, f_entropy double, _suffix string"
+    )
+    counts = rows_.groupBy("_suffix").agg(F.count("page_id").alias("_n"))
+    near = rows(url_filter.with_statistics(rows_, counts).select("page_id", "_n"))
+    assert near == rows(url_filter.with_statistics(rows_, counts, most=3).select("page_id", "_n"))
+    assert len(near) == 60
+
+
 def test_url_filter(spark):
     urls = [
         (1, "http://A.NET/x"), (2, "http://net/"), (3, "http://b.example.net/en/q?x=1"), (4, "http://example.net/enx"),
