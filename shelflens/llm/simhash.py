@@ -1,9 +1,10 @@
 """Near duplicates by SimHash fingerprints, compared exactly in tiles.
 
-Equal fingerprints become one. A fingerprint's tile is the numbers of ones in three parts of
+Equal fingerprints become one. A fingerprint's tile is the numbers of ones in some parts of
 its 64 bits. Two fingerprints that differ in at most ``radius`` bits lie in tiles whose counts
 differ by at most that much in all, so all other pairs of tiles are skipped: nothing is
-approximate. Tiles that remain are compared with numpy exclusive-or and bit counts; a large
+approximate. The more fingerprints there are, the finer the parts (see ``parts_for``), so that
+the share of pairs that is compared falls as the table grows. Tiles that remain are compared with numpy exclusive-or and bit counts; a large
 tile is cut into cells of bounded size that run as tasks of their own. A cell returns a
 spanning forest of its links, never all pairs.
 """
@@ -27,8 +28,9 @@ from shelflens.operators.keep import keep
 
 SHINGLE = 3
 RADIUS = 3
-#: First bits and lengths of the parts whose ones are counted.
-PARTS = ((0, 21), (21, 21), (42, 22))
+#: Fingerprints from which on the ones of so many parts are counted. Each part more lets fewer
+#: pairs be compared (10, 4, 1.6 and 0.7 in a hundred) and sends a fingerprint to more tiles.
+FINER = ((0, 3), (1_000_000, 4), (4_000_000, 5), (30_000_000, 6))
 #: Rows of a cell on either side, and pairs that are compared in one step.
 CELL = 16_384
 STEP = 1 << 20
@@ -71,77 +73,90 @@ def fingerprints(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataF
     return rows.mapInArrow(run, schema)
 
 
-def tile_of(fp: Column) -> Column:
+def parts_of(n: int) -> tuple[tuple[int, int], ...]:
+    """First bits and lengths of ``n`` about equal parts of 64 bits."""
+    ends = [64 * i // n for i in range(n + 1)]
+    return tuple((a, b - a) for a, b in zip(ends[:-1], ends[1:], strict=True))
+
+
+def parts_for(fingerprints: int) -> tuple[tuple[int, int], ...]:
+    """The parts whose ones tell tiles apart, for a table of so many different fingerprints."""
+    return parts_of(max(n for least, n in FINER if fingerprints >= least))
+
+
+def tile_of(fp: Column, parts: tuple[tuple[int, int], ...]) -> Column:
     """The number of a fingerprint's tile, from its ones by part."""
     code = F.lit(0)
-    for start, length in PARTS:
+    for start, length in parts:
         ones = F.bit_count(F.shiftrightunsigned(fp, start).bitwiseAND(F.lit((1 << length) - 1)))
         code = code * (length + 1) + ones
     return code.cast("int")
 
 
-def tile_counts(fps: np.ndarray) -> np.ndarray:
+def tile_counts(fps: np.ndarray, parts: tuple[tuple[int, int], ...]) -> np.ndarray:
     """Ones by part, one row per fingerprint."""
     return np.stack(
-        [np.bitwise_count((fps >> np.uint64(s)) & np.uint64((1 << n) - 1)).astype(np.int32) for s, n in PARTS], 1
+        [np.bitwise_count((fps >> np.uint64(s)) & np.uint64((1 << n) - 1)).astype(np.int32) for s, n in parts], 1
     )
 
 
-def code_of(counts: np.ndarray) -> np.ndarray:
+def code_of(counts: np.ndarray, parts: tuple[tuple[int, int], ...]) -> np.ndarray:
     code = np.zeros(len(counts), np.int64)
-    for i, (_, length) in enumerate(PARTS):
+    for i, (_, length) in enumerate(parts):
         code = code * (length + 1) + counts[:, i]
     return code
 
 
-def steps_within(radius: int) -> np.ndarray:
+def steps_within(radius: int, parts: int) -> np.ndarray:
     """All differences of tile counts that a pair within the radius can have."""
     span = range(-radius, radius + 1)
-    return np.array([d for d in product(span, repeat=len(PARTS)) if sum(map(abs, d)) <= radius], np.int32)
+    return np.array([d for d in product(span, repeat=parts) if sum(map(abs, d)) <= radius], np.int32)
 
 
 class Plan:
     """Which bucket compares what: for each tile a grid of cells, cells packed into buckets.
 
-    Made on the driver from the sizes of the tiles, at most 22 * 22 * 23 numbers whatever the
-    table's size.
+    Made on the driver from the sizes of the tiles (``sizes[code]``, noughts included), a few
+    numbers per tile: the product of the parts' lengths plus one bounds them, at most 2.5
+    million for six parts, whatever the table's size. Cells and buckets are worked out from
+    those and never listed.
     """
 
-    def __init__(self, sizes: dict[int, int], radius: int):
-        lengths = [n for _, n in PARTS]
-        tiles = int(np.prod([n + 1 for n in lengths]))
-        size = np.zeros(tiles, np.int64)
-        for code, n in sizes.items():
-            size[code] = n
-        counts = np.stack(np.unravel_index(np.arange(tiles), [n + 1 for n in lengths]), 1).astype(np.int32)
-        visits = np.zeros(tiles, np.int64)
-        self.steps = steps_within(radius)
-        for step in self.steps:
-            other = counts + step
-            inside = ((other >= 0) & (other <= lengths)).all(1)
-            codes = code_of(other[inside])
-            own = np.flatnonzero(inside)
-            visits[own] += np.where(codes >= own, size[codes], 0)
-        self.lengths = np.array(lengths, np.int32)
-        self.rows = -(-size // CELL)
-        self.columns = np.where(size > 0, -(-visits // CELL), 0)
-        self.first = np.zeros(tiles, np.int64)
+    def __init__(self, sizes: np.ndarray, radius: int, parts: tuple[tuple[int, int], ...]):
+        self.parts = parts
+        self.lengths = np.array([n for _, n in parts], np.int32)
+        self.steps = steps_within(radius, len(parts))
+        shape = [n + 1 for _, n in parts]
+        grid, visits = sizes.reshape(shape), np.zeros(shape, np.int64)
+        for step in self.steps[[tuple(d) >= (0,) * len(parts) for d in self.steps.tolist()]]:
+            # A tile is visited from itself and from those behind it in the order of codes.
+            own = tuple(slice(max(0, -d), m - max(0, d)) for d, m in zip(step, shape, strict=True))
+            other = tuple(slice(max(0, d), m - max(0, -d)) for d, m in zip(step, shape, strict=True))
+            visits[own] += grid[other]
+        visits = visits.reshape(-1)
+        self.rows = -(-sizes // CELL)
+        self.columns = np.where(sizes > 0, -(-visits // CELL), 0)
         cells = self.rows * self.columns
-        self.first[1:] = np.cumsum(cells)[:-1]
-        work = np.repeat(size * visits // np.maximum(cells, 1) + size + visits, cells)
-        self.bucket = (np.cumsum(work) // BUCKET).astype(np.int64) if len(work) else work
-
-    def cells(self, fps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(cell numbers, rows of ``fps``, whether they live there) of every place to go to."""
-        counts = tile_counts(fps)
-        own = code_of(counts)
+        self.first = np.cumsum(cells) - cells
+        #: Work of one cell of a tile, and of all cells before the tile.
+        self.work = np.where(cells > 0, sizes * visits // np.maximum(cells, 1) + sizes + visits, 0)
+        self.before = np.cumsum(self.work * cells) - self.work * cells
+
+    def bucket(self, cell: np.ndarray, tile: np.ndarray) -> np.ndarray:
+        """The bucket of each cell: as many cells in a row as make up the work of one bucket."""
+        return (self.before[tile] + (cell - self.first[tile] + 1) * self.work[tile]) // BUCKET
+
+    def cells(self, fps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(cells, their tiles, rows of ``fps``, whether they live there) of every place to go to."""
+        counts = tile_counts(fps, self.parts)
+        own = code_of(counts, self.parts)
         mixed = (fps * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
         everyone = np.arange(len(fps))
         yield from self._spread(own, everyone, mixed % np.maximum(self.rows[own], 1).astype(np.uint64), True)
         for step in self.steps:
             other = counts + step
             inside = ((other >= 0) & (other <= self.lengths)).all(1)
-            codes = np.where(inside, code_of(np.where(inside[:, None], other, 0)), 0)
+            codes = np.where(inside, code_of(np.where(inside[:, None], other, 0), self.parts), 0)
             go = np.flatnonzero(inside & (codes <= own) & (self.rows[codes] > 0))
             column = mixed[go] % np.maximum(self.columns[codes[go]], 1).astype(np.uint64)
             yield from self._spread(codes[go], go, column, False)
@@ -154,7 +169,7 @@ class Plan:
         t, p = tiles[again], place[again].astype(np.int64)
         across = self.columns[t]
         cell = self.first[t] + (p * across + n if home else n * across + p)
-        yield cell, rows[again], np.full(len(again), home)
+        yield cell, t, rows[again], np.full(len(again), home)
 
 
 def forest(near: Iterable[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
@@ -192,16 +207,21 @@ def links_of(residents: np.ndarray, visitors: np.ndarray, radius: int) -> tuple[
 
 def near_links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``nodes`` has one row per fingerprint (``fp``); links (a, b) that span their components."""
-    sizes = nodes.groupBy(tile_of(F.col("fp")).alias("tile")).count().collect()
-    plan = Plan({r["tile"]: r["count"] for r in sizes}, radius)
+    parts = parts_for(nodes.count())
+    found = nodes.groupBy(tile_of(F.col("fp"), parts).alias("tile")).count().toArrow()
+    sizes = np.zeros(np.prod([n + 1 for _, n in parts]), np.int64)
+    sizes[found["tile"].to_numpy()] = found["count"].to_numpy()
+    # Bounded as Plan says: 40 bytes a tile, 0.4 MB for three parts and 100 MB for six.
+    shared = nodes.sparkSession.sparkContext.broadcast(Plan(sizes, radius, parts))
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plan = shared.value
         for batch in batches:
             fps = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for cell, row, home in plan.cells(fps):
+            for cell, tile, row, home in plan.cells(fps):
                 if len(cell):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(plan.bucket[cell]), pa.array(cell), pa.array(home), pa.array(fps[row].view(np.int64))],
+                        [pa.array(plan.bucket(cell, tile)), pa.array(cell), pa.array(home), pa.array(fps[row].view(np.int64))],
                         ["bucket", "cell", "home", "fp"],
                     )
 

@@ -1,6 +1,7 @@
 """Each operator on nulls, empty and long texts, repeats, clashing columns and empty tables."""
 
 import hashlib
+import math
 
 import numpy as np
 import public_tokenizers
@@ -156,19 +157,44 @@ def test_simhash(docs, nothing):
     assert simhash.near_groups(nothing).count() == simhash.keep_one(nothing).count() == 0
 
 
-def test_simhash_tiles_lose_no_pair():
+def tile_sizes(fps, parts):
+    codes = simhash.code_of(simhash.tile_counts(fps, parts), parts)
+    return np.bincount(codes, minlength=int(np.prod([n + 1 for _, n in parts])))
+
+
+@pytest.mark.parametrize(("n", "cell"), [(3, 1 << 14), (3, 5), (4, 7), (5, 3), (6, 1 << 14)])
+def test_simhash_tiles_lose_no_pair(monkeypatch, n, cell):
+    monkeypatch.setattr(simhash, "CELL", cell)
     rng = np.random.default_rng(2)
     base = rng.integers(0, 1 << 63, 40, np.uint64)
     flips = [b ^ np.uint64(sum(1 << int(x) for x in rng.choice(64, k, False))) for b in base for k in range(6)]
     fps = np.unique(np.concatenate([base, np.array(flips, np.uint64)]))
-    sizes = dict(zip(*(x.tolist() for x in np.unique(simhash.code_of(simhash.tile_counts(fps)), return_counts=True))))
-    plan, met = simhash.Plan(sizes, 3), {}
-    for cells, at, home in plan.cells(fps):
-        for c, i, h in zip(cells.tolist(), at.tolist(), home.tolist()):
+    parts = simhash.parts_of(n)
+    plan, met, buckets = simhash.Plan(tile_sizes(fps, parts), 3, parts), {}, {}
+    for cells, tiles, at, home in plan.cells(fps):
+        for c, b, i, h in zip(cells.tolist(), plan.bucket(cells, tiles).tolist(), at.tolist(), home.tolist()):
             met.setdefault(c, ([], []))[0 if h else 1].append(i)
+            assert buckets.setdefault(c, b) == b
     seen = {(min(a, b), max(a, b)) for rs, vs in met.values() for a in rs for b in vs}
     near = {(a, b) for a in range(len(fps)) for b in range(a + 1, len(fps)) if int(fps[a] ^ fps[b]).bit_count() <= 3}
     assert near and near <= seen and len(seen) < len(fps) ** 2 / 4
+    assert [buckets[c] for c in sorted(buckets)] == sorted(buckets.values())
+
+
+@pytest.mark.parametrize(("rows", "copies", "share"), [(10**6, 70, 0.05), (3 * 10**7, 200, 0.01), (10**8, 220, 0.01)])
+def test_simhash_sends_few_copies_of_a_row(rows, copies, share):
+    """The plan alone, for random fingerprints: copies of each, and pairs compared of all."""
+    parts = simhash.parts_for(rows)
+    chance = np.ones(1)
+    for _, n in parts:
+        chance = np.multiply.outer(chance, [math.comb(n, k) / 2**n for k in range(n + 1)]).reshape(-1)
+    plan = simhash.Plan(np.round(chance * rows).astype(np.int64), 3, parts)
+    cells = plan.rows * plan.columns
+    compared = int((np.maximum(plan.work, 0) * cells).sum())
+    assert compared < share * rows * rows / 2
+    some = np.random.default_rng(3).integers(0, 1 << 64, 20_000, np.uint64)
+    assert sum(len(c) for c, *_ in plan.cells(some)) < copies * len(some)
+    assert sum(v.nbytes for v in vars(plan).values() if isinstance(v, np.ndarray)) < 110e6
 
 
 def test_repeats(docs, nothing):
