@@ -1,8 +1,10 @@
 """Exact duplicates by a tree of merges over sorted runs of digests.
 
-Rows are dealt into ``runs`` runs by a hash of their id; a run is sorted by digest, and in it
-equal digests become one entry with the winning id and the number of rows. Every following
-round merges ``fan_in`` runs into one, until one is left: ``log(runs) / log(fan_in)`` rounds.
+Rows are dealt into ``runs`` runs by a hash of their id; a run is sorted by digest and id, and
+one pass over it leaves an entry per digest with the winning id and the number of rows. Every
+following round brings ``fan_in`` sorted runs together by ranges of hashed digests, merges them
+into one in order of digest and id, and leaves the last entry of each digest with the sum of
+sizes up to it; no hash table is built. ``log(runs) / log(fan_in)`` rounds leave one run.
 The winners then go back down the same tree, so that a group of copies, however large, meets
 its winner in ``runs`` places and never in one task. Only digests and ids travel.
 
@@ -36,32 +38,38 @@ def run_of(doc_id: Column, runs: int) -> Column:
     return F.pmod(F.xxhash64(doc_id.cast("string")), F.lit(runs)).cast("int")
 
 
-def sorted_runs(docs: DataFrame, doc_id: str, text: str, runs: int) -> DataFrame:
-    """One narrow row per document, dealt into runs and sorted by digest in each."""
+def dealt(docs: DataFrame, doc_id: str, text: str, runs: int) -> DataFrame:
+    """One narrow row per document, with its run and its digest; texts are read once for it."""
     return keep(
         docs.select(
             F.col(doc_id).alias("_id"),
             run_of(F.col(doc_id), runs).alias("_run"),
             *[c.alias(n) for n, c in digest_columns(F.col(text)).items()],
         )
-        .repartition("_run", "_sha")
-        .sortWithinPartitions("_run", "_sha", "_id")
+    )
+
+
+def merged(entries: DataFrame) -> DataFrame:
+    """Entries of sorted runs as one sorted run: of a digest the one with the largest id, and all sizes.
+
+    A digest has as many entries here as runs are merged, or in a first run its rows there.
+    """
+    order = W.partitionBy("_run", *DIGEST).orderBy("_best")
+    total = F.sum("_size").over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
+    return (
+        entries.withColumns({"_total": total, "_next": F.lead("_size").over(order)})
+        .filter("_next IS NULL")
+        .select("_run", *DIGEST, "_best", F.col("_total").alias("_size"))
     )
 
 
 def merge_tree(rows: DataFrame, runs: int, fan_in: int) -> DataFrame:
     """For every run and digest: the winning id of all runs and the group's size."""
-    levels = [
-        rows.groupBy("_run", *DIGEST).agg(F.max("_id").alias("_best"), F.count(F.lit(1)).alias("_size"))
-    ]
+    levels = [merged(rows.select("_run", *DIGEST, F.col("_id").alias("_best"), F.lit(1).cast("long").alias("_size")))]
     while runs > 1:
         runs = -(-runs // fan_in)
-        levels.append(
-            levels[-1]
-            .withColumn("_run", F.floor(F.col("_run") / fan_in).cast("int"))
-            .groupBy("_run", *DIGEST)
-            .agg(F.max("_best").alias("_best"), F.sum("_size").alias("_size"))
-        )
+        above = F.floor(F.col("_run") / fan_in).cast("int")
+        levels.append(merged(levels[-1].withColumn("_run", above)))
     found = levels.pop()
     while levels:
         below = levels.pop().select("_run", *DIGEST)
@@ -83,7 +91,7 @@ def mark_copies(
     exactly one is kept, and they cannot be told apart. Other columns are ignored, an empty
     table gives no rows.
     """
-    rows = sorted_runs(docs, doc_id, text, runs)
+    rows = dealt(docs, doc_id, text, runs)
     found = merge_tree(rows, runs, fan_in)
     first = F.row_number().over(W.partitionBy("_run", *DIGEST, "_id").orderBy("_id")) == 1
     return rows.join(found, ["_run", *DIGEST]).select(
@@ -102,7 +110,7 @@ def drop_copies(
 
     Winners are few columns wide; the texts move once, to meet them.
     """
-    rows = sorted_runs(docs, doc_id, text, runs)
+    rows = dealt(docs, doc_id, text, runs)
     winners = (
         merge_tree(rows, runs, fan_in)
         .filter(F.col("_run") == run_of(F.col("_best"), runs))

@@ -62,6 +62,23 @@ def test_exact_dedup(docs, nothing):
     assert exact_dedup.mark_copies(nothing).count() == exact_dedup.drop_copies(nothing).count() == 0
 
 
+@pytest.mark.parametrize(("runs", "fan_in"), [(1, 2), (7, 2), (16, 4), (256, 16)])
+def test_exact_dedup_merges_sorted_runs(spark, runs, fan_in):
+    texts = [f"text {i % 11 if i % 3 else 0}" if i % 7 else None for i in range(400)]
+    frame = spark.createDataFrame([(i * 37 % 400, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    groups = {}
+    for i, t in enumerate(texts):
+        groups.setdefault(t, []).append(i * 37 % 400)
+    want = sorted((i, max(g), len(g), i == max(g)) for g in groups.values() for i in g)
+    marked = exact_dedup.mark_copies(frame, runs=runs, fan_in=fan_in)
+    assert sorted(tuple(r)[:4] for r in marked.collect()) == want
+    kept = exact_dedup.drop_copies(frame, runs=runs, fan_in=fan_in)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(map(max, groups.values()))
+    for plan in (marked, kept):
+        steps = plan._jdf.queryExecution().sparkPlan().toString()
+        assert "Aggregate" not in steps and "Window" in steps
+
+
 def test_mixing(docs, nothing):
     got = mixing.mix(docs).collect()
     assert len(got) == len(TEXTS) and all(0 <= r.taken <= 2 * r["size"] for r in got)
