@@ -2,15 +2,39 @@
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame
 
+_cached: ContextVar[list[DataFrame] | None] = ContextVar("cached", default=None)
+
+
+@contextmanager
+def released() -> Iterator[None]:
+    """A job's scope: results that ``keep`` cached in it are let go at its end, also after an error.
+
+    What the job returns must be written by then. Results in the shared folder need no scope:
+    Spark removes their files once nothing refers to them (``get_session`` asks it to).
+    """
+    mine: list[DataFrame] = []
+    token = _cached.set(mine)
+    try:
+        yield
+    finally:
+        _cached.reset(token)
+        for rows in mine:
+            rows.unpersist()
+
 
 def keep(rows: DataFrame) -> DataFrame:
     """``rows`` computed once, for results that are small beside what they come from.
 
     With ``spark.checkpoint.dir`` set they are written there: the plan behind them is
     cut off, and a lost executor does not bring it back. Without that shared folder
-    they are cached, and lost parts are computed again.
+    they are cached, and lost parts are computed again; on a cluster that draws a warning.
     """
     spark = rows.sparkSession
     context = spark.sparkContext
@@ -18,7 +42,12 @@ def keep(rows: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None and folder:
         context.setCheckpointDir(folder)
     if context.getCheckpointDir() is None:
-        return rows.persist()
+        if not (context.master or "").startswith("local"):
+            warnings.warn("spark.checkpoint.dir is not set: results are cached on executors", stacklevel=2)
+        cached = rows.persist()
+        if (open_scope := _cached.get()) is not None:
+            open_scope.append(cached)
+        return cached
     return rows.checkpoint()
 
 

@@ -11,7 +11,7 @@ from shelflens.config import EMBED_BATCH, MIN_SIMILARITY, TOP_N, JobConfig
 from shelflens.operators.decide import decide_match, keep_verified, pack_candidates, top1_match
 from shelflens.operators.embed import EmbedFunction, refresh_cache, refreshed, valid_trigrams
 from shelflens.operators.history import split_catalogs
-from shelflens.operators.keep import keep, spread
+from shelflens.operators.keep import keep, released, spread
 from shelflens.operators.latest import latest_per_product
 from shelflens.operators.namemap import NAMES, accepted_pairs, new_numbers
 from shelflens.operators.sparse_topk import sparse_topk
@@ -218,8 +218,9 @@ def run_matching(
     if search is None and judge is None:
         search = trigram_search(min_similarity)
     queries, base = split_catalogs(read_history(spark, config.history, config.table_format))
-    result = keep_verified(match_catalogs(queries, base, search, judge), min_similarity)
-    result.write.mode("overwrite").parquet(config.match_result)
+    with released():
+        result = keep_verified(match_catalogs(queries, base, search, judge), min_similarity)
+        result.write.mode("overwrite").parquet(config.match_result)
     return spark.read.parquet(config.match_result)
 
 
@@ -231,12 +232,13 @@ def write_name_map(
     Numbers are given once: new pairs are added to the list of numbers, then the map is the
     part of it that is matched or accepted now. A run that is repeated adds nothing.
     """
-    pairs = keep(accepted_pairs(spark.read.parquet(config.match_result), reviewed))
-    if path_exists(spark, config.name_numbers):
+    with released():
+        pairs = keep(accepted_pairs(spark.read.parquet(config.match_result), reviewed))
+        if path_exists(spark, config.name_numbers):
+            numbered = spark.read.schema(NAME_MAP_SCHEMA).parquet(config.name_numbers)
+        else:
+            numbered = spark.createDataFrame([], NAME_MAP_SCHEMA)
+        new_numbers(pairs, numbered).write.mode("append").parquet(config.name_numbers)
         numbered = spark.read.schema(NAME_MAP_SCHEMA).parquet(config.name_numbers)
-    else:
-        numbered = spark.createDataFrame([], NAME_MAP_SCHEMA)
-    new_numbers(pairs, numbered).write.mode("append").parquet(config.name_numbers)
-    numbered = spark.read.schema(NAME_MAP_SCHEMA).parquet(config.name_numbers)
-    current = numbered.join(pairs, NAMES, "left_semi").select("product_no", *NAMES)
-    write_csv(current, config.name_map, mode="overwrite")
+        current = numbered.join(pairs, NAMES, "left_semi").select("product_no", *NAMES)
+        write_csv(current, config.name_map, mode="overwrite")

@@ -22,6 +22,8 @@ def get_session(app: str = "shelflens", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Kept results go when nothing refers to them any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # As in most JSON readers, the last of two equal keys counts.
         "spark.sql.variant.allowDuplicateKeys": "true",
         "spark.executorEnv.OMP_NUM_THREADS": "1",

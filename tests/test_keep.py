@@ -1,6 +1,7 @@
+import pytest
 from pyspark import SparkContext
 
-from shelflens.operators.keep import keep, spread
+from shelflens.operators.keep import keep, released, spread
 
 
 def test_kept_rows_have_no_plan_behind_them(spark, tmp_path):
@@ -11,7 +12,8 @@ def test_kept_rows_have_no_plan_behind_them(spark, tmp_path):
     assert sorted(r.x for r in kept.collect()) == list(range(0, 20, 2))
 
 
-def test_without_a_shared_folder_rows_are_cached(spark, monkeypatch):
+@pytest.fixture
+def no_shared_folder(spark, monkeypatch):
     monkeypatch.setattr(SparkContext, "getCheckpointDir", lambda self: None)
     conf = type(spark.conf)
     real = conf.get
@@ -20,6 +22,28 @@ def test_without_a_shared_folder_rows_are_cached(spark, monkeypatch):
         return default[0] if key == "spark.checkpoint.dir" else real(self, key, *default)
 
     monkeypatch.setattr(conf, "get", without)
+
+
+def test_a_scope_lets_go_what_was_cached_in_it(spark, no_shared_folder):
+    before = keep(spark.range(5))
+    with pytest.raises(ZeroDivisionError), released():
+        inner = keep(spark.range(7))
+        with released():
+            innermost = keep(spark.range(9))
+            assert innermost.storageLevel.useMemory
+        assert inner.storageLevel.useMemory and not innermost.storageLevel.useMemory
+        raise ZeroDivisionError
+    assert before.storageLevel.useMemory and not inner.storageLevel.useMemory
+    before.unpersist()
+
+
+def test_a_cluster_without_a_shared_folder_draws_a_warning(spark, no_shared_folder, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    with pytest.warns(UserWarning, match="checkpoint"):
+        keep(spark.range(3)).unpersist()
+
+
+def test_without_a_shared_folder_rows_are_cached(spark, no_shared_folder):
     kept = keep(spark.range(10))
     assert kept.storageLevel.useMemory and kept.count() == 10
     kept.unpersist()
