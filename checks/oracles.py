@@ -258,6 +258,7 @@ _PAIR_BUCKET = "substr(md5(query_name || chr(1) || base_name), 1, 3)"
 ORACLES: dict[str, str] = {
     "price_report": f"WITH {_REPORT} SELECT * FROM report",
     "history_scan": f"WITH {_LISTINGS} SELECT {_HISTORY} FROM listings",
+    "history_store": f"WITH {_LISTINGS} SELECT {_HISTORY} FROM listings",
     "report_day_filter": f"""WITH {_LISTINGS} SELECT {_HISTORY} FROM listings
       WHERE CAST(ingest_timestamp_utc AS DATE) = DATE '2025-02-04'""",
     "catalog_split": f"""WITH {_LISTINGS}

@@ -36,12 +36,12 @@ from shelflens.operators.vectors import with_norm
 from shelflens.plans import driver_tables as D
 from shelflens.plans import matching, report
 from shelflens.plans.ingest import decode_sources, history_build
-from shelflens.sources.files import remove_matches
+from shelflens.sources.files import remove_matches, table_exists
 from shelflens.sources.landing import land_envelopes, landing_inventory, select_landing, stamp_envelopes
-from shelflens.sources.sinks import MANIFEST_SCHEMA, write_csv
+from shelflens.sources.sinks import MANIFEST_SCHEMA, append_history, write_clustered, write_csv
 from shelflens.sources.tables import HISTORY_COLUMNS, NAME_MAP_SCHEMA, PRODUCTS_SCHEMA
 from shelflens.sources.tables import csv_records, history_columns, history_for_day, parse_records
-from shelflens.sources.tables import read_report
+from shelflens.sources.tables import read_history, read_report
 from shelflens.streaming.ingest import start_ingest
 
 DAY = dt.date.fromisoformat(D.LAST_DAY)
@@ -123,13 +123,43 @@ def landing_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.union_sources(chosen)
 
 
+def _job(spark: SparkSession) -> JobConfig:
+    """A job's folders below the shared checkpoint folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shelflens-")
+    return JobConfig(f"{shared.rstrip('/')}/job-{uuid.uuid4().hex}")
+
+
+def _held(rows: DataFrame, config: JobConfig) -> DataFrame:
+    """``rows`` held by the session before the job's files go."""
+    result = keep(rows)
+    result.count()
+    if rows.sparkSession.sparkContext.getCheckpointDir() is not None:
+        remove_matches(rows.sparkSession, config.root)
+    return result
+
+
+def history_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All listings appended in two runs, the table copied in order of load time, and the copy read.
+
+    The second run finds the table that the first one made, and adds to it.
+    """
+    config = _job(spark)
+    rows = D.listings(spark, sf_dir)
+    for there, part in ((False, rows.filter("l_orderkey % 3 = 0")), (True, rows.filter("l_orderkey % 3 <> 0"))):
+        if table_exists(spark, config.history) != there:
+            raise RuntimeError(f"{config.history} exists: {not there}")
+        append_history(part, config.history)
+    ordered = f"{config.root}/history_by_time"
+    write_clustered(read_history(spark, config.history), ordered)
+    return _held(read_history(spark, ordered), config)
+
+
 def ingest_stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents landed, loaded by the file stream, and every touched day's report as written.
 
     Works below the shared checkpoint folder and leaves nothing there but the kept result.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shelflens-")
-    config = JobConfig(f"{shared.rstrip('/')}/job-{uuid.uuid4().hex}")
+    config = _job(spark)
     for spec, docs in _documents(spark, sf_dir).items():
         day = F.regexp_extract("file", r"pre_landing/(\d{4}-\d{2}-\d{2})/", 1)
         landed = docs.select(
@@ -144,12 +174,7 @@ def ingest_stream_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date(F.regexp_extract("path", r"([^/]*)$", 1)).alias("day"), "row_count"
     )
     day = F.to_date("ingest_timestamp_utc")
-    # Held by the session before the job's files go.
-    result = keep(rows.withColumn("day", day).join(F.broadcast(said), "day"))
-    result.count()
-    if spark.sparkContext.getCheckpointDir() is not None:
-        remove_matches(spark, config.root)
-    return result
+    return _held(rows.withColumn("day", day).join(F.broadcast(said), "day"), config)
 
 
 def flatten_shop_l(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -662,7 +687,7 @@ QUERIES: dict[str, Query] = {
         embedding_cache_misses, embedding_lookup, verify_payload, verify_rule, verify_resolve,
         match_decide, match_all_rows, match_verified, match_ratio_min, match_ratio_band, match_missing_vector,
         name_map_build, embedding_refresh, judge_match, name_map_update, snapshot_merge,
-        landing_select, ingest_stream_report, match_embedded,
+        landing_select, ingest_stream_report, match_embedded, history_store,
     )
 }
 QUERIES["history_build"] = history_build_query
