@@ -3,43 +3,59 @@
 A catalogue of a measured size within ``BROADCAST_BYTES`` is broadcast as an inverted index and
 queries are scored where they are: work for the grams that two rows share, no shuffle.
 
-A larger one is searched through narrow rows. All grams have one order, rarest first. Two rows
-whose cosine reaches a cut share a gram in both their *prefixes*: the fewest first grams after
-which what remains is too short to make up the missing product. Rows meet on these grams as an
-id, two weights, a length and a signature, and a pair goes on if neither bound keeps it under the
-cut:
+A larger one is searched through *cells* of rows that are alike. Rows are sorted by their block
+and by which of a few telling grams they hold, and cut into cells of some thousand rows. A cell is
+summed up by the greatest share that each gram has of any row's length: no row of it scores more
+than the sum of a query's shares times those. A query goes to the cell of the highest bound, and
+with the k-th best score found there to the cells whose bound is not below it; within a cell runs
+of ``RUN_ROWS`` rows are left out by the same bound. Cells and the queries sent to one are cut to
+bounded sizes, each pair of them is scored as matrix products in a task, and at most ``k`` rows a
+query leave it: no pair of rows is ever written out. Nothing is lost, as the bounds hold for
+every pair; how much is left out depends on how alike the catalogue's rows are.
+
+``candidate_pairs`` finds all pairs above a cut instead, not only the best. All grams have one
+order, rarest first. Two rows whose cosine reaches a cut share a gram in both their *prefixes*:
+the fewest first grams after which what remains is too short to make up the missing product. Rows
+meet on these grams as an id, two weights, a length and a signature, and a pair goes on if neither
+bound keeps it under the cut:
 
 * by position: at the first gram that a pair shares, the product of what begins there;
 * by signature: a gram sets one of 128 bits. A bit of one side that the other lacks is a gram
   that is not shared, so the lengths of what can be shared follow from two bit counts.
 
-Pairs that are left are made distinct, meet their gram arrays once and are scored. Nothing is
-lost: the bounds hold for every pair, and hot grams are split by the join like any hot key.
-
 Scores are rounded to ``SCORE_DIGITS``; ties go to the smaller catalogue id.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from functools import reduce
 from operator import and_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelflens.functions.numbers import SCORE_DIGITS
 from shelflens.operators.keep import keep
 
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 8 << 20
 #: Scores that a task holds at a time when it scores against a broadcast catalogue.
 SCORES = 1 << 19
 #: Grams that more of the rows have are columns of a matrix, the most frequent of them.
 HOT_SHARE, HOT_GRAMS = 0.01, 256
 ROUNDING = 10.0**-SCORE_DIGITS
-#: Cuts that a search without one goes down; below the last, all shared grams are added up.
-CUTS = (0.8, 0.5)
+#: Rows of a cell at least, cells at most, queries that a cell meets at a time, rows of a run.
+CELL_ROWS, MOST_CELLS, PIECE_ROWS, RUN_ROWS = 2048, 4096, 16384, 128
+#: Numbers of the table of bounds, grams by cells; the grams that it has no room for are bounded as one.
+BOUND_NUMBERS = 8 << 20
+#: Grams that order the rows, chosen on so many of them; they set how much is left out, never what is found.
+SPLITS, SPLIT_ROWS, SPLIT_GRAMS = 62, 4096, 512
+#: What bounds and scores in single precision may be off by.
+SLACK = 4 * ROUNDING
 
 
 # ---------------------------------------------------------------- broadcast catalogue
@@ -206,7 +222,7 @@ def _broadcast_search(
     return known.mapInArrow(run, f"query_id {q}, rank int, catalog_id {c}, score double")
 
 
-# ---------------------------------------------------------------- narrow rows
+# ---------------------------------------------------------------- all pairs above a cut
 
 
 def common_grams(queries: DataFrame, catalog: DataFrame, limit: int = 65536) -> np.ndarray:
@@ -303,94 +319,383 @@ def candidate_pairs(queries: DataFrame, catalog: DataFrame, cut: float, blocks:
     return met.select(*[F.col(f"q.`{c}`").alias(c) for c in blocks], "query_id", "catalog_id").distinct()
 
 
-def _scored(pairs: DataFrame, queries: DataFrame, catalog: DataFrame, cut: float, blocks: list[str]) -> DataFrame:
-    """The pairs' exact scores of at least ``cut``; each pair meets both its gram arrays."""
-    vector = ["grams", "tf", "norm"]
-    left = queries.select(*blocks, "query_id", *[F.col(c).alias(f"q_{c}") for c in vector])
-    right = catalog.select(*blocks, "catalog_id", *[F.col(c).alias(f"c_{c}") for c in vector])
-
-    def run(batches):
+# ---------------------------------------------------------------- cells
+
+
+def _telling_grams(sample: pa.Table) -> np.ndarray:
+    """Grams in the order in which they best halve what those before them have left together."""
+    rows, grams, _ = _entries(sample)
+    if not len(rows):
+        return np.zeros(0, np.int64)
+    known, place = np.unique(grams, return_inverse=True)
+    often = np.argsort(-np.bincount(place), kind="stable")[:SPLIT_GRAMS]
+    column = np.full(len(known), -1)
+    column[often] = np.arange(len(often))
+    holds = np.zeros((sample.num_rows, len(often)), np.int32)
+    hit = column[place] >= 0
+    holds[rows[hit], column[place[hit]]] = 1
+    group, chosen = np.zeros(sample.num_rows, np.int64), []
+    while len(chosen) < SPLITS:
+        turn = np.argsort(group, kind="stable")
+        starts = np.flatnonzero(np.diff(group[turn], prepend=-1))
+        size = np.diff(starts, append=len(turn))[:, None]
+        held = np.add.reduceat(holds[turn], starts, axis=0)
+        gain = np.minimum(held, size - held).sum(axis=0)
+        best = int(gain.argmax())
+        if not gain[best]:
+            break
+        chosen.append(best)
+        group = np.unique(group * 2 + holds[:, best], return_inverse=True)[1]
+    return known[often[chosen]]
+
+
+def _shares(rows: np.ndarray, counts: np.ndarray, norms: np.ndarray) -> np.ndarray:
+    return (counts / norms[rows]).astype(np.float32)
+
+
+def _norms(table: pa.Table | pa.RecordBatch) -> np.ndarray:
+    norms = table["norm"]
+    return norms.to_numpy() if isinstance(norms, pa.ChunkedArray) else norms.to_numpy(zero_copy_only=False)
+
+
+def _cells_of(catalog: DataFrame, rows: int, n: int) -> DataFrame:
+    """The catalogue with ``cell``, of ``rows`` rows that are alike, and ``place`` in it."""
+    sample = catalog.orderBy(F.xxhash64("catalog_id", "grams")).limit(SPLIT_ROWS).select("grams", "tf").toArrow()
+    telling = _telling_grams(sample)
+    turn = np.argsort(telling)
+    shared = catalog.sparkSession.sparkContext.broadcast((telling[turn], np.int64(1) << (SPLITS - 1 - turn)))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in catalog.schema)
+
+    def coded(batches):
+        known, bits = shared.value
+        for batch in batches:
+            code = np.zeros(batch.num_rows, np.int64)
+            if len(known):
+                rows, grams, _ = _entries(batch)
+                at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+                hit = known[at] == grams
+                np.bitwise_or.at(code, rows[hit], bits[at[hit]])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(code)], [*batch.schema.names, "_code"])
+
+    def numbered(batches):
+        first, seen = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            sides = []
-            for s in ("q", "c"):
-                own = pa.RecordBatch.from_arrays([batch[f"{s}_grams"], batch[f"{s}_tf"]], ["grams", "tf"])
-                sides.append(_entries(own))
-            (qr, qg, qt), (cr, cg, ct) = sides
-            every = np.unique(cg)
-            if not len(every):
+            at = np.arange(seen, seen + batch.num_rows)
+            seen += batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(first + at // rows), pa.array((at % rows).astype(np.int32))],
+                [*batch.schema.names, "cell", "place"],
+            )
+
+    order = ["_block", "_code", "catalog_id"]
+    ordered = catalog.mapInArrow(coded, f"{fields}, _code bigint").repartitionByRange(n, *order)
+    ordered = ordered.sortWithinPartitions(*order).drop("_code")
+    return keep(ordered.mapInArrow(numbered, f"{fields}, cell bigint, place int"))
+
+
+class Bounds:
+    """What the rows of each cell can score at most; one column per cell, in the order of their blocks."""
+
+    def __init__(self, table: pa.Table, grams: np.ndarray):
+        first: dict[int, str] = {}
+        last: dict[int, str] = {}
+        ids = table["cell"].to_pylist()
+        # A cell comes in several parts if its rows were read so.
+        for cell, lo, hi in zip(ids, table["first"].to_pylist(), table["last"].to_pylist(), strict=True):
+            lo, hi = lo.encode(), hi.encode()
+            first[cell], last[cell] = min(first.get(cell, lo), lo), max(last.get(cell, hi), hi)
+        self.cells = np.array(sorted(first, key=lambda c: (first[c], last[c], c)), np.int64)
+        self.first, self.last = ([side[c] for c in self.cells.tolist()] for side in (first, last))
+        self.grams = grams
+        number = {c: i for i, c in enumerate(self.cells.tolist())}
+        column = np.array([number[c] for c in ids], np.int64)
+        self.most = np.zeros((len(grams), len(self.cells)), np.float32)
+        places, most = table["places"].combine_chunks(), table["most"].combine_chunks()
+        wide = places.value_lengths().to_numpy(zero_copy_only=False)
+        where = places.flatten().to_numpy(), np.repeat(column, wide)
+        np.maximum.at(self.most, where, most.flatten().to_numpy().astype(np.float32))
+        self.rest = np.zeros(len(self.cells), np.float32)
+        np.maximum.at(self.rest, column, table["rest"].to_numpy().astype(np.float32))
+
+    def of(self, batch: pa.RecordBatch | pa.Table):
+        """Row numbers, the cells of their block (from, to) and the rows' bounds there, piece by piece."""
+        rows, grams, counts = _entries(batch)
+        if not len(rows) or not len(self.cells):
+            return
+        share = _shares(rows, counts, _norms(batch))
+        at = np.minimum(np.searchsorted(self.grams, grams), max(len(self.grams) - 1, 0))
+        known = self.grams[at] == grams if len(self.grams) else np.zeros(len(grams), bool)
+        other = np.sqrt(np.bincount(rows[~known], share[~known].astype(np.float64) ** 2, batch.num_rows))
+        names, code = np.unique(np.array(batch["_block"].to_pylist(), object), return_inverse=True)
+        edges = np.searchsorted(rows, np.arange(batch.num_rows + 1))
+        by_block = np.argsort(code, kind="stable")
+        for members in np.split(by_block, np.flatnonzero(np.diff(code[by_block])) + 1):
+            name = names[code[members[0]]].encode()
+            lo, hi = bisect_left(self.last, name), bisect_right(self.first, name)
+            if lo >= hi:
                 continue
-            at = np.minimum(np.searchsorted(every, qg), len(every) - 1)
-            known = every[at] == qg
-            key = qr[known] * len(every) + at[known]
-            own = cr * len(every) + np.searchsorted(every, cg)
-            turn = np.argsort(own, kind="stable")
-            place = np.minimum(np.searchsorted(own[turn], key), len(own) - 1)
-            hit = own[turn][place] == key
-            dots = np.bincount(qr[known][hit], qt[known][hit] * ct[turn][place[hit]], batch.num_rows)
-            norms = [batch[f"{s}_norm"].to_numpy(zero_copy_only=False) for s in ("q", "c")]
-            scale = 10.0**SCORE_DIGITS
-            scores = np.floor(dots / (norms[0] * norms[1]) * scale + 0.5) / scale
-            good = np.flatnonzero((scores >= cut) & (dots > 0))
-            ids = batch.select(["query_id", "catalog_id"]).take(pa.array(good))
-            yield pa.RecordBatch.from_arrays([*ids.columns, pa.array(scores[good])], ["query_id", "catalog_id", "score"])
-
-    met = pairs.join(left, [*blocks, "query_id"]).join(right, [*blocks, "catalog_id"])
-    columns = ["query_id", "catalog_id", *[f"{s}_{c}" for s in ("q", "c") for c in vector]]
-    fields = ", ".join(f"{c} {met.schema[c].dataType.simpleString()}" for c in ("query_id", "catalog_id"))
-    return met.select(*columns).mapInArrow(run, f"{fields}, score double")
-
-
-def _all_shared(queries: DataFrame, catalog: DataFrame, blocks: list[str]) -> DataFrame:
-    """Scores of all pairs that share a gram, each gram's product added up; narrow rows only."""
-
-    def grams(side: DataFrame, row_id: str, short: str) -> DataFrame:
-        pair = F.explode(F.arrays_zip("grams", "tf")).alias("e")
-        return side.select(*blocks, row_id, F.col("norm").alias(f"{short}_norm"), pair).select(
-            *blocks, row_id, f"{short}_norm", F.col("e.grams").alias("gram"), F.col("e.tf").cast("double").alias(f"{short}_tf")
-        )
-
-    met = grams(queries, "query_id", "q").join(grams(catalog, "catalog_id", "c"), [*blocks, "gram"])
-    scale = 10.0**SCORE_DIGITS
-    return (
-        met.groupBy(*blocks, "query_id", "catalog_id", "q_norm", "c_norm")
-        .agg(F.sum(F.col("q_tf") * F.col("c_tf")).alias("_dot"))
-        .select(
-            "query_id", "catalog_id",
-            (F.floor(F.col("_dot") / (F.col("q_norm") * F.col("c_norm")) * scale + 0.5) / scale).alias("score"),
-        )
+            step = max(1, (4 << 20) // (max(len(self.grams), hi - lo)))
+            for start in range(0, len(members), step):
+                chosen = members[start : start + step]
+                n = edges[chosen + 1] - edges[chosen]
+                local = np.repeat(np.arange(len(chosen)), n)
+                entry = np.repeat(edges[chosen] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                local, entry = local[known[entry]], entry[known[entry]]
+                asked = np.zeros((len(chosen), len(self.grams)), np.float32)
+                asked[local, at[entry]] = share[entry]
+                bound = asked @ self.most[:, lo:hi] + np.outer(other[chosen], self.rest[lo:hi])
+                yield chosen, lo, hi, np.minimum(bound, 1.0)
+
+
+def _bounds(cells: DataFrame, n: int) -> Bounds:
+    """Summaries of the cells; the driver sees ``BOUND_NUMBERS`` of them at most."""
+    frequent = common_grams(cells, cells.limit(0), max(1, BOUND_NUMBERS // max(n, 1)))
+    grams = np.sort(frequent)
+    shared = cells.sparkSession.sparkContext.broadcast(grams)
+
+    def summed(batches):
+        known, found = shared.value, {}
+        for batch in batches:
+            rows, grams, counts = _entries(batch)
+            share = _shares(rows, counts, _norms(batch))
+            cell, block = batch["cell"].to_numpy(zero_copy_only=False), batch["_block"].to_pylist()
+            at = np.minimum(np.searchsorted(known, grams), max(len(known) - 1, 0))
+            hit = known[at] == grams if len(known) else np.zeros(len(grams), bool)
+            lost = np.sqrt(np.bincount(rows[~hit], share[~hit].astype(np.float64) ** 2, batch.num_rows))
+            for one in np.unique(cell):
+                mine = np.flatnonzero(cell == one)
+                if one not in found:
+                    found[one] = [np.zeros(len(known), np.float32), 0.0, block[mine[0]], block[mine[-1]]]
+                whole = found[one]
+                of_it = hit & (cell[rows] == one)
+                np.maximum.at(whole[0], at[of_it], share[of_it])
+                names = [block[i] for i in mine]
+                whole[1] = max(whole[1], float(lost[mine].max()))
+                whole[2:] = min(whole[2], *names[:1]), max(whole[3], *names[-1:])
+            # Rows come in the order of their cells: all but the last one are whole.
+            for one in sorted(found)[:-1]:
+                yield _bound_batch(one, found.pop(one))
+        for one, whole in found.items():
+            yield _bound_batch(one, whole)
+
+    schema = "cell bigint, places array<int>, most array<float>, rest double, first string, last string"
+    return Bounds(cells.select("cell", "_block", "grams", "tf", "norm").mapInArrow(summed, schema).toArrow(), grams)
+
+
+def _bound_batch(cell: int, whole: list) -> pa.RecordBatch:
+    places = np.flatnonzero(whole[0])
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([int(cell)], pa.int64()), pa.array([places], pa.list_(pa.int32())),
+            pa.array([whole[0][places]], pa.list_(pa.float32())), pa.array([whole[1]], pa.float64()),
+            pa.array([whole[2]], pa.string()), pa.array([whole[3]], pa.string()),
+        ],
+        ["cell", "places", "most", "rest", "first", "last"],
     )
 
 
-def narrow_search(
-    queries: DataFrame, catalog: DataFrame, k: int, cut: float | None, blocks: list[str], cuts: tuple[float, ...] = CUTS
-) -> DataFrame:
-    """Exact top ``k`` without a size limit on the catalogue.
-
-    Without a cut the search goes down the ``cuts``: a query with ``k`` hits at one has its
-    result, as whatever scores less cannot be among them; only the others are searched again,
-    and those that no cut fills have the products of all their grams added up.
+class Cell:
+    """A cell's rows, in runs of ``RUN_ROWS``."""
+
+    def __init__(self, table: pa.Table):
+        self.norm = _norms(table)
+        self.rows, grams, self.counts = _entries(table)
+        self.grams, self.place = np.unique(grams, return_inverse=True)
+        self.edges = np.searchsorted(self.rows, np.arange(table.num_rows + 1))
+        self.runs = -(-table.num_rows // RUN_ROWS)
+        self.most = np.zeros((len(self.grams), self.runs), np.float32)
+        np.maximum.at(self.most, (self.place, self.rows // RUN_ROWS), _shares(self.rows, self.counts, self.norm))
+        # Rows are in the order of their blocks, so a run's blocks are a range.
+        self.blocks: dict[str, int] = {}
+        self.block = np.array([self.blocks.setdefault(b, len(self.blocks)) for b in table["_block"].to_pylist()])
+        self.first = self.block[::RUN_ROWS]
+        self.last = self.block[np.minimum(np.arange(1, self.runs + 1) * RUN_ROWS, table.num_rows) - 1]
+
+    def run(self, r: int, dtype) -> tuple[np.ndarray, np.ndarray]:
+        """Column of each gram in the run's matrix (-1: none), and the matrix."""
+        lo, hi = self.edges[r * RUN_ROWS], self.edges[min((r + 1) * RUN_ROWS, len(self.norm))]
+        own, column = np.unique(self.place[lo:hi], return_inverse=True)
+        where = np.full(len(self.grams), -1)
+        where[own] = np.arange(len(own))
+        matrix = np.zeros((len(own), min(RUN_ROWS, len(self.norm) - r * RUN_ROWS)), dtype)
+        matrix[column, self.rows[lo:hi] - r * RUN_ROWS] = self.counts[lo:hi]
+        return where, matrix
+
+
+def _best_in_cell(asked: pa.Table, known: pa.Table, least: np.ndarray, k: int):
+    """Row numbers and scores of the ``k`` best of ``known`` for each row of ``asked``, from ``least`` on.
+
+    Also the ``k``-th best score of each row, where it has so many, else its ``least``.
     """
-    from shelflens.operators.topk import best_per_query
+    cell, norm, n = Cell(known), _norms(asked), asked.num_rows
+    rows, grams, counts = _entries(asked)
+    at = np.minimum(np.searchsorted(cell.grams, grams), len(cell.grams) - 1)
+    hit = cell.grams[at] == grams
+    rows, at, counts = rows[hit], at[hit], counts[hit]
+    edges = np.searchsorted(rows, np.arange(n + 1))
+    block = np.array([cell.blocks.get(b, -1) for b in asked["_block"].to_pylist()])
+    share = _shares(rows, counts, norm)
+    bound = np.zeros((n, cell.runs), np.float32)
+    some = np.flatnonzero(np.diff(edges))
+    step = max(1, (8 << 20) // (64 * cell.runs))
+    for start in range(0, len(some), step):
+        part = some[start : start + step]
+        lo, hi = edges[part[0]], edges[part[-1] + 1]
+        bound[part] = np.add.reduceat(cell.most[at[lo:hi]] * share[lo:hi, None], edges[part] - lo, axis=0)
+    bound[(block[:, None] < cell.first) | (block[:, None] > cell.last) | (bound <= 0)] = -1.0
+    best = np.full((n, k), -1.0)
+    lowest = least.astype(np.float64).copy()
+    # Whole numbers below 2**24 are exact in single precision.
+    dtype = np.float32 if n and norm.max() * cell.norm.max() < 1 << 24 else np.float64
+    scale, hits = 10.0**SCORE_DIGITS, []
+
+    def visit(r: int, chosen: np.ndarray, where: np.ndarray, matrix: np.ndarray) -> None:
+        m = edges[chosen + 1] - edges[chosen]
+        local = np.repeat(np.arange(len(chosen)), m)
+        entry = np.repeat(edges[chosen] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+        column = where[at[entry]]
+        there = column >= 0
+        side = np.zeros((len(chosen), len(matrix)), dtype)
+        side[local[there], column[there]] = counts[entry[there]]
+        dots = side @ matrix
+        other = slice(r * RUN_ROWS, r * RUN_ROWS + matrix.shape[1])
+        if cell.first[r] != cell.last[r]:
+            dots[block[chosen][:, None] != cell.block[other]] = 0
+        near = dots * (1.0 / cell.norm[other]).astype(dtype) * (1.0 / norm[chosen]).astype(dtype)[:, None]
+        top = np.partition(near, near.shape[1] - k, axis=1)[:, -k:] if near.shape[1] > k else near
+        top = np.where(top > 0, top, -1.0)
+        all_best = np.concatenate([best[chosen], top], axis=1)
+        best[chosen] = np.partition(all_best, all_best.shape[1] - k, axis=1)[:, -k:]
+        lowest[chosen] = np.maximum(lowest[chosen], best[chosen].min(axis=1))
+        i, j = np.nonzero((near >= (lowest[chosen] - SLACK)[:, None]) & (dots > 0))
+        exact = dots[i, j].astype(np.float64) / (norm[chosen[i]] * cell.norm[other][j])
+        hits.append((chosen[i], j + r * RUN_ROWS, np.floor(exact * scale + 0.5) / scale))
+
+    nearest = bound.argmax(axis=1) if cell.runs else np.zeros(n, np.int64)
+    piece = 2048
+    for first in (True, False):
+        for r in range(cell.runs):
+            wanted = (bound[:, r] > 0) & (bound[:, r] >= lowest - SLACK) & ((nearest == r) == first)
+            wanted = np.flatnonzero(wanted)
+            if len(wanted):
+                where, matrix = cell.run(r, dtype)
+                for start in range(0, len(wanted), piece):
+                    visit(r, wanted[start : start + piece], where, matrix)
+    if not hits:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), least
+    q, c, score = (np.concatenate(x) for x in zip(*hits))
+    good = (score >= least[q]) & (score >= lowest[q] - SLACK)
+    q, c, score = q[good], c[good], score[good]
+    place = np.empty(known.num_rows, np.int64)
+    place[pc.sort_indices(known["catalog_id"]).to_numpy()] = np.arange(known.num_rows)
+    turn = np.lexsort((place[c], -score, q))
+    q, c, score = q[turn], c[turn], score[turn]
+    rank = np.arange(len(q)) - np.searchsorted(q, q, side="left")
+    kth = np.maximum(least, -1.0)
+    full = rank == k - 1
+    kth[q[full]] = np.maximum(kth[q[full]], score[full])
+    return q[rank < k], c[rank < k], score[rank < k], kth
+
+
+VISIT = ["query_id", "_block", "grams", "tf", "norm"]
+
+
+def _meet(visits: DataFrame, cells: DataFrame, kernel, schema: str) -> DataFrame:
+    """``kernel(queries, cell)`` for each cell and each piece of the queries that visit it.
+
+    ``visits`` holds ``VISIT``, ``cell`` and ``least``. A cell that many queries visit is copied to
+    as many pieces; the counts are one row per cell.
+    """
+    pieces = F.broadcast(
+        visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / PIECE_ROWS).cast("int").alias("_pieces"))
+    )
+    q, c = (d.schema[n].dataType for d, n in ((visits, "query_id"), (cells, "catalog_id")))
+    own = visits.join(pieces, "cell").select(
+        "cell", F.pmod(F.xxhash64("query_id", "grams"), "_pieces").cast("int").alias("piece"), *VISIT, "least",
+        F.lit(None).cast(c).alias("catalog_id"), F.lit(None).cast("int").alias("place"),
+    )
+    other = cells.join(pieces, "cell").select(
+        "cell", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)).alias("piece"), F.lit(None).cast(q).alias("query_id"),
+        *VISIT[1:], F.lit(None).cast("double").alias("least"), "catalog_id", "place",
+    )
 
-    queries, catalog = keep(queries), keep(catalog.distinct())
-    order = common_grams(queries, catalog)
-    if not len(order):
-        return best_per_query(_all_shared(queries, catalog, blocks), k)
+    def run(table: pa.Table) -> pa.Table:
+        mine = pc.is_null(table["place"])
+        return kernel(table.filter(mine), table.filter(pc.invert(mine)).sort_by("place"))
 
-    def at(pending: DataFrame, least: float) -> DataFrame:
-        pairs = candidate_pairs(pending, catalog, least - 2 * ROUNDING, blocks, order)
-        return best_per_query(_scored(pairs, pending, catalog, least, blocks), k)
+    return own.unionByName(other).groupBy("cell", "piece").applyInArrow(run, schema)
 
-    if cut is not None:
-        return at(queries, cut)
-    found, pending = [], queries
-    for least in cuts:
-        hits = keep(at(pending, least))
-        full = hits.filter(F.col("rank") == k).select("query_id")
-        found.append(hits.join(full, "query_id", "left_semi"))
-        pending = keep(pending.join(full, "query_id", "left_anti"))
-    rest = best_per_query(_all_shared(pending, catalog, blocks), k)
-    return reduce(DataFrame.unionByName, found, rest)
+
+def cell_search(queries: DataFrame, catalog: DataFrame, k: int, cut: float | None, blocks: list[str]) -> DataFrame:
+    """Exact top ``k`` without a size limit on the catalogue, see above."""
+    from shelflens.operators.topk import best_per_query
+
+    block = F.to_json(F.struct(*blocks)) if blocks else F.lit("")
+    queries = queries.select("query_id", block.alias("_block"), "grams", "tf", "norm").filter(F.size("grams") > 0)
+    catalog = catalog.select("catalog_id", block.alias("_block"), "grams", "tf", "norm").filter(F.size("grams") > 0)
+    catalog = keep(catalog.distinct())
+    n = catalog.count()
+    rows = max(CELL_ROWS, -(-n // MOST_CELLS))
+    cells = _cells_of(catalog, rows, max(1, n // (8 * rows)))
+    table = _bounds(cells, -(-n // rows) + n // (8 * rows) + 1)
+    shared = queries.sparkSession.sparkContext.broadcast(table)
+    least = -1.0 if cut is None else float(cut)
+    q, c = (d.schema[n].dataType.simpleString() for d, n in ((queries, "query_id"), (catalog, "catalog_id")))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in queries.schema)
+
+    def nearest(batches):
+        """Each query with the cell that can score highest."""
+        for batch in batches:
+            for chosen, lo, hi, bound in shared.value.of(batch):
+                best = bound.argmax(axis=1)
+                reach = bound[np.arange(len(chosen)), best]
+                good = (reach > 0) & (reach >= least - SLACK)
+                rows = batch.select(VISIT).take(pa.array(chosen[good]))
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.array(shared.value.cells[lo:hi][best[good]]), pa.array(np.full(len(rows), least))],
+                    [*VISIT, "cell", "least"],
+                )
+
+    def hits(asked: pa.Table, known: pa.Table, found) -> list:
+        own, other, score, _ = found
+        return [asked["query_id"].take(pa.array(own)), known["catalog_id"].take(pa.array(other)), pa.array(score, pa.float64())]
+
+    names = ["query_id", "catalog_id", "score"]
+
+    def first(asked: pa.Table, known: pa.Table) -> pa.Table:
+        """The hits in the first cell, and the visits to all others that may hold better ones."""
+        if not asked.num_rows or not known.num_rows:
+            found = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+        else:
+            found = _best_in_cell(asked, known, asked["least"].to_numpy(), k)
+        out = pa.table(hits(asked, known, found), names)
+        parts = [out]
+        for name in ("_block", "grams", "tf", "norm", "cell", "least"):
+            parts[0] = parts[0].append_column(name, pa.nulls(out.num_rows, pa.int64() if name == "cell" else asked[name].type))
+        been = asked["cell"].to_numpy() if asked.num_rows else np.zeros(0, np.int64)
+        for chosen, lo, hi, bound in shared.value.of(asked):
+            cells = shared.value.cells[lo:hi]
+            goes = (bound > 0) & (bound >= (found[3][chosen] - SLACK)[:, None]) & (cells != been[chosen][:, None])
+            row, cell = np.nonzero(goes)
+            sent = asked.select(VISIT).take(pa.array(chosen[row]))
+            sent = sent.append_column("cell", pa.array(cells[cell])).append_column("least", pa.array(found[3][chosen[row]]))
+            sent = sent.append_column("catalog_id", pa.nulls(len(row), out["catalog_id"].type))
+            sent = sent.append_column("score", pa.nulls(len(row), pa.float64()))
+            parts.append(sent.select(parts[0].schema.names))
+        return pa.concat_tables(parts)
+
+    def later(asked: pa.Table, known: pa.Table) -> pa.Table:
+        if not asked.num_rows or not known.num_rows:
+            return pa.table([asked["query_id"].slice(0, 0), known["catalog_id"].slice(0, 0), pa.array([], pa.float64())], names)
+        return pa.table(hits(asked, known, _best_in_cell(asked, known, asked["least"].to_numpy(), k)), names)
+
+    # Counted per cell, then sent: the bounds are worked out once.
+    seeds = keep(queries.mapInArrow(nearest, f"{fields}, cell bigint, least double"))
+    both = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in queries.drop("query_id").schema)
+    begun = keep(_meet(seeds, cells, first, f"query_id {q}, catalog_id {c}, score double, {both}, cell bigint, least double"))
+    rest = begun.filter(F.col("cell").isNotNull()).select(*VISIT, "cell", "least")
+    found = begun.filter(F.col("cell").isNull()).select(*names)
+    return best_per_query(found.unionByName(_meet(rest, cells, later, f"query_id {q}, catalog_id {c}, score double")), k)
 
 
 def sparse_topk(
@@ -419,4 +724,4 @@ def sparse_topk(
     catalog = keep(catalog)
     if _measured(catalog) <= broadcast_bytes:
         return _broadcast_search(queries, catalog, k, min_similarity, blocks)
-    return narrow_search(queries, catalog, k, min_similarity, blocks)
+    return cell_search(queries, catalog, k, min_similarity, blocks)

@@ -414,3 +414,38 @@ def test_search_in_blocks_agrees_with_brute_force(spark, clustered, limit, k, cu
     assert ("CoGroups" in df._jdf.queryExecution().toString()) == (limit == 0)
     nothing = T.dense_topk(side(q, "query_id"), catalog.limit(0), k, block_on=["shelf", "odd"], broadcast_bytes=limit)
     assert nothing.count() == 0
+
+
+def test_the_sparse_search_hands_on_few_rows_a_query(spark, monkeypatch):
+    """Names that all share grams: what is ranked last are a few hits a query, never pairs of rows."""
+    rng = np.random.default_rng(21)
+    nq, nc = names(rng, 500, "one brand "), names(rng, 500, "ONE brand ")
+    seen, ranked = [], T.best_per_query
+
+    def counted(scored, k):
+        seen.append(scored.count())
+        return ranked(scored, k)
+
+    monkeypatch.setattr(T, "best_per_query", counted)
+    monkeypatch.setattr(S, "CELL_ROWS", 32, raising=False)
+    monkeypatch.setattr(S, "PIECE_ROWS", 64, raising=False)
+    df = S.sparse_topk(gram_side(spark, nq, "query_id"), gram_side(spark, nc, "catalog_id"), 3, broadcast_bytes=0)
+    assert got(df) == brute_grams(nq, nc, 3, 1e-9)
+    assert sum(seen) <= 20 * len(nq) < len(nq) * len(nc) / 20
+
+
+@pytest.mark.parametrize("run_rows", [3, 128])
+def test_best_in_a_cell_agrees_with_brute_force(spark, monkeypatch, run_rows):
+    monkeypatch.setattr(S, "RUN_ROWS", run_rows)
+    rng = np.random.default_rng(22)
+    block = F.when(F.col("block") == 0, "a").otherwise("b").alias("_block")
+    asked, known = (
+        gram_side(spark, names(rng, 80), row_id).select(row_id, block, "grams", "tf", "norm").orderBy("_block", row_id).toArrow()
+        for row_id in ("query_id", "catalog_id")
+    )
+    rows, cols, scores, kth = S._best_in_cell(asked, known, np.full(asked.num_rows, -1.0), 2)
+    label = dict(zip(asked["query_id"].to_pylist() + known["catalog_id"].to_pylist(), asked["_block"].to_pylist() + known["_block"].to_pylist()))
+    want = brute_grams(asked["query_id"].to_pylist(), known["catalog_id"].to_pylist(), 2, 1e-9, label.get)
+    found = {(asked["query_id"][int(q)].as_py(), known["catalog_id"][int(c)].as_py()) for q, c in zip(rows, cols)}
+    assert found == {(q, c) for q, _, c, *_ in want}
+    assert all(kth[q] == min(scores[rows == q]) for q in set(rows.tolist()) if (rows == q).sum() == 2)
