@@ -449,3 +449,21 @@ def test_best_in_a_cell_agrees_with_brute_force(spark, monkeypatch, run_rows):
     found = {(asked["query_id"][int(q)].as_py(), known["catalog_id"][int(c)].as_py()) for q, c in zip(rows, cols)}
     assert found == {(q, c) for q, _, c, *_ in want}
     assert all(kth[q] == min(scores[rows == q]) for q in set(rows.tolist()) if (rows == q).sum() == 2)
+
+
+@pytest.mark.parametrize("block_rows", [20, None])
+def test_the_blocked_search_takes_both_sides_from_one_table(spark, block_rows):
+    rng = np.random.default_rng(23)
+    v = rng.standard_normal((120, 4))
+    rows = spark.createDataFrame([(i, x.tolist(), f"s{i % 3}", i % 2 == 0) for i, x in enumerate(v)], "id long, vector array<double>, shelf string, asks boolean")
+    rows = valid_vectors(rows, "vector").cache()
+    asked = rows.filter("asks").select(F.col("id").alias("query_id"), "shelf", "vector", "norm")
+    known = rows.filter("NOT asks").select(F.col("id").alias("catalog_id"), "shelf", "vector", "norm")
+    settings = {"block_rows": block_rows} if block_rows else {}
+    df = T.dense_topk(asked, known, 2, block_on=["shelf"], broadcast_bytes=0, **settings)
+    want = []
+    for shelf in range(3):
+        mine = [i for i in range(120) if i % 3 == shelf]
+        q, c = ([i for i in mine if i % 2 == side] for side in (0, 1))
+        want += [(q[i], rank, c[j], score) for i, rank, j, score in brute(v[q], v[c], 2)]
+    assert got(df) == sorted(want)
