@@ -467,3 +467,11 @@ def test_the_blocked_search_takes_both_sides_from_one_table(spark, block_rows):
         q, c = ([i for i in mine if i % 2 == side] for side in (0, 1))
         want += [(q[i], rank, c[j], score) for i, rank, j, score in brute(v[q], v[c], 2)]
     assert got(df) == sorted(want)
+
+
+def test_a_task_scores_a_few_megabytes_at_a_time(spark):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5000))], ["query_id"])
+    pieces = [p.num_rows for p in T._chunks([batch], 60_000)]
+    assert sum(pieces) == 5000 and max(pieces) * 60_000 * 8 <= 8 << 20
