@@ -45,8 +45,8 @@ def is_object(value: Column, path: str = "$") -> Column:
     return F.try_variant_get(value, path, "map<string,variant>").isNotNull()
 
 
-def as_text(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
+def as_text(value: Column, path: str = "$") -> Column:
+    return F.try_variant_get(value, path, "string")
 
 
 # JSON texts of the falsy values: null, "", false, [], {} and any spelling of zero.
@@ -69,3 +69,17 @@ def first_truthy(values: list[Column]) -> Column:
     for value in values[1:-1]:
         chain = chain.when(is_truthy(value), value)
     return chain.otherwise(values[-1])
+
+
+# Code points that a falsy value's text may begin with (0: an empty text); most texts begin with others.
+_DOUBTFUL = [0, *map(ord, "-0fn[{")]
+
+
+def is_truthy_text(text: Column, value: Column, path: str) -> Column:
+    """``is_truthy`` of what lies at ``path`` of a parsed ``value``, with its ``text`` known.
+
+    Missing values and nulls have no text. Only where a text's first character leaves it open
+    whether it is a string or a falsy number, the value is looked up and written as JSON.
+    """
+    open_to_doubt = F.ascii(text).isin(_DOUBTFUL)
+    return text.isNotNull() & (~open_to_doubt | is_truthy(at(value, path)))

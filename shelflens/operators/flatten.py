@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,30 +46,39 @@ def decode_products(
         "products",
         _list_reason(F.col("doc"), F.col("products"), spec.list_path).alias("doc_reason"),
     )
-    elements = judged.select(
-        "file", *carry, "doc_reason", F.posexplode_outer("products").alias("pos", "product")
+    # Every look into an element costs much more than what is done with its result. Filters move
+    # below a projection and repeat what it computes, but never below the generator.
+    paths = [*spec.name_paths, *spec.price_paths]
+
+    def looked_up(product: Column) -> Column:
+        return F.struct(product.alias("product"), *[V.as_text(product, p).alias(f"t{i}") for i, p in enumerate(paths)])
+
+    listed = judged.select("file", *carry, "doc_reason", F.transform("products", looked_up).alias("products"))
+    elements = listed.select(
+        "file", *carry, "doc_reason", F.posexplode_outer("products").alias("pos", "element")
     ).filter(F.col("pos").isNotNull() | F.col("doc_reason").isNotNull())
 
-    product = F.col("product")
-    picked = elements.select(
-        "file",
-        *carry,
-        "pos",
-        F.when(F.col("pos").isNull(), F.col("doc_reason"))
-        .when(~V.is_object(product), F.lit("product is no object"))
-        .alias("reason"),
-        V.first_truthy([V.at(product, p) for p in spec.name_paths]).alias("name"),
-        V.first_truthy([V.at(product, p) for p in spec.price_paths]).alias("price"),
+    product = F.col("element.product")
+    names = [(p, F.col(f"element.t{i}")) for i, p in enumerate(spec.name_paths)]
+    prices = [(p, F.col(f"element.t{len(names) + i}")) for i, p in enumerate(spec.price_paths)]
+
+    def chosen(found: list[tuple[str, Column]]) -> Column:
+        """The text of the first truthy value; the last one's when none is truthy."""
+        text = found[-1][1]
+        for path, other in reversed(found[:-1]):
+            text = F.when(V.is_truthy_text(other, product, path), other).otherwise(text)
+        return text
+
+    # What has something at a path is an object; the others are few.
+    found_any = reduce(or_, [text.isNotNull() for _, text in [*names, *prices]])
+    reason = F.when(F.col("pos").isNull(), F.col("doc_reason")).when(
+        ~found_any & ~V.is_object(product), F.lit("product is no object")
     )
-    named = picked.filter(F.col("reason").isNotNull() | V.is_truthy(F.col("name")))
+    is_named = reduce(or_, [V.is_truthy_text(text, product, path) for path, text in names])
+    named = elements.withColumn("reason", reason).filter(F.col("reason").isNotNull() | is_named)
     texts = named.select(
-        "file",
-        *carry,
-        "pos",
-        "reason",
-        V.as_text(F.col("name")).alias("product_name"),
-        clean_price_text(V.as_text(F.col("price"))).alias("price_text"),
-    )
+        "file", *carry, "pos", "reason", chosen(names).alias("product_name"), chosen(prices).alias("price")
+    ).withColumn("price_text", clean_price_text(F.col("price")))
     return texts.select(
         "file", *carry, "pos", "reason", "product_name",
         python_float(F.col("price_text")).alias("sale_price"),

@@ -124,6 +124,21 @@ def test_flatten_stays_in_the_jvm(spark):
     assert "Python" not in plan and "Exchange" not in plan
 
 
+def test_an_element_is_looked_into_once_for_each_path(spark):
+    for spec in (SPEC_L, SPEC_W):
+        plan = FL.flatten(docs(spark, doc_l()), spec)._jdf.queryExecution().optimizedPlan().toString()
+        for path in (*spec.name_paths, *spec.price_paths):
+            assert plan.count(f"{path}, StringType") == 1
+
+
+def test_values_of_all_types_at_a_path(spark):
+    values = ["x", "", "0", 0, 0.0, -0.0, False, True, [], [0], {}, {"a": 1}, None, "false", "[]", "-0", -1, 0.5, "null", " "]
+    got = flat(spark, SPEC_L, doc_l(*[{"name": v, "product_name": f"n{i}"} for i, v in enumerate(values)]))
+    names = [name for name, _ in got]
+    falsy = {f"n{i}" for i, v in enumerate(values) if not v}
+    assert len(names) == len(values) and falsy == {n for n in names if n[:1] == "n" and n != "null"}
+
+
 @pytest.fixture
 def config(tmp_path):
     return JobConfig(str(tmp_path / "root"))
