@@ -119,6 +119,13 @@ def test_the_index_reads_no_ids(spark, docs, tmp_path):
     assert "shards" in plan and "ids:binary" not in plan
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
+def test_no_ids_pass_through_the_join_of_op11(spark):
+    plan = QUERIES["op11_token_shards"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    # The checksum, for which ids are needed, is taken on a side of the join, so below it.
+    assert plan.index("Join") < plan.index("crc32(")
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
 def test_op11(spark):
     tok = Tokenizer.from_file(PATH)
