@@ -71,15 +71,16 @@ def first_truthy(values: list[Column]) -> Column:
     return chain.otherwise(values[-1])
 
 
-# Code points that a falsy value's text may begin with (0: an empty text); most texts begin with others.
-_DOUBTFUL = [0, *map(ord, "-0fn[{")]
+# Code points that the text of a falsy value but the empty text may begin with; most texts begin with others.
+_DOUBTFUL = [*map(ord, "-0fn[{")]
 
 
 def is_truthy_text(text: Column, value: Column, path: str) -> Column:
     """``is_truthy`` of what lies at ``path`` of a parsed ``value``, with its ``text`` known.
 
-    Missing values and nulls have no text. Only where a text's first character leaves it open
-    whether it is a string or a falsy number, the value is looked up and written as JSON.
+    Missing values and nulls have no text, and only an empty string has an empty one. Only where a
+    text's first character leaves it open whether it is a string or a falsy number, the value is
+    looked up and written as JSON.
     """
     open_to_doubt = F.ascii(text).isin(_DOUBTFUL)
-    return text.isNotNull() & (~open_to_doubt | is_truthy(at(value, path)))
+    return text.isNotNull() & (text != "") & (~open_to_doubt | is_truthy(at(value, path)))

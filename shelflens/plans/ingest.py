@@ -34,6 +34,15 @@ def history_build(decoded: DataFrame, load_ts: dt.datetime | Column) -> DataFram
     )
 
 
+def reject_places(decoded: DataFrame) -> DataFrame:
+    """Decoded rows in which only rejects say where they were found (``file``, ``pos``).
+
+    A product is stored without its place; kept with each product, the places would be the larger part.
+    """
+    rejected = F.col("reason").isNotNull()
+    return decoded.withColumns({place: F.when(rejected, F.col(place)) for place in ("file", "pos")})
+
+
 def store_load(
     decoded: DataFrame, config: JobConfig, load_ts: dt.datetime | Column, load_id: str
 ) -> list[dt.datetime]:
@@ -42,7 +51,7 @@ def store_load(
     The documents are decoded once for both outputs. Writing the same load again
     replaces it, also with nothing: a load without products leaves no rows.
     """
-    decoded = decoded.persist()
+    decoded = reject_places(decoded).persist()
     try:
         rejects = decoded.filter(F.col("reason").isNotNull())
         rejects.select("ecommerce_name", "file", "pos", "reason").write.mode("overwrite").json(

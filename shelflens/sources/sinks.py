@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelflens.sources.files import remove_matches
 from shelflens.sources.tables import CSV_OPTIONS, HISTORY_COLUMNS, STAMP_OPTIONS
 
 MANIFEST_SCHEMA = "path string, row_count bigint, written_at timestamp_ntz"
+#: Rows of one file of a report, about.
+REPORT_FILE_ROWS = 250_000
 
 
 def append_history(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -84,18 +86,19 @@ def write_report(
     An empty report writes nothing. Files are range-partitioned, so that reading
     them by name gives the total order without one task holding everything.
     """
-    # Kept, so that the test for rows and the range bounds do not compute it anew.
+    # Kept, so that the count and the range bounds do not compute it anew. What is kept has as many
+    # parts as a shuffle, however small: as many ranges again would be a file for each pair of them.
     report = report.persist()
     try:
-        if report.isEmpty():
+        rows = report.count()
+        if not rows:
             return 0
-        seen = Observation()
-        ordered = report.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
-        writer = ordered.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        ranges = -(-rows // REPORT_FILE_ROWS)
+        writer = report.repartitionByRange(ranges, *sort_by).sortWithinPartitions(*sort_by).write.mode("overwrite")
         if fmt == "csv":
             writer = writer.option("header", True).options(**STAMP_OPTIONS)
         writer.format(fmt).save(path)
-        return seen.get["rows"]
+        return rows
     finally:
         report.unpersist()
 

@@ -393,3 +393,23 @@ def test_days_outside_the_file_time(spark):
     got = [r[0] for r in rows.select(load_time(F.col("modified"), F.col("day"))).collect()]
     last = dt.datetime(2025, 1, 30, 23, 59, 59, 999999)
     assert got == [RUN, RUN, last, dt.datetime(2025, 2, 1)]
+
+
+def test_only_rejects_are_kept_with_their_place(spark):
+    from shelflens.plans import ingest
+
+    text = doc_l({"name": "A", "price": 1}, None, {"name": "B", "price": 2})
+    decoded = ingest.decode_sources({SPEC_L: docs(spark, text, "{"), SPEC_W: docs(spark, "[]")})
+    rows = ingest.reject_places(decoded).collect()
+    assert sorted((str(r.file), str(r.pos), str(r.product_name), str(r.reason)) for r in rows) == [
+        ("None", "None", "A", "None"), ("None", "None", "B", "None"), ("f0", "1", "None", "product is no object"),
+        ("f0", "None", "None", "not an object"), ("f1", "None", "None", "not json"),
+    ]
+
+
+def test_an_empty_text_is_falsy_without_a_second_look(spark):
+    from shelflens.functions import variants as V
+
+    rows = spark.createDataFrame([("", '{"a":"x"}'), ("0", '{"a":"0"}'), ("0", '{"a":0}')], "t string, j string")
+    got = rows.select(V.is_truthy_text(F.col("t"), F.parse_json("j"), "$.a").alias("x")).collect()
+    assert [r.x for r in got] == [False, True, False]

@@ -1,4 +1,5 @@
 import datetime as dt
+import glob
 import json
 import os
 
@@ -231,3 +232,24 @@ def test_report_keeps_microseconds(spark, tmp_path):
     sinks.write_report(spark.createDataFrame(rows, tables.REPORT_SCHEMA), str(tmp_path / "r"), ["product_no"])
     back = tables.read_report(spark, str(tmp_path / "r")).orderBy("product_no").collect()
     assert [tuple(r) for r in back] == rows
+
+
+def test_a_small_report_is_not_cut_into_as_many_ranges_as_a_shuffle(spark, tmp_path, monkeypatch):
+    rows = spark.range(3000, numPartitions=40).select(
+        F.col("id").alias("product_no"), F.concat(F.lit("p"), "id").alias("product_name"),
+        *[F.lit(1.0).alias(c) for c in ("price_from_line", "price_from_watson", "diff")],
+        F.lit("2025-01-31T01:00:00").cast("timestamp_ntz").alias("ingest_timestamp_utc"),
+    )
+    # Runtime re-planning hides the ranges: without it each range with rows is a file.
+    monkeypatch.setattr(sinks, "REPORT_FILE_ROWS", 1000, raising=False)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        path = str(tmp_path / "r")
+        assert sinks.write_report(rows, path, ["product_no", "product_name"]) == 3000
+        assert sinks.write_report(rows.limit(0), path, ["product_no"]) == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    files = sorted(glob.glob(f"{path}/part-*"))
+    assert len(files) == 3
+    read = [[r.product_no for r in tables.read_report(spark, f).collect()] for f in files]
+    assert sum(read, []) == list(range(3000))
