@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -35,32 +36,73 @@ def decode_products(
     name are dropped, a price that is no number becomes NULL. The document's columns
     named in ``carry`` go along.
     """
-    path = "$." + ".".join(spec.list_path)
-    parsed = documents.select("file", *carry, V.parse(F.col("value")).alias("doc")).select(
-        "file", *carry, "doc", V.as_list(F.col("doc"), path).alias("products")
+    shop = "_shop"
+    return decode_shops(documents.withColumn(shop, F.lit(spec.name)), (spec,), carry, shop).drop(shop)
+
+
+def decode_shops(
+    documents: DataFrame, specs: tuple[SourceSpec, ...], carry: tuple[str, ...] = (), shop: str = "shop"
+) -> DataFrame:
+    """``decode_products`` of documents of several shops, read and parsed once.
+
+    Each document is read by the spec that its column ``shop`` names, which goes along; those of
+    other shops drop out.
+    """
+    carry = (*carry, shop)
+
+    def by_shop(rule: Callable[[SourceSpec], Column]) -> Column:
+        """``rule`` for the spec of the row's shop."""
+        if len(specs) == 1:
+            return rule(specs[0])
+        chain = F.when(F.col(shop) == specs[0].name, rule(specs[0]))
+        for spec in specs[1:]:
+            chain = chain.when(F.col(shop) == spec.name, rule(spec))
+        return chain
+
+    def list_path(spec: SourceSpec) -> str:
+        return "$." + ".".join(spec.list_path)
+
+    parsed = (
+        documents.filter(F.col(shop).isin([s.name for s in specs]))
+        .select("file", *carry, V.parse(F.col("value")).alias("doc"))
+        .select("file", *carry, "doc", by_shop(lambda s: V.as_list(F.col("doc"), list_path(s))).alias("products"))
     )
     # The document ends here: carried on, it would be copied to each of its elements.
     judged = parsed.select(
         "file",
         *carry,
         "products",
-        _list_reason(F.col("doc"), F.col("products"), spec.list_path).alias("doc_reason"),
+        by_shop(lambda s: _list_reason(F.col("doc"), F.col("products"), s.list_path)).alias("doc_reason"),
     )
     # Every look into an element costs much more than what is done with its result. Filters move
     # below a projection and repeat what it computes, but never below the generator.
-    paths = [*spec.name_paths, *spec.price_paths]
+    width = max(len(s.name_paths) for s in specs), max(len(s.price_paths) for s in specs)
 
-    def looked_up(product: Column) -> Column:
-        return F.struct(product.alias("product"), *[V.as_text(product, p).alias(f"t{i}") for i, p in enumerate(paths)])
+    def looked_up(spec: SourceSpec) -> Callable[[Column], Column]:
+        def texts(product: Column, name: str, paths: tuple[str, ...], n: int) -> list[Column]:
+            found = [V.as_text(product, p) for p in paths] + [F.lit(None).cast("string")] * (n - len(paths))
+            return [text.alias(f"{name}{i}") for i, text in enumerate(found)]
 
-    listed = judged.select("file", *carry, "doc_reason", F.transform("products", looked_up).alias("products"))
+        return lambda product: F.struct(
+            product.alias("product"),
+            *texts(product, "name", spec.name_paths, width[0]),
+            *texts(product, "price", spec.price_paths, width[1]),
+        )
+
+    listed = judged.select(
+        "file", *carry, "doc_reason", by_shop(lambda s: F.transform("products", looked_up(s))).alias("products")
+    )
     elements = listed.select(
         "file", *carry, "doc_reason", F.posexplode_outer("products").alias("pos", "element")
     ).filter(F.col("pos").isNotNull() | F.col("doc_reason").isNotNull())
 
     product = F.col("element.product")
-    names = [(p, F.col(f"element.t{i}")) for i, p in enumerate(spec.name_paths)]
-    prices = [(p, F.col(f"element.t{len(names) + i}")) for i, p in enumerate(spec.price_paths)]
+
+    def names(spec: SourceSpec) -> list[tuple[str, Column]]:
+        return [(p, F.col(f"element.name{i}")) for i, p in enumerate(spec.name_paths)]
+
+    def prices(spec: SourceSpec) -> list[tuple[str, Column]]:
+        return [(p, F.col(f"element.price{i}")) for i, p in enumerate(spec.price_paths)]
 
     def chosen(found: list[tuple[str, Column]]) -> Column:
         """The text of the first truthy value; the last one's when none is truthy."""
@@ -70,14 +112,17 @@ def decode_products(
         return text
 
     # What has something at a path is an object; the others are few.
-    found_any = reduce(or_, [text.isNotNull() for _, text in [*names, *prices]])
+    every = [f"element.{name}{i}" for name, n in zip(("name", "price"), width) for i in range(n)]
+    found_any = reduce(or_, [F.col(text).isNotNull() for text in every])
     reason = F.when(F.col("pos").isNull(), F.col("doc_reason")).when(
         ~found_any & ~V.is_object(product), F.lit("product is no object")
     )
-    is_named = reduce(or_, [V.is_truthy_text(text, product, path) for path, text in names])
+    is_named = by_shop(lambda s: reduce(or_, [V.is_truthy_text(text, product, path) for path, text in names(s)]))
     named = elements.withColumn("reason", reason).filter(F.col("reason").isNotNull() | is_named)
     texts = named.select(
-        "file", *carry, "pos", "reason", chosen(names).alias("product_name"), chosen(prices).alias("price")
+        "file", *carry, "pos", "reason",
+        by_shop(lambda s: chosen(names(s))).alias("product_name"),
+        by_shop(lambda s: chosen(prices(s))).alias("price"),
     ).withColumn("price_text", clean_price_text(F.col("price")))
     return texts.select(
         "file", *carry, "pos", "reason", "product_name",

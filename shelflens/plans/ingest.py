@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from shelflens.config import SPECS, JobConfig
 from shelflens.operators.flatten import decode_products
 from shelflens.operators.history import history_rows, union_sources
+from shelflens.operators.keep import shuffles_let_go
 from shelflens.operators.snapshot import load_partials
 from shelflens.sources.files import remove_matches
 from shelflens.sources.landing import scan_landed, scan_landing
-from shelflens.sources.sinks import load_folders, load_history, load_snapshot
+from shelflens.sources.sinks import load_history, load_snapshot
+from shelflens.sources.tables import JSON_OPTIONS, load_folders, read_load
 
 
 def decode_sources(by_spec: dict, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -43,37 +45,91 @@ def reject_places(decoded: DataFrame) -> DataFrame:
     return decoded.withColumns({place: F.when(rejected, F.col(place)) for place in ("file", "pos")})
 
 
+#: Rows of the history that are put in order at once, about; a day is never cut.
+SLICE_ROWS = 20_000_000
+STAGED_SCHEMA = (
+    "ecommerce_name string, file string, pos int, reason string, product_name string, sale_price double, "
+    "ingest_timestamp_utc timestamp_ntz, rejected boolean, day date"
+)
+
+
+def stage_load(decoded: DataFrame, load_ts: dt.datetime | Column, path: str, fmt: str) -> None:
+    """Write decoded rows once, rejects and each day's products apart, for a load's passes over them.
+
+    Files in the job's folder are a fraction of the same rows in the executors' caches, and a lost
+    executor does not take them along.
+    """
+    ts = load_ts if isinstance(load_ts, Column) else F.lit(load_ts.isoformat())
+    dated = reject_places(decoded).withColumn("ingest_timestamp_utc", ts.cast("timestamp_ntz"))
+    (
+        dated.withColumn("rejected", F.col("reason").isNotNull())
+        .withColumn("day", F.to_date("ingest_timestamp_utc"))
+        .select(*[field.split(" ", 1)[0] for field in STAGED_SCHEMA.split(", ")])
+        .write.format(fmt)
+        .mode("overwrite")
+        .option("compression", "zstd")
+        .partitionBy("rejected", "day")
+        .save(path)
+    )
+
+
+def day_slices(counts: list[tuple[dt.date | None, int]], rows: int) -> list[list[dt.date | None]]:
+    """Days, with their rows, cut in order into runs of at most ``rows`` rows, or of one day."""
+    slices: list[list[dt.date | None]] = []
+    room = 0
+    for day, n in counts:
+        if slices and n <= room:
+            slices[-1].append(day)
+        else:
+            slices.append([day])
+            room = rows
+        room -= n
+    return slices
+
+
 def store_load(
     decoded: DataFrame, config: JobConfig, load_ts: dt.datetime | Column, load_id: str
 ) -> list[dt.datetime]:
     """Write one load's history rows and rejects; the newest load time of each day stored.
 
     The documents are decoded once for both outputs. Writing the same load again
-    replaces it, also with nothing: a load without products leaves no rows.
+    replaces it, also with nothing: a load without products leaves no rows. A large load is put
+    in order in runs of days, whose decoded rows go when they are stored.
     """
-    decoded = reject_places(decoded).persist()
-    try:
-        rejects = decoded.filter(F.col("reason").isNotNull())
-        rejects.select("ecommerce_name", "file", "pos", "reason").write.mode("overwrite").json(
-            f"{config.quarantine}/load_id={load_id}"
-        )
-        rows = history_build(decoded, load_ts)
-        loads = (
-            rows.groupBy(F.to_date("ingest_timestamp_utc").alias("day"))
-            .agg(F.max("ingest_timestamp_utc").alias("ts"))
-            .orderBy("day")
-            .collect()
-        )
+    spark, staged, fmt = decoded.sparkSession, f"{config.staged}/load_id={load_id}", config.table_format
+    with shuffles_let_go(spark):
+        try:
+            stage_load(decoded, load_ts, staged, fmt)
+            found = spark.read.format(fmt).schema(STAGED_SCHEMA).load(staged)
+            rejects = found.filter("rejected").select("ecommerce_name", "file", "pos", "reason")
+            rejects.write.mode("overwrite").options(**JSON_OPTIONS).json(f"{config.quarantine}/load_id={load_id}")
+            remove_matches(spark, f"{staged}/rejected=true")
+            products = found.filter("not rejected")
+            loads = (
+                products.groupBy("day")
+                .agg(F.max("ingest_timestamp_utc").alias("ts"), F.count(F.lit(1)).alias("n"))
+                .orderBy("day")
+                .collect()
+            )
+            slices = day_slices([(r["day"], r["n"]) for r in loads], SLICE_ROWS)
+            if len(slices) != 1:
+                # What an earlier run of the load left; the second slice must not find it.
+                remove_matches(spark, load_folders(config.history, load_id))
+            for place, days in enumerate(slices):
+                chosen = F.col("day").isin([d for d in days if d]) | F.lit(None in days) & F.col("day").isNull()
+                rows = history_build(products.filter(chosen), F.col("ingest_timestamp_utc"))
+                load_history(rows, config.history, load_id, fmt, add=place > 0)
+                for day in days:
+                    remove_matches(spark, f"{staged}/rejected=false/day={day}")
+        finally:
+            remove_matches(spark, staged)
         if loads:
-            load_history(rows, config.history, load_id, config.table_format)
-            partials = load_partials(rows.withColumn("load_id", F.lit(load_id)))
-            load_snapshot(partials, config.snapshots, load_id, config.table_format)
+            # What is stored is in order, so that each task has few rows of a product left for the shuffle.
+            stored = read_load(spark, config.history, load_id, fmt)
+            load_snapshot(load_partials(stored), config.snapshots, load_id, fmt)
         else:
-            remove_matches(decoded.sparkSession, load_folders(config.history, load_id))
-            remove_matches(decoded.sparkSession, f"{config.snapshots}/day=*/load_id={load_id}")
+            remove_matches(spark, f"{config.snapshots}/day=*/load_id={load_id}")
         return [r["ts"] for r in loads]
-    finally:
-        decoded.unpersist()
 
 
 def run_ingest(

@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from shelflens.config import SPECS, JobConfig, SourceSpec
 from shelflens.functions import text as TX
+from shelflens.operators.keep import shuffles_let_go
 from shelflens.sources.files import glob_matches
+from shelflens.sources.tables import JSON_OPTIONS
 
 LANDING_SCHEMA = "file string, value string"
 LANDED_SCHEMA = "object_name string, value string"
+#: Documents of one landed file at most: a compressed file is read by a single task.
+LANDED_FILE_DOCUMENTS = 50_000
 NOT_AN_OBJECT = "body is no object"
 
 
@@ -74,16 +78,22 @@ def land_envelopes(envelopes: DataFrame, config: JobConfig) -> None:
     """Append stamped envelopes as JSON lines, partitioned by day and shop.
 
     Many documents per file: a day of single-document objects is a listing problem
-    long before it is a volume problem. What has a ``reason`` is set aside under it.
+    long before it is a volume problem. What has a ``reason`` is set aside under it. Both are
+    compressed, as the landing area stays and would be the largest of all that a job leaves.
     """
     folders = ["ingest_date", "ecommerce_name"]
     good = F.col("reason").isNull()
-    envelopes.filter(good).select("object_name", "value", *folders).write.mode(
-        "append"
-    ).partitionBy(*folders).json(config.landed_root)
-    envelopes.filter(~good).select("object_name", "value", "reason", *folders).write.mode(
-        "append"
-    ).partitionBy(*folders).json(config.set_aside)
+    with shuffles_let_go(envelopes.sparkSession):
+        for rows, extra, path in ((good, [], config.landed_root), (~good, ["reason"], config.set_aside)):
+            (
+                envelopes.filter(rows)
+                .select("object_name", "value", *extra, *folders)
+                .write.mode("append")
+                .options(**JSON_OPTIONS)
+                .option("maxRecordsPerFile", LANDED_FILE_DOCUMENTS)
+                .partitionBy(*folders)
+                .json(path)
+            )
 
 
 def scan_landed(

@@ -22,21 +22,17 @@ def append_history(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
     ).save(path)
 
 
-def load_folders(path: str, load_id: str) -> str:
-    """Where ``load_history`` keeps one load."""
-    return f"{path}/year=*/month=*/load_id={load_id}"
-
-
-def load_history(rows: DataFrame, path: str, load_id: str, fmt: str = "parquet") -> None:
+def load_history(rows: DataFrame, path: str, load_id: str, fmt: str = "parquet", add: bool = False) -> None:
     """Write one load, clustered by load time; the same ``load_id`` again replaces it.
 
-    A retried or repeated load overwrites only its own folders. Do not mix with
+    A retried or repeated load overwrites only its own folders; with ``add`` the rows join those
+    that are there, as the next part of the load. Do not mix with
     ``append_history`` in one table: the folder depths differ.
     """
     (
         clustered(rows.select(*HISTORY_COLUMNS, F.lit(load_id).alias("load_id")))
         .write.format(fmt)
-        .mode("overwrite")
+        .mode("append" if add else "overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month", "load_id")
         .save(path)

@@ -20,6 +20,8 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+#: JSON lines are written compressed; readers tell by the files' names.
+JSON_OPTIONS = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 #: Load times keep their microseconds; CSV would cut them to milliseconds.
 STAMP_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 #: Stands for null inside the reader only, so that quoted empty texts stay texts.
@@ -77,6 +79,11 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
     return reader.options(**STAMP_OPTIONS).csv(path)
 
 
+def load_folders(path: str, load_id: str) -> str:
+    """Where ``load_history`` keeps one load."""
+    return f"{path}/year=*/month=*/load_id={load_id}"
+
+
 def read_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The product history, all days, without the technical ``load_id``."""
     reader = spark.read.format(fmt)
@@ -85,6 +92,12 @@ def read_history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return history_columns(reader.load(path))
 
 
+def read_load(spark: SparkSession, path: str, load_id: str, fmt: str = "parquet") -> DataFrame:
+    """One load's rows of the history, with ``load_id``; only its own folders are listed."""
+    reader = spark.read.format(fmt).schema(HISTORY_SCHEMA + ", load_id string").option("basePath", path)
+    return reader.load(load_folders(path, load_id))
+
+
 def read_snapshots(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The loads' latest rows, with ``day`` and ``load_id``."""
     return spark.read.format(fmt).schema(HISTORY_SCHEMA + ", day date, load_id string").load(path)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelflens.config import SPECS, JobConfig
-from shelflens.plans.ingest import decode_sources, store_load
+from shelflens.operators.flatten import decode_shops
+from shelflens.plans.ingest import store_load
 from shelflens.plans.report import run_report
 from shelflens.sources.files import path_exists
 from shelflens.sources.landing import stream_landing
@@ -36,20 +37,13 @@ def load_batch(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # A micro-batch is read anew by each use, whole files each time: keep the text.
-        batch = batch.persist()
-        try:
-            if batch.isEmpty():
-                return
-            dated = batch.withColumn("load_ts", load_time(F.col("modified"), F.col("day")))
-            documents = {
-                spec: dated.filter(F.col("shop") == spec.name).select("file", "load_ts", "value")
-                for spec in SPECS
-            }
-            decoded = decode_sources(documents, carry=("load_ts",))
-            loads = store_load(decoded, config, F.col("load_ts"), f"{stream}-{batch_id}")
-        finally:
-            batch.unpersist()
+        if batch.isEmpty():
+            return
+        # A micro-batch is read anew by each use, whole files each time, and its text is too
+        # large to keep: one pass decodes both shops.
+        dated = batch.withColumn("load_ts", load_time(F.col("modified"), F.col("day")))
+        decoded = decode_shops(dated, SPECS, carry=("load_ts",)).withColumnRenamed("shop", "ecommerce_name")
+        loads = store_load(decoded, config, F.col("load_ts"), f"{stream}-{batch_id}")
         if loads and report and path_exists(spark, config.name_map):
             for newest in loads:
                 run_report(spark, config, newest.date(), newest, from_snapshots)

@@ -413,3 +413,106 @@ def test_an_empty_text_is_falsy_without_a_second_look(spark):
     rows = spark.createDataFrame([("", '{"a":"x"}'), ("0", '{"a":"0"}'), ("0", '{"a":0}')], "t string, j string")
     got = rows.select(V.is_truthy_text(F.col("t"), F.parse_json("j"), "$.a").alias("x")).collect()
     assert [r.x for r in got] == [False, True, False]
+
+
+def files_below(path):
+    return [f for _, _, names in os.walk(path) for f in names if not f.startswith((".", "_"))]
+
+
+def test_landed_and_rejected_text_is_compressed(spark, config, monkeypatch):
+    monkeypatch.setattr(landing, "LANDED_FILE_DOCUMENTS", 2)
+    bodies = [doc_w({"name": f"P{i}", "price": {"value": i}}, None) for i in range(5)]
+    rows = spark.createDataFrame([(n, RUN, b) for n, b in enumerate([*bodies, "[1]"])], "page int, ts timestamp_ntz, body string")
+    shop = F.lit(SPEC_W.envelope_name)
+    stamped = landing.stamp_envelopes(rows.coalesce(1), shop=shop, query=F.lit("q"), page=F.col("page"), fetched_at=F.col("ts"))
+    landing.land_envelopes(stamped, config)
+    # Three of two documents at most, as a compressed file is one task's.
+    assert len(files_below(config.landed_root)) == 3
+    assert run_ingest(spark, config, DAY, RUN)
+    for path in (config.landed_root, config.set_aside, config.quarantine):
+        assert all(f.endswith(".json.gz") for f in files_below(path)) and files_below(path)
+    assert sorted(r.product_name for r in tables.read_history(spark, config.history).collect()) == [f"P{i}" for i in range(5)]
+    assert spark.read.json(config.quarantine).count() == 5 and spark.read.json(config.set_aside).count() == 1
+
+
+def test_one_pass_reads_each_shop_by_its_spec(spark):
+    texts = [
+        doc_l({"name": "A", "salePrice": "0", "price": 1}, {"product_name": "B", "salePrice": 0, "price": 2}, None, 3),
+        doc_w({"name": "C", "price": {"value": 0}}, {"name": "", "price": {"value": 1}}, "x"), "{", "[]", '{"products":{"a":1}}',
+        '{"data":{"products":[1]}}', "{}", '{"data":{"products":{"products":5}}}', None,
+    ]
+    shops = [SHOP_L, SHOP_W, "other", None]
+    rows = [(f"{s}{i}", t, s, i) for i, t in enumerate(texts) for s in shops]
+    every = spark.createDataFrame(rows, "file string, value string, shop string, n int")
+    got = FL.decode_shops(every, (SPEC_L, SPEC_W), carry=("n",))
+    want = [
+        FL.decode_products(every.filter(F.col("shop") == s.name), s, ("n",)).withColumn("shop", F.lit(s.name))
+        for s in (SPEC_L, SPEC_W)
+    ]
+    want = want[0].unionByName(want[1])
+    key = lambda frame: sorted(map(repr, frame.select(*sorted(frame.columns)).collect()))
+    assert key(got) == key(want) and got.filter("reason is null").count() == 3
+    assert got._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
+
+
+def test_a_load_caches_nothing(spark, config, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from shelflens.streaming.ingest import load_batch
+
+    def refuse(*_):
+        raise AssertionError("the text or the rows of a load are larger than the executors")
+
+    rows = [("x/watson_1.json", SHOP_W, DAY, RUN, doc_w({"name": "A", "price": {"value": 1}}, None))]
+    batch = spark.createDataFrame(rows, "file string, shop string, day date, modified timestamp_ntz, value string")
+    monkeypatch.setattr(DataFrame, "persist", refuse)
+    load_batch(config, "s", report=False)(batch, 1)
+    assert tables.read_history(spark, config.history).count() == 1 and spark.read.json(config.quarantine).count() == 1
+    assert not files_below(config.staged)
+
+
+def test_days_are_cut_into_slices():
+    from shelflens.plans.ingest import day_slices
+
+    days = [dt.date(2025, 1, d) for d in range(1, 7)]
+    counts = list(zip(days, [3, 4, 5, 20, 1, 1]))
+    assert day_slices(counts, 8) == [days[:2], days[2:3], days[3:4], days[4:]]
+    assert day_slices(counts, 100) == [days] and day_slices([], 8) == []
+
+
+@pytest.mark.parametrize("most", [2, 1000])
+def test_a_load_in_slices_is_the_same_load(spark, config, monkeypatch, most):
+    from shelflens.plans import ingest
+
+    monkeypatch.setattr(ingest, "SLICE_ROWS", most)
+    days = [dt.datetime(2025, 1, 30, 5), dt.datetime(2025, 1, 31, 6), dt.datetime(2025, 2, 1, 7)]
+
+    def load(*names):
+        rows = [(n, float(i), ts, SHOP_W, None, "f", 0) for i, (n, ts) in enumerate(names)]
+        kind = "product_name string, sale_price double, ts timestamp_ntz, ecommerce_name string, reason string, file string, pos int"
+        loads = ingest.store_load(spark.createDataFrame(rows, kind), config, F.col("ts"), "x")
+        stored = spark.read.parquet(config.history).collect() if loads else []
+        latest = tables.read_snapshots(spark, config.snapshots).collect() if loads else []
+        assert {r.load_id for r in [*stored, *latest]} <= {"x"} and not files_below(config.staged)
+        return loads, sorted((r.product_name, r.ingest_timestamp_utc) for r in stored), sorted((r.product_name, r.day) for r in latest)
+
+    first = [("A", days[0]), ("A", days[0]), ("B", days[1]), ("C", days[2]), ("D", days[2])]
+    latest = [("A", days[0].date()), ("B", days[1].date()), ("C", days[2].date()), ("D", days[2].date())]
+    assert load(*first) == (days, first, latest)
+    # Again, and then with less: nothing comes twice, nothing of a day that is gone from a sliced load stays.
+    assert load(*first) == (days, first, latest)
+    again = [("E", days[1]), ("F", days[1]), ("G", days[1]), ("H", days[2])]
+    assert load(*again) == (days[1:], again, [("E", days[1].date()), ("F", days[1].date()), ("G", days[1].date()), ("H", days[2].date())])
+    if most == 2:
+        assert load(*first[:2], ("B", days[1])) == (days[:2], first[:3], latest[:2])
+    assert load() == ([], [], [])
+
+
+def test_shuffle_files_go_when_a_write_has_run(spark):
+    from shelflens.operators.keep import shuffles_let_go
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    with shuffles_let_go(spark):
+        mode = spark.range(9).repartition(3)._jdf.queryExecution().shuffleCleanupMode().toString()
+    assert mode.startswith("RemoveShuffleFiles") and spark.conf.get(name) == before
