@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from itertools import groupby
+from operator import itemgetter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,16 +47,16 @@ def reject_places(decoded: DataFrame) -> DataFrame:
     return decoded.withColumns({place: F.when(rejected, F.col(place)) for place in ("file", "pos")})
 
 
-#: Rows of the history that are put in order at once, about; a day is never cut.
+#: Rows of the history that are put in order at once; a shop's rows of one day are never cut.
 SLICE_ROWS = 20_000_000
 STAGED_SCHEMA = (
-    "ecommerce_name string, file string, pos int, reason string, product_name string, sale_price double, "
-    "ingest_timestamp_utc timestamp_ntz, rejected boolean, day date"
+    "file string, pos int, reason string, product_name string, sale_price double, "
+    "ingest_timestamp_utc timestamp_ntz, rejected boolean, day date, ecommerce_name string"
 )
 
 
 def stage_load(decoded: DataFrame, load_ts: dt.datetime | Column, path: str, fmt: str) -> None:
-    """Write decoded rows once, rejects and each day's products apart, for a load's passes over them.
+    """Write decoded rows once, rejects, days and shops apart, for a load's passes over them.
 
     Files in the job's folder are a fraction of the same rows in the executors' caches, and a lost
     executor does not take them along.
@@ -68,22 +70,30 @@ def stage_load(decoded: DataFrame, load_ts: dt.datetime | Column, path: str, fmt
         .write.format(fmt)
         .mode("overwrite")
         .option("compression", "zstd")
-        .partitionBy("rejected", "day")
+        .partitionBy("rejected", "day", "ecommerce_name")
         .save(path)
     )
 
 
-def day_slices(counts: list[tuple[dt.date | None, int]], rows: int) -> list[list[dt.date | None]]:
-    """Days, with their rows, cut in order into runs of at most ``rows`` rows, or of one day."""
-    slices: list[list[dt.date | None]] = []
+def load_slices(counts: list[tuple], rows: int) -> list[tuple[list[dt.date | None], str | None]]:
+    """Days in runs of at most ``rows`` rows, with the shop where a single day has more.
+
+    ``counts`` are ``(day, shop, n)`` in order; a day's shop is never cut.
+    """
+    slices: list[tuple[list[dt.date | None], str | None]] = []
     room = 0
-    for day, n in counts:
-        if slices and n <= room:
-            slices[-1].append(day)
+    for day, group in groupby(counts, key=itemgetter(0)):
+        shops = [(shop, n) for _, shop, n in group]
+        n = sum(n for _, n in shops)
+        if n > rows and len(shops) > 1 and all(shop for shop, _ in shops):
+            slices += [([day], shop) for shop, _ in shops]
+            room = 0
+        elif slices and n <= room:
+            slices[-1][0].append(day)
+            room -= n
         else:
-            slices.append([day])
-            room = rows
-        room -= n
+            slices.append(([day], None))
+            room = rows - n
     return slices
 
 
@@ -93,8 +103,8 @@ def store_load(
     """Write one load's history rows and rejects; the newest load time of each day stored.
 
     The documents are decoded once for both outputs. Writing the same load again
-    replaces it, also with nothing: a load without products leaves no rows. A large load is put
-    in order in runs of days, whose decoded rows go when they are stored.
+    replaces it, also with nothing: a load without products leaves no rows. A large load is put in
+    order in runs of days, the largest days by shop; their staged rows go when they are stored.
     """
     spark, staged, fmt = decoded.sparkSession, f"{config.staged}/load_id={load_id}", config.table_format
     with shuffles_let_go(spark):
@@ -105,31 +115,35 @@ def store_load(
             rejects.write.mode("overwrite").options(**JSON_OPTIONS).json(f"{config.quarantine}/load_id={load_id}")
             remove_matches(spark, f"{staged}/rejected=true")
             products = found.filter("not rejected")
-            loads = (
-                products.groupBy("day")
-                .agg(F.max("ingest_timestamp_utc").alias("ts"), F.count(F.lit(1)).alias("n"))
-                .orderBy("day")
+            counts = (
+                products.groupBy("day", "ecommerce_name")
+                .agg(F.count(F.lit(1)).alias("n"), F.max("ingest_timestamp_utc").alias("ts"))
+                .orderBy("day", "ecommerce_name")
                 .collect()
             )
-            slices = day_slices([(r["day"], r["n"]) for r in loads], SLICE_ROWS)
+            slices = load_slices([(r["day"], r["ecommerce_name"], r["n"]) for r in counts], SLICE_ROWS)
             if len(slices) != 1:
                 # What an earlier run of the load left; the second slice must not find it.
                 remove_matches(spark, load_folders(config.history, load_id))
-            for place, days in enumerate(slices):
-                chosen = F.col("day").isin([d for d in days if d]) | F.lit(None in days) & F.col("day").isNull()
-                rows = history_build(products.filter(chosen), F.col("ingest_timestamp_utc"))
+            for place, (days, shop) in enumerate(slices):
+                part = products.filter(
+                    F.col("day").isin([d for d in days if d]) | F.lit(None in days) & F.col("day").isNull()
+                )
+                if shop:
+                    part = part.filter(F.col("ecommerce_name") == shop)
+                rows = history_build(part, F.col("ingest_timestamp_utc"))
                 load_history(rows, config.history, load_id, fmt, add=place > 0)
                 for day in days:
-                    remove_matches(spark, f"{staged}/rejected=false/day={day}")
+                    remove_matches(spark, f"{staged}/rejected=false/day={day}/ecommerce_name={shop or '*'}")
         finally:
             remove_matches(spark, staged)
-        if loads:
+        if counts:
             # What is stored is in order, so that each task has few rows of a product left for the shuffle.
             stored = read_load(spark, config.history, load_id, fmt)
             load_snapshot(load_partials(stored), config.snapshots, load_id, fmt)
         else:
             remove_matches(spark, f"{config.snapshots}/day=*/load_id={load_id}")
-        return [r["ts"] for r in loads]
+        return [max(r["ts"] for r in of_day) for _, of_day in groupby(counts, key=itemgetter("day"))]
 
 
 def run_ingest(

@@ -21,7 +21,7 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": False,
 }
 #: JSON lines are written compressed; readers tell by the files' names.
-JSON_OPTIONS = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+JSON_OPTIONS = {"compression": "gzip"}
 #: Load times keep their microseconds; CSV would cut them to milliseconds.
 STAMP_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 #: Stands for null inside the reader only, so that quoted empty texts stay texts.

@@ -472,15 +472,17 @@ def test_a_load_caches_nothing(spark, config, monkeypatch):
 
 
 def test_days_are_cut_into_slices():
-    from shelflens.plans.ingest import day_slices
+    from shelflens.plans.ingest import load_slices
 
-    days = [dt.date(2025, 1, d) for d in range(1, 7)]
-    counts = list(zip(days, [3, 4, 5, 20, 1, 1]))
-    assert day_slices(counts, 8) == [days[:2], days[2:3], days[3:4], days[4:]]
-    assert day_slices(counts, 100) == [days] and day_slices([], 8) == []
+    days = [dt.date(2025, 1, d) for d in range(1, 8)]
+    counts = [(d, SHOP_W, n) for d, n in zip(days, [3, 4, 5, 20, 1, 1])] + [(days[6], SHOP_L, 6), (days[6], SHOP_W, 3)]
+    assert load_slices(counts, 8) == [
+        (days[:2], None), (days[2:3], None), (days[3:4], None), (days[4:6], None), (days[6:], SHOP_L), (days[6:], SHOP_W),
+    ]
+    assert load_slices(counts, 100) == [(days, None)] and load_slices([], 8) == []
 
 
-@pytest.mark.parametrize("most", [2, 1000])
+@pytest.mark.parametrize("most", [1, 2, 1000])
 def test_a_load_in_slices_is_the_same_load(spark, config, monkeypatch, most):
     from shelflens.plans import ingest
 
@@ -488,7 +490,8 @@ def test_a_load_in_slices_is_the_same_load(spark, config, monkeypatch, most):
     days = [dt.datetime(2025, 1, 30, 5), dt.datetime(2025, 1, 31, 6), dt.datetime(2025, 2, 1, 7)]
 
     def load(*names):
-        rows = [(n, float(i), ts, SHOP_W, None, "f", 0) for i, (n, ts) in enumerate(names)]
+        shop = lambda name: SHOP_L if name in "CG" else SHOP_W
+        rows = [(n, float(i), ts, shop(n), None, "f", 0) for i, (n, ts) in enumerate(names)]
         kind = "product_name string, sale_price double, ts timestamp_ntz, ecommerce_name string, reason string, file string, pos int"
         loads = ingest.store_load(spark.createDataFrame(rows, kind), config, F.col("ts"), "x")
         stored = spark.read.parquet(config.history).collect() if loads else []
@@ -503,7 +506,7 @@ def test_a_load_in_slices_is_the_same_load(spark, config, monkeypatch, most):
     assert load(*first) == (days, first, latest)
     again = [("E", days[1]), ("F", days[1]), ("G", days[1]), ("H", days[2])]
     assert load(*again) == (days[1:], again, [("E", days[1].date()), ("F", days[1].date()), ("G", days[1].date()), ("H", days[2].date())])
-    if most == 2:
+    if most < 1000:
         assert load(*first[:2], ("B", days[1])) == (days[:2], first[:3], latest[:2])
     assert load() == ([], [], [])
 
